@@ -142,3 +142,137 @@ def q_label(spark, sf_dir):
 @query("class_balance")
 def q_class_balance(spark, sf_dir):
     return insp.class_balance(labelled(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------------------------
+# exploration and expectations
+# ---------------------------------------------------------------------------------------------
+
+from ..operators import explore as ex  # noqa: E402
+from ..operators import quality as qa  # noqa: E402
+
+PREVIEW_INSPECTION_ID = 1
+
+
+@query("preview_rows")
+def q_preview(spark, sf_dir):
+    return ex.preview_rows(infractions(spark, sf_dir))
+
+
+@query("filter_inspection")
+def q_filter_inspection(spark, sf_dir):
+    return ex.filter_inspection(infractions(spark, sf_dir), PREVIEW_INSPECTION_ID)
+
+
+@query("missing_coords")
+def q_missing_coords(spark, sf_dir):
+    return ex.missing_coords(infractions(spark, sf_dir))
+
+
+@query("na_severity_rows")
+def q_na_rows(spark, sf_dir):
+    return ex.na_severity_rows(infractions(spark, sf_dir))
+
+
+@query("na_severity_closed")
+def q_na_closed(spark, sf_dir):
+    return ex.na_severity_closed(infractions(spark, sf_dir))
+
+
+@query("establishments_per_inspection")
+def q_a1(spark, sf_dir):
+    return ex.establishments_per_inspection(infractions(spark, sf_dir))
+
+
+@query("inspections_per_establishment")
+def q_a2(spark, sf_dir):
+    return ex.inspections_per_establishment(infractions(spark, sf_dir))
+
+
+@query("infractions_per_inspection")
+def q_a3(spark, sf_dir):
+    return ex.infractions_per_inspection(infractions(spark, sf_dir))
+
+
+@query("missing_address_count")
+def q_a4(spark, sf_dir):
+    return ex.missing_address_count(infractions(spark, sf_dir))
+
+
+@query("addresses_missing_coords")
+def q_a5(spark, sf_dir):
+    return ex.addresses_missing_coords(infractions(spark, sf_dir))
+
+
+@query("coord_null_consistency")
+def q_a6(spark, sf_dir):
+    return ex.coord_null_consistency(infractions(spark, sf_dir))
+
+
+@query("severity_counts")
+def q_a7a(spark, sf_dir):
+    return ex.severity_counts(infractions(spark, sf_dir))
+
+
+@query("na_status_counts")
+def q_a7b(spark, sf_dir):
+    return ex.na_status_counts(infractions(spark, sf_dir))
+
+
+@query("severity_status_counts")
+def q_a7c(spark, sf_dir):
+    return ex.severity_status_counts(infractions(spark, sf_dir))
+
+
+@query("type_summary")
+def q_a8(spark, sf_dir):
+    return ex.type_summary(infractions(spark, sf_dir))
+
+
+def single_day(spark, sf_dir):
+    return insp.single_day_inspections(insp.by_establishment(aggregate(spark, sf_dir)))
+
+
+@query("est_recount")
+def q_a13(spark, sf_dir):
+    return ex.est_recount(single_day(spark, sf_dir))
+
+
+@query("status_per_inspection")
+def q_a14(spark, sf_dir):
+    return ex.status_per_inspection(labelled(spark, sf_dir))
+
+
+@query("null_counts")
+def q_a23(spark, sf_dir):
+    return ex.null_counts(infractions(spark, sf_dir))
+
+
+@query("profile_table")
+def q_a24(spark, sf_dir):
+    return ex.profile_table(labelled(spark, sf_dir))
+
+
+@query("head_tail")
+def q_l4(spark, sf_dir):
+    return ex.head_tail(labelled(spark, sf_dir), ["establishment_id", "inspection_id", "inspection_date"])
+
+
+@query("histogram_bins")
+def q_a25(spark, sf_dir):
+    return ex.histogram_bins(infractions(spark, sf_dir), "amount_fined")
+
+
+@query("expect_no_na")
+def q_k1(spark, sf_dir):
+    return qa.expect_no_na(labelled(spark, sf_dir))
+
+
+@query("expect_recount")
+def q_k2(spark, sf_dir):
+    return qa.expect_recount(ex.est_recount(single_day(spark, sf_dir)))
+
+
+@query("expect_single_status")
+def q_k3(spark, sf_dir):
+    return qa.expect_single_status(ex.status_per_inspection(labelled(spark, sf_dir)))

@@ -169,3 +169,120 @@ ORACLES["class_balance"] = chain(*LABEL_CHAIN) + """
 SELECT is_infraction, CAST(COUNT(*) AS BIGINT) AS num_inspections,
        ROUND(COUNT(*) / SUM(COUNT(*)) OVER (), 6) AS fraction
 FROM labelled GROUP BY is_infraction"""
+
+
+# ---- exploration ------------------------------------------------------------------------------
+
+INFR_COLS = ["row_id", "establishment_id", "inspection_id", "establishment_name", "establishmenttype",
+             "establishment_address", "establishment_status", "minimum_inspections_peryear",
+             "infraction_details", "inspection_date", "severity", "action", "court_outcome", "amount_fined",
+             "latitude", "longitude"]
+PIVOT_COLS = ([("action_null" if v is None else sanitise_action(v)) for v in fx.FIXTURE_ACTIONS]
+              + [("court_outcome_null" if v is None else sanitise_outcome(v)) for v in fx.FIXTURE_OUTCOMES])
+LABELLED_TYPES = ([("establishment_id", "bigint"), ("establishmenttype", "string"),
+                   ("establishment_address", "string"), ("inspection_date", "date"),
+                   ("inspection_id", "bigint"), ("establishment_status", "string"),
+                   ("infractions_summary", "string")]
+                  + [(c, "bigint") for c in ("num_significant", "num_crucial", "num_minor", "num_na",
+                                             "num_infractions")]
+                  + [(c, "bigint") for c in PIVOT_COLS] + [("is_infraction", "int")])
+SINGLE_DAY_CHAIN = AGG_CHAIN + (SINGLE_DAY,)
+
+ORACLES["preview_rows"] = chain(INFR) + _d(
+    src="(SELECT * FROM infr ORDER BY " + ", ".join(f"{c} ASC NULLS FIRST" for c in INFR_COLS) + " LIMIT 6)",
+    doubles=INFR_DOUBLES)
+ORACLES["filter_inspection"] = chain(INFR) + _d(src="(SELECT * FROM infr WHERE inspection_id = 1)",
+                                                doubles=INFR_DOUBLES)
+ORACLES["missing_coords"] = chain(INFR) + _d(
+    src="(SELECT * FROM infr WHERE latitude IS NULL OR longitude IS NULL)", doubles=INFR_DOUBLES)
+ORACLES["na_severity_rows"] = chain(INFR) + """
+SELECT infraction_details, severity, establishment_status FROM infr WHERE severity LIKE '%NA -%'"""
+ORACLES["na_severity_closed"] = chain(INFR) + """
+SELECT infraction_details, severity, establishment_status FROM infr
+WHERE severity LIKE '%NA -%' AND establishment_status = 'Closed'"""
+ORACLES["establishments_per_inspection"] = chain(INFR) + """
+SELECT inspection_id, CAST(COUNT(DISTINCT establishment_id) AS BIGINT) AS num_establishments
+FROM infr GROUP BY inspection_id"""
+ORACLES["inspections_per_establishment"] = chain(INFR) + f"""
+SELECT {EST}, CAST(COUNT(DISTINCT inspection_id) AS BIGINT) AS num_inspections FROM infr GROUP BY {EST}"""
+ORACLES["infractions_per_inspection"] = chain(INFR) + f"""
+SELECT {EST}, inspection_id, CAST(COUNT(*) AS BIGINT) AS number_of_infractions
+FROM infr GROUP BY {EST}, inspection_id"""
+ORACLES["missing_address_count"] = chain(INFR) + """
+SELECT CAST(COUNT(*) AS BIGINT) AS num_missing_addresses FROM infr WHERE establishment_address IS NULL"""
+ORACLES["addresses_missing_coords"] = chain(INFR) + """
+SELECT establishment_address, ROUND(MAX(latitude), 6) AS latitude, ROUND(MAX(longitude), 6) AS longitude
+FROM infr WHERE latitude IS NULL OR longitude IS NULL GROUP BY establishment_address"""
+ORACLES["coord_null_consistency"] = chain(INFR) + """
+SELECT CAST(SUM(CASE WHEN latitude IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS num_miss_lat,
+       CAST(SUM(CASE WHEN longitude IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS num_miss_lon,
+       CAST(COUNT(DISTINCT establishment_address) AS BIGINT) AS num_establishments
+FROM (SELECT establishment_address, MAX(latitude) AS latitude, MAX(longitude) AS longitude
+      FROM infr WHERE latitude IS NULL OR longitude IS NULL GROUP BY establishment_address) combo"""
+ORACLES["severity_counts"] = chain(INFR) + """
+SELECT severity, CAST(COUNT(*) AS BIGINT) AS num_infractions FROM infr GROUP BY severity"""
+ORACLES["na_status_counts"] = chain(INFR) + """
+SELECT establishment_status, CAST(COUNT(*) AS BIGINT) AS num_rows FROM infr
+WHERE severity LIKE '%NA -%' GROUP BY establishment_status"""
+ORACLES["severity_status_counts"] = chain(INFR) + """
+SELECT severity, establishment_status, CAST(COUNT(*) AS BIGINT) AS num_infractions
+FROM infr GROUP BY severity, establishment_status"""
+ORACLES["type_summary"] = chain(INFR) + """
+SELECT establishmenttype, CAST(COUNT(DISTINCT inspection_id) AS BIGINT) AS num_inspections,
+       CAST(COUNT(infraction_details) AS BIGINT) AS num_infractions
+FROM infr WHERE severity NOT LIKE '%NA -' AND severity IS NOT NULL GROUP BY establishmenttype"""
+ORACLES["est_recount"] = chain(*SINGLE_DAY_CHAIN) + f"""
+SELECT {EST}, CAST(COUNT(inspection_id) AS BIGINT) AS num_inspection_ids,
+       CAST(COUNT(inspection_date) AS BIGINT) AS num_inspection_dates
+FROM one_day GROUP BY {EST}"""
+ORACLES["status_per_inspection"] = chain(*LABEL_CHAIN) + f"""
+SELECT {EST}, inspection_id, CAST(inspection_date AS VARCHAR) AS inspection_date,
+       CAST(COUNT(DISTINCT establishment_status) AS BIGINT) AS num_statuses
+FROM labelled GROUP BY {EST}, inspection_id, inspection_date"""
+ORACLES["null_counts"] = chain(INFR) + """
+UNPIVOT (SELECT """ + ", ".join(f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c}" for c in INFR_COLS) + """
+         FROM infr)
+ON COLUMNS(*) INTO NAME "column" VALUE num_missing"""
+
+
+def _profile_sql() -> str:
+    cols = [c for c, _ in LABELLED_TYPES]
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    pack = ", ".join(f"{c} := CAST({c} AS VARCHAR)" for c in cols)
+    aggs = ["CAST(COUNT(*) AS BIGINT) AS _n", f"min(CASE WHEN {complete} THEN struct_pack({pack}) END) AS _s"]
+    for i, c in enumerate(cols):
+        aggs.append(f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS _m{i}")
+        aggs.append(f"CAST(COUNT(DISTINCT {c}) AS BIGINT) AS _d{i}")
+    wide = "SELECT " + ",\n       ".join(aggs) + " FROM labelled"
+    parts = [f"SELECT '{c}' AS \"column\", '{t}' AS dtype, _m{i} AS num_missing, _n AS num, _d{i} AS nunique, "
+             f"_s.{c} AS sample_value FROM w" for i, (c, t) in enumerate(LABELLED_TYPES)]
+    return chain(*LABEL_CHAIN, f"w AS ({wide})") + "\nUNION ALL\n".join(parts)
+
+
+ORACLES["profile_table"] = _profile_sql()
+ORACLES["head_tail"] = chain(*LABEL_CHAIN) + _d(src="""(
+  (SELECT *, 'head' AS "end" FROM labelled
+   ORDER BY establishment_id ASC NULLS FIRST, inspection_id ASC NULLS FIRST, inspection_date ASC NULLS FIRST LIMIT 5)
+  UNION ALL
+  (SELECT *, 'tail' AS "end" FROM labelled
+   ORDER BY establishment_id DESC NULLS LAST, inspection_id DESC NULLS LAST, inspection_date DESC NULLS LAST LIMIT 5))""")
+ORACLES["histogram_bins"] = chain(INFR) + """
+, st AS (SELECT MIN(amount_fined) AS lo, MAX(amount_fined) AS hi FROM infr),
+b AS (SELECT CASE WHEN st.hi = st.lo THEN 0
+                  ELSE CAST(least(floor((amount_fined - st.lo) / ((st.hi - st.lo) / 10.0)), 9) AS INTEGER) END AS bin
+      FROM infr, st WHERE amount_fined IS NOT NULL)
+SELECT CAST(bin AS BIGINT) AS bin, ROUND(st.lo + bin * ((st.hi - st.lo) / 10.0), 6) AS bin_start,
+       ROUND(st.lo + (bin + 1) * ((st.hi - st.lo) / 10.0), 6) AS bin_end, CAST(COUNT(*) AS BIGINT) AS "count"
+FROM b, st GROUP BY bin, st.lo, st.hi"""
+ORACLES["expect_no_na"] = chain(*LABEL_CHAIN) + """
+SELECT 'no_na_severity' AS expectation, CAST(COUNT(*) AS BIGINT) AS num_rows,
+       CAST(COUNT(*) FILTER (WHERE num_na > 0) AS BIGINT) AS num_violations FROM labelled"""
+ORACLES["expect_recount"] = chain(*SINGLE_DAY_CHAIN) + f"""
+SELECT 'ids_equal_dates' AS expectation, CAST(COUNT(*) AS BIGINT) AS num_rows,
+       CAST(COUNT(*) FILTER (WHERE ni <> nd) AS BIGINT) AS num_violations
+FROM (SELECT COUNT(inspection_id) AS ni, COUNT(inspection_date) AS nd FROM one_day GROUP BY {EST}) r"""
+ORACLES["expect_single_status"] = chain(*LABEL_CHAIN) + f"""
+SELECT 'one_status_per_inspection' AS expectation, CAST(COUNT(*) AS BIGINT) AS num_rows,
+       CAST(COUNT(*) FILTER (WHERE ns <> 1) AS BIGINT) AS num_violations
+FROM (SELECT COUNT(DISTINCT establishment_status) AS ns FROM labelled
+      GROUP BY {EST}, inspection_id, inspection_date) r"""
