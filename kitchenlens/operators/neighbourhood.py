@@ -74,10 +74,12 @@ def population_as_of(inspections: DataFrame, locations_full: DataFrame,
     kept (the source's three filtered joins lose years outside its slices).
     """
     keys = EST + ["latitude", "longitude"]
-    right = locations_full.withColumn("_matched", F.lit(True))
-    j = inspections.join(right, [inspections[k].eqNullSafe(right[k]) for k in keys], "left")
-    j = j.select(*[inspections[k] for k in inspections.columns],
-                 *[right[c] for c in right.columns if c not in set(keys)])
+    # Right-side keys are renamed so the join stays unambiguous when both sides derive from the
+    # same inspections frame; coordinates match null-safely (NULL = NULL, as the source's merge).
+    right = (locations_full.withColumn("_matched", F.lit(True))
+             .withColumnsRenamed({k: f"_r_{k}" for k in keys}))
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    j = inspections.join(right, cond, "left").drop(*[f"_r_{k}" for k in keys])
     year = F.year("inspection_date")
     pop, census = None, None
     for lo, hi, col, cy in slices:

@@ -276,3 +276,185 @@ def q_k2(spark, sf_dir):
 @query("expect_single_status")
 def q_k3(spark, sf_dir):
     return qa.expect_single_status(ex.status_per_inspection(labelled(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------------------------
+# stage 3-4: coordinates, spatial join, neighbourhood facts
+# ---------------------------------------------------------------------------------------------
+
+from ..operators import features as ft  # noqa: E402
+from ..operators import geo  # noqa: E402
+from ..operators import neighbourhood as nb  # noqa: E402
+
+AREA_KEEP = ["AREA_NAME", "Shape__Area"]
+
+
+def areas(spark, sf_dir):
+    return geo.fix_area_names(fx.areas_raw(spark, sf_dir))
+
+
+def filled(spark, sf_dir):
+    return geo.fill_coordinates(labelled(spark, sf_dir), infractions(spark, sf_dir), fx.addressinfo(spark, sf_dir))
+
+
+def located(spark, sf_dir, inspections=None):
+    src = inspections if inspections is not None else filled(spark, sf_dir)
+    return geo.point_in_polygon(geo.unique_locations(src), areas(spark, sf_dir), keep=AREA_KEEP)
+
+
+def population(spark, sf_dir):
+    return nb.profile_transpose(fx.profile_wide(spark, sf_dir))
+
+
+def stats(spark, sf_dir, loc=None):
+    loc = loc if loc is not None else located(spark, sf_dir)
+    return nb.neighbourhood_stats(areas(spark, sf_dir), loc, population(spark, sf_dir))
+
+
+def with_population(spark, sf_dir):
+    f = filled(spark, sf_dir)
+    loc = located(spark, sf_dir, f)
+    full = nb.locations_with_stats(loc, stats(spark, sf_dir, loc))
+    return nb.population_as_of(f, full)
+
+
+def with_crime(spark, sf_dir):
+    pivot = nb.crime_daily_pivot(fx.crimes(spark, sf_dir))
+    return nb.crime_fill_by_year(nb.crime_join(with_population(spark, sf_dir), pivot))
+
+
+@query("coords_per_establishment")
+def q_a16(spark, sf_dir):
+    return geo.coords_per_establishment(infractions(spark, sf_dir))
+
+
+@query("title_address")
+def q_x1(spark, sf_dir):
+    return geo.title_address(ex.addresses_missing_coords(infractions(spark, sf_dir)))
+
+
+@query("addresses_to_geocode")
+def q_j3(spark, sf_dir):
+    missing = geo.addresses_needing_geocode(labelled(spark, sf_dir), infractions(spark, sf_dir))
+    return geo.addresses_to_geocode(missing, fx.addressinfo(spark, sf_dir))
+
+
+@query("incomplete_addresses")
+def q_f17(spark, sf_dir):
+    return geo.incomplete_addresses(fx.addressinfo(spark, sf_dir))
+
+
+@query("retry_addresses")
+def q_f18(spark, sf_dir):
+    return geo.retry_addresses(fx.addressinfo(spark, sf_dir))
+
+
+@query("fill_coordinates")
+def q_j2(spark, sf_dir):
+    return filled(spark, sf_dir)
+
+
+@query("point_in_polygon")
+def q_j4(spark, sf_dir):
+    return located(spark, sf_dir)
+
+
+@query("fix_area_names")
+def q_s16(spark, sf_dir):
+    return areas(spark, sf_dir).drop("geometry")
+
+
+@query("area_name_match")
+def q_f19(spark, sf_dir):
+    return geo.area_name_match(areas(spark, sf_dir)).drop("geometry")
+
+
+@query("establishments_per_area")
+def q_a19(spark, sf_dir):
+    return nb.establishments_per_area(located(spark, sf_dir))
+
+
+@query("profile_transpose")
+def q_a20(spark, sf_dir):
+    return population(spark, sf_dir)
+
+
+@query("neighbourhood_stats")
+def q_j5(spark, sf_dir):
+    return stats(spark, sf_dir)
+
+
+@query("population_as_of")
+def q_j7(spark, sf_dir):
+    return with_population(spark, sf_dir)
+
+
+@query("crime_filter")
+def q_f10(spark, sf_dir):
+    return nb.crime_filter(fx.crimes(spark, sf_dir))
+
+
+@query("crime_daily")
+def q_a17(spark, sf_dir):
+    return nb.crime_daily(fx.crimes(spark, sf_dir))
+
+
+@query("crime_daily_pivot")
+def q_a18(spark, sf_dir):
+    return nb.crime_daily_pivot(fx.crimes(spark, sf_dir))
+
+
+@query("crime_daily_pivot_sum")
+def q_a18s(spark, sf_dir):
+    return nb.crime_daily_pivot(fx.crimes(spark, sf_dir), mode="sum")
+
+
+@query("crime_join")
+def q_j8(spark, sf_dir):
+    return nb.crime_join(with_population(spark, sf_dir), nb.crime_daily_pivot(fx.crimes(spark, sf_dir)))
+
+
+@query("crime_fill_by_year")
+def q_f11(spark, sf_dir):
+    return with_crime(spark, sf_dir)
+
+
+@query("spot_check_sample")
+def q_l3(spark, sf_dir):
+    return nb.spot_check_sample(located(spark, sf_dir), insp.EST)
+
+
+# ---------------------------------------------------------------------------------------------
+# stage 7: history features
+# ---------------------------------------------------------------------------------------------
+
+ACTION_COLS = [c for c in insp.pivot_column_names(fx.FIXTURE_ACTIONS, []) ]
+OUTCOME_COLS = [c for c in insp.pivot_column_names([], fx.FIXTURE_OUTCOMES)]
+FEATURE_KEYS = insp.EST + ["inspection_id", "inspection_date"]
+
+
+def featured(spark, sf_dir, **kw):
+    return ft.history_features(labelled(spark, sf_dir), ACTION_COLS, OUTCOME_COLS, **kw)
+
+
+def _feature_query(name: str, cols, **kw):
+    def fn(spark, sf_dir):
+        return featured(spark, sf_dir, **kw).select(*FEATURE_KEYS, *cols(ACTION_COLS, OUTCOME_COLS))
+    fn.__doc__ = f"Features subset {name}."
+    query(name)(fn)
+
+
+_PREV = lambda a, o: list(ft.pivot_prev_names(a, o).values())
+_feature_query("history_features", ft.feature_columns)
+_feature_query("feat_gap", lambda a, o: ["time_since_last_infrac", "days_since_last_inspection"])
+_feature_query("feat_last_status", lambda a, o: ["last_pass", "last_cond_pass"])
+_feature_query("feat_prev_counts", lambda a, o: [f"num_{t}_prev" for t in ft.INFRACTION_TYPES] + _PREV(a, o))
+_feature_query("feat_cumulative", lambda a, o: ["cumulative_failures"] + [f"cumulative_{t}" for t in ft.INFRACTION_TYPES])
+_feature_query("feat_cumulative_prev", lambda a, o: [f"cumulative_{p}" for p in _PREV(a, o)])
+_feature_query("feat_ever", lambda a, o: ["ever_failed"] + [f"ever_{t}" for t in ft.INFRACTION_TYPES])
+_feature_query("feat_inspection_index", lambda a, o: ["cumulative_inspections"])
+_feature_query("feat_proportions", lambda a, o: ["proportion_past_failures"]
+               + [f"proportion_past_{t}" for t in ft.INFRACTION_TYPES])
+_feature_query("feat_dates", lambda a, o: [c for c in ft.feature_columns(a, o) if c.startswith(("last_inspection_", "inspection_"))])
+_feature_query("feat_cumulative_exclusive", lambda a, o: ["cumulative_failures"] + [f"cumulative_{t}" for t in ft.INFRACTION_TYPES]
+               + ["ever_failed"] + [f"ever_{t}" for t in ft.INFRACTION_TYPES], exclude_current=True)

@@ -286,3 +286,137 @@ SELECT 'one_status_per_inspection' AS expectation, CAST(COUNT(*) AS BIGINT) AS n
        CAST(COUNT(*) FILTER (WHERE ns <> 1) AS BIGINT) AS num_violations
 FROM (SELECT COUNT(DISTINCT establishment_status) AS ns FROM labelled
       GROUP BY {EST}, inspection_id, inspection_date) r"""
+
+
+# ---- stage 3-4 ----------------------------------------------------------------------------------
+
+GEO_VIEWS = ("infractions", "addressinfo", "area_names", "profile_long", "crimes")
+AREA_NO = fx.area_of_point_sql("l.latitude", "l.longitude")
+CRIME_TYPES_SQL = ["Assault", "Auto Theft", "Break and Enter", "Robbery", "Theft Over"]
+
+FILLED = f"""
+coords AS (SELECT {EST}, MAX(latitude) AS latitude, MAX(longitude) AS longitude FROM infr GROUP BY {EST}),
+geo AS (SELECT upper(replace(address, ', Toronto, ON, Canada', '')) AS establishment_address,
+               MAX(latitude) AS latitude_geo, MAX(longitude) AS longitude_geo
+        FROM addressinfo GROUP BY 1),
+filled AS (
+    SELECT lb.*, COALESCE(c.latitude, g.latitude_geo) AS latitude, COALESCE(c.longitude, g.longitude_geo) AS longitude
+    FROM labelled lb
+    LEFT JOIN coords c ON lb.establishment_id = c.establishment_id AND lb.establishmenttype = c.establishmenttype
+                      AND lb.establishment_address = c.establishment_address
+    LEFT JOIN geo g ON lb.establishment_address = g.establishment_address
+),
+locs AS (SELECT {EST}, MAX(latitude) AS latitude, MAX(longitude) AS longitude FROM filled GROUP BY {EST}),
+located AS (
+    SELECT l.*, a.AREA_NAME, a.Shape__Area FROM locs l JOIN area_names a ON a.area_no = {AREA_NO}
+),
+pop AS (
+    SELECT area_name || ' (' || neighbourhood_number || ')' AS AREA_NAME,
+           TRY_CAST(replace(pop_2011, ',', '') AS BIGINT) AS pop_2011,
+           TRY_CAST(replace(pop_2016, ',', '') AS BIGINT) AS pop_2016
+    FROM profile_long
+),
+stats AS (
+    SELECT a.AREA_NAME, a.Shape__Area AS neigh_shape_area, a.Shape__Length AS neigh_shape_length,
+           CAST(NULL AS VARCHAR) AS neigh_classification, CAST(NULL AS VARCHAR) AS neigh_classification_code,
+           e.n AS neigh_establishments_inspected, p.pop_2011 AS neigh_pop_2011, p.pop_2016 AS neigh_pop_2016
+    FROM area_names a
+    LEFT JOIN (SELECT AREA_NAME, CAST(COUNT(*) AS BIGINT) AS n FROM located GROUP BY AREA_NAME) e ON a.AREA_NAME = e.AREA_NAME
+    LEFT JOIN pop p ON a.AREA_NAME = p.AREA_NAME
+),
+locfull AS (SELECT l.*, s.* EXCLUDE (AREA_NAME) FROM located l LEFT JOIN stats s ON l.AREA_NAME = s.AREA_NAME),
+withpop AS (
+    SELECT f.*, lf.AREA_NAME, lf.Shape__Area, lf.neigh_shape_area, lf.neigh_shape_length, lf.neigh_classification,
+           lf.neigh_classification_code, lf.neigh_establishments_inspected,
+           CASE WHEN year(f.inspection_date) BETWEEN 1995 AND 1996 THEN CAST(NULL AS DOUBLE)
+                WHEN year(f.inspection_date) BETWEEN 1997 AND 1999 THEN CAST(lf.neigh_pop_2011 AS DOUBLE)
+                WHEN year(f.inspection_date) >= 2000 THEN CAST(lf.neigh_pop_2016 AS DOUBLE) END AS neigh_pop,
+           CASE WHEN lf.establishment_id IS NOT NULL THEN
+                CASE WHEN year(f.inspection_date) BETWEEN 1995 AND 1996 THEN 2006
+                     WHEN year(f.inspection_date) BETWEEN 1997 AND 1999 THEN 2011
+                     WHEN year(f.inspection_date) >= 2000 THEN 2016 END END AS pop_census_year
+    FROM filled f LEFT JOIN locfull lf
+      ON f.establishment_id = lf.establishment_id AND f.establishmenttype = lf.establishmenttype
+     AND f.establishment_address = lf.establishment_address
+     AND f.latitude IS NOT DISTINCT FROM lf.latitude AND f.longitude IS NOT DISTINCT FROM lf.longitude
+)"""
+
+CRIME = """
+cf AS (SELECT * FROM crimes WHERE premises_t IN ('Outside', 'Commercial', 'Other')
+       AND NOT COALESCE(offence IN ('Robbery - Vehicle Jacking', 'Theft From Motor Vehicle Over', 'Robbery - Taxi',
+                                     'Robbery - Home Invasion', 'Robbery - Financial Institute',
+                                     'B&E - M/Veh To Steal Firearm'), false)),
+cd AS (SELECT Neighbourh AS AREA_NAME, occurrence AS inspection_date, MCI, CAST(COUNT(Index_) AS BIGINT) AS crimes
+       FROM cf GROUP BY 1, 2, 3)"""
+
+
+def _crime_pivot(mode: str) -> str:
+    agg = "COUNT(crimes)" if mode == "presence" else "SUM(crimes)"
+    cols = ",\n           ".join(f"CAST(COALESCE({agg} FILTER (WHERE MCI = '{t}'), 0) AS BIGINT) AS \"neigh_{t}\""
+                                  for t in CRIME_TYPES_SQL)
+    return f"pv AS (SELECT AREA_NAME, inspection_date,\n           {cols}\n    FROM cd GROUP BY AREA_NAME, inspection_date)"
+
+
+CRIME_COLS = ", ".join(f'pv."neigh_{t}"' for t in CRIME_TYPES_SQL)
+CRIMEJOIN = f"""
+cj AS (SELECT w.*, {CRIME_COLS} FROM withpop w LEFT JOIN pv
+       ON w.AREA_NAME = pv.AREA_NAME AND w.inspection_date = pv.inspection_date)"""
+CRIMEFILL = "cfill AS (SELECT * REPLACE (" + ", ".join(
+    f'CASE WHEN year(inspection_date) >= 1998 THEN COALESCE("neigh_{t}", 0) ELSE "neigh_{t}" END AS "neigh_{t}"'
+    for t in CRIME_TYPES_SQL) + ") FROM cj)"
+
+GEO_CHAIN = LABEL_CHAIN + (FILLED,)
+LOC_DOUBLES = ("latitude", "longitude", "Shape__Area")
+POP_DOUBLES = LOC_DOUBLES + ("neigh_shape_area", "neigh_shape_length", "neigh_pop")
+
+
+def gchain(*parts: str) -> str:
+    return chain(*parts, views=GEO_VIEWS)
+
+
+def _title_sql(col: str) -> str:
+    """Python-style title case for the fixture's ASCII text: upper after a non-letter."""
+    return (f"list_aggr(list_transform(range(1, length({col}) + 1), lambda i: CASE WHEN i = 1 OR NOT regexp_matches("
+            f"substr({col}, i - 1, 1), '[A-Za-z]') THEN upper(substr({col}, i, 1)) ELSE lower(substr({col}, i, 1)) END),"
+            f" 'string_agg', '')")
+
+
+ORACLES["coords_per_establishment"] = chain(INFR) + f"""
+SELECT {EST}, ROUND(MAX(latitude), 6) AS latitude, ROUND(MAX(longitude), 6) AS longitude FROM infr GROUP BY {EST}"""
+ORACLES["title_address"] = chain(INFR) + f"""
+SELECT DISTINCT {_title_sql('establishment_address')} || ', Toronto, ON, Canada' AS address
+FROM (SELECT establishment_address FROM infr WHERE latitude IS NULL OR longitude IS NULL GROUP BY establishment_address) m"""
+ORACLES["addresses_to_geocode"] = gchain(*LABEL_CHAIN) + f"""
+, coords AS (SELECT {EST}, MAX(latitude) AS latitude, MAX(longitude) AS longitude FROM infr GROUP BY {EST}),
+miss AS (SELECT lb.establishment_address FROM labelled lb
+         LEFT JOIN coords c ON lb.establishment_id = c.establishment_id AND lb.establishmenttype = c.establishmenttype
+                           AND lb.establishment_address = c.establishment_address
+         WHERE c.latitude IS NULL OR c.longitude IS NULL GROUP BY lb.establishment_address),
+t AS (SELECT DISTINCT {_title_sql('establishment_address')} || ', Toronto, ON, Canada' AS address FROM miss)
+SELECT address FROM t WHERE address NOT IN (SELECT address FROM addressinfo WHERE address IS NOT NULL)"""
+ORACLES["incomplete_addresses"] = gchain(INFR) + _d(src="""(SELECT * FROM addressinfo WHERE postalcode IS NULL
+    OR locality IS NULL OR formattedaddress IS NULL OR latitude IS NULL OR longitude IS NULL)""", dates=(),
+    doubles=("latitude", "longitude"))
+ORACLES["retry_addresses"] = gchain(INFR) + _d(src="""(SELECT * FROM addressinfo WHERE address NOT IN (
+    SELECT address FROM addressinfo WHERE postalcode IS NULL OR locality IS NULL OR formattedaddress IS NULL
+    OR latitude IS NULL OR longitude IS NULL))""", dates=(), doubles=("latitude", "longitude"))
+ORACLES["fill_coordinates"] = gchain(*GEO_CHAIN) + _d(src="filled", doubles=("latitude", "longitude"))
+ORACLES["point_in_polygon"] = gchain(*GEO_CHAIN) + _d(src="located", dates=(), doubles=LOC_DOUBLES)
+ORACLES["fix_area_names"] = gchain(INFR) + """
+SELECT AREA_NAME, ROUND(Shape__Area, 6) AS Shape__Area, ROUND(Shape__Length, 6) AS Shape__Length,
+       CAST(NULL AS VARCHAR) AS CLASSIFICATION, CAST(NULL AS VARCHAR) AS CLASSIFICATION_CODE FROM area_names"""
+ORACLES["area_name_match"] = ORACLES["fix_area_names"] + """
+WHERE AREA_NAME LIKE '%James Town%' OR AREA_NAME LIKE '%Weston-%' OR AREA_NAME LIKE '%Cabbage%'"""
+ORACLES["establishments_per_area"] = gchain(*GEO_CHAIN) + """
+SELECT AREA_NAME, CAST(COUNT(*) AS BIGINT) AS establishments_inspected FROM located GROUP BY AREA_NAME"""
+ORACLES["profile_transpose"] = gchain(*GEO_CHAIN) + "SELECT * FROM pop"
+ORACLES["neighbourhood_stats"] = gchain(*GEO_CHAIN) + _d(
+    src="stats", dates=(), doubles=("neigh_shape_area", "neigh_shape_length"))
+ORACLES["population_as_of"] = gchain(*GEO_CHAIN) + _d(src="withpop", doubles=POP_DOUBLES)
+ORACLES["crime_filter"] = gchain(CRIME) + "SELECT * REPLACE (CAST(occurrence AS VARCHAR) AS occurrence) FROM cf"
+ORACLES["crime_daily"] = gchain(CRIME) + _d(src="cd")
+ORACLES["crime_daily_pivot"] = gchain(CRIME, _crime_pivot("presence")) + _d(src="pv")
+ORACLES["crime_daily_pivot_sum"] = gchain(CRIME, _crime_pivot("sum")) + _d(src="pv")
+ORACLES["crime_join"] = gchain(*GEO_CHAIN, CRIME, _crime_pivot("presence"), CRIMEJOIN) + _d(src="cj", doubles=POP_DOUBLES)
+ORACLES["crime_fill_by_year"] = gchain(*GEO_CHAIN, CRIME, _crime_pivot("presence"), CRIMEJOIN, CRIMEFILL) + _d(
+    src="cfill", doubles=POP_DOUBLES)
