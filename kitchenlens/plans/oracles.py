@@ -420,3 +420,93 @@ ORACLES["crime_daily_pivot_sum"] = gchain(CRIME, _crime_pivot("sum")) + _d(src="
 ORACLES["crime_join"] = gchain(*GEO_CHAIN, CRIME, _crime_pivot("presence"), CRIMEJOIN) + _d(src="cj", doubles=POP_DOUBLES)
 ORACLES["crime_fill_by_year"] = gchain(*GEO_CHAIN, CRIME, _crime_pivot("presence"), CRIMEJOIN, CRIMEFILL) + _d(
     src="cfill", doubles=POP_DOUBLES)
+
+
+# ---- stage 7: history features ---------------------------------------------------------------------
+
+ACTION_COLS = [("action_null" if v is None else sanitise_action(v)) for v in fx.FIXTURE_ACTIONS]
+OUTCOME_COLS = [("court_outcome_null" if v is None else sanitise_outcome(v)) for v in fx.FIXTURE_OUTCOMES]
+
+
+def _prev_name(c: str, kind: str) -> str:
+    return "num_" + c.replace("num_", f"{kind}_", 1) + "_prev" if c.startswith("num_") else f"num_{c}_prev"
+
+
+PREV = {c: _prev_name(c, "action") for c in ACTION_COLS}
+PREV.update({c: _prev_name(c, "court_outcome") for c in OUTCOME_COLS})
+W = f"PARTITION BY {EST} ORDER BY inspection_date, inspection_id, establishment_status"
+TYPES3 = ["minor", "significant", "crucial"]
+
+
+def _features_sql(exclude_current: bool = False) -> str:
+    frame = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING" if exclude_current else "ROWS UNBOUNDED PRECEDING"
+    lvl1 = [f"datediff('day', lag(inspection_date) OVER (w), inspection_date) AS time_since_last_infrac",
+            "COALESCE(lag(establishment_status) OVER (w) = 'Pass', false) AS last_pass",
+            "COALESCE(lag(establishment_status) OVER (w) = 'Conditional Pass', false) AS last_cond_pass",
+            "lag(inspection_date) OVER (w) AS last_date",
+            "CAST(row_number() OVER (w) - 1 AS BIGINT) AS cumulative_inspections",
+            f"CAST(SUM(CASE WHEN establishment_status = 'Closed' THEN 1 ELSE 0 END) OVER (w {frame}) AS BIGINT)"
+            " AS cumulative_failures"]
+    lvl1 += [f"lag(num_{t}) OVER (w) AS num_{t}_prev" for t in TYPES3]
+    lvl1 += [f"CAST(SUM(num_{t}) OVER (w {frame}) AS BIGINT) AS cumulative_{t}" for t in TYPES3]
+    lvl1 += [f"lag({src}) OVER (w) AS {name}" for src, name in PREV.items()]
+    lvl2 = [f"CAST(SUM({name}) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumulative_{name}"
+            for name in PREV.values()]
+    lvl3 = ["COALESCE(cumulative_failures, 0) <> 0 AS ever_failed",
+            "CASE WHEN cumulative_inspections = 0 THEN NULL ELSE cumulative_failures / cumulative_inspections END"
+            " AS proportion_past_failures",
+            "datediff('day', inspection_date, last_date) AS days_since_last_inspection"]
+    for t in TYPES3:
+        lvl3.append(f"COALESCE(cumulative_{t}, 0) > 0 AS ever_{t}")
+        lvl3.append(f"CASE WHEN cumulative_inspections = 0 THEN NULL ELSE cumulative_{t} / cumulative_inspections END"
+                    f" AS proportion_past_{t}")
+    for prefix, c in (("last_inspection", "last_date"), ("inspection", "inspection_date")):
+        lvl3 += [f"month({c}) AS {prefix}_month", f"isodow({c}) - 1 AS {prefix}_weekday",
+                 f"weekofyear({c}) AS {prefix}_weekofyear", f"quarter({c}) AS {prefix}_quarter",
+                 f"year({c}) AS {prefix}_year"]
+    return (f"f1 AS (SELECT *, {', '.join(lvl1)} FROM labelled WINDOW w AS ({W})),\n"
+            f"f2 AS (SELECT *, {', '.join(lvl2)} FROM f1 WINDOW w AS ({W})),\n"
+            f"feats AS (SELECT *, {', '.join(lvl3)} FROM f2)")
+
+
+def _feat_cols(name: str) -> list[str]:
+    prev = list(PREV.values())
+    groups = {
+        "feat_gap": ["time_since_last_infrac", "days_since_last_inspection"],
+        "feat_last_status": ["last_pass", "last_cond_pass"],
+        "feat_prev_counts": [f"num_{t}_prev" for t in TYPES3] + prev,
+        "feat_cumulative": ["cumulative_failures"] + [f"cumulative_{t}" for t in TYPES3],
+        "feat_cumulative_prev": [f"cumulative_{p}" for p in prev],
+        "feat_ever": ["ever_failed"] + [f"ever_{t}" for t in TYPES3],
+        "feat_inspection_index": ["cumulative_inspections"],
+        "feat_proportions": ["proportion_past_failures"] + [f"proportion_past_{t}" for t in TYPES3],
+        "feat_dates": [f"{p}_{k}" for p in ("last_inspection", "inspection")
+                       for k in ("month", "weekday", "weekofyear", "quarter", "year")],
+    }
+    groups["feat_cumulative_exclusive"] = groups["feat_cumulative"] + groups["feat_ever"]
+    if name == "history_features":
+        order = ["feat_gap", "feat_last_status", "feat_prev_counts", "feat_cumulative", "feat_cumulative_prev",
+                 "feat_ever", "feat_inspection_index", "feat_proportions", "feat_dates"]
+        return [c for g in order for c in groups[g]]
+    return groups[name]
+
+
+def _feat_select(name: str) -> str:
+    cols = _feat_cols(name)
+    sel = []
+    for c in cols:
+        if c.startswith("proportion_past_"):
+            sel.append(f"ROUND({c}, 6) AS {c}")
+        elif c in ("time_since_last_infrac", "days_since_last_inspection") or c.endswith(
+                ("_month", "_weekday", "_weekofyear", "_quarter", "_year")):
+            sel.append(f"CAST({c} AS BIGINT) AS {c}")
+        else:
+            sel.append(c)
+    return (f"SELECT {EST}, inspection_id, CAST(inspection_date AS VARCHAR) AS inspection_date, "
+            + ", ".join(sel) + " FROM feats")
+
+
+for _n in ["history_features", "feat_gap", "feat_last_status", "feat_prev_counts", "feat_cumulative",
+           "feat_cumulative_prev", "feat_ever", "feat_inspection_index", "feat_proportions", "feat_dates"]:
+    ORACLES[_n] = chain(*LABEL_CHAIN, _features_sql()) + _feat_select(_n)
+ORACLES["feat_cumulative_exclusive"] = chain(*LABEL_CHAIN, _features_sql(True)) + _feat_select("feat_cumulative_exclusive")
