@@ -458,3 +458,162 @@ _feature_query("feat_proportions", lambda a, o: ["proportion_past_failures"]
 _feature_query("feat_dates", lambda a, o: [c for c in ft.feature_columns(a, o) if c.startswith(("last_inspection_", "inspection_"))])
 _feature_query("feat_cumulative_exclusive", lambda a, o: ["cumulative_failures"] + [f"cumulative_{t}" for t in ft.INFRACTION_TYPES]
                + ["ever_failed"] + [f"ever_{t}" for t in ft.INFRACTION_TYPES], exclude_current=True)
+
+
+# ---------------------------------------------------------------------------------------------
+# stage 8: model table, split, folds, evaluation, models
+# ---------------------------------------------------------------------------------------------
+
+from ..operators import evaluation as ev  # noqa: E402
+from ..operators import mlprep as mp  # noqa: E402
+from ..operators import models as md  # noqa: E402
+
+COUNT_FEATURES = ["num_minor_prev", "num_significant_prev", "num_crucial_prev", "cumulative_failures",
+                  "cumulative_minor", "cumulative_significant", "cumulative_crucial", "cumulative_inspections"]
+
+
+def full_table(spark, sf_dir):
+    return ft.history_features(with_crime(spark, sf_dir), ACTION_COLS, OUTCOME_COLS)
+
+
+def ml_table(spark, sf_dir):
+    return mp.ml_features(full_table(spark, sf_dir))
+
+
+def split_table(spark, sf_dir):
+    return mp.time_split(ml_table(spark, sf_dir))
+
+
+def train_rows(spark, sf_dir):
+    return split_table(spark, sf_dir).where("split = 'train'")
+
+
+def test_rows(spark, sf_dir):
+    return split_table(spark, sf_dir).where("split = 'test'")
+
+
+def fixture_predictions(spark, sf_dir):
+    """Predictions derived from the model table (for checking the metric algebra exactly)."""
+    from pyspark.sql import functions as F
+    t = ml_table(spark, sf_dir)
+    y = F.col("is_infraction")
+    return t.select(*mp.ROW_KEY, "AREA_NAME", "inspection_weekday", y.alias("y_true"),
+                    F.when(F.col("inspection_id") % 5 == 0, 1 - y).otherwise(y).alias("y_pred"),
+                    ((F.col("inspection_id") % 1000) / F.lit(1000.0)).alias("probability"),
+                    F.lit(1).alias("y_always_infrac"))
+
+
+@query("ml_features")
+def q_m1(spark, sf_dir):
+    return ml_table(spark, sf_dir)
+
+
+@query("ml_null_policy")
+def q_f12(spark, sf_dir):
+    return ex.null_counts(ml_table(spark, sf_dir))
+
+
+@query("time_split")
+def q_m2(spark, sf_dir):
+    return split_table(spark, sf_dir)
+
+
+@query("time_split_report")
+def q_m2r(spark, sf_dir):
+    return mp.time_split_report(split_table(spark, sf_dir))
+
+
+@query("recently_inspected")
+def q_a21(spark, sf_dir):
+    return mp.recently_inspected(train_rows(spark, sf_dir))
+
+
+@query("operating_test_rows")
+def q_m3(spark, sf_dir):
+    return mp.operating_test_rows(test_rows(spark, sf_dir), train_rows(spark, sf_dir))
+
+
+@query("operating_test_rows_strict")
+def q_m3s(spark, sf_dir):
+    return mp.operating_test_rows(test_rows(spark, sf_dir), train_rows(spark, sf_dir), operating_only=True)
+
+
+@query("cv_folds")
+def q_m4(spark, sf_dir):
+    return mp.cv_folds(train_rows(spark, sf_dir))
+
+
+@query("class_weights")
+def q_m12(spark, sf_dir):
+    return mp.class_weights(train_rows(spark, sf_dir))
+
+
+@query("gt_zero_flags")
+def q_f15(spark, sf_dir):
+    return mp.gt_zero_flags(train_rows(spark, sf_dir), COUNT_FEATURES)
+
+
+@query("top5_values")
+def q_a22(spark, sf_dir):
+    return ex.top_values(train_rows(spark, sf_dir), COUNT_FEATURES, 5)
+
+
+@query("standardise")
+def q_m7(spark, sf_dir):
+    return md.standardise(train_rows(spark, sf_dir), mp.NUMERIC_FEATURES)
+
+
+@query("baseline_constant")
+def q_m13c(spark, sf_dir):
+    return mp.baseline_predictions(test_rows(spark, sf_dir)).drop("y_guess")
+
+
+@query("baseline_guess")
+def q_m13g(spark, sf_dir):
+    """Rows-only: the seeded hash differs between engines."""
+    return mp.baseline_predictions(test_rows(spark, sf_dir))
+
+
+@query("confusion_matrix")
+def q_e1(spark, sf_dir):
+    return ev.confusion_matrix(fixture_predictions(spark, sf_dir), ["y_pred", "y_always_infrac"])
+
+
+@query("classification_report")
+def q_e2(spark, sf_dir):
+    return ev.classification_report(ev.confusion_matrix(fixture_predictions(spark, sf_dir),
+                                                        ["y_pred", "y_always_infrac"]))
+
+
+@query("metrics_long")
+def q_e3(spark, sf_dir):
+    rep = ev.classification_report(ev.confusion_matrix(fixture_predictions(spark, sf_dir),
+                                                       ["y_pred", "y_always_infrac"]))
+    return ev.metrics_long(rep, "test")
+
+
+@query("weekday_error_share")
+def q_e5(spark, sf_dir):
+    return ev.weekday_error_share(fixture_predictions(spark, sf_dir))
+
+
+@query("area_error_share")
+def q_e6(spark, sf_dir):
+    return ev.area_error_share(fixture_predictions(spark, sf_dir))
+
+
+@query("area_error_top15")
+def q_e6t(spark, sf_dir):
+    return ev.area_error_top(ev.area_error_share(fixture_predictions(spark, sf_dir)), 15)
+
+
+@query("inspection_priority")
+def q_m17(spark, sf_dir):
+    return mp.inspection_priority(fixture_predictions(spark, sf_dir))
+
+
+@query("error_context")
+def q_j10(spark, sf_dir):
+    """Predictions ⟕ context columns of the full table on the row key."""
+    ctx = full_table(spark, sf_dir).select(*mp.ROW_KEY, "latitude", "longitude", "neigh_pop")
+    return fixture_predictions(spark, sf_dir).join(ctx, mp.ROW_KEY, "left")

@@ -438,7 +438,7 @@ W = f"PARTITION BY {EST} ORDER BY inspection_date, inspection_id, establishment_
 TYPES3 = ["minor", "significant", "crucial"]
 
 
-def _features_sql(exclude_current: bool = False) -> str:
+def _features_sql(exclude_current: bool = False, src: str = "labelled") -> str:
     frame = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING" if exclude_current else "ROWS UNBOUNDED PRECEDING"
     lvl1 = [f"datediff('day', lag(inspection_date) OVER (w), inspection_date) AS time_since_last_infrac",
             "COALESCE(lag(establishment_status) OVER (w) = 'Pass', false) AS last_pass",
@@ -464,7 +464,7 @@ def _features_sql(exclude_current: bool = False) -> str:
         lvl3 += [f"month({c}) AS {prefix}_month", f"isodow({c}) - 1 AS {prefix}_weekday",
                  f"weekofyear({c}) AS {prefix}_weekofyear", f"quarter({c}) AS {prefix}_quarter",
                  f"year({c}) AS {prefix}_year"]
-    return (f"f1 AS (SELECT *, {', '.join(lvl1)} FROM labelled WINDOW w AS ({W})),\n"
+    return (f"f1 AS (SELECT *, {', '.join(lvl1)} FROM {src} WINDOW w AS ({W})),\n"
             f"f2 AS (SELECT *, {', '.join(lvl2)} FROM f1 WINDOW w AS ({W})),\n"
             f"feats AS (SELECT *, {', '.join(lvl3)} FROM f2)")
 
@@ -510,3 +510,178 @@ for _n in ["history_features", "feat_gap", "feat_last_status", "feat_prev_counts
            "feat_cumulative_prev", "feat_ever", "feat_inspection_index", "feat_proportions", "feat_dates"]:
     ORACLES[_n] = chain(*LABEL_CHAIN, _features_sql()) + _feat_select(_n)
 ORACLES["feat_cumulative_exclusive"] = chain(*LABEL_CHAIN, _features_sql(True)) + _feat_select("feat_cumulative_exclusive")
+
+
+# ---- stage 8: model table, split, evaluation ---------------------------------------------------------
+
+MODEL_FEATURES = ["AREA_NAME", "Shape__Area", "neigh_shape_length", "time_since_last_infrac", "last_pass",
+                  "last_cond_pass", "num_minor_prev", "num_significant_prev", "num_crucial_prev",
+                  "cumulative_failures", "cumulative_minor", "cumulative_significant", "cumulative_crucial",
+                  "ever_failed", "ever_minor", "ever_significant", "ever_crucial", "cumulative_inspections",
+                  "days_since_last_inspection", "last_inspection_month", "last_inspection_weekday",
+                  "last_inspection_weekofyear", "last_inspection_quarter", "last_inspection_year",
+                  "inspection_month", "inspection_weekday", "inspection_weekofyear", "inspection_quarter",
+                  "inspection_year"]
+BOOL_FEATURES = {"last_pass", "last_cond_pass", "ever_failed", "ever_minor", "ever_significant", "ever_crucial"}
+INT_FEATURES = {"time_since_last_infrac", "days_since_last_inspection"} | {
+    c for c in MODEL_FEATURES if c.endswith(("_month", "_weekday", "_weekofyear", "_quarter", "_year"))}
+COUNT_FEATURES = ["num_minor_prev", "num_significant_prev", "num_crucial_prev", "cumulative_failures",
+                  "cumulative_minor", "cumulative_significant", "cumulative_crucial", "cumulative_inspections"]
+NUMERIC_FEATURES = ["Shape__Area", "neigh_shape_length", "time_since_last_infrac", "days_since_last_inspection"]
+
+
+def _ml_select() -> str:
+    sel = []
+    for c in MODEL_FEATURES:
+        if c == "AREA_NAME":
+            sel.append(c)
+        elif c in BOOL_FEATURES:
+            sel.append(f"COALESCE({c}, false) AS {c}")
+        elif c in ("Shape__Area", "neigh_shape_length"):
+            sel.append(f"COALESCE({c}, 0) AS {c}")
+        elif c in INT_FEATURES:
+            sel.append(f"CAST(COALESCE({c}, 0) AS BIGINT) AS {c}")
+        else:
+            sel.append(f"COALESCE({c}, 0) AS {c}")
+    return (f"ml AS (SELECT {EST}, inspection_id, inspection_date, {', '.join(sel)}, is_infraction FROM feats "
+            "WHERE AREA_NAME IS NOT NULL)")
+
+
+ML_CHAIN = GEO_CHAIN + (CRIME, _crime_pivot("presence"), CRIMEJOIN, CRIMEFILL, _features_sql(src="cfill"), _ml_select())
+ML_DOUBLES = ("Shape__Area", "neigh_shape_length")
+SPLIT = """
+mx AS (SELECT MAX(inspection_date) AS d FROM ml),
+split AS (SELECT ml.*, CASE WHEN ml.inspection_date >= mx.d - INTERVAL 60 DAY THEN 'test'
+                            WHEN ml.inspection_date <= mx.d - INTERVAL 61 DAY THEN 'train' END AS split
+          FROM ml, mx),
+train AS (SELECT * FROM split WHERE split = 'train'),
+test AS (SELECT * FROM split WHERE split = 'test')"""
+SPLIT_CHAIN = ML_CHAIN + (SPLIT,)
+PRED = """
+pred AS (SELECT establishment_id, establishmenttype, establishment_address, inspection_id, inspection_date, AREA_NAME,
+                inspection_weekday, is_infraction AS y_true,
+                CASE WHEN inspection_id % 5 = 0 THEN 1 - is_infraction ELSE is_infraction END AS y_pred,
+                (inspection_id % 1000) / 1000.0 AS probability, 1 AS y_always_infrac
+         FROM ml)"""
+PRED_CHAIN = ML_CHAIN + (PRED,)
+
+
+def _cm() -> str:
+    parts = []
+    for s in ("y_pred", "y_always_infrac"):
+        parts.append(f"""SELECT '{s}' AS strategy,
+       CAST(SUM(CASE WHEN y_true = 0 AND {s} = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+       CAST(SUM(CASE WHEN y_true = 0 AND {s} = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+       CAST(SUM(CASE WHEN y_true = 1 AND {s} = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+       CAST(SUM(CASE WHEN y_true = 1 AND {s} = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp FROM pred""")
+    return "cm AS (" + "\nUNION ALL\n".join(parts) + ")"
+
+
+def _sd(a: str, b: str) -> str:
+    return f"COALESCE(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0), 0.0)"
+
+
+REPORT = f"""
+cmx AS (SELECT *, {_sd('tp', 'tp + fp')} AS p1, {_sd('tp', 'tp + fn')} AS r1,
+               {_sd('tn', 'tn + fn')} AS p0, {_sd('tn', 'tn + fp')} AS r0,
+               tp + fn AS s1, tn + fp AS s0, tn + fp + fn + tp AS n FROM cm),
+cmy AS (SELECT *, {_sd('2 * p1 * r1', 'p1 + r1')} AS f1_1, {_sd('2 * p0 * r0', 'p0 + r0')} AS f1_0 FROM cmx),
+report AS (
+    SELECT strategy, '0' AS label, p0 AS precision, r0 AS recall, f1_0 AS f1, s0 AS support FROM cmy
+    UNION ALL SELECT strategy, '1', p1, r1, f1_1, s1 FROM cmy
+    UNION ALL SELECT strategy, 'accuracy', NULL, NULL, {_sd('tp + tn', 'n')}, n FROM cmy
+    UNION ALL SELECT strategy, 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f1_0 + f1_1) / 2, n FROM cmy
+    UNION ALL SELECT strategy, 'weighted avg', {_sd('p0 * s0 + p1 * s1', 'n')}, {_sd('r0 * s0 + r1 * s1', 'n')},
+                     {_sd('f1_0 * s0 + f1_1 * s1', 'n')}, n FROM cmy)"""
+
+
+def _shares_sql(by_expr: str, by_name: str) -> str:
+    return f"""
+per AS (SELECT CASE WHEN y_true <> y_pred THEN 'incorrect' ELSE 'correct' END AS subset, {by_expr} AS {by_name},
+               SUM(y_true) AS t, SUM(y_pred) AS p FROM pred GROUP BY 1, 2),
+per2 AS (SELECT * FROM per UNION ALL SELECT 'all', {by_name}, SUM(t), SUM(p) FROM per GROUP BY {by_name}),
+shares AS (SELECT subset, {by_name}, CAST(t AS DOUBLE) / NULLIF(SUM(t) OVER (PARTITION BY subset), 0) AS true_share,
+                  CAST(p AS DOUBLE) / NULLIF(SUM(t) OVER (PARTITION BY subset), 0) AS pred_share FROM per2)"""
+
+
+WEEKDAY_SQL = ("CASE inspection_weekday WHEN 0 THEN 'Monday' WHEN 1 THEN 'Tuesday' WHEN 2 THEN 'Wednesday' "
+               "WHEN 3 THEN 'Thursday' WHEN 4 THEN 'Friday' WHEN 5 THEN 'Saturday' WHEN 6 THEN 'Sunday' END")
+
+ORACLES["ml_features"] = gchain(*ML_CHAIN) + _d(src="ml", doubles=ML_DOUBLES)
+ORACLES["ml_null_policy"] = gchain(*ML_CHAIN) + """
+UNPIVOT (SELECT """ + ", ".join(f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c}"
+                                for c in ["establishment_id", "establishmenttype", "establishment_address",
+                                          "inspection_id", "inspection_date"] + MODEL_FEATURES + ["is_infraction"]) + """
+         FROM ml)
+ON COLUMNS(*) INTO NAME "column" VALUE num_missing"""
+ORACLES["time_split"] = gchain(*SPLIT_CHAIN) + _d(src="split", doubles=ML_DOUBLES)
+ORACLES["time_split_report"] = gchain(*SPLIT_CHAIN) + """
+SELECT CAST(COUNT(*) FILTER (WHERE split = 'train') AS BIGINT) AS num_train,
+       CAST(COUNT(*) FILTER (WHERE split = 'test') AS BIGINT) AS num_test,
+       CAST(MAX(inspection_date) FILTER (WHERE split = 'train') AS VARCHAR) AS max_train_date,
+       CAST(MIN(inspection_date) FILTER (WHERE split = 'test') AS VARCHAR) AS min_test_date FROM split"""
+ORACLES["recently_inspected"] = gchain(*SPLIT_CHAIN) + f"""
+SELECT {EST}, CAST(MAX(inspection_date) AS VARCHAR) AS inspection_date FROM train GROUP BY {EST}
+HAVING MAX(inspection_date) >= DATE '2000-11-01'"""
+ORACLES["operating_test_rows"] = gchain(*SPLIT_CHAIN) + _d(src="test", doubles=ML_DOUBLES)
+ORACLES["operating_test_rows_strict"] = gchain(*SPLIT_CHAIN) + _d(src=f"""(SELECT * FROM test t WHERE EXISTS (
+    SELECT 1 FROM (SELECT {EST} FROM train GROUP BY {EST} HAVING MAX(inspection_date) >= DATE '2000-11-01') r
+    WHERE r.establishment_id = t.establishment_id AND r.establishmenttype = t.establishmenttype
+      AND r.establishment_address = t.establishment_address))""", doubles=ML_DOUBLES)
+_FOLDS = "(VALUES (0, DATE '1999-07-01'), (1, DATE '1999-10-01'), (2, DATE '2000-01-01'), (3, DATE '2000-04-01'), (4, DATE '2000-07-01')) f(fold, start)"
+ORACLES["cv_folds"] = gchain(*SPLIT_CHAIN) + _d(src=f"""(
+    SELECT t.*, f.fold, CASE WHEN t.inspection_date BETWEEN f.start AND f.start + INTERVAL 60 DAY THEN 'val'
+                             ELSE 'train' END AS role
+    FROM train t JOIN {_FOLDS} ON t.inspection_date BETWEEN f.start AND f.start + INTERVAL 60 DAY
+         OR t.inspection_date BETWEEN DATE '1997-01-01' AND f.start - INTERVAL 1 DAY)""", doubles=ML_DOUBLES)
+ORACLES["class_weights"] = gchain(*SPLIT_CHAIN) + _d(src="""(
+    SELECT t.*, CASE WHEN is_infraction = 1 THEN c.n / (2.0 * c.n1) ELSE c.n / (2.0 * (c.n - c.n1)) END AS weight
+    FROM train t, (SELECT COUNT(*) AS n, SUM(is_infraction) AS n1 FROM train) c)""", doubles=ML_DOUBLES + ("weight",))
+ORACLES["gt_zero_flags"] = gchain(*SPLIT_CHAIN) + _d(
+    src="(SELECT *, " + ", ".join(f"{c} > 0 AS {c}_gt_zero" for c in COUNT_FEATURES) + " FROM train)",
+    doubles=ML_DOUBLES)
+ORACLES["top5_values"] = gchain(*SPLIT_CHAIN) + """
+, stacked AS (""" + "\nUNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM train"
+                                         for c in COUNT_FEATURES) + """),
+cnt AS (SELECT "column", value, CAST(COUNT(*) AS BIGINT) AS "count" FROM stacked GROUP BY 1, 2)
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY "count" DESC, value ASC NULLS FIRST)
+                              AS BIGINT) AS rank FROM cnt) WHERE rank <= 5"""
+ORACLES["standardise"] = gchain(*SPLIT_CHAIN) + _d(src="(SELECT t.* REPLACE (" + ", ".join(
+    f"(t.{c} - s.m_{c}) / NULLIF(s.s_{c}, 0) AS {c}" for c in NUMERIC_FEATURES) + ") FROM train t, (SELECT "
+    + ", ".join(f"AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}" for c in NUMERIC_FEATURES) + " FROM train) s)",
+    doubles=tuple(NUMERIC_FEATURES))
+ORACLES["baseline_constant"] = gchain(*SPLIT_CHAIN) + _d(src="(SELECT *, 1 AS y_always_infrac FROM test)",
+                                                         doubles=ML_DOUBLES)
+ORACLES["confusion_matrix"] = gchain(*PRED_CHAIN, _cm()) + "SELECT * FROM cm"
+ORACLES["classification_report"] = gchain(*PRED_CHAIN, _cm(), REPORT) + """
+SELECT strategy, label, ROUND(precision, 6) AS precision, ROUND(recall, 6) AS recall, ROUND(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM report"""
+ORACLES["metrics_long"] = gchain(*PRED_CHAIN, _cm(), REPORT) + """
+SELECT strategy, metric, ROUND(value, 6) AS value, 'test' AS split FROM (
+    SELECT strategy, 'precision' AS metric, precision AS value FROM report WHERE label = '1'
+    UNION ALL SELECT strategy, 'recall', recall FROM report WHERE label = '1'
+    UNION ALL SELECT strategy, 'f1', f1 FROM report WHERE label = '1')"""
+ORACLES["weekday_error_share"] = gchain(*PRED_CHAIN, _shares_sql(WEEKDAY_SQL, "inspection_weekday_name")) + """
+SELECT subset, inspection_weekday_name, ROUND(true_share, 6) AS true_share, ROUND(pred_share, 6) AS pred_share
+FROM shares"""
+ORACLES["area_error_share"] = gchain(*PRED_CHAIN, _shares_sql("AREA_NAME", "AREA_NAME")) + """
+SELECT subset, AREA_NAME, ROUND(true_share, 6) AS true_share, ROUND(pred_share, 6) AS pred_share,
+       ROUND(abs(true_share - pred_share), 6) AS diff FROM shares"""
+ORACLES["area_error_top15"] = gchain(*PRED_CHAIN, _shares_sql("AREA_NAME", "AREA_NAME")) + """
+SELECT * FROM (SELECT subset, AREA_NAME, ROUND(true_share, 6) AS true_share, ROUND(pred_share, 6) AS pred_share,
+       ROUND(abs(true_share - pred_share), 6) AS diff,
+       CAST(row_number() OVER (PARTITION BY subset ORDER BY abs(true_share - pred_share) DESC NULLS LAST, AREA_NAME)
+            AS BIGINT) AS rank FROM shares) WHERE rank <= 15"""
+ORACLES["inspection_priority"] = gchain(*PRED_CHAIN) + """
+SELECT * REPLACE (CAST(inspection_date AS VARCHAR) AS inspection_date, ROUND(probability, 6) AS probability),
+       CAST(greatest(ceil((0.5 - probability) / 0.1), 0) AS BIGINT) AS priority_delay_days,
+       CAST(CAST(inspection_date + CAST(greatest(ceil((0.5 - probability) / 0.1), 0) AS INTEGER) AS DATE) AS VARCHAR)
+           AS planned_date
+FROM pred"""
+ORACLES["error_context"] = gchain(*PRED_CHAIN) + f"""
+SELECT p.* REPLACE (CAST(p.inspection_date AS VARCHAR) AS inspection_date, ROUND(p.probability, 6) AS probability),
+       ROUND(c.latitude, 6) AS latitude, ROUND(c.longitude, 6) AS longitude, ROUND(c.neigh_pop, 6) AS neigh_pop
+FROM pred p LEFT JOIN cfill c
+  ON p.establishment_id = c.establishment_id AND p.establishmenttype = c.establishmenttype
+ AND p.establishment_address = c.establishment_address AND p.inspection_id = c.inspection_id
+ AND p.inspection_date = c.inspection_date"""
