@@ -177,9 +177,8 @@ def histogram_bins(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """Counts in ``bins`` equal-width bins between the column's min and max (last bin
     closed, as numpy does).  min / max are scalar subqueries."""
     c = F.col(column).cast("double")
-    stats = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi"))
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
+    stats = df.agg(F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"))).scalar()
+    lo, hi = stats["lo"], stats["hi"]
     width = (hi - lo) / F.lit(float(bins))
     raw = F.floor(F.try_divide(c - lo, width))
     b = F.when(hi == lo, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")

@@ -105,9 +105,8 @@ def cv_folds(train: DataFrame, starts: Sequence[str] = FOLD_STARTS, train_start:
 
 def class_weights(df: DataFrame, label: str = LABEL, weight_col: str = "weight") -> DataFrame:
     """Balanced weights n / (k · n_c) for a binary label (scalar-subquery counts)."""
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label)).alias("n1"))
-    n = stats.select("n").scalar()
-    n1 = stats.select("n1").scalar()
+    stats = df.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum(F.col(label)).alias("n1"))).scalar()
+    n, n1 = stats["n"], stats["n1"]
     w1 = F.try_divide(n.cast("double"), F.lit(2.0) * n1)
     w0 = F.try_divide(n.cast("double"), F.lit(2.0) * (n - n1))
     return df.withColumn(weight_col, F.when(F.col(label) == 1, w1).otherwise(w0))

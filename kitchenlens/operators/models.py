@@ -111,13 +111,11 @@ class YeoJohnson(Estimator):
 
 
 def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """M7: (x − mean) / population sd with scalar-subquery statistics."""
-    out = {}
-    for c in columns:
-        st = df.agg(F.avg(c).alias("m"), F.stddev_pop(c).alias("s"))
-        m, s = st.select("m").scalar(), st.select("s").scalar()
-        out[c] = F.try_divide(F.col(c) - m, s)
-    return df.withColumns(out)
+    """M7: (x − mean) / population sd.  All statistics come from ONE scalar subquery returning a
+    struct, so the input is aggregated once."""
+    st = df.agg(F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c)
+                           for c in columns])).scalar()
+    return df.withColumns({c: F.try_divide(F.col(c) - st[c]["m"], st[c]["s"]) for c in columns})
 
 
 # ---- pipelines -----------------------------------------------------------------------------------
@@ -140,12 +138,13 @@ def preprocessing(categoricals: Sequence[str], numerics: Sequence[str]) -> list:
     ]
 
 
-def logistic_regression(n_rows: int, C: float = 1.0, max_iter: int = 1500) -> LogisticRegression:
+def logistic_regression(n_rows: int, C: float = 1.0, max_iter: int = 1500, tol: float = 1e-4) -> LogisticRegression:
     """M9: L2 logistic regression with balanced weights.  Spark minimises the weighted mean loss
     + regParam/2·‖β‖², the source C·Σ w·loss + ½‖β‖²; with weights summing to n the two agree
-    for regParam = 1 / (C·n)."""
+    for regParam = 1 / (C·n).  ``tol`` is the source library's default stopping tolerance."""
     return LogisticRegression(featuresCol="features", labelCol=LABEL, weightCol="weight", maxIter=max_iter,
-                              regParam=1.0 / (C * max(n_rows, 1)), elasticNetParam=0.0, standardization=False)
+                              regParam=1.0 / (C * max(n_rows, 1)), elasticNetParam=0.0, standardization=False,
+                              tol=tol)
 
 
 def random_forest(num_trees: int = 250, max_depth: int = 30, seed: int = 42) -> RandomForestClassifier:
@@ -229,3 +228,8 @@ def cross_validate(folds: DataFrame, classifiers: dict, categoricals: Sequence[s
                             "precision_train": s_tr["precision"], "precision_test": s_va["precision"],
                             "f1_train": s_tr["f1"], "f1_test": s_va["f1"]})
     return records
+
+
+def as_categorical_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Categorical inputs as text (the indexer takes strings; booleans / counts become labels)."""
+    return df.withColumns({c: F.col(f"`{c}`").cast("string") for c in columns})

@@ -617,3 +617,91 @@ def q_j10(spark, sf_dir):
     """Predictions ⟕ context columns of the full table on the row key."""
     ctx = full_table(spark, sf_dir).select(*mp.ROW_KEY, "latitude", "longitude", "neigh_pop")
     return fixture_predictions(spark, sf_dir).join(ctx, mp.ROW_KEY, "left")
+
+
+# ---- models (rows-only checks: fitted parameters are not SQL) ------------------------------------
+
+CATEGORICALS = md.categorical_features()
+NUMERICS = list(mp.NUMERIC_FEATURES)
+
+
+def model_inputs(spark, sf_dir):
+    """Model table with categoricals as text, cached: every fit iterates over it."""
+    return md.as_categorical_strings(split_table(spark, sf_dir), CATEGORICALS).cache()
+
+
+def _fit(spark, sf_dir, make):
+    from pyspark.sql import functions as F
+    data = model_inputs(spark, sf_dir)
+    train = mp.class_weights(data.where(F.col("split") == "train")).cache()
+    model = md.fit_pipeline(train, make(train.count()), CATEGORICALS, NUMERICS)
+    return model, train, data.where(F.col("split") == "test")
+
+
+@query("onehot_width")
+def q_m5(spark, sf_dir):
+    """M5: one-hot width per categorical (labels seen in training; unseen → all zeros)."""
+    from pyspark.ml.feature import StringIndexer
+    data = model_inputs(spark, sf_dir)
+    train = data.where("split = 'train'")
+    idx = StringIndexer(inputCols=CATEGORICALS, outputCols=[f"{c}__i" for c in CATEGORICALS],
+                        handleInvalid="keep").fit(train)
+    rows = [(c, len(labels)) for c, labels in zip(CATEGORICALS, idx.labelsArray)]
+    return spark.createDataFrame(rows, "feature string, width bigint")
+
+
+@query("yeo_johnson")
+def q_m6(spark, sf_dir):
+    """M6: fitted λ per numeric feature (maximum likelihood over the training rows)."""
+    train = split_table(spark, sf_dir).where("split = 'train'").select(*NUMERICS).cache()
+    lams = md.fit_yeo_johnson(train, NUMERICS)
+    return spark.createDataFrame([(c, float(v)) for c, v in lams.items()], "feature string, lambda double")
+
+
+@query("lr_predict")
+def q_m9(spark, sf_dir):
+    model, train, test = _fit(spark, sf_dir, md.logistic_regression)
+    return md.predict(model, test, mp.ROW_KEY + ["is_infraction"])
+
+
+@query("rf_predict")
+def q_m10(spark, sf_dir):
+    model, train, test = _fit(spark, sf_dir, lambda n: md.random_forest())
+    return md.predict(model, test, mp.ROW_KEY + ["is_infraction"])
+
+
+CV_METRICS = ["recall_train", "recall_test", "precision_train", "precision_test", "f1_train", "f1_test"]
+
+
+def cv_table(spark, sf_dir, classifiers=None):
+    folds = mp.cv_folds(model_inputs(spark, sf_dir).where("split = 'train'")).cache()
+    classifiers = classifiers or {"guess": "guess", "always_infrac": "always_infrac",
+                                  "lr": md.logistic_regression, "rf": lambda n: md.random_forest()}
+    recs = md.cross_validate(folds, classifiers, CATEGORICALS, NUMERICS)
+    return spark.createDataFrame(recs)
+
+
+@query("cv_records")
+def q_m14(spark, sf_dir):
+    return cv_table(spark, sf_dir)
+
+
+@query("cv_summary")
+def q_e4(spark, sf_dir):
+    return ev.cv_summary(cv_table(spark, sf_dir), CV_METRICS)
+
+
+@query("cv_best")
+def q_l2(spark, sf_dir):
+    return ev.cv_best(ev.cv_summary(cv_table(spark, sf_dir), CV_METRICS), "mean_f1_test")
+
+
+@query("coef_extremes")
+def q_e7(spark, sf_dir):
+    """Ten largest and ten smallest logistic-regression coefficients with feature names."""
+    from pyspark.sql import functions as F
+    model, train, test = _fit(spark, sf_dir, md.logistic_regression)
+    coefs = spark.createDataFrame(md.coefficients(model, CATEGORICALS, NUMERICS), "feature string, coefficient double")
+    top = coefs.orderBy(F.col("coefficient").desc(), "feature").limit(10).withColumn("end", F.lit("largest"))
+    low = coefs.orderBy(F.col("coefficient").asc(), "feature").limit(10).withColumn("end", F.lit("smallest"))
+    return top.unionByName(low)

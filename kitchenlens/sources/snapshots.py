@@ -60,7 +60,7 @@ def normalise_infractions(df: DataFrame, rename: dict | None = None, date_format
         if f.name in MONEY_COLUMNS and dtypes[src] == "string":
             out.append(parse_money(src).alias(f.name))
         elif isinstance(f.dataType, T.DateType) and dtypes[src] == "string":
-            out.append(F.to_date(c, date_format).alias(f.name))
+            out.append(F.try_to_date(c, date_format).alias(f.name))
         elif isinstance(f.dataType, T.StringType):
             out.append(c.cast("string").alias(f.name))
         else:
