@@ -705,3 +705,107 @@ def q_e7(spark, sf_dir):
     top = coefs.orderBy(F.col("coefficient").desc(), "feature").limit(10).withColumn("end", F.lit("largest"))
     low = coefs.orderBy(F.col("coefficient").asc(), "feature").limit(10).withColumn("end", F.lit("smallest"))
     return top.unionByName(low)
+
+
+# ---------------------------------------------------------------------------------------------
+# sources over the fixture tables: snapshots, union, de-duplication, numbering, file round trips
+# ---------------------------------------------------------------------------------------------
+
+from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..sources import files as fl  # noqa: E402
+
+
+def snapshots(spark, sf_dir):
+    """Two overlapping snapshots of the infractions (years ≤ 1998 and ≥ 1998): the shared
+    year appears in both, as rows repeated across published archives do."""
+    from pyspark.sql import functions as F
+    infr = infractions(spark, sf_dir)
+    y = F.year("inspection_date")
+    a = infr.where(y <= 1998).withColumn("filename", F.lit(1).cast("bigint"))
+    b = infr.where(y >= 1998).withColumn("filename", F.lit(2).cast("bigint"))
+    return a, b
+
+
+@query("union_snapshots")
+def q_s4(spark, sf_dir):
+    return snap.union_snapshots(list(snapshots(spark, sf_dir)))
+
+
+@query("dedup_full_row")
+def q_s5(spark, sf_dir):
+    """Q1 notebook form: provenance ignored, repeated rows across snapshots removed."""
+    return snap.dedup_full_row(snap.union_snapshots(list(snapshots(spark, sf_dir))).drop("filename"))
+
+
+@query("dedup_with_provenance")
+def q_s5f(spark, sf_dir):
+    """Q1 flow form: ``filename`` compared too, so rows repeated across snapshots survive."""
+    return snap.dedup_full_row(snap.union_snapshots(list(snapshots(spark, sf_dir))))
+
+
+@query("new_snapshots")
+def q_s6(spark, sf_dir):
+    """S6 batch form: rows of snapshot ids not loaded yet (snapshot 1 is loaded)."""
+    a, b = snapshots(spark, sf_dir)
+    return snap.new_snapshots(snap.union_snapshots([a, b]), a.select("filename"))
+
+
+@query("partition_numbering")
+def q_s7(spark, sf_dir):
+    """Orders in key order split into 10 contiguous near-equal parts."""
+    o = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return snap.partition_numbering(o, ["o_orderkey"], 10)
+
+
+def _scratch(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+
+
+@query("scan_xml_snapshot")
+def q_s1(spark, sf_dir):
+    """S1-S3 round trip: the infractions written as one XML snapshot per inspection year
+    (folder = snapshot id), read back with a declared schema, provenance and normalisation."""
+    import uuid
+    from pyspark.sql import functions as F
+    raw = fx.infractions(spark, sf_dir).withColumn("snap", F.year("inspection_date"))
+    upper = raw.select(*[F.col(c).cast("string").alias(c.upper()) for c in raw.columns if c != "snap"], "snap")
+    path = _scratch(spark, f"xml_snapshots_{uuid.uuid4().hex}")
+    upper.write.partitionBy("snap").format("xml").option("rootTag", "ROOT").option("rowTag", "ROW").save(path)
+    df = snap.read_xml_snapshot(spark, f"{path}/snap=*",
+                                schema=snap.raw_snapshot_schema(fields=[c for c in raw.columns if c != "snap"]))
+    return snap.normalise_infractions(snap.with_snapshot_id(df, r"snap=(\d+)/"),
+                                      rename={"amount_fined_raw": "amount_fined"})
+
+
+@query("scan_csv_format")
+def q_s8(spark, sf_dir):
+    """S8 round trip: the typed infractions as bulk CSV files (header, quotes, \\N for NULL) read
+    back FAILFAST with the declared schema."""
+    import uuid
+    from ..constants import INFRACTION_SCHEMA
+    path = _scratch(spark, f"bulk_csv_{uuid.uuid4().hex}")
+    snap.write_parts_csv(infractions(spark, sf_dir).select(*INFRACTION_SCHEMA.fieldNames()), path, 10,
+                         null_value="\\N")
+    return fl.read_bulk_csv(spark, path)
+
+
+@query("expect_area_count")
+def q_k4(spark, sf_dir):
+    return qa.expect_count(areas(spark, sf_dir), fx.N_AREAS, "area_count")
+
+
+@query("expect_population")
+def q_k5(spark, sf_dir):
+    return qa.expect_population(stats(spark, sf_dir))
+
+
+@query("expect_join_cardinality")
+def q_k6(spark, sf_dir):
+    """K6: the census join keeps every inspection row."""
+    return qa.expect_rows_equal(filled(spark, sf_dir), with_population(spark, sf_dir), "census_join_keeps_rows")
+
+
+@query("expect_unique_geocode")
+def q_k8(spark, sf_dir):
+    return qa.expect_unique(geo.geocode_lookup(fx.addressinfo(spark, sf_dir)), ["establishment_address"],
+                            "one_geocode_per_address")

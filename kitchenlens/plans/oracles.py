@@ -685,3 +685,39 @@ FROM pred p LEFT JOIN cfill c
   ON p.establishment_id = c.establishment_id AND p.establishmenttype = c.establishmenttype
  AND p.establishment_address = c.establishment_address AND p.inspection_id = c.inspection_id
  AND p.inspection_date = c.inspection_date"""
+
+
+# ---- sources over the fixture tables ---------------------------------------------------------------
+
+SNAPS = """
+snaps AS (SELECT *, CAST(1 AS BIGINT) AS filename FROM infr WHERE year(inspection_date) <= 1998
+          UNION ALL
+          SELECT *, CAST(2 AS BIGINT) AS filename FROM infr WHERE year(inspection_date) >= 1998)"""
+ORACLES["union_snapshots"] = chain(INFR, SNAPS) + _d(src="snaps", doubles=INFR_DOUBLES)
+ORACLES["dedup_full_row"] = chain(INFR, SNAPS) + _d(src="(SELECT DISTINCT * EXCLUDE (filename) FROM snaps)",
+                                                    doubles=INFR_DOUBLES)
+ORACLES["dedup_with_provenance"] = chain(INFR, SNAPS) + _d(src="(SELECT DISTINCT * FROM snaps)", doubles=INFR_DOUBLES)
+ORACLES["new_snapshots"] = chain(INFR, SNAPS) + _d(
+    src="(SELECT * FROM snaps WHERE filename NOT IN (SELECT filename FROM snaps WHERE filename = 1))",
+    doubles=INFR_DOUBLES)
+ORACLES["partition_numbering"] = chain(INFR) + """
+, o AS (SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx,
+               COUNT(*) OVER () AS n FROM orders)
+SELECT o_orderkey, o_custkey, CAST(idx AS BIGINT) AS row_index, CAST(floor(idx / (n / 10.0)) AS BIGINT) AS part FROM o"""
+ORACLES["scan_xml_snapshot"] = chain(INFR) + _d(
+    src="(SELECT *, CAST(year(inspection_date) AS BIGINT) AS filename FROM infr)", doubles=INFR_DOUBLES)
+ORACLES["scan_csv_format"] = chain(INFR) + _d(src="infr", doubles=INFR_DOUBLES)
+ORACLES["expect_area_count"] = gchain(INFR) + """
+SELECT 'area_count' AS expectation, CAST(COUNT(*) AS BIGINT) AS num_rows, CAST(25 AS BIGINT) AS expected,
+       COUNT(*) = 25 AS ok FROM area_names"""
+ORACLES["expect_population"] = gchain(*GEO_CHAIN) + """
+SELECT 'population_present' AS expectation, CAST(COUNT(*) AS BIGINT) AS num_rows,
+       CAST(COUNT(*) FILTER (WHERE neigh_pop_2016 IS NULL) AS BIGINT) AS num_violations FROM stats"""
+ORACLES["expect_join_cardinality"] = gchain(*GEO_CHAIN) + """
+SELECT 'census_join_keeps_rows' AS expectation, (SELECT CAST(COUNT(*) AS BIGINT) FROM filled) AS rows_before,
+       (SELECT CAST(COUNT(*) AS BIGINT) FROM withpop) AS rows_after,
+       (SELECT COUNT(*) FROM filled) = (SELECT COUNT(*) FROM withpop) AS ok"""
+ORACLES["expect_unique_geocode"] = gchain(INFR) + """
+SELECT 'one_geocode_per_address' AS expectation, CAST(COUNT(*) AS BIGINT) AS num_rows,
+       CAST(0 AS BIGINT) AS num_violations
+FROM (SELECT upper(replace(address, ', Toronto, ON, Canada', '')) AS a FROM addressinfo GROUP BY 1)"""

@@ -102,38 +102,40 @@ def incremental_append(spark: SparkSession, incoming: DataFrame, table_path: str
     return spark.read.parquet(table_path).select(key).distinct()
 
 
-def partition_numbering(df: DataFrame, order: Sequence[str], n_parts: int) -> DataFrame:
+def partition_numbering(df: DataFrame, order: Sequence[str], n_parts: int, n_buckets: int | None = None) -> DataFrame:
     """Split rows in a total order into ``n_parts`` near-equal contiguous parts.
 
-    part = floor(global_row_index / (n / n_parts)).  The global index is built the
-    ``zipWithIndex`` way without a single-partition window: range-partition by the order,
-    number rows inside each partition, then add the row count of all earlier partitions
-    (a table with one row per partition, so the broadcast is bounded by the partition count).
+    part = floor(global_row_index / (n / n_parts)).  The global index is built without a
+    single-partition window: rows are cut into ``n_buckets`` ranges of the first order column
+    (approximate quantiles, taken as one scalar subquery), each bucket numbers its rows with a
+    window, and every bucket adds the row count of the buckets before it — a table with one row
+    per bucket, so its broadcast is bounded by the bucket count.
     """
     spark = df.sparkSession
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pid = F.spark_partition_id()
-    # monotonically_increasing_id = (partition id << 33) + position in the partition, so the
-    # position inside the sorted partition comes without another shuffle.
-    ranged = (df.repartitionByRange(nparts, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", pid)
-              .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)))
-    local = ranged
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    n_buckets = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = F.col(order[0])
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = df.agg(F.percentile_approx(first, probs, 10000)).scalar()
+    # the bounds column is materialised first: a subquery may not sit inside a lambda
+    b = (df.withColumn("_bounds", bounds)
+         .withColumn("_b", F.size(F.filter(F.col("_bounds"), lambda x: x <= first))).drop("_bounds"))
+    sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = sizes.select(
-        "_pid",
-        (F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                    F.lit(0))).alias("_offset"),
+        "_b",
+        F.coalesce(F.sum("_cnt").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_offset"),
         F.sum("_cnt").over(Window.partitionBy(F.lit(0))).alias("_total"))
-    idx = local.join(F.broadcast(offsets), "_pid")
+    local = b.withColumn("_local", F.row_number().over(Window.partitionBy("_b").orderBy(*order)) - 1)
+    idx = local.join(F.broadcast(offsets), "_b")
     row_index = F.col("_offset") + F.col("_local")
     part = F.floor(row_index / (F.col("_total") / F.lit(float(n_parts)))).cast("int")
     return idx.select(*df.columns, row_index.cast("bigint").alias("row_index"), part.alias("part"))
 
 
-def write_parts_csv(df: DataFrame, path: str, n_parts: int) -> None:
+def write_parts_csv(df: DataFrame, path: str, n_parts: int, null_value: str = "") -> None:
     """S7 sink: N CSV files with a header and no index column."""
-    df.repartition(n_parts).write.mode("overwrite").option("header", True).csv(path)
+    (df.repartition(n_parts).write.mode("overwrite").option("header", True).option("nullValue", null_value)
+     .option("dateFormat", "yyyy-MM-dd").csv(path))
 
 
 def load_count_check(spark: SparkSession, staged: DataFrame, table: str, expected: int | None = None) -> DataFrame:
