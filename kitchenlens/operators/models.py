@@ -201,35 +201,40 @@ def binary_scores(pred: DataFrame, y_true: str = LABEL, y_pred: str = "y_pred")
 
 
 def cross_validate(folds: DataFrame, classifiers: dict, categoricals: Sequence[str], numerics: Sequence[str],
-                   seed: int = 42) -> list[dict]:
+                   seed: int = 42, parallelism: int = 4) -> list[dict]:
     """Per fold, fit on the fold's train rows, score train and validation rows.
 
     ``classifiers`` maps a name to a callable(n_train) → estimator, or to the strings
-    ``"guess"`` / ``"always_infrac"`` for the two baselines.  The loop runs over the few folds
-    on the driver; every fit and score is a distributed job over the cached fold table.
+    ``"guess"`` / ``"always_infrac"`` for the two baselines.  Fold × classifier fits are
+    independent Spark jobs over the cached fold table; like ``CrossValidator(parallelism=…)``
+    they are submitted from a small thread pool so several fits share the cluster at once.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from .mlprep import baseline_predictions, class_weights
-    records = []
     fold_ids = sorted(r[0] for r in folds.select("fold").distinct().collect())
-    for name, make in classifiers.items():
-        for k in fold_ids:
-            tr = class_weights(folds.where((F.col("fold") == k) & (F.col("role") == "train")))
-            va = folds.where((F.col("fold") == k) & (F.col("role") == "val"))
-            if make in ("guess", "always_infrac"):
-                col = "y_guess" if make == "guess" else "y_always_infrac"
-                ptr = baseline_predictions(tr, seed).withColumn("y_pred", F.col(col))
-                pva = baseline_predictions(va, seed).withColumn("y_pred", F.col(col))
-            else:
-                n = tr.count()
-                model = fit_pipeline(tr, make(n), categoricals, numerics)
-                ptr = model.transform(tr).withColumn("y_pred", F.col("prediction").cast("int"))
-                pva = model.transform(va).withColumn("y_pred", F.col("prediction").cast("int"))
-            s_tr, s_va = binary_scores(ptr), binary_scores(pva)
-            records.append({"classifier": name, "split_index": int(k), "len_train": s_tr["n"], "len_val": s_va["n"],
-                            "recall_train": s_tr["recall"], "recall_test": s_va["recall"],
-                            "precision_train": s_tr["precision"], "precision_test": s_va["precision"],
-                            "f1_train": s_tr["f1"], "f1_test": s_va["f1"]})
-    return records
+
+    def run(name, make, k):
+        tr = class_weights(folds.where((F.col("fold") == k) & (F.col("role") == "train")))
+        va = folds.where((F.col("fold") == k) & (F.col("role") == "val"))
+        if make in ("guess", "always_infrac"):
+            col = "y_guess" if make == "guess" else "y_always_infrac"
+            ptr = baseline_predictions(tr, seed).withColumn("y_pred", F.col(col))
+            pva = baseline_predictions(va, seed).withColumn("y_pred", F.col(col))
+        else:
+            tr = tr.cache()
+            model = fit_pipeline(tr, make(tr.count()), categoricals, numerics)
+            ptr = model.transform(tr).withColumn("y_pred", F.col("prediction").cast("int"))
+            pva = model.transform(va).withColumn("y_pred", F.col("prediction").cast("int"))
+        s_tr, s_va = binary_scores(ptr), binary_scores(pva)
+        return {"classifier": name, "split_index": int(k), "len_train": s_tr["n"], "len_val": s_va["n"],
+                "recall_train": s_tr["recall"], "recall_test": s_va["recall"],
+                "precision_train": s_tr["precision"], "precision_test": s_va["precision"],
+                "f1_train": s_tr["f1"], "f1_test": s_va["f1"]}
+
+    tasks = [(name, make, k) for name, make in classifiers.items() for k in fold_ids]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return list(pool.map(lambda t: run(*t), tasks))
 
 
 def as_categorical_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -627,6 +627,8 @@ NUMERICS = list(mp.NUMERIC_FEATURES)
 
 def model_inputs(spark, sf_dir):
     """Model table with categoricals as text, cached: every fit iterates over it."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)   # forests checkpoint their node ids there
     return md.as_categorical_strings(split_table(spark, sf_dir), CATEGORICALS).cache()
 
 
@@ -673,12 +675,19 @@ def q_m10(spark, sf_dir):
 CV_METRICS = ["recall_train", "recall_test", "precision_train", "precision_test", "f1_train", "f1_test"]
 
 
+_CV_MEMO: dict = {}
+
+
 def cv_table(spark, sf_dir, classifiers=None):
-    folds = mp.cv_folds(model_inputs(spark, sf_dir).where("split = 'train'")).cache()
-    classifiers = classifiers or {"guess": "guess", "always_infrac": "always_infrac",
-                                  "lr": md.logistic_regression, "rf": lambda n: md.random_forest()}
-    recs = md.cross_validate(folds, classifiers, CATEGORICALS, NUMERICS)
-    return spark.createDataFrame(recs)
+    """Per-fold records of the four pipelines.  The records are a small local result, so the
+    summary queries reuse one cross-validation run per session and input folder."""
+    key = (id(spark), sf_dir, classifiers is None)
+    if key not in _CV_MEMO:
+        folds = mp.cv_folds(model_inputs(spark, sf_dir).where("split = 'train'")).cache()
+        classifiers = classifiers or {"guess": "guess", "always_infrac": "always_infrac",
+                                      "lr": md.logistic_regression, "rf": lambda n: md.random_forest()}
+        _CV_MEMO[key] = md.cross_validate(folds, classifiers, CATEGORICALS, NUMERICS)
+    return spark.createDataFrame(_CV_MEMO[key])
 
 
 @query("cv_records")
