@@ -60,3 +60,33 @@ def test_logistic_regression_separable(spark):
     model = md.fit_pipeline(df, md.logistic_regression(60), ["c"], ["n"])
     pred = md.predict(model, df, ["is_infraction"])
     assert pred.where("y_pred <> is_infraction").count() == 0
+
+
+def test_cross_validate_baselines_and_lr(spark):
+    rows = []
+    for f in range(2):
+        for role, n in (("train", 30), ("val", 10)):
+            for i in range(n):
+                y = i % 2
+                rows.append((f, role, str(y), float(y) + 0.01 * i, y, i, dt.date(2000, 1, 1) + dt.timedelta(days=i),
+                             i, "Restaurant", f"{i} ST"))
+    folds = spark.createDataFrame(rows, "fold int, role string, c string, n double, is_infraction int, "
+                                        "inspection_id int, inspection_date date, establishment_id int, "
+                                        "establishmenttype string, establishment_address string")
+    recs = md.cross_validate(folds, {"always_infrac": "always_infrac", "lr": md.logistic_regression},
+                             ["c"], ["n"], parallelism=2)
+    by = {(r["classifier"], r["split_index"]): r for r in recs}
+    assert set(by) == {("always_infrac", 0), ("always_infrac", 1), ("lr", 0), ("lr", 1)}
+    assert by[("always_infrac", 0)]["recall_test"] == 1.0 and by[("always_infrac", 0)]["precision_test"] == 0.5
+    assert by[("lr", 1)]["f1_test"] == 1.0 and by[("lr", 0)]["len_val"] == 10
+
+
+def test_error_shares(spark):
+    pred = spark.createDataFrame([(0, "A", 1, 1), (0, "A", 1, 0), (1, "B", 0, 1), (1, "B", 1, 1)],
+                                 "inspection_weekday int, AREA_NAME string, y_true int, y_pred int")
+    s = {(r["subset"], r["inspection_weekday_name"]): (r["true_share"], r["pred_share"])
+         for r in ev.weekday_error_share(pred).collect()}
+    assert s[("all", "Monday")] == (2 / 3, 1 / 3) and s[("all", "Tuesday")] == (1 / 3, 2 / 3)
+    assert s[("incorrect", "Monday")] == (1.0, 0.0)
+    top = ev.area_error_top(ev.area_error_share(pred), 1).where("subset = 'all'").collect()
+    assert len(top) == 1
