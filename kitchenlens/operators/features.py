@@ -46,13 +46,20 @@ def date_parts(c: Column, prefix: str) -> dict[str, Column]:
 
 
 def history_features(df: DataFrame, action_columns: Sequence[str] = (), outcome_columns: Sequence[str] = (),
-                     exclude_current: bool = False) -> DataFrame:
+                     exclude_current: bool = False, hot_group_rows: int | None = None,
+                     chunk_rows: int = 1_000_000) -> DataFrame:
     """W4–W13 and X5 in one pass.
 
     Totals include the current inspection by default (as the source computes them, which leaks
     the label into ``cumulative_significant`` / ``ever_*``); ``exclude_current=True`` uses the
     frame ``unbounded preceding .. 1 preceding`` instead.
+
+    ``hot_group_rows``: establishments with more rows than this are split into chunks of about
+    ``chunk_rows`` rows and scanned in parallel (``ordered.chunked_scan``); the result is the same.
     """
+    if hot_group_rows is not None:
+        return _history_features_chunked(df, action_columns, outcome_columns, exclude_current,
+                                         hot_group_rows, chunk_rows)
     w = history_window()
     frame = running(w, exclude_current)
     prev_date = F.lag("inspection_date").over(w)
@@ -60,19 +67,15 @@ def history_features(df: DataFrame, action_columns: Sequence[str] = (), outcome_
 
     # level 1: lag-based columns
     lagged = {
-        "time_since_last_infrac": F.datediff(F.col("inspection_date"), prev_date),
-        "last_pass": F.coalesce(F.lag("establishment_status").over(w) == F.lit(STATUS_PASS), F.lit(False)),
-        "last_cond_pass": F.coalesce(F.lag("establishment_status").over(w) == F.lit(STATUS_CONDITIONAL_PASS),
-                                     F.lit(False)),
         "_last_date": prev_date,
+        "_last_status": F.lag("establishment_status").over(w),
         "cumulative_inspections": (F.row_number().over(w) - 1).cast("bigint"),
     }
     for t in INFRACTION_TYPES:
         lagged[f"num_{t}_prev"] = F.lag(f"num_{t}").over(w)
     for src, name in prev_names.items():
         lagged[name] = F.lag(src).over(w)
-    lagged["cumulative_failures"] = F.sum(
-        F.when(F.col("establishment_status") == STATUS_CLOSED, 1).otherwise(0)).over(frame).cast("bigint")
+    lagged["cumulative_failures"] = F.sum(_is_closed()).over(frame).cast("bigint")
     for t in INFRACTION_TYPES:
         lagged[f"cumulative_{t}"] = F.sum(f"num_{t}").over(frame).cast("bigint")
     out = df.withColumns(lagged)
@@ -80,10 +83,20 @@ def history_features(df: DataFrame, action_columns: Sequence[str] = (), outcome_
     # level 2: running totals of the lagged pivot counts (strictly past inspections)
     out = out.withColumns({f"cumulative_{name}": F.sum(name).over(running(w)).cast("bigint")
                            for name in prev_names.values()})
+    return _derived(out)
+
+
+def _is_closed() -> Column:
+    return F.when(F.col("establishment_status") == STATUS_CLOSED, 1).otherwise(0)
+
 
-    # level 3: plain expressions on the above
+def _derived(out: DataFrame) -> DataFrame:
+    """Level 3: plain expressions on the lagged values and totals."""
     zero_fail = F.coalesce(F.col("cumulative_failures"), F.lit(0))
     derived = {
+        "time_since_last_infrac": F.datediff(F.col("inspection_date"), F.col("_last_date")),
+        "last_pass": F.coalesce(F.col("_last_status") == F.lit(STATUS_PASS), F.lit(False)),
+        "last_cond_pass": F.coalesce(F.col("_last_status") == F.lit(STATUS_CONDITIONAL_PASS), F.lit(False)),
         "ever_failed": zero_fail != 0,
         "proportion_past_failures": F.try_divide(F.col("cumulative_failures").cast("double"),
                                                  F.col("cumulative_inspections").cast("double")),
@@ -95,7 +108,25 @@ def history_features(df: DataFrame, action_columns: Sequence[str] = (), outcome_
                                                        F.col("cumulative_inspections").cast("double"))
     derived.update(date_parts(F.col("_last_date"), "last_inspection"))
     derived.update(date_parts(F.col("inspection_date"), "inspection"))
-    return out.withColumns(derived).drop("_last_date")
+    return out.withColumns(derived).drop("_last_date", "_last_status")
+
+
+def _history_features_chunked(df, action_columns, outcome_columns, exclude_current, hot_group_rows, chunk_rows):
+    from .ordered import CHUNK, NCH, assign_chunks, chunked_scan
+    order = ["inspection_date", "inspection_id", "establishment_status"]
+    prev_names = pivot_prev_names(action_columns, outcome_columns)
+    base = assign_chunks(df, EST, "inspection_date", hot_group_rows, chunk_rows).withColumn("_closed", _is_closed())
+    lags = {"_last_date": "inspection_date", "_last_status": "establishment_status"}
+    lags.update({f"num_{t}_prev": f"num_{t}" for t in INFRACTION_TYPES})
+    lags.update({name: src for src, name in prev_names.items()})
+    totals = {"cumulative_failures": "_closed"}
+    totals.update({f"cumulative_{t}": f"num_{t}" for t in INFRACTION_TYPES})
+    step1 = chunked_scan(base, EST, order, lags=lags, index="cumulative_inspections",
+                         sums={} if exclude_current else totals, exclusive_sums=totals if exclude_current else {})
+    step1 = step1.withColumns({c: F.col(c).cast("bigint") for c in totals})
+    step2 = chunked_scan(step1, EST, order, sums={f"cumulative_{n}": n for n in prev_names.values()})
+    step2 = step2.withColumns({f"cumulative_{n}": F.col(f"cumulative_{n}").cast("bigint") for n in prev_names.values()})
+    return _derived(step2.drop("_closed", CHUNK, NCH))
 
 
 def feature_columns(action_columns: Sequence[str], outcome_columns: Sequence[str]) -> list[str]:

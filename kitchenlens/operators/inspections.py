@@ -166,8 +166,19 @@ def _next_order(strict: bool) -> list[Column]:
     return [F.col("inspection_id"), F.col("inspection_date"), F.col("establishment_status")]
 
 
-def with_days_to_next(df: DataFrame) -> DataFrame:
-    """``days_to_next`` = |date − next date| with rows ordered by inspection id, then date."""
+def with_days_to_next(df: DataFrame, hot_group_rows: int | None = None, chunk_rows: int = 1_000_000) -> DataFrame:
+    """``days_to_next`` = |date − next date| with rows ordered by inspection id, then date.
+
+    With ``hot_group_rows`` an establishment above that size is split into id ranges scanned in
+    parallel: the next row is the previous row of the reversed order (``ordered.chunked_scan``).
+    """
+    if hot_group_rows is not None:
+        from .ordered import CHUNK, NCH, assign_chunks, chunked_scan
+        base = assign_chunks(df, EST, "inspection_id", hot_group_rows, chunk_rows, descending=True)
+        out = chunked_scan(base, EST, ["inspection_id", "inspection_date", "establishment_status"],
+                           lags={"_next_date": "inspection_date"}, descending=True)
+        return (out.withColumn("days_to_next", F.abs(F.datediff(F.col("inspection_date"), F.col("_next_date")))
+                               .cast("bigint")).drop("_next_date", CHUNK, NCH))
     w = Window.partitionBy(*EST).orderBy(*_next_order(False))
     nxt = F.lead("inspection_date").over(w)
     return df.withColumn("days_to_next", F.abs(F.datediff(F.col("inspection_date"), nxt)).cast("bigint"))
@@ -180,11 +191,11 @@ def with_days_from_previous(df: DataFrame) -> DataFrame:
     return df.withColumn("days_from_prev", F.datediff(F.col("inspection_date"), prev).cast("bigint"))
 
 
-def reinspections(df: DataFrame) -> DataFrame:
-    return with_days_to_next(df).where(F.col("days_to_next") <= 2)
+def reinspections(df: DataFrame, **split) -> DataFrame:
+    return with_days_to_next(df, **split).where(F.col("days_to_next") <= 2)
 
 
-def no_reinspections(df: DataFrame, strict: bool = False) -> DataFrame:
+def no_reinspections(df: DataFrame, strict: bool = False, **split) -> DataFrame:
     """Drop follow-up visits within two days.
 
     Default reproduces the source: the gap sits on the earlier row (id order), so the first visit
@@ -194,7 +205,7 @@ def no_reinspections(df: DataFrame, strict: bool = False) -> DataFrame:
         return (with_days_from_previous(df)
                 .where(F.col("days_from_prev").isNull() | (F.col("days_from_prev") > 2))
                 .drop("days_from_prev"))
-    return (with_days_to_next(df)
+    return (with_days_to_next(df, **split)
             .where(F.col("days_to_next").isNull() | (F.col("days_to_next") > 2))
             .drop("days_to_next"))
 
@@ -214,9 +225,20 @@ def class_balance(labelled: DataFrame) -> DataFrame:
 
 def labelled_inspections(infractions: DataFrame, actions=None, outcomes=None, *,
                          strict_types: bool = False, strict_reinspection: bool = False,
-                         pivot_counts: str = "groups") -> DataFrame:
-    """The flagship chain: valid rows → aggregates → single-day → no re-inspection → label."""
+                         pivot_counts: str = "groups", hot_group_rows: int | None = None,
+                         chunk_rows: int = 1_000_000) -> DataFrame:
+    """The flagship chain: valid rows → aggregates → single-day → no re-inspection → label.
+
+    Default plan: one exchange on the establishment key feeds both per-establishment windows.
+    With ``hot_group_rows`` no step partitions by the establishment alone: the single-day check
+    partitions by (establishment, inspection) and the gap to the next visit splits establishments
+    above that size into parallel chunks.
+    """
     agg = inspections_aggregate(infractions, actions, outcomes, pivot_counts=pivot_counts,
                                 strict_types=strict_types)
+    if hot_group_rows is not None and not strict_reinspection:
+        one_day = single_day_inspections(agg)
+        kept = no_reinspections(one_day, hot_group_rows=hot_group_rows, chunk_rows=chunk_rows)
+        return inspection_label(kept)
     one_day = single_day_inspections(by_establishment(agg))
     return inspection_label(no_reinspections(one_day, strict=strict_reinspection))

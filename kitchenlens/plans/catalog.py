@@ -829,3 +829,20 @@ def q_k6(spark, sf_dir):
 def q_k8(spark, sf_dir):
     return qa.expect_unique(geo.geocode_lookup(fx.addressinfo(spark, sf_dir)), ["establishment_address"],
                             "one_geocode_per_address")
+
+
+# ---- hot-group splitting: same answers as the plain windows, checked against the same oracles ----
+
+SPLIT_ARGS = {"hot_group_rows": 5, "chunk_rows": 3}   # small, so most fixture establishments split
+
+
+@query("inspection_label_split")
+def q_label_split(spark, sf_dir):
+    """Flagship with establishments above 5 inspections scanned in chunks of ~3."""
+    return labelled(spark, sf_dir, **SPLIT_ARGS)
+
+
+@query("history_features_split")
+def q_features_split(spark, sf_dir):
+    f = ft.history_features(labelled(spark, sf_dir, **SPLIT_ARGS), ACTION_COLS, OUTCOME_COLS, **SPLIT_ARGS)
+    return f.select(*FEATURE_KEYS, *ft.feature_columns(ACTION_COLS, OUTCOME_COLS))

@@ -721,3 +721,7 @@ ORACLES["expect_unique_geocode"] = gchain(INFR) + """
 SELECT 'one_geocode_per_address' AS expectation, CAST(COUNT(*) AS BIGINT) AS num_rows,
        CAST(0 AS BIGINT) AS num_violations
 FROM (SELECT upper(replace(address, ', Toronto, ON, Canada', '')) AS a FROM addressinfo GROUP BY 1)"""
+
+
+ORACLES["inspection_label_split"] = ORACLES["inspection_label"]
+ORACLES["history_features_split"] = ORACLES["history_features"]

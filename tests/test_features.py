@@ -43,3 +43,32 @@ def test_exclusive_totals(spark):
     r = {x["inspection_id"]: x for x in out.collect()}
     assert [r[i]["cumulative_significant"] for i in (10, 11, 12)] == [None, 0, 2]
     assert not r[11]["ever_significant"]
+
+
+def _hot_frame(spark):
+    import random
+    rnd = random.Random(7)
+    statuses = ["Pass", "Conditional Pass", "Closed"]
+    recs = []
+    for est, n in ((1, 60), (2, 3), (3, 1)):
+        for i in range(n):
+            d = dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randrange(0, 300))
+            recs.append((est, "Restaurant", f"{est} ST", est * 1000 + i, d, rnd.choice(statuses),
+                         rnd.randrange(0, 3), rnd.randrange(0, 2), rnd.randrange(0, 2), rnd.choice([0, 1, None]), 0, 1))
+    return spark.createDataFrame(
+        recs, "establishment_id bigint, establishmenttype string, establishment_address string, inspection_id bigint, "
+              "inspection_date date, establishment_status string, num_minor bigint, num_significant bigint, "
+              "num_crucial bigint, num_ticket bigint, action_null bigint, court_outcome_null bigint")
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.select(sorted(df.columns)).collect()), key=repr)
+
+
+def test_split_hot_groups_equals_plain_window(spark):
+    df = _hot_frame(spark)
+    for excl in (False, True):
+        plain = ft.history_features(df, ["num_ticket", "action_null"], ["court_outcome_null"], exclude_current=excl)
+        split = ft.history_features(df, ["num_ticket", "action_null"], ["court_outcome_null"], exclude_current=excl,
+                                    hot_group_rows=10, chunk_rows=7)
+        assert _rows(plain) == _rows(split)
