@@ -79,3 +79,18 @@ def test_label_and_class_balance(spark):
     bal = {r["is_infraction"]: (r["num_inspections"], round(r["fraction"], 4))
            for r in insp.class_balance(lab).collect()}
     assert bal == {1: (2, 0.6667), 0: (1, 0.3333)}
+
+
+def test_gap_to_next_split_equals_plain(spark):
+    import random
+    rnd = random.Random(3)
+    recs = [dict(inspection_id=i, inspection_date=D(2020, 1, 1) + dt.timedelta(days=rnd.randrange(0, 200)),
+                 establishment_status=rnd.choice(["Pass", "Closed"])) for i in range(1, 80)]
+    recs += [dict(establishment_id=2, establishment_address="2 ST", inspection_id=500 + i,
+                  inspection_date=D(2021, 1, 1) + dt.timedelta(days=3 * i)) for i in range(4)]
+    agg = insp.single_day_inspections(insp.inspections_aggregate(rows(spark, recs), [None], [None]))
+    plain = insp.with_days_to_next(insp.by_establishment(agg))
+    split = insp.with_days_to_next(agg, hot_group_rows=10, chunk_rows=6)
+    key = lambda r: (r["establishment_id"], r["inspection_id"], r["establishment_status"])
+    assert sorted((key(r), r["days_to_next"]) for r in plain.collect()) == \
+        sorted((key(r), r["days_to_next"]) for r in split.collect())
