@@ -294,7 +294,12 @@ def areas(spark, sf_dir):
 
 
 def filled(spark, sf_dir):
-    return geo.fill_coordinates(labelled(spark, sf_dir), infractions(spark, sf_dir), fx.addressinfo(spark, sf_dir))
+    """Stage-3 output, written once to the checkpoint folder and read back: the spatial join, the
+    census join and everything after read it several times, and each read would otherwise
+    rescan and re-aggregate the raw infractions (the source hands stages over as files too)."""
+    from ..session import cut_lineage
+    f = geo.fill_coordinates(labelled(spark, sf_dir), infractions(spark, sf_dir), fx.addressinfo(spark, sf_dir))
+    return cut_lineage(f, "filled")
 
 
 def located(spark, sf_dir, inspections=None):
@@ -477,7 +482,10 @@ def full_table(spark, sf_dir):
 
 
 def ml_table(spark, sf_dir):
-    return mp.ml_features(full_table(spark, sf_dir))
+    """Model table, written once: the split's latest date, the class counts and every model fit
+    read it."""
+    from ..session import cut_lineage
+    return cut_lineage(mp.ml_features(full_table(spark, sf_dir)), "model_table")
 
 
 def split_table(spark, sf_dir):
