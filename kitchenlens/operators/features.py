@@ -115,7 +115,10 @@ def _history_features_chunked(df, action_columns, outcome_columns, exclude_curre
     from .ordered import CHUNK, NCH, assign_chunks, chunked_scan
     order = ["inspection_date", "inspection_id", "establishment_status"]
     prev_names = pivot_prev_names(action_columns, outcome_columns)
-    base = assign_chunks(df, EST, "inspection_date", hot_group_rows, chunk_rows).withColumn("_closed", _is_closed())
+    from ..session import cut_lineage
+    # the chunk assignment is read by both scans and their carry tables: write it once
+    base = cut_lineage(assign_chunks(df, EST, "inspection_date", hot_group_rows, chunk_rows)
+                       .withColumn("_closed", _is_closed()), "history_input")
     lags = {"_last_date": "inspection_date", "_last_status": "establishment_status"}
     lags.update({f"num_{t}_prev": f"num_{t}" for t in INFRACTION_TYPES})
     lags.update({name: src for src, name in prev_names.items()})
