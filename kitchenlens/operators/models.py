@@ -240,3 +240,32 @@ def cross_validate(folds: DataFrame, classifiers: dict, categoricals: Sequence[s
 def as_categorical_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Categorical inputs as text (the indexer takes strings; booleans / counts become labels)."""
     return df.withColumns({c: F.col(f"`{c}`").cast("string") for c in columns})
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    """Persist a fitted pipeline (Spark's own format; readable with ``PipelineModel.load``).
+
+    The Yeo-Johnson stage is a Python stage; its fitted λ, means and sds are small and are saved
+    next to the Spark stages as JSON."""
+    import json
+    spark_stages = [s for s in model.stages if not isinstance(s, YeoJohnsonModel)]
+    PipelineModel(spark_stages).write().overwrite().save(f"{path}/spark_stages")
+    yj = [s for s in model.stages if isinstance(s, YeoJohnsonModel)]
+    state = [{"lambdas": s.lambdas, "means": s.means, "stds": s.stds, "suffix": s.suffix} for s in yj]
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.mode("overwrite").text(
+        f"{path}/power_transform")
+
+
+def load_model(path: str) -> PipelineModel:
+    """Inverse of ``save_model``: stages in the original order (indexer, encoder, power transform,
+    assembler, classifier)."""
+    import json
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    spark_part = PipelineModel.load(f"{path}/spark_stages")
+    state = json.loads(spark.read.text(f"{path}/power_transform").first()[0])
+    yj = [YeoJohnsonModel(s["lambdas"], s["means"], s["stds"], s["suffix"]) for s in state]
+    stages = list(spark_part.stages)
+    return PipelineModel(stages[:2] + yj + stages[2:])

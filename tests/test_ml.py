@@ -90,3 +90,14 @@ def test_error_shares(spark):
     assert s[("incorrect", "Monday")] == (1.0, 0.0)
     top = ev.area_error_top(ev.area_error_share(pred), 1).where("subset = 'all'").collect()
     assert len(top) == 1
+
+
+def test_save_and_load_pipeline(spark, scratch):
+    rows = [(str(i % 2), float(i % 2) + 0.01 * i, i % 2) for i in range(40)]
+    df = mp.class_weights(spark.createDataFrame(rows, "c string, n double, is_infraction int"))
+    model = md.fit_pipeline(df, md.logistic_regression(40), ["c"], ["n"])
+    md.save_model(model, f"{scratch}/model")
+    again = md.load_model(f"{scratch}/model")
+    a = md.predict(model, df, ["n"]).orderBy("n").collect()
+    b = md.predict(again, df, ["n"]).orderBy("n").collect()
+    assert [r["y_pred"] for r in a] == [r["y_pred"] for r in b]
