@@ -854,3 +854,10 @@ def q_label_split(spark, sf_dir):
 def q_features_split(spark, sf_dir):
     f = ft.history_features(labelled(spark, sf_dir, **SPLIT_ARGS), ACTION_COLS, OUTCOME_COLS, **SPLIT_ARGS)
     return f.select(*FEATURE_KEYS, *ft.feature_columns(ACTION_COLS, OUTCOME_COLS))
+
+
+@query("load_count_check")
+def q_s9(spark, sf_dir):
+    """Bulk-append the normalised infractions to a fresh table, then compare counts."""
+    import uuid
+    return snap.append_and_check(spark, infractions(spark, sf_dir), _scratch(spark, f"loaded_{uuid.uuid4().hex}"))

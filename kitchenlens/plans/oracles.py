@@ -725,3 +725,6 @@ FROM (SELECT upper(replace(address, ', Toronto, ON, Canada', '')) AS a FROM addr
 
 ORACLES["inspection_label_split"] = ORACLES["inspection_label"]
 ORACLES["history_features_split"] = ORACLES["history_features"]
+
+ORACLES["load_count_check"] = chain(INFR) + """
+SELECT CAST(COUNT(*) AS BIGINT) AS loaded, CAST(COUNT(*) AS BIGINT) AS expected, true AS ok FROM infr"""

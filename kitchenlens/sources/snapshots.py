@@ -144,3 +144,12 @@ def load_count_check(spark: SparkSession, staged: DataFrame, table: str, expecte
     loaded = spark.table(table).agg(F.count(F.lit(1)).cast("bigint").alias("loaded"))
     exp = F.lit(expected).cast("bigint") if expected is not None else F.col("loaded")
     return loaded.select("loaded", exp.alias("expected"), (F.col("loaded") == exp).alias("ok"))
+
+
+def append_and_check(spark: SparkSession, staged: DataFrame, path: str) -> DataFrame:
+    """S9 / K7 on a storage path: append the staged rows as Parquet, then report the rows now
+    in the table against the rows staged (both counts are scalar subqueries, no join)."""
+    staged.write.mode("append").parquet(path)
+    loaded = spark.read.parquet(path).agg(F.count(F.lit(1)).cast("bigint")).scalar()
+    expected = staged.agg(F.count(F.lit(1)).cast("bigint")).scalar()
+    return spark.range(1).select(loaded.alias("loaded"), expected.alias("expected"), (loaded == expected).alias("ok"))
