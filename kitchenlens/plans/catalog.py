@@ -433,8 +433,8 @@ def q_l3(spark, sf_dir):
 # stage 7: history features
 # ---------------------------------------------------------------------------------------------
 
-ACTION_COLS = [c for c in insp.pivot_column_names(fx.FIXTURE_ACTIONS, []) ]
-OUTCOME_COLS = [c for c in insp.pivot_column_names([], fx.FIXTURE_OUTCOMES)]
+ACTION_COLS = insp.pivot_column_names(fx.FIXTURE_ACTIONS, [])
+OUTCOME_COLS = insp.pivot_column_names([], fx.FIXTURE_OUTCOMES)
 FEATURE_KEYS = insp.EST + ["inspection_id", "inspection_date"]
 
 
