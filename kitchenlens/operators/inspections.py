@@ -3,10 +3,12 @@
 Plan shape, chosen for scale:
 
 * the validity filter runs before any shuffle and is pushed into the scan where possible;
-* the 8-key and 6-key aggregates run as partial + final hash aggregates, so a hot
-  establishment is spread across tasks by inspection before anything is shuffled;
-* a single hash exchange on the establishment key then feeds every per-establishment step
-  (multi-day check, gap to next inspection) — the windows share it;
+* valid rows are hash-partitioned once on (establishment id, inspection id): the 8-key inner
+  aggregate, the 6-key outer aggregate and the multi-day check all group by supersets of those
+  two columns, so they run in that one stage without further exchanges, and a hot
+  establishment is spread across tasks by inspection (the sorted text of one inspection is one
+  string, so one group's text is never split, with or without map-side combining);
+* one more exchange on the establishment key feeds the gap to the next visit;
 * pivot values are an explicit list, so the plan is static and needs no extra distinct job.
 """
 
@@ -110,6 +112,8 @@ def inspections_aggregate(df: DataFrame, actions: Sequence[str | None] | None =
         actions = distinct_values(df, "action")
     if outcomes is None:
         outcomes = distinct_values(df, "court_outcome")
+    # one exchange serves the inner and outer aggregates and the multi-day window downstream
+    valid = valid.repartition("establishment_id", "inspection_id")
     inner = infraction_groups(valid, with_row_count=(pivot_counts == "rows"))
     weight = F.col("num_rows") if pivot_counts == "rows" else None
     aggs = [sorted_text_agg("infractions_summary").alias("infractions_summary")]
@@ -229,16 +233,15 @@ def labelled_inspections(infractions: DataFrame, actions=None, outcomes=None, *,
                          chunk_rows: int = 1_000_000) -> DataFrame:
     """The flagship chain: valid rows → aggregates → single-day → no re-inspection → label.
 
-    Default plan: one exchange on the establishment key feeds both per-establishment windows.
-    With ``hot_group_rows`` no step partitions by the establishment alone: the single-day check
-    partitions by (establishment, inspection) and the gap to the next visit splits establishments
-    above that size into parallel chunks.
+    Default plan: two exchanges — (establishment id, inspection id) for both aggregates and the
+    single-day check, then the establishment key for the gap to the next visit.  With
+    ``hot_group_rows`` no step partitions by the establishment alone: the gap to the next visit
+    splits establishments above that size into parallel chunks.
     """
     agg = inspections_aggregate(infractions, actions, outcomes, pivot_counts=pivot_counts,
                                 strict_types=strict_types)
+    one_day = single_day_inspections(agg)          # runs on the aggregate's partitioning
     if hot_group_rows is not None and not strict_reinspection:
-        one_day = single_day_inspections(agg)
         kept = no_reinspections(one_day, hot_group_rows=hot_group_rows, chunk_rows=chunk_rows)
         return inspection_label(kept)
-    one_day = single_day_inspections(by_establishment(agg))
-    return inspection_label(no_reinspections(one_day, strict=strict_reinspection))
+    return inspection_label(no_reinspections(by_establishment(one_day), strict=strict_reinspection))

@@ -109,27 +109,27 @@ def q_multi_day(spark, sf_dir):
 
 @query("single_day_inspections")
 def q_single_day(spark, sf_dir):
-    return insp.single_day_inspections(insp.by_establishment(aggregate(spark, sf_dir)))
+    return insp.single_day_inspections(aggregate(spark, sf_dir))
 
 
 @query("days_to_next")
 def q_days_to_next(spark, sf_dir):
-    return insp.with_days_to_next(insp.single_day_inspections(insp.by_establishment(aggregate(spark, sf_dir))))
+    return insp.with_days_to_next(insp.by_establishment(insp.single_day_inspections(aggregate(spark, sf_dir))))
 
 
 @query("reinspections")
 def q_reinspections(spark, sf_dir):
-    return insp.reinspections(insp.single_day_inspections(insp.by_establishment(aggregate(spark, sf_dir))))
+    return insp.reinspections(insp.by_establishment(insp.single_day_inspections(aggregate(spark, sf_dir))))
 
 
 @query("no_reinspections")
 def q_no_reinspections(spark, sf_dir):
-    return insp.no_reinspections(insp.single_day_inspections(insp.by_establishment(aggregate(spark, sf_dir))))
+    return insp.no_reinspections(insp.by_establishment(insp.single_day_inspections(aggregate(spark, sf_dir))))
 
 
 @query("no_reinspections_strict")
 def q_no_reinspections_strict(spark, sf_dir):
-    return insp.no_reinspections(insp.single_day_inspections(insp.by_establishment(aggregate(spark, sf_dir))),
+    return insp.no_reinspections(insp.by_establishment(insp.single_day_inspections(aggregate(spark, sf_dir))),
                                  strict=True)
 
 
@@ -230,7 +230,7 @@ def q_a8(spark, sf_dir):
 
 
 def single_day(spark, sf_dir):
-    return insp.single_day_inspections(insp.by_establishment(aggregate(spark, sf_dir)))
+    return insp.single_day_inspections(aggregate(spark, sf_dir))
 
 
 @query("est_recount")

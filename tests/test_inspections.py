@@ -53,7 +53,7 @@ def test_multi_day_inspection_removed(spark):
                       dict(inspection_id=11, inspection_date=D(2020, 3, 1))])
     agg = insp.inspections_aggregate(df, [None], [None])
     assert insp.multi_day_inspections(agg).count() == 1
-    kept = insp.single_day_inspections(insp.by_establishment(agg))
+    kept = insp.single_day_inspections(agg)
     assert [r["inspection_id"] for r in kept.collect()] == [11]
 
 
@@ -62,7 +62,7 @@ def test_reinspection_default_drops_first_of_close_pair(spark):
     df = rows(spark, [dict(inspection_id=1, inspection_date=D(2020, 1, 1)),
                       dict(inspection_id=2, inspection_date=D(2020, 1, 2)),
                       dict(inspection_id=3, inspection_date=D(2020, 6, 1))])
-    agg = insp.single_day_inspections(insp.by_establishment(insp.inspections_aggregate(df, [None], [None])))
+    agg = insp.by_establishment(insp.single_day_inspections(insp.inspections_aggregate(df, [None], [None])))
     default = sorted(r["inspection_id"] for r in insp.no_reinspections(agg).collect())
     strict = sorted(r["inspection_id"] for r in insp.no_reinspections(agg, strict=True).collect())
     assert default == [2, 3]

@@ -18,8 +18,9 @@ def test_flagship_plan(spark):
     p = plan_of(c.labelled(spark, SF001))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p
-    # inner aggregate, outer aggregate and one establishment exchange shared by both windows
-    assert count(r"Exchange hashpartitioning", p) == 3
+    # (establishment id, inspection id) for both aggregates and the multi-day window, then the
+    # establishment key for the gap window
+    assert count(r"Exchange hashpartitioning", p) == 2
     assert count(r"Window \[", p) >= 2
 
 
