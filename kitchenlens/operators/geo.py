@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from ..constants import EST, GEOCODE_SUFFIX
 from ..functions.text import title_case
 
-# Broadcast the polygon-cell table only when it is provably small.
-MAX_BROADCAST_CELLS = 2_000_000
+# Side tables of the spatial join are broadcast only below these checked sizes.
+MAX_BROADCAST_CELLS = 1_000_000        # rows of (cell, polygon id, bounding box)
+MAX_BROADCAST_VERTICES = 5_000_000     # polygon vertices over all outlines
 
 
 # ---- coordinates and geocode cache -----------------------------------------------------------
@@ -121,25 +122,32 @@ def polygon_cells(polygons: DataFrame, cell: float, geometry: str = "geometry")
 
 def point_in_polygon(points: DataFrame, polygons: DataFrame, lon: str = "longitude", lat: str = "latitude",
                      keep: list[str] | None = None, cell: float = 0.01, geometry: str = "geometry",
-                     max_broadcast_cells: int = MAX_BROADCAST_CELLS) -> DataFrame:
+                     max_broadcast_cells: int = MAX_BROADCAST_CELLS,
+                     max_broadcast_vertices: int = MAX_BROADCAST_VERTICES) -> DataFrame:
     """Inner spatial join — polygon contains point.  Points outside every polygon drop out.
 
-    Candidate pairs come from an equi-join on grid cells (no nested loop, no pair explosion);
-    the exact even-odd test then runs on the few candidates.  The polygon-cell table is
-    broadcast only after its row count is checked against ``max_broadcast_cells``; above that
-    it is shuffled like any join (AQE splits hot cells).
+    Candidate pairs come from an equi-join on grid cells (no nested loop, no pair explosion):
+    the cell table holds only (cell, polygon id, bounding box), and the bounding box prunes
+    candidates before any geometry is touched.  The exact even-odd test then joins the polygon
+    outlines by id.  Each side table is broadcast only after its size is checked (cell rows,
+    total vertices); above the bound it is shuffled like any join and AQE splits hot keys.
     """
     keep = keep if keep is not None else [c for c in polygons.columns if c != geometry]
-    cells = polygon_cells(polygons, cell, geometry).select(*keep, geometry, "_cx", "_cy", "_minx", "_maxx",
-                                                           "_miny", "_maxy")
+    polys = polygons.withColumn("_pid", F.xxhash64(*[F.col(c) for c in keep], F.col(geometry)))
+    cells = polygon_cells(polys, cell, geometry).select("_pid", "_cx", "_cy", "_minx", "_maxx", "_miny", "_maxy")
+    shapes = polys.select("_pid", *keep, geometry)
+    sizes = polys.agg(F.count(F.lit(1)).alias("n"),
+                      F.sum(F.size(F.flatten(F.col(geometry)))).alias("v")).first()
     n_cells = cells.count()
-    side = F.broadcast(cells) if n_cells <= max_broadcast_cells else cells
+    cells_side = F.broadcast(cells) if n_cells <= max_broadcast_cells else cells
+    shapes_side = F.broadcast(shapes) if (sizes["v"] or 0) <= max_broadcast_vertices else shapes
     pts = (points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
            .withColumn("_cx", F.floor(F.col(lon) / cell)).withColumn("_cy", F.floor(F.col(lat) / cell)))
-    joined = pts.join(side, ["_cx", "_cy"])
-    inside = (F.col(lon).between(F.col("_minx"), F.col("_maxx")) & F.col(lat).between(F.col("_miny"), F.col("_maxy"))
-              & contains_point(F.col(geometry), F.col(lon), F.col(lat)))
-    return joined.where(inside).drop("_cx", "_cy", "_minx", "_maxx", "_miny", "_maxy", geometry)
+    in_box = F.col(lon).between(F.col("_minx"), F.col("_maxx")) & F.col(lat).between(F.col("_miny"), F.col("_maxy"))
+    candidates = pts.join(cells_side, ["_cx", "_cy"]).where(in_box)
+    joined = candidates.join(shapes_side, "_pid")
+    return (joined.where(contains_point(F.col(geometry), F.col(lon), F.col(lat)))
+            .drop("_cx", "_cy", "_minx", "_maxx", "_miny", "_maxy", "_pid", geometry))
 
 
 def fix_area_names(areas: DataFrame, fixes=None, column: str = "AREA_NAME") -> DataFrame:
@@ -159,3 +167,10 @@ def area_name_match(areas: DataFrame, patterns=None, column: str = "AREA_NAME")
         t = F.col(column).contains(p)
         cond = t if cond is None else cond | t
     return areas.where(cond)
+
+
+def unlocated_points(points: DataFrame, located: DataFrame, keys: list[str]) -> DataFrame:
+    """Q14: the points the spatial join dropped (outside every polygon or without coordinates),
+    reported as a true row count instead of the source's column count."""
+    return (points.join(located.select(*keys), keys, "left_anti")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("num_dropped")))

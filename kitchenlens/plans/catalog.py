@@ -861,3 +861,10 @@ def q_s9(spark, sf_dir):
     """Bulk-append the normalised infractions to a fresh table, then compare counts."""
     import uuid
     return snap.append_and_check(spark, infractions(spark, sf_dir), _scratch(spark, f"loaded_{uuid.uuid4().hex}"))
+
+
+@query("unlocated_establishments")
+def q_q14(spark, sf_dir):
+    """Q14: establishments dropped by the spatial join (outside every area or no coordinates)."""
+    f = filled(spark, sf_dir)
+    return geo.unlocated_points(geo.unique_locations(f), located(spark, sf_dir, f), insp.EST)

@@ -29,7 +29,7 @@ def test_point_in_polygon_even_odd(spark):
 
 def test_point_in_polygon_without_broadcast(spark):
     pts = spark.createDataFrame([(1, 0.5, 0.5), (3, 2.2, 0.2)], "id int, longitude double, latitude double")
-    got = geo.point_in_polygon(pts, polygons(spark), cell=0.5, max_broadcast_cells=0)
+    got = geo.point_in_polygon(pts, polygons(spark), cell=0.5, max_broadcast_cells=0, max_broadcast_vertices=0)
     assert sorted(r["id"] for r in got.collect()) == [1, 3]
 
 

@@ -101,3 +101,11 @@ def test_save_and_load_pipeline(spark, scratch):
     a = md.predict(model, df, ["n"]).orderBy("n").collect()
     b = md.predict(again, df, ["n"]).orderBy("n").collect()
     assert [r["y_pred"] for r in a] == [r["y_pred"] for r in b]
+
+
+def test_perceptron_defined_and_fits(spark):
+    rows = [(str(i % 2), float(i % 2) + 0.01 * i, i % 2) for i in range(40)]
+    df = mp.class_weights(spark.createDataFrame(rows, "c string, n double, is_infraction int"))
+    # width of the assembled vector: one-hot of 2 labels (dropLast keeps both, unseen bucket dropped) + 1
+    model = md.fit_pipeline(df, md.perceptron(3), ["c"], ["n"])
+    assert md.predict(model, df, ["n"]).count() == 40

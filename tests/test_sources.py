@@ -110,3 +110,15 @@ def test_incremental_append_and_stream(spark, scratch):
     ingest_snapshots(spark, f"{land}/*/", out, ck)
     got = sorted(r["filename"] for r in spark.read.parquet(out).collect())
     assert got == [20200101, 20200201]                        # each file loaded exactly once
+
+
+def test_table_ddl_and_gzip_parquet(spark, scratch):
+    from kitchenlens.constants import ADDRESSINFO_SCHEMA
+    name = "kl_test_addressinfo"
+    assert files.create_table(spark, name, ADDRESSINFO_SCHEMA, "geocode cache", location=f"{scratch}/tbl")
+    assert [f.name for f in spark.table(name).schema.fields] == ADDRESSINFO_SCHEMA.fieldNames()
+    assert files.drop_table(spark, name)
+    df = spark.range(10).withColumnRenamed("id", "k")
+    files.write_parquet_gzip(df, f"{scratch}/gz")
+    assert spark.read.parquet(f"{scratch}/gz").count() == 10
+    assert any(p.endswith(".gz.parquet") for p in os.listdir(f"{scratch}/gz"))
