@@ -46,3 +46,20 @@ def test_entry_and_contract(spark):
 def test_spatial_join_has_no_nested_loop(spark):
     p = plan_of(c.located(spark, SF001))
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
+def test_profile_table_values_and_plan(spark):
+    from kitchenlens.operators import explore as ex
+    df = spark.createDataFrame([(0.0, "a", 1), (-0.0, None, 1), (None, "b", 2), (float("nan"), "a", None)],
+                               "x double, y string, z int")
+    got = {r["column"]: r.asDict() for r in ex.profile_table(df).collect()}
+    assert [got[k]["num"] for k in "xyz"] == [4, 4, 4]
+    assert [got[k]["num_missing"] for k in "xyz"] == [1, 1, 1]
+    assert [got[k]["nunique"] for k in "xyz"] == [2, 2, 2]      # -0.0 equals 0.0; NaN is one value
+    assert {got[k]["sample_value"] for k in "xyz"} == {"0.0", "a", "1"}   # the smallest complete row
+    assert got["x"]["dtype"] == "double"
+    empty = ex.profile_table(df.where("z > 99")).collect()
+    assert sorted((r["column"], r["num"], r["nunique"]) for r in empty) == [("x", 0, 0), ("y", 0, 0), ("z", 0, 0)]
+    # one scan, no per-distinct-column row expansion, no subquery re-running the input
+    p = plan_of(ex.profile_table(c.labelled(spark, SF001)))
+    assert "Expand" not in p and "Subquery" not in p
