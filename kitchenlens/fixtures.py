@@ -10,6 +10,8 @@ Everything here is a projection or equi-join of the given tables: the work grows
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +23,24 @@ ORIGIN_LAT, ORIGIN_LON = 43.6, -79.6
 CELL_H, CELL_W, SHEAR = 0.05, 0.08, 0.2
 
 
+_SCHEMAS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table.  The schema is inferred on the first read of a path and given on later
+    reads (each inference is a Spark job); a rewritten file has a new timestamp and is inferred
+    again."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        key = (path, os.stat(path).st_mtime_ns)
+    except OSError:                     # not a local path: infer every time
+        return spark.read.parquet(path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def _case(col: Column, mapping: dict, default=None) -> Column:

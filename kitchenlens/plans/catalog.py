@@ -817,6 +817,17 @@ def q_s8(spark, sf_dir):
     return fl.read_bulk_csv(spark, path)
 
 
+@query("stage_csv_handoff")
+def q_s12(spark, sf_dir):
+    """The labelled inspections handed to the next stage as CSV (header, ISO
+    dates), the newest output picked by modification time and read back with the stage schema."""
+    import uuid
+    lab = labelled(spark, sf_dir)
+    folder = _scratch(spark, f"stage_csv_{uuid.uuid4().hex}")
+    fl.write_stage(lab, f"{folder}/labelled", fmt="csv")
+    return fl.read_stage(spark, fl.latest_stage(spark, folder), schema=lab.schema, fmt="csv")
+
+
 @query("expect_area_count")
 def q_k4(spark, sf_dir):
     return qa.expect_count(areas(spark, sf_dir), fx.N_AREAS, "area_count")

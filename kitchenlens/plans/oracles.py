@@ -729,6 +729,8 @@ ORACLES["history_features_split"] = ORACLES["history_features"]
 ORACLES["load_count_check"] = chain(INFR) + """
 SELECT CAST(COUNT(*) AS BIGINT) AS loaded, CAST(COUNT(*) AS BIGINT) AS expected, true AS ok FROM infr"""
 
+ORACLES["stage_csv_handoff"] = ORACLES["inspection_label"]
+
 ORACLES["unlocated_establishments"] = gchain(*GEO_CHAIN) + f"""
 SELECT CAST(COUNT(*) AS BIGINT) AS num_dropped FROM locs l
 WHERE NOT EXISTS (SELECT 1 FROM located x WHERE x.establishment_id = l.establishment_id

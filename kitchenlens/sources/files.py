@@ -27,6 +27,43 @@ def write_parquet_gzip(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "gzip").parquet(path)
 
 
+def write_stage(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Write a stage result for the next stage.  Parquet by default (typed, column-pruned
+    reads); ``fmt="csv"`` writes a header and ISO dates, as the source's hand-off files have."""
+    w = df.write.mode("overwrite")
+    if fmt == "csv":
+        w = w.option("header", True).option("dateFormat", "yyyy-MM-dd")
+    w.format(fmt).save(path)
+
+
+def read_stage(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet",
+               date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """Read a stage result.  CSV needs ``schema``: date columns are parsed by it (no
+    inference pass); rows keep no order — steps that need one sort inside their window."""
+    if fmt == "csv":
+        if schema is None:
+            raise ValueError("read_stage: a CSV stage file needs its schema")
+        return (spark.read.schema(schema).option("header", True).option("dateFormat", date_format)
+                .option("mode", "FAILFAST").csv(path))
+    r = spark.read.schema(schema) if schema is not None else spark.read
+    return r.format(fmt).load(path)
+
+
+def latest_stage(spark: SparkSession, folder: str) -> str:
+    """Q17: the newest output under ``folder`` chosen by modification time (the source takes
+    the last name of an unsorted listing).  Lists one folder through Hadoop's file system, so it
+    works on any shared store; only the listing reaches the driver."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    statuses = p.getFileSystem(conf).listStatus(p)
+    entries = [(st.getModificationTime(), st.getPath().getName(), st.getPath().toString()) for st in statuses
+               if not st.getPath().getName().startswith(("_", "."))]
+    if not entries:
+        raise FileNotFoundError(f"latest_stage: nothing under {folder}")
+    return max(entries)[2]
+
+
 def read_catalog_records(spark: SparkSession, path: str, rename: dict | None = None) -> DataFrame:
     """A JSON catalog response ``{"result": {"records": [...]}}`` → one row per record,
     optional column renames."""

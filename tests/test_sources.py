@@ -122,3 +122,25 @@ def test_table_ddl_and_gzip_parquet(spark, scratch):
     files.write_parquet_gzip(df, f"{scratch}/gz")
     assert spark.read.parquet(f"{scratch}/gz").count() == 10
     assert any(p.endswith(".gz.parquet") for p in os.listdir(f"{scratch}/gz"))
+
+
+def test_stage_handoff_round_trip_and_latest(spark, scratch):
+    import datetime as dt
+    import time
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("establishment_id", T.LongType()),
+                           T.StructField("inspection_date", T.DateType()),
+                           T.StructField("num_infractions", T.LongType())])
+    rows = [(1, dt.date(2020, 1, 2), 3), (2, None, 0), (3, dt.date(2021, 12, 31), None)]
+    df = spark.createDataFrame(rows, schema)
+    files.write_stage(df, f"{scratch}/stages/s2_old", fmt="csv")
+    time.sleep(0.05)
+    files.write_stage(df, f"{scratch}/stages/s2_new")
+    back = files.read_stage(spark, f"{scratch}/stages/s2_old", schema=schema, fmt="csv")
+    assert back.schema == schema
+    assert sorted(back.collect(), key=lambda r: r[0]) == sorted(df.collect(), key=lambda r: r[0])
+    with pytest.raises(ValueError):
+        files.read_stage(spark, f"{scratch}/stages/s2_old", fmt="csv")
+    latest = files.latest_stage(spark, f"{scratch}/stages")
+    assert latest.endswith("s2_new")
+    assert files.read_stage(spark, latest).count() == 3
