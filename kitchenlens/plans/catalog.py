@@ -41,7 +41,14 @@ def aggregate(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return insp.inspections_aggregate(infractions(spark, sf_dir), fx.FIXTURE_ACTIONS, fx.FIXTURE_OUTCOMES, **kw)
 
 
+# An establishment with more inspections than this has its gap-to-next-visit scan split into
+# parallel chunks (operators/ordered.py), so one dominant establishment never becomes one task.
+# Below it the split costs one grouped count and a broadcast of an empty hot table.
+HOT_GROUP_ROWS = 2_000_000
+
+
 def labelled(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    kw.setdefault("hot_group_rows", HOT_GROUP_ROWS)
     return insp.labelled_inspections(infractions(spark, sf_dir), fx.FIXTURE_ACTIONS, fx.FIXTURE_OUTCOMES, **kw)
 
 

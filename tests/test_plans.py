@@ -15,7 +15,7 @@ def count(pattern, text):
 
 
 def test_flagship_plan(spark):
-    p = plan_of(c.labelled(spark, SF001))
+    p = plan_of(c.labelled(spark, SF001, hot_group_rows=None))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p
     # (establishment id, inspection id) for both aggregates and the multi-day window, then the
@@ -24,6 +24,15 @@ def test_flagship_plan(spark):
     assert count(r"Window \[", p) >= 2
 
 
+def test_flagship_default_splits_hot_establishments(spark):
+    p = plan_of(c.labelled(spark, SF001))
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    specs = [re.sub(r"#\d+L?", "", m) for m in re.findall(r"Window \[.*?\], \[([^\]]*)\]", p)]
+    est = "establishment_id, establishmenttype, establishment_address"
+    assert est + ", _chunk" in specs            # the gap scan runs per (establishment, chunk)
+    assert specs.count(est) <= 1                # only the carry table (one row per hot chunk)
+
+
 def test_features_add_no_extra_exchange(spark):
     base = count(r"Exchange hashpartitioning", plan_of(c.labelled(spark, SF001)))
     feats = count(r"Exchange hashpartitioning", plan_of(c.featured(spark, SF001)))
