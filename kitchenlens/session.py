@@ -28,16 +28,27 @@ DEFAULT_CONF = {
 
 def get_session(master: str | None = None, app: str = "kitchenlens",
                 shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
-    settings = dict(DEFAULT_CONF)
+    explicit = dict(conf or {})
     if shuffle_partitions:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    settings.update(conf or {})
-    for k, v in settings.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        # a running session (a cluster platform's): keep its settings, fill in only what is
+        # unset, and apply what the caller asked for explicitly (runtime-settable keys only)
+        for k, v in {**DEFAULT_CONF, **explicit}.items():
+            if k in explicit or active.conf.get(k, None) is None:
+                try:
+                    active.conf.set(k, v)
+                except Exception:       # static settings cannot change in a running session
+                    pass
+        spark = active
+    else:
+        builder = SparkSession.builder.appName(app)
+        if master:
+            builder = builder.master(master)
+        for k, v in {**DEFAULT_CONF, **explicit}.items():
+            builder = builder.config(k, v)
+        spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
