@@ -125,9 +125,11 @@ def _history_features_chunked(df, action_columns, outcome_columns, exclude_curre
     totals = {"cumulative_failures": "_closed"}
     totals.update({f"cumulative_{t}": f"num_{t}" for t in INFRACTION_TYPES})
     step1 = chunked_scan(base, EST, order, lags=lags, index="cumulative_inspections",
-                         sums={} if exclude_current else totals, exclusive_sums=totals if exclude_current else {})
+                         sums={} if exclude_current else totals, exclusive_sums=totals if exclude_current else {},
+                         chunk_rows=chunk_rows)
     step1 = step1.withColumns({c: F.col(c).cast("bigint") for c in totals})
-    step2 = chunked_scan(step1, EST, order, sums={f"cumulative_{n}": n for n in prev_names.values()})
+    step2 = chunked_scan(step1, EST, order, sums={f"cumulative_{n}": n for n in prev_names.values()},
+                         chunk_rows=chunk_rows)
     step2 = step2.withColumns({f"cumulative_{n}": F.col(f"cumulative_{n}").cast("bigint") for n in prev_names.values()})
     return _derived(step2.drop("_closed", CHUNK, NCH))
 

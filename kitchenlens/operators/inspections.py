@@ -180,7 +180,7 @@ def with_days_to_next(df: DataFrame, hot_group_rows: int | None = None, chunk_ro
         from .ordered import CHUNK, NCH, assign_chunks, chunked_scan
         base = assign_chunks(df, EST, "inspection_id", hot_group_rows, chunk_rows, descending=True)
         out = chunked_scan(base, EST, ["inspection_id", "inspection_date", "establishment_status"],
-                           lags={"_next_date": "inspection_date"}, descending=True)
+                           lags={"_next_date": "inspection_date"}, descending=True, chunk_rows=chunk_rows)
         return (out.withColumn("days_to_next", F.abs(F.datediff(F.col("inspection_date"), F.col("_next_date")))
                                .cast("bigint")).drop("_next_date", CHUNK, NCH))
     w = Window.partitionBy(*EST).orderBy(*_next_order(False))

@@ -6,8 +6,9 @@ large share of the data that task is the whole job.  Here a group with more than
 scanned by its own window partition, and what a chunk needs from the chunks before it (row count,
 totals, the last row's values) comes from a small carry table with one row per chunk of a hot
 group.  Both side tables have proven bounds: at most ``rows / hot_group_rows`` hot groups and
-``rows / chunk_rows`` chunks, so they are broadcast; the large side is never shuffled by key
-alone.  Results equal the plain window's exactly.
+``rows / chunk_rows`` chunks.  They are broadcast when that bound is small
+(``MIN_ROWS_PER_BROADCAST_ENTRY``), so the large side is never shuffled by key alone; with
+smaller (test) thresholds the joins are left to AQE.  Results equal the plain window's exactly.
 """
 
 from __future__ import annotations
@@ -20,6 +21,16 @@ from pyspark.sql import functions as F
 CHUNK = "_chunk"
 NCH = "_nch"
 
+# A side table with one row per ``n`` input rows is broadcast only when n is at least this, so
+# it holds at most rows / 100,000 small rows (10 million for 10^12 rows).  Below it (thresholds
+# chosen for testing) the join is left to AQE, which broadcasts it when its runtime size is
+# small and otherwise splits skewed partitions of the large side.
+MIN_ROWS_PER_BROADCAST_ENTRY = 100_000
+
+
+def _bounded(side: DataFrame, rows_per_entry: int) -> DataFrame:
+    return F.broadcast(side) if rows_per_entry >= MIN_ROWS_PER_BROADCAST_ENTRY else side
+
 
 def _num(c: Column, is_date: bool) -> Column:
     return F.unix_date(c).cast("double") if is_date else c.cast("double")
@@ -37,8 +48,8 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], first_order: str, hot_grou
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias("_v0"), F.max(v).alias("_v1"))
            .where(F.col("_n") > hot_group_rows)
            .select(*keys, F.ceil(F.col("_n") / F.lit(float(chunk_rows))).cast("int").alias(NCH), "_v0", "_v1"))
-    # at most rows / hot_group_rows entries: a proven bound, so the big side is not shuffled
-    j = df.join(F.broadcast(hot), list(keys), "left")
+    # at most rows / hot_group_rows entries: broadcast when that bound is small
+    j = df.join(_bounded(hot, hot_group_rows), list(keys), "left")
     span = F.col("_v1") - F.col("_v0") + F.lit(1.0)
     pos = (F.col("_v1") - v) if descending else (v - F.col("_v0"))
     chunk = F.least(F.floor(pos * F.col(NCH) / span), F.col(NCH) - 1)
@@ -52,10 +63,11 @@ def _add(a: Column, b: Column) -> Column:
 
 def chunked_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, lags: dict | None = None,
                  sums: dict | None = None, exclusive_sums: dict | None = None, index: str | None = None,
-                 descending: bool = False) -> DataFrame:
+                 descending: bool = False, chunk_rows: int = 1_000_000) -> DataFrame:
     """Previous-row values (``lags``: out → column), running totals including (``sums``) or
     excluding (``exclusive_sums``) the current row, and a 0-based row ``index``, per key in the
-    order of the ``order`` columns (all ascending, or all descending).  ``df`` must carry
+    order of the ``order`` columns (all ascending, or all descending); ``chunk_rows`` is the one
+    ``assign_chunks`` used (it bounds the carry table).  ``df`` must carry
     ``_chunk`` / ``_nch`` from ``assign_chunks`` (built with the same direction)."""
     lags, sums, exclusive_sums = lags or {}, sums or {}, exclusive_sums or {}
     sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
@@ -83,7 +95,7 @@ def chunked_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, la
     if lags:
         carry_cols.append(F.lag("_last").over(wc).alias("_c_last"))
     carry = per_chunk.select(*keys, CHUNK, *carry_cols)
-    out = scanned.join(F.broadcast(carry), [*keys, CHUNK], "left")
+    out = scanned.join(_bounded(carry, chunk_rows), [*keys, CHUNK], "left")
 
     split = F.col(NCH).isNotNull()
     final = {}
