@@ -106,28 +106,30 @@ def partition_numbering(df: DataFrame, order: Sequence[str], n_parts: int, n_buc
     """Split rows in a total order into ``n_parts`` near-equal contiguous parts.
 
     part = floor(global_row_index / (n / n_parts)).  The global index is built without a
-    single-partition window: rows are cut into ``n_buckets`` ranges of the first order column
-    (approximate quantiles, taken as one scalar subquery), each bucket numbers its rows with a
-    window, and every bucket adds the row count of the buckets before it — a table with one row
-    per bucket, so its broadcast is bounded by the bucket count.
+    single-partition window: a range shuffle on the whole order key (sampled bounds) cuts the
+    rows into ``n_buckets`` sorted ranges — ties on the first column spread over ranges by the
+    later columns — and each row's index is its position inside its range plus the row count of
+    the ranges before it, from a table with one row per range (its broadcast is bounded by the
+    bucket count).  The numbered ranges are written once to the checkpoint folder.
     """
     spark = df.sparkSession
     n_buckets = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    first = F.col(order[0])
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.agg(F.percentile_approx(first, probs, 10000)).scalar()
-    # the bounds column is materialised first: a subquery may not sit inside a lambda
-    b = (df.withColumn("_bounds", bounds)
-         .withColumn("_b", F.size(F.filter(F.col("_bounds"), lambda x: x <= first))).drop("_bounds"))
-    sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    from ..session import cut_lineage
+    # written once: the counts and the index read the same ranges, range ids and positions
+    # (two range shuffles could sample different bounds), and a lost executor cannot renumber
+    ranges = cut_lineage(df.repartitionByRange(n_buckets, *order).sortWithinPartitions(*order)
+                         .select(*df.columns, F.spark_partition_id().alias("_b"),
+                                 F.monotonically_increasing_id().alias("_id")), "numbering")
+    sizes = ranges.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = sizes.select(
         "_b",
         F.coalesce(F.sum("_cnt").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_offset"),
         F.sum("_cnt").over(Window.partitionBy(F.lit(0))).alias("_total"))
-    local = b.withColumn("_local", F.row_number().over(Window.partitionBy("_b").orderBy(*order)) - 1)
-    idx = local.join(F.broadcast(offsets), "_b")
-    row_index = F.col("_offset") + F.col("_local")
+    # the id is (range << 33) + position inside the sorted range
+    local = F.col("_id") - F.shiftleft(F.col("_b").cast("bigint"), 33)
+    idx = ranges.join(F.broadcast(offsets), "_b")
+    row_index = F.col("_offset") + local
     part = F.floor(row_index / (F.col("_total") / F.lit(float(n_parts)))).cast("int")
     return idx.select(*df.columns, row_index.cast("bigint").alias("row_index"), part.alias("part"))
 

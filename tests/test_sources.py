@@ -88,6 +88,17 @@ def test_partition_numbering_contiguous(spark):
     assert max(parts.count(p) for p in range(10)) - min(parts.count(p) for p in range(10)) <= 1
 
 
+def test_partition_numbering_with_a_dominant_tie(spark):
+    from pyspark.sql import functions as F
+    # half the rows share one first-column value; the second column orders them
+    df = spark.range(0, 4000).select(F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).alias("k1"),
+                                     F.col("id").alias("k2"))
+    rows = sorted(snap.partition_numbering(df, ["k1", "k2"], 4).collect(), key=lambda r: r["row_index"])
+    assert [r["row_index"] for r in rows] == list(range(4000))
+    assert [(r["k1"], r["k2"]) for r in rows] == sorted((r["k1"], r["k2"]) for r in rows)
+    assert [r["part"] for r in rows] == [i // 1000 for i in range(4000)]
+
+
 def test_incremental_append_and_stream(spark, scratch):
     tbl = f"{scratch}/table"
     a = spark.createDataFrame([(1, "x"), (2, "y")], "filename bigint, v string")
