@@ -72,3 +72,15 @@ def test_profile_table_values_and_plan(spark):
     # one scan, no per-distinct-column row expansion, no subquery re-running the input
     p = plan_of(ex.profile_table(c.labelled(spark, SF001)))
     assert "Expand" not in p and "Subquery" not in p
+
+
+def test_split_side_tables_broadcast_only_with_a_small_bound(spark):
+    from kitchenlens.operators.ordered import assign_chunks
+    df = spark.range(0, 100).selectExpr("id % 3 AS g", "id AS v")
+
+    def hinted(hot_group_rows):
+        out = assign_chunks(df, ["g"], "v", hot_group_rows, chunk_rows=hot_group_rows)
+        return "strategy=broadcast" in out._jdf.queryExecution().optimizedPlan().toString()
+
+    assert hinted(2_000_000)            # ≤ rows / 2M hot groups: broadcast
+    assert not hinted(5)                # ≤ rows / 5 entries: left to AQE
