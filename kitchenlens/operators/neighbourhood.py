@@ -60,9 +60,16 @@ def neighbourhood_stats(areas: DataFrame, located: DataFrame, population: DataFr
     return stats.withColumnsRenamed(renamed)
 
 
-def locations_with_stats(located: DataFrame, stats: DataFrame) -> DataFrame:
-    """Each located establishment ⟕ its area's statistics (areas are few: broadcast)."""
-    return located.join(F.broadcast(stats), "AREA_NAME", "left")
+MAX_BROADCAST_AREAS = 1_000_000     # rows of per-area statistics
+
+
+def locations_with_stats(located: DataFrame, stats: DataFrame, num_areas: int | None = None,
+                         max_broadcast_areas: int = MAX_BROADCAST_AREAS) -> DataFrame:
+    """Each located establishment ⟕ its area's statistics.  ``stats`` has one row per area;
+    it is broadcast when ``num_areas`` (the caller's count of the area layer) is within
+    ``max_broadcast_areas``, otherwise the join is left to AQE."""
+    side = F.broadcast(stats) if num_areas is not None and num_areas <= max_broadcast_areas else stats
+    return located.join(side, "AREA_NAME", "left")
 
 
 def population_as_of(inspections: DataFrame, locations_full: DataFrame,

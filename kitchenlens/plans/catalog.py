@@ -326,7 +326,7 @@ def stats(spark, sf_dir, loc=None):
 def with_population(spark, sf_dir):
     f = filled(spark, sf_dir)
     loc = located(spark, sf_dir, f)
-    full = nb.locations_with_stats(loc, stats(spark, sf_dir, loc))
+    full = nb.locations_with_stats(loc, stats(spark, sf_dir, loc), num_areas=areas(spark, sf_dir).count())
     return nb.population_as_of(f, full)
 
 
