@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op6_decontamination
+from .packing import op1_packing
 from .simhash import op2_simhash
 from .toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
