@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op6_decontamination
 from .packing import op1_packing
+from .pii import op7_pii
 from .simhash import op2_simhash
 from .toxicity import op5_toxicity
 
@@ -16,5 +17,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
+    "op7_pii": op7_pii,
 }
 ORACLES: dict[str, str] = {}
