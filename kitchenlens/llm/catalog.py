@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import op6_decontamination
 from .packing import op1_packing
 from .pii import op7_pii
+from .sharding import op8_sharding
 from .simhash import op2_simhash
 from .toxicity import op5_toxicity
+from .urls import op9_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
@@ -18,5 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_pii": op7_pii,
+    "op8_sharding": op8_sharding,
+    "op9_url_filter": op9_url_filter,
 }
 ORACLES: dict[str, str] = {}
