@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .ann import op10_ann
 from .decontaminate import op6_decontamination
 from .packing import op1_packing
 from .pii import op7_pii
@@ -22,5 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pii": op7_pii,
     "op8_sharding": op8_sharding,
     "op9_url_filter": op9_url_filter,
+    "op10_ann": op10_ann,
 }
 ORACLES: dict[str, str] = {}
