@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .ann import op10_ann
 from .decontaminate import op6_decontamination
+from .langid import op4_language
 from .packing import op1_packing
 from .pii import op7_pii
 from .sharding import op8_sharding
@@ -18,6 +19,7 @@ from .urls import op9_url_filter
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
+    "op4_language": op4_language,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_pii": op7_pii,
