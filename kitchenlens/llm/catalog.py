@@ -15,10 +15,12 @@ from .sharding import op8_sharding
 from .simhash import op2_simhash
 from .toxicity import op5_toxicity
 from .urls import op9_url_filter
+from .warc import OP3_SQL, op3_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
+    "op3_warc": op3_warc,
     "op4_language": op4_language,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
@@ -27,4 +29,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_ann": op10_ann,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_warc": OP3_SQL,
+}
