@@ -26,6 +26,7 @@ SAME_FORMAT = 32
 TITLES = {"m": ["Mr", "Mister", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "господин", "г-н"],
           "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Srta", "госпожа", "г-жа"],
           "n": ["Dr", "Prof", "Professor", "Doctor"]}
+DOTTED = ["Mr", "Mrs", "Ms", "Dr", "Prof", "Sr", "Sra", "Srta", "Mme", "Mlle"]
 GIVEN = {"m": ["James", "John", "Robert", "Michael", "William", "David", "Thomas", "Peter", "Hans", "Jürgen", "Klaus", "Pierre", "Jacques",
                "Jean", "Carlos", "Juan", "Javier", "Иван", "Сергей", "Дмитрий", "Γιώργος", "Νίκος"],
          "f": ["Mary", "Patricia", "Jennifer", "Linda", "Elizabeth", "Sarah", "Emma", "Anna", "Ursula", "Sabine", "Marie", "Camille",
@@ -47,7 +48,7 @@ _AWS = re.compile(r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)")
 _ASSIGNED = re.compile(r"[:=]\s{0,4}[\"']?([A-Za-z0-9+/_\-]{6,})")
 _SECRET_NAME = re.compile(r"(?:pass(?:word|wd|phrase)?|pwd|token|secret|api[_-]?key|access[_-]?key)[\"']?\s{0,4}$", re.I)
 _CAPITAL = regex.compile(r"(?<![\p{L}\p{M}\p{N}])(?:\p{Lu}[\p{L}\p{M}]+|г-(?:н|жа)|господин|госпожа)(?![\p{L}\p{M}])")
-_NAME_AFTER = regex.compile(r"\.?[  ](\p{Lu}[\p{L}\p{M}'’\-]+)")
+_NAME_AFTER = regex.compile(r"[ \u00a0](\p{Lu}[\p{L}\p{M}'’\-]+)")
 _TITLE_OF = {w: g for g, words in TITLES.items() for w in words}
 _GIVEN_OF = {w: g for g, words in GIVEN.items() for w in words}
 
@@ -110,7 +111,7 @@ def _found(text: str) -> Iterable[tuple[int, Entity]]:
         title, given = _TITLE_OF.get(m[0]), _GIVEN_OF.get(m[0])
         if title is None and given is None:
             continue
-        after = _NAME_AFTER.match(text, m.end())
+        after = _NAME_AFTER.match(text, m.end() + (m[0] in DOTTED and text[m.end():m.end() + 1] == "."))
         if given is not None and after:
             yield 4, Entity("given_" + given, "", m[0].casefold(), m.start(), m.end())
         while after:
