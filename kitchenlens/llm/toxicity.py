@@ -9,70 +9,86 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, cut_lineage, table, with_column_replaced
+from .common import cut_lineage, smallest_hashes, table, with_column_replaced
 
-#: Labelled documents the model is fitted on at most (those with the smallest id hashes);
-#: feature statistics are taken over all labelled documents.
+#: Labelled documents the model is fitted on at most: those with the smallest id hashes.
 FIT_ROWS = 20_000
 MAX_FEATURES = 20_000
-MIN_DOCS = 3
-MIN_Z = 4.0
+#: A feature is chosen if so many standard errors speak for it (signed root of the likelihood ratio) and the
+#: odds of meeting it are exp(MIN_LOG_ODDS) times as high in toxic documents.
+MIN_Z, MIN_LOG_ODDS = 4.75, 3.0
 GRADES = 4
-SPACE = 1 << 30
+PREFIXES = (4, 5, 6)
+LONGEST_WORD = 64
 BLOCK_CHARS = 1 << 20
 
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
 
 
-def text_features(text: str | None) -> Counter:
-    """Hashed features of a whole text → occurrences: every word and its first four, five and six letters
-    (inflections and compounds share those)."""
+def word_counts(text: str | None) -> Counter:
+    """Lower-case words of letters in a whole text → occurrences."""
     words: Counter = Counter()
-    text = text or ""
-    start = 0
+    text, start = text or "", 0
     while start < len(text):
         stop = min(len(text), start + BLOCK_CHARS)
         while stop < len(text) and text[stop].isalpha():
             stop += 1
         words.update(_WORD.findall(text[start:stop].lower()))
         start = stop
+    return words
+
+
+def text_features(text: str | None) -> Counter:
+    """Features of a whole text → occurrences: every word, and as prefix~ its first four, five and six letters
+    (inflections and compounds share those)."""
     out: Counter = Counter()
-    for word, n in words.items():
-        for key in {word, *(f"{word[:k]}~" for k in (4, 5, 6) if len(word) > k)}:
-            out[xxhash.xxh32_intdigest(key.encode("utf-8", "surrogatepass")) % SPACE] += n
+    for word, n in word_counts(text).items():
+        if len(word) <= LONGEST_WORD:
+            out[word] += n
+        for k in PREFIXES:
+            if len(word) > k:
+                out[word[:k] + "~"] += n
     return out
 
 
 @dataclass
 class Severity:
     """weights: feature → weight, shared by all thresholds; P(grade <= k) = sigmoid(thresholds[k] - w.x)."""
-    weights: dict[int, float]
+    weights: dict[str, float]
     thresholds: list[float]
 
-    def signal(self, features: Counter) -> float:
-        found = self.weights.keys() & features.keys()
-        return float(sum(self.weights[f] * np.log1p(features[f]) for f in sorted(found)))
+    def __post_init__(self):
+        self._whole = {f: w for f, w in self.weights.items() if not f.endswith("~")}
+        self._prefix = {k: {f[:-1] for f in self.weights if len(f) == k + 1 and f.endswith("~")} for k in PREFIXES}
+
+    def signal(self, words: Counter) -> float:
+        """The weighted sum of the features that ``text_features`` gives for a text of these words."""
+        found: Counter = Counter()
+        for word, n in words.items():
+            if word in self._whole:
+                found[word] += n
+            for k, known in self._prefix.items():
+                if word[:k] in known and len(word) > k:
+                    found[word[:k] + "~"] += n
+        return float(sum(self.weights[f] * np.log1p(found[f]) for f in sorted(found)))
 
     def probabilities(self, signal: float) -> np.ndarray:
         below = 1 / (1 + np.exp(np.clip(signal - np.asarray(self.thresholds), -500, 500)))
         return np.diff(np.concatenate([[0.0], below, [1.0]]))
 
 
-def fit_cumulative_link(rows: list[tuple[dict[int, float], int]], grades: int, steps: int = 400, rate: float = 0.1,
-                        ridge: float = 1e-3) -> Severity:
+def fit_cumulative_link(names: np.ndarray, col: np.ndarray, ends: np.ndarray, values: np.ndarray, grade: np.ndarray, grades: int, steps: int = 400,
+                        rate: float = 0.1, ridge: float = 1e-3) -> Severity:
     """Proportional-odds model by full-batch Adam on the mean log likelihood; thresholds stay ordered because
-    the gaps between them are exponentials."""
-    names = sorted({f for x, _ in rows for f in x})
-    place = {f: j for j, f in enumerate(names)}
-    at = np.array([i for i, (x, _) in enumerate(rows) for _ in x], np.int64)
-    col = np.array([place[f] for x, _ in rows for f in x], np.int64)
-    val = np.array([v for x, _ in rows for v in x.values()], float)
-    grade = np.array([g for _, g in rows], np.int64)
-    n, m = len(rows), len(names)
+    the gaps between them are exponentials.
+
+    Sparse rows: row i has ``values`` in the columns ``col`` from ends[i] to ends[i + 1]; ``names`` are the columns' features."""
+    val = values.astype(np.float64)
+    n, m = len(grade), len(names)
+    at = np.repeat(np.arange(n, dtype=np.int32), np.diff(ends))
     share = np.array([(grade <= k).mean() for k in range(grades - 1)]).clip(1e-3, 1 - 1e-3)
     cut = np.maximum.accumulate(np.log(share / (1 - share)) + 1e-3 * np.arange(grades - 1))
     par = np.concatenate([np.zeros(m), [cut[0]], np.log(np.maximum(np.diff(cut), 1e-2))])
@@ -98,14 +114,19 @@ def fit_cumulative_link(rows: list[tuple[dict[int, float], int]], grades: int, s
         grad[:m] += ridge * par[:m] / max(1, m)
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad ** 2
         par = par - rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
-    return Severity({f: float(par[place[f]]) for f in names}, [float(t) for t in thresholds(par)])
+    return Severity(dict(zip(names.tolist(), par[:m].tolist())), thresholds(par).tolist())
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row for each labelled id and text: a document labelled toxic anywhere counts as toxic."""
-    marks = (labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
-             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    return docs.select("doc_id", "text").where("text is not null").join(marks, "doc_id")
+def labelled_sample(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
+    """(doc_id, text, toxic) of the ``fit_rows`` labelled ids with the smallest hashes.
+
+    A document labelled toxic anywhere counts as toxic; of texts that share an id the smallest counts."""
+    marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic").cast("int") > 0).alias("toxic")).where("doc_id is not null and toxic is not null")
+             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("place", F.xxhash64("doc_id")))
+    marks = smallest_hashes(marks, "place", marks.count(), fit_rows).select("doc_id", "toxic")
+    # the marks are at most fit_rows rows, so the texts needn't move to meet them
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").join(F.broadcast(marks), "doc_id")
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").cast("int").alias("toxic")))
 
 
 def _feature_counts(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -114,7 +135,7 @@ def _feature_counts(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatc
 
     def flush():
         keys = list(toxic.keys() | clean.keys())
-        out = pa.RecordBatch.from_pydict({"feature": pa.array(keys, pa.int64()),
+        out = pa.RecordBatch.from_pydict({"feature": pa.array(keys, pa.string()),
                                           "toxic": pa.array([toxic[k] for k in keys], pa.int64()),
                                           "clean": pa.array([clean[k] for k in keys], pa.int64())})
         toxic.clear(), clean.clear()
@@ -129,20 +150,19 @@ def _feature_counts(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatc
 
 
 def _sparse_rows(chosen):
-    known: dict = {}
+    place: dict = {}
 
     def rows(batches):
-        if not known:
-            known["all"] = frozenset(chosen.value)
+        if not place:
+            place.update((f, j) for j, f in enumerate(chosen.value))
         for batch in batches:
             ids, values = [], []
             for text in batch["text"].to_pylist():
                 found = text_features(text)
-                hit = sorted(known["all"] & found.keys())
-                ids.append(hit)
+                hit = sorted(place.keys() & found.keys(), key=place.get)
+                ids.append([place[f] for f in hit])
                 values.append([found[f] for f in hit])
-            yield pa.RecordBatch.from_pydict({"ids": pa.array(ids, pa.list_(pa.int64())),
-                                              "counts": pa.array(values, pa.list_(pa.int64())),
+            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "ids": pa.array(ids, pa.list_(pa.int32())), "counts": pa.array(values, pa.list_(pa.int32())),
                                               "toxic": batch["toxic"]})
     return rows
 
@@ -151,35 +171,35 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, m
                  grades: int = GRADES) -> Severity | None:
     """Learns from ``labels`` (doc_id, toxic 0/1); None where there is no toxic or no clean labelled document.
 
-    Features are chosen by the z score of their smoothed log odds over all labelled documents.
+    Features are chosen by the likelihood ratio of their counts and the model is fitted, both over
+    the ``fit_rows`` labelled documents with the smallest id hashes.
     The labels are binary, so severity grades are made from them: 0 for clean, and for toxic
-    documents 1 to grades - 1 by the quantile of how many occurrences of chosen features they hold.
-    The model is fitted on the ``fit_rows`` labelled documents with the smallest id hashes."""
+    documents 1 to grades - 1 by the quantile of how many occurrences of chosen features they hold."""
     spark = docs.sparkSession
-    labelled = cut_lineage(_labelled(docs, labels), "labelled")
-    size = {int(r.toxic > 0): r.n for r in labelled.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
+    sample = cut_lineage(labelled_sample(docs, labels, fit_rows), "labelled")
+    size = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not size.get(0) or not size.get(1):
         return None
-    flagged = labelled.select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
-    counts = (flagged.mapInArrow(_feature_counts, "feature long, toxic long, clean long")
+    counts = (sample.select("text", "toxic").mapInArrow(_feature_counts, "feature string, toxic long, clean long")
               .groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")))
-    t, c = F.col("t") + 0.5, F.col("c") + 0.5
-    odds = F.log(t / (size[1] + 1)) - F.log(c / (size[0] + 1))
-    ranked = (counts.where(F.col("t") >= MIN_DOCS).withColumn("z", odds / F.sqrt(1 / t + 1 / c))
-              .where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "feature").limit(max_features))
+    t, c = F.col("t"), F.col("c")
+    odds = F.log((t + 0.5) / (size[1] + 1)) - F.log((c + 0.5) / (size[0] + 1))
+    share = size[1] / (size[0] + size[1])
+    ratio = 2 * (F.when(t > 0, t * F.log(t / ((t + c) * share))).otherwise(0.0) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0))
+    ranked = (counts.withColumn("z", F.sqrt(F.greatest(ratio, F.lit(0.0)))).where((F.col("z") >= MIN_Z) & (odds >= MIN_LOG_ODDS))
+              .orderBy(F.desc("z"), "feature").limit(max_features))
     chosen = sorted(r.feature for r in ranked.select("feature").collect())
-    sample = (labelled.orderBy(crc_of_id("doc_id"), "doc_id").limit(fit_rows)
-              .select("text", (F.col("toxic") > 0).cast("int").alias("toxic")).repartition(max(1, spark.sparkContext.defaultParallelism)))
     held = spark.sparkContext.broadcast(chosen)
-    rows = sample.mapInArrow(_sparse_rows(held), "ids array<long>, counts array<long>, toxic int").collect()
-    if not any(r.toxic for r in rows) or all(r.toxic for r in rows):
-        return None
-    amount = sorted(sum(r.counts) for r in rows if r.toxic)
-    cuts = [amount[min(len(amount) - 1, len(amount) * k // (grades - 1))] for k in range(1, grades - 1)]
-    graded = [({f: float(np.log1p(n)) for f, n in zip(r.ids, r.counts)},
-               0 if not r.toxic else 1 + sum(sum(r.counts) > cut for cut in cuts)) for r in rows]
-    graded.sort(key=lambda x: (x[1], sorted(x[0].items())))
-    return fit_cumulative_link(graded, grades)
+    rows = (sample.mapInArrow(_sparse_rows(held), "doc_id long, ids array<int>, counts array<int>, toxic int")
+            .toArrow().sort_by("doc_id").combine_chunks())      # fit_rows rows of chosen features
+    toxic = rows["toxic"].to_numpy() > 0
+    ids, counts = rows["ids"].combine_chunks(), rows["counts"].combine_chunks()
+    ends = np.concatenate([[0], np.cumsum(np.diff(ids.offsets.to_numpy()))])
+    features, held_counts = ids.flatten().to_numpy(), counts.flatten().to_numpy()
+    amount = np.diff(np.concatenate([[0], np.cumsum(held_counts)])[ends])
+    cuts = np.quantile(amount[toxic], [k / (grades - 1) for k in range(1, grades - 1)], method="higher")
+    grade = np.where(toxic, 1 + (amount[:, None] > cuts[None, :]).sum(axis=1), 0)
+    return fit_cumulative_link(np.array(chosen, object), features, ends, np.log1p(held_counts), grade, grades)
 
 
 SCORE = "struct<severity:double,grade:int,p_toxic:double>"
@@ -203,11 +223,11 @@ def with_severity(docs: DataFrame, model: Severity | None, out_col: str = "toxic
             made["model"] = Severity(*held.value)
         rows = []
         for text in texts.to_pylist():
-            features = text_features(text)
-            if not features:
+            words = word_counts(text)
+            if not words:
                 rows.append({"severity": 0.0, "grade": 0, "p_toxic": 0.0})
                 continue
-            p = made["model"].probabilities(made["model"].signal(features))
+            p = made["model"].probabilities(made["model"].signal(words))
             rows.append({"severity": float(p @ np.arange(len(p))), "grade": int(p.argmax()), "p_toxic": float(1 - p[0])})
         return pa.array(rows, _SCORE)
     return with_column_replaced(docs, out_col, score(F.col(f"`{text_col}`")))
