@@ -9,6 +9,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,43 +20,92 @@ END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 #: Tokens packed together: 256 windows, of which the last may stay partly empty.
 BUCKET_TOKENS = 1 << 20
-#: White-space separated strings whose ids a worker remembers, and their longest length in bytes.
-REMEMBERED, REMEMBERED_BYTES = 400_000, 48
+#: White-space separated strings whose ids a worker remembers, and their longest length.
+REMEMBERED, REMEMBERED_CHARS = 1_200_000, 48
+PUNCTUATION = ".,;:!?()[]{}*#%&$@-_=+/\"|<>"
 
 
 class ChunkTokenizer:
     """Ids of whole texts, as the vocabulary file's own tokenizer gives them.
 
     That tokenizer drops white space and no token spans it, so a text's ids are those of its
-    white-space separated strings one after another; the ids of short strings are remembered."""
+    white-space separated strings one after another; the ids of short strings are remembered.
+    New strings that are a word of letters between punctuation marks are taken apart (the
+    tokenizer parts them there too) and the new words are encoded together."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.inner = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        names = self.inner.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)     # ids of tokens that end a word
+        self.ends[[i for t, i in names.items() if t.endswith("</w>")]] = True
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.inner.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        out = []
-        for text in texts:
-            if "<|" in text or len(text) < 32:
-                out.append(self._encode([text])[0])     # may hold a special token, or is not worth splitting
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, all from one call; every word ends with the id of a word's last token."""
+        if not words:
+            return []
+        ids = np.array(self.inner.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(stops) != len(words) or stops[-1] != 4 * len(ids):
+            return self._each(words)
+        data = ids.tobytes()
+        return [data[x:y] for x, y in zip([0, *stops], stops)]
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of new strings."""
+        split, whole, words, marks = [], [], set(), set()
+        for text in new:
+            if text.isalpha():
+                words.add(text)
                 continue
-            chunks = text.encode("utf-8", "replace").lower().replace(b"\n", b" ").replace(b"\t", b" ").replace(b"\r", b" ").split(b" ")
-            new = [c for c in set(chunks) if c not in self.known]
-            if new:
-                if len(self.known) + len(new) > REMEMBERED:
-                    self.known.clear()
-                    new = list(set(chunks))
-                ids = dict(zip(new, self._encode([c.decode() for c in new])))
-                self.known.update((c, i) for c, i in ids.items() if len(c) <= REMEMBERED_BYTES)
-                get = {**ids, **{c: self.known[c] for c in set(chunks) if c in self.known}}.__getitem__
+            core = text.strip(PUNCTUATION)
+            if core.isalpha():
+                at = text.index(core)
+                split.append((text, text[:at], core, text[at + len(core):]))
+                words.add(core)
+                marks.update(split[-1][1::2])
             else:
-                get = self.known.__getitem__
-            out.append(b"".join(map(get, chunks)))
+                whole.append(text)
+        known = self.known
+        parts = {w: known[w] for w in words if w in known}
+        fresh = [w for w in words if w not in parts]
+        parts.update(zip(fresh, self._words(fresh)))
+        parts.update(zip(marks, self._each(list(marks))))
+        parts.update(zip(whole, self._each(whole)))
+        parts.update((text, parts[left] + parts[core] + parts[right]) for text, left, core, right in split)
+        return parts
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text (null: empty) as little-endian unsigned 32-bit numbers."""
+        # a copy of its own: the kernels below read a slice's neighbours
+        texts = pc.fill_null(texts.cast(pa.large_string()), "").take(pa.array(np.arange(len(texts))))
+        odd = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)).tolist()
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        coded = lists.flatten().dictionary_encode()
+        here, which = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        pieces = list(map(known.get, here))
+        missing = [i for i, piece in enumerate(pieces) if piece is None]
+        learned = self._learn([here[i] for i in missing])
+        for i in missing:
+            pieces[i] = learned[here[i]]
+        known.update((c, i) for c, i in learned.items() if len(c) <= REMEMBERED_CHARS)
+        # the ids of all texts in a row: those of each string, gathered by the strings' numbers
+        length = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        first = np.concatenate([[0], np.cumsum(length)])
+        n = length[which]
+        before = np.concatenate([[0], np.cumsum(n)])
+        ids = np.frombuffer(b"".join(pieces), "<u4")[np.repeat(first[which] - before[:-1], n) + np.arange(before[-1])]
+        ends = before[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        out = [ids[x:y].tobytes() for x, y in zip(ends, ends[1:])]
+        for i in odd:       # may hold a special token: encoded as a whole
+            out[i] = self._each([texts[i].as_py()])[0]
         return out
 
 
@@ -78,11 +128,11 @@ def _pieces(vocabulary: str, window: int, end_id: int | None, keep_ids: bool):
         tokenizer = _tokenizer(vocabulary_path(vocabulary))
         end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 rows: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")}
                 raw = []
-                for doc, ids in zip(part["doc_id"].to_pylist(), tokenizer.encode([t or "" for t in part["text"].to_pylist()])):
+                for doc, ids in zip(part["doc_id"].to_pylist(), tokenizer.encode(part["text"])):
                     ids += end
                     for start in range(0, len(ids), 4 * window):
                         piece = ids[start:start + 4 * window]

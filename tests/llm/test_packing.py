@@ -35,6 +35,7 @@ def test_ids_are_the_tokenizers(plain, monkeypatch):
         tokenizer = pk.ChunkTokenizer(public_tokenizers.path(pk.VOCABULARY))
         for at in range(0, len(texts), 50):
             assert tokenizer.encode(pa.array(texts[at:at + 50], pa.string())) == want[at:at + 50]
+            assert tokenizer.encode(pa.array(texts, pa.string()).slice(at, 50)) == want[at:at + 50]
 
 
 def test_best_fit_is_the_tightest():
