@@ -149,34 +149,17 @@ def profile_table(df: DataFrame, approx: bool = False) -> DataFrame:
     """Per column — type, nulls, rows, distinct non-null values, and one value taken from a
     complete row (the smallest complete row, so the pick is repeatable).
 
-    Exact distinct counts stack the columns into narrow (column index, value) rows and count
-    them with two hash aggregates: the first dedups (column, value) map-side before its shuffle,
-    the second is one row per column.  This avoids the wide per-distinct-column row expansion
-    Spark uses for several ``count(DISTINCT …)`` in one aggregate.  Values are compared as text,
-    with float -0.0 folded into 0.0 first, so equal numbers stay one value.  The sample row rides
-    along as one more stacked item, so the input is scanned once.
-
-    ``approx=True`` uses HyperLogLog distinct counts in a single aggregation pass.
+    The input is written once, so it is computed once.  Exact distinct counts stack the columns into
+    narrow (column index, value, weight) rows and count them with two hash aggregates: the first
+    dedups (column, value) map-side before its shuffle, the second is one row per column.  Values
+    are compared as text, with float -0.0 folded into 0.0 first, so equal numbers stay one value.
+    The sample row is the first of an ordered scan that keeps one row a task.
+
+    ``approx=True`` uses HyperLogLog distinct counts instead of the dedup.
     """
-    cols = df.columns
-    dtypes = dict(df.dtypes)
-    complete = None
-    for c in cols:
-        t = F.col(f"`{c}`").isNotNull()
-        complete = t if complete is None else complete & t
-    sample = F.min(F.when(complete, F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols])))
-    if approx:
-        aggs = [F.count(F.lit(1)).cast("bigint").alias("_n"), sample.alias("_sample")]
-        for i, c in enumerate(cols):
-            col = F.col(f"`{c}`")
-            aggs.append(F.count(F.when(col.isNull(), 1)).cast("bigint").alias(f"_m{i}"))
-            aggs.append(F.approx_count_distinct(col).cast("bigint").alias(f"_d{i}"))
-        wide = df.agg(*aggs)
-        rows = [F.struct(F.lit(c).alias("column"), F.lit(dtypes[c]).alias("dtype"),
-                         F.col(f"_m{i}").alias("num_missing"), F.col("_n").alias("num"),
-                         F.col(f"_d{i}").alias("nunique"), F.col(f"_sample.`{c}`").alias("sample_value"))
-                for i, c in enumerate(cols)]
-        return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    from ..session import cut_lineage
+    cols, dtypes = df.columns, dict(df.dtypes)
+    df = cut_lineage(df, "profile")
 
     def as_text(c):
         col = F.col(f"`{c}`")
@@ -184,36 +167,24 @@ def profile_table(df: DataFrame, approx: bool = False) -> DataFrame:
             col = col + F.lit(0.0)
         return col.cast("string")
 
-    row_text = F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
-    no_row = F.when(F.lit(False), row_text)
-    # item -1 carries the row itself when it is complete (for the sample), the others one value each
-    items = [F.struct(F.lit(-1).alias("i"), F.lit(None).cast("string").alias("v"), F.lit(1).alias("w"),
-                      F.when(complete, row_text).alias("s"))]
-    items += [F.struct(F.lit(i).alias("i"), as_text(c).alias("v"), F.lit(1).alias("w"), no_row.alias("s"))
-              for i, c in enumerate(cols)]
-    stacked = df.select(F.explode(F.array(*items)).alias("kv")).select("kv.*")
-    # one weightless row per item, so an empty input still reports every column
-    from pyspark.sql.types import StringType, StructField, StructType
-    row_type = StructType([StructField(c, StringType()) for c in cols])
-    every_col = df.sparkSession.range(-1, len(cols)).select(
-        F.col("id").cast("int").alias("i"), F.lit(None).cast("string").alias("v"), F.lit(0).alias("w"),
-        F.lit(None).cast(row_type).alias("s"))
-    per_value = (stacked.unionByName(every_col).groupBy("i", "v")
-                 .agg(F.sum("w").alias("cnt"), F.min("s").alias("s")))
-    per_col = per_value.groupBy("i").agg(
-        F.count("v").cast("bigint").alias("nunique"),
-        F.sum(F.when(F.col("v").isNull(), F.col("cnt")).otherwise(F.lit(0))).cast("bigint").alias("num_missing"),
-        F.sum("cnt").cast("bigint").alias("num"), F.min("s").alias("s"))
-    # per_col has one row per column plus item -1: the unpartitioned window is bounded by the width
-    from pyspark.sql import Window
-    sample_row = F.max(F.when(F.col("i") == -1, F.col("s"))).over(Window.partitionBy())
-    names = F.array(*[F.lit(c) for c in cols])
-    types = F.array(*[F.lit(dtypes[c]) for c in cols])
-    samples = F.array(*[F.col("_row")[c] for c in cols])
+    plain = [F.col(f"`{c}`").cast("string").alias(c) for c in cols]
+    row = df.select(*plain).na.drop("any").orderBy(*[F.col(f"`{c}`") for c in cols]).first()
+    items = F.array(*[F.struct(F.lit(i).alias("i"), as_text(c).alias("v"), F.lit(1).alias("w")) for i, c in enumerate(cols)])
+    stacked = df.select(F.explode(items).alias("kv")).select("kv.*")
+    # one weightless row per column, so an empty input still reports every column
+    every = df.sparkSession.range(len(cols)).select(F.col("id").cast("int").alias("i"), F.lit(None).cast("string").alias("v"), F.lit(0).alias("w"))
+    rows = stacked.unionByName(every)
+    if not approx:
+        rows = rows.groupBy("i", "v").agg(F.sum("w").alias("w"))
+    distinct = F.approx_count_distinct("v") if approx else F.count("v")
+    per_col = rows.groupBy("i").agg(distinct.cast("bigint").alias("nunique"), F.sum("w").cast("bigint").alias("num"),
+                                    F.sum(F.when(F.col("v").isNull(), F.col("w")).otherwise(F.lit(0))).cast("bigint").alias("num_missing"))
     pos = F.col("i") + F.lit(1)
-    return (per_col.withColumn("_row", sample_row).where(F.col("i") >= 0)
-            .select(F.element_at(names, pos).alias("column"), F.element_at(types, pos).alias("dtype"),
-                    "num_missing", "num", "nunique", F.element_at(samples, pos).alias("sample_value")))
+
+    def by_column(values):
+        return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), pos)
+    return per_col.select(by_column(cols).alias("column"), by_column(dtypes[c] for c in cols).alias("dtype"), "num_missing", "num", "nunique",
+                          by_column([None if row is None else row[c] for c in cols]).alias("sample_value"))
 
 
 def histogram_bins(df: DataFrame, column: str, bins: int = 10) -> DataFrame:

@@ -47,7 +47,7 @@ def date_parts(c: Column, prefix: str) -> dict[str, Column]:
 
 def history_features(df: DataFrame, action_columns: Sequence[str] = (), outcome_columns: Sequence[str] = (),
                      exclude_current: bool = False, hot_group_rows: int | None = None,
-                     chunk_rows: int = 1_000_000) -> DataFrame:
+                     chunk_rows: int = 1_000_000, hot: DataFrame | None = None) -> DataFrame:
     """W4–W13 and X5 in one pass.
 
     Totals include the current inspection by default (as the source computes them, which leaks
@@ -59,7 +59,7 @@ def history_features(df: DataFrame, action_columns: Sequence[str] = (), outcome_
     """
     if hot_group_rows is not None:
         return _history_features_chunked(df, action_columns, outcome_columns, exclude_current,
-                                         hot_group_rows, chunk_rows)
+                                         hot_group_rows, chunk_rows, hot)
     w = history_window()
     frame = running(w, exclude_current)
     prev_date = F.lag("inspection_date").over(w)
@@ -111,13 +111,13 @@ def _derived(out: DataFrame) -> DataFrame:
     return out.withColumns(derived).drop("_last_date", "_last_status")
 
 
-def _history_features_chunked(df, action_columns, outcome_columns, exclude_current, hot_group_rows, chunk_rows):
+def _history_features_chunked(df, action_columns, outcome_columns, exclude_current, hot_group_rows, chunk_rows, hot):
     from .ordered import CHUNK, NCH, assign_chunks, chunked_scan
     order = ["inspection_date", "inspection_id", "establishment_status"]
     prev_names = pivot_prev_names(action_columns, outcome_columns)
     from ..session import cut_lineage
     # the chunk assignment is read by both scans and their carry tables: write it once
-    base = cut_lineage(assign_chunks(df, EST, "inspection_date", hot_group_rows, chunk_rows)
+    base = cut_lineage(assign_chunks(df, EST, "inspection_date", hot_group_rows, chunk_rows, hot=hot)
                        .withColumn("_closed", _is_closed()), "history_input")
     lags = {"_last_date": "inspection_date", "_last_status": "establishment_status"}
     lags.update({f"num_{t}_prev": f"num_{t}" for t in INFRACTION_TYPES})
@@ -125,11 +125,9 @@ def _history_features_chunked(df, action_columns, outcome_columns, exclude_curre
     totals = {"cumulative_failures": "_closed"}
     totals.update({f"cumulative_{t}": f"num_{t}" for t in INFRACTION_TYPES})
     step1 = chunked_scan(base, EST, order, lags=lags, index="cumulative_inspections",
-                         sums={} if exclude_current else totals, exclusive_sums=totals if exclude_current else {},
-                         chunk_rows=chunk_rows)
+                         sums={} if exclude_current else totals, exclusive_sums=totals if exclude_current else {})
     step1 = step1.withColumns({c: F.col(c).cast("bigint") for c in totals})
-    step2 = chunked_scan(step1, EST, order, sums={f"cumulative_{n}": n for n in prev_names.values()},
-                         chunk_rows=chunk_rows)
+    step2 = chunked_scan(step1, EST, order, sums={f"cumulative_{n}": n for n in prev_names.values()})
     step2 = step2.withColumns({f"cumulative_{n}": F.col(f"cumulative_{n}").cast("bigint") for n in prev_names.values()})
     return _derived(step2.drop("_closed", CHUNK, NCH))
 

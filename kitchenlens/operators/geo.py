@@ -93,13 +93,23 @@ def _edges(geometry: Column) -> Column:
 
 
 def contains_point(geometry: Column, lon: Column, lat: Column) -> Column:
-    """Even-odd rule: the point is inside when a ray to +x crosses an odd number of edges."""
+    """Strict containment: the point is on no edge, and a ray to +x crosses an odd number of edges."""
+    def cross(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        return (b["lon"] - a["lon"]) * (lat - a["lat"]) - (b["lat"] - a["lat"]) * (lon - a["lon"])
+
     def crosses(e: Column) -> Column:
         a, b = e["a"], e["b"]
         straddles = (a["lat"] > lat) != (b["lat"] > lat)
         x_at = F.try_divide((b["lon"] - a["lon"]) * (lat - a["lat"]), b["lat"] - a["lat"]) + a["lon"]
         return straddles & (lon < x_at)
-    return F.size(F.filter(_edges(geometry), crosses)) % 2 == 1
+
+    def on_edge(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        return ((cross(e) == 0) & lon.between(F.least(a["lon"], b["lon"]), F.greatest(a["lon"], b["lon"]))
+                & lat.between(F.least(a["lat"], b["lat"]), F.greatest(a["lat"], b["lat"])))
+    edges = _edges(geometry)
+    return (F.size(F.filter(edges, crosses)) % 2 == 1) & ~F.exists(edges, on_edge)
 
 
 def polygon_bbox(polygons: DataFrame, geometry: str = "geometry") -> DataFrame:
@@ -128,17 +138,20 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, lon: str = "longitu
 
     Candidate pairs come from an equi-join on grid cells (no nested loop, no pair explosion):
     the cell table holds only (cell, polygon id, bounding box), and the bounding box prunes
-    candidates before any geometry is touched.  The exact even-odd test then joins the polygon
+    candidates before any geometry is touched.  The exact test (strictly inside) then joins the polygon
     outlines by id.  Each side table is broadcast only after its size is checked (cell rows,
     total vertices); above the bound it is shuffled like any join and AQE splits hot keys.
     """
     keep = keep if keep is not None else [c for c in polygons.columns if c != geometry]
-    polys = polygons.withColumn("_pid", F.xxhash64(*[F.col(c) for c in keep], F.col(geometry)))
+    from ..session import cut_lineage
+    # the row number, fixed by writing the layer once, tells equal polygons apart
+    polys = cut_lineage(polygons.select(*keep, geometry).withColumn("_pid", F.monotonically_increasing_id()), "polygons")
     cells = polygon_cells(polys, cell, geometry).select("_pid", "_cx", "_cy", "_minx", "_maxx", "_miny", "_maxy")
     shapes = polys.select("_pid", *keep, geometry)
-    sizes = polys.agg(F.count(F.lit(1)).alias("n"),
-                      F.sum(F.size(F.flatten(F.col(geometry)))).alias("v")).first()
-    n_cells = cells.count()
+    boxes = polygon_bbox(polys, geometry)
+    spans = [F.floor(F.col(hi) / cell) - F.floor(F.col(lo) / cell) + 1 for lo, hi in (("_minx", "_maxx"), ("_miny", "_maxy"))]
+    sizes = boxes.agg(F.sum(spans[0] * spans[1]).alias("n"), F.sum(F.size(F.flatten(F.col(geometry)))).alias("v")).first()
+    n_cells = sizes["n"] or 0
     cells_side = F.broadcast(cells) if n_cells <= max_broadcast_cells else cells
     shapes_side = F.broadcast(shapes) if (sizes["v"] or 0) <= max_broadcast_vertices else shapes
     pts = (points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())

@@ -9,7 +9,7 @@ Plan shape, chosen for scale:
   establishment is spread across tasks by inspection (the sorted text of one inspection is one
   string, so one group's text is never split, with or without map-side combining);
 * one more exchange on the establishment key feeds the gap to the next visit;
-* pivot values are an explicit list, so the plan is static and needs no extra distinct job.
+* pivot values are read from the data in one narrow pass (or given), so no value is left out.
 """
 
 from __future__ import annotations
@@ -83,19 +83,37 @@ def distinct_values(df: DataFrame, column: str, max_values: int = 1000) -> list:
     return sorted(v for v in vals if v is not None) + ([None] if None in vals else [])
 
 
+def pivot_values(df: DataFrame, columns: Sequence[str] = ("action", "court_outcome"), max_values: int = 1000) -> list[list]:
+    """Distinct values of several low-cardinality columns from one pass over them (NULL last).
+
+    Only the distinct values reach the driver; more than ``max_values`` in a column is an error."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(columns)]))
+    rows = df.select(pairs.alias("x")).select("x.*").distinct().limit(len(columns) * max_values + 1).collect()
+    out = []
+    for i, c in enumerate(columns):
+        vals = [r["v"] for r in rows if r["i"] == i]
+        if len(vals) > max_values:
+            raise ValueError(f"{c} has more than {max_values} distinct values; pass the list explicitly")
+        out.append(sorted(v for v in vals if v is not None) + ([None] if None in vals else []))
+    return out
+
+
 def pivot_columns(values: Sequence[str | None], column: str, namer, null_name: str,
                   weight: Column | None = None) -> list[Column]:
-    """Conditional sums, one per value; NULL is its own value (``IS NULL`` test)."""
-    out, seen = [], set()
+    """Conditional sums, one per column name: values whose names are the same are counted together; NULL
+    is its own value (``IS NULL`` test).  The columns carry which column they pivot as metadata."""
+    hits: dict[str, Column] = {}
     for v in values:
         name = null_name if v is None else namer(v)
-        if name in seen:
-            continue
-        seen.add(name)
-        hit = F.col(column).isNull() if v is None else (F.col(column) == F.lit(v))
-        w = F.lit(1) if weight is None else weight
-        out.append(F.sum(F.when(hit, w).otherwise(0)).cast("bigint").alias(name))
-    return out
+        hit = F.col(column).isNull() if v is None else F.coalesce(F.col(column) == F.lit(v), F.lit(False))
+        hits[name] = hits[name] | hit if name in hits else hit
+    w = F.lit(1) if weight is None else weight
+    return [F.sum(F.when(hit, w).otherwise(0)).cast("bigint").alias(name, metadata={"pivot_of": column}) for name, hit in hits.items()]
+
+
+def pivoted(df: DataFrame, column: str) -> list[str]:
+    """The columns of ``df`` that count values of ``column`` (by their metadata, which written tables keep)."""
+    return [f.name for f in df.schema.fields if (f.metadata or {}).get("pivot_of") == column]
 
 
 def inspections_aggregate(df: DataFrame, actions: Sequence[str | None] | None = None,
@@ -108,10 +126,9 @@ def inspections_aggregate(df: DataFrame, actions: Sequence[str | None] | None =
     source's nested query does; ``"rows"`` counts infraction rows instead.
     """
     valid = valid_infractions(df, types, strict_types)
-    if actions is None:
-        actions = distinct_values(df, "action")
-    if outcomes is None:
-        outcomes = distinct_values(df, "court_outcome")
+    if actions is None or outcomes is None:
+        found = pivot_values(df)
+        actions, outcomes = (found[0] if actions is None else actions), (found[1] if outcomes is None else outcomes)
     # one exchange serves the inner and outer aggregates and the multi-day window downstream
     valid = valid.repartition("establishment_id", "inspection_id")
     inner = infraction_groups(valid, with_row_count=(pivot_counts == "rows"))
@@ -170,7 +187,8 @@ def _next_order(strict: bool) -> list[Column]:
     return [F.col("inspection_id"), F.col("inspection_date"), F.col("establishment_status")]
 
 
-def with_days_to_next(df: DataFrame, hot_group_rows: int | None = None, chunk_rows: int = 1_000_000) -> DataFrame:
+def with_days_to_next(df: DataFrame, hot_group_rows: int | None = None, chunk_rows: int = 1_000_000,
+                      hot: DataFrame | None = None) -> DataFrame:
     """``days_to_next`` = |date − next date| with rows ordered by inspection id, then date.
 
     With ``hot_group_rows`` an establishment above that size is split into id ranges scanned in
@@ -178,9 +196,9 @@ def with_days_to_next(df: DataFrame, hot_group_rows: int | None = None, chunk_ro
     """
     if hot_group_rows is not None:
         from .ordered import CHUNK, NCH, assign_chunks, chunked_scan
-        base = assign_chunks(df, EST, "inspection_id", hot_group_rows, chunk_rows, descending=True)
+        base = assign_chunks(df, EST, "inspection_id", hot_group_rows, chunk_rows, descending=True, hot=hot)
         out = chunked_scan(base, EST, ["inspection_id", "inspection_date", "establishment_status"],
-                           lags={"_next_date": "inspection_date"}, descending=True, chunk_rows=chunk_rows)
+                           lags={"_next_date": "inspection_date"}, descending=True)
         return (out.withColumn("days_to_next", F.abs(F.datediff(F.col("inspection_date"), F.col("_next_date")))
                                .cast("bigint")).drop("_next_date", CHUNK, NCH))
     w = Window.partitionBy(*EST).orderBy(*_next_order(False))
@@ -188,8 +206,15 @@ def with_days_to_next(df: DataFrame, hot_group_rows: int | None = None, chunk_ro
     return df.withColumn("days_to_next", F.abs(F.datediff(F.col("inspection_date"), nxt)).cast("bigint"))
 
 
-def with_days_from_previous(df: DataFrame) -> DataFrame:
+def with_days_from_previous(df: DataFrame, hot_group_rows: int | None = None, chunk_rows: int = 1_000_000,
+                            hot: DataFrame | None = None) -> DataFrame:
     """Strict form: gap to the previous inspection in date order (the follow-up is the later row)."""
+    if hot_group_rows is not None:
+        from .ordered import CHUNK, NCH, assign_chunks, chunked_scan
+        base = assign_chunks(df, EST, "inspection_date", hot_group_rows, chunk_rows, hot=hot)
+        out = chunked_scan(base, EST, ["inspection_date", "inspection_id", "establishment_status"], lags={"_prev_date": "inspection_date"})
+        return (out.withColumn("days_from_prev", F.datediff(F.col("inspection_date"), F.col("_prev_date")).cast("bigint"))
+                .drop("_prev_date", CHUNK, NCH))
     w = Window.partitionBy(*EST).orderBy(*_next_order(True))
     prev = F.lag("inspection_date").over(w)
     return df.withColumn("days_from_prev", F.datediff(F.col("inspection_date"), prev).cast("bigint"))
@@ -206,7 +231,7 @@ def no_reinspections(df: DataFrame, strict: bool = False, **split) -> DataFrame:
     of a close pair is dropped.  ``strict`` drops the later visit in date order instead.
     """
     if strict:
-        return (with_days_from_previous(df)
+        return (with_days_from_previous(df, **split)
                 .where(F.col("days_from_prev").isNull() | (F.col("days_from_prev") > 2))
                 .drop("days_from_prev"))
     return (with_days_to_next(df, **split)
@@ -230,7 +255,7 @@ def class_balance(labelled: DataFrame) -> DataFrame:
 def labelled_inspections(infractions: DataFrame, actions=None, outcomes=None, *,
                          strict_types: bool = False, strict_reinspection: bool = False,
                          pivot_counts: str = "groups", hot_group_rows: int | None = None,
-                         chunk_rows: int = 1_000_000) -> DataFrame:
+                         chunk_rows: int = 1_000_000, hot: DataFrame | None = None) -> DataFrame:
     """The flagship chain: valid rows → aggregates → single-day → no re-inspection → label.
 
     Default plan: two exchanges — (establishment id, inspection id) for both aggregates and the
@@ -241,7 +266,7 @@ def labelled_inspections(infractions: DataFrame, actions=None, outcomes=None, *,
     agg = inspections_aggregate(infractions, actions, outcomes, pivot_counts=pivot_counts,
                                 strict_types=strict_types)
     one_day = single_day_inspections(agg)          # runs on the aggregate's partitioning
-    if hot_group_rows is not None and not strict_reinspection:
-        kept = no_reinspections(one_day, hot_group_rows=hot_group_rows, chunk_rows=chunk_rows)
+    if hot_group_rows is not None:
+        kept = no_reinspections(one_day, strict=strict_reinspection, hot_group_rows=hot_group_rows, chunk_rows=chunk_rows, hot=hot)
         return inspection_label(kept)
     return inspection_label(no_reinspections(by_establishment(one_day), strict=strict_reinspection))

@@ -26,12 +26,16 @@ LABEL = "is_infraction"
 ROW_KEY = EST + ["inspection_id", "inspection_date"]
 
 # Numeric features kept numeric (power transform); the other counts are one-hot encoded.
-NUMERIC_FEATURES = ["Shape__Area", "neigh_shape_length", "time_since_last_infrac", "days_since_last_inspection"]
+NUMERIC_FEATURES = ["time_since_last_infrac", "days_since_last_inspection"]
+# In the model table but no input of a model.
+UNUSED_FEATURES = ["Shape__Area", "neigh_shape_length"]
+# Counts of which almost every value is 0: as booleans where ``use_flags`` is set.
+FLAG_FEATURES = ["num_minor_prev", "num_significant_prev", "num_crucial_prev", "cumulative_failures", "cumulative_minor",
+                 "cumulative_significant", "cumulative_crucial", "cumulative_inspections"]
 TEST_DAYS = 60
-# Fixture-shifted parameters (source: 2017-01-01 train start, 2017-11-01 cut-off).
-FOLD_TRAIN_START = "1997-01-01"
-FOLD_STARTS = ["1999-07-01", "1999-10-01", "2000-01-01", "2000-04-01", "2000-07-01"]
-OPERATING_CUTOFF = "2000-11-01"
+FOLD_TRAIN_START = "2017-01-01"
+FOLD_STARTS = ["2018-07-01", "2018-10-01", "2019-01-01", "2019-04-01", "2019-07-01"]
+OPERATING_CUTOFF = "2017-11-01"
 
 
 def ml_features(df_full: DataFrame, features: Sequence[str] = MODEL_FEATURES, label: str = LABEL) -> DataFrame:

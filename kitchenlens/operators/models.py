@@ -21,7 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .mlprep import LABEL, MODEL_FEATURES, NUMERIC_FEATURES
+from .mlprep import FLAG_FEATURES, LABEL, MODEL_FEATURES, NUMERIC_FEATURES, UNUSED_FEATURES, gt_zero_flags
 
 
 # ---- Yeo-Johnson -------------------------------------------------------------------------------
@@ -34,44 +34,54 @@ def yeo_johnson_expr(x: Column, lam: float) -> Column:
 
 
 def _loglik_aggs(x: Column, lams: Sequence[float], tag: str) -> list[Column]:
-    aggs = [F.count(x).alias(f"{tag}_n"),
+    aggs = [F.count(x).alias(f"{tag}_n"), (F.min(x) == F.max(x)).alias(f"{tag}_same"),
             F.sum(F.signum(x) * F.log1p(F.abs(x))).alias(f"{tag}_s")]
     for i, lam in enumerate(lams):
         y = yeo_johnson_expr(x, lam)
-        aggs += [F.sum(y).alias(f"{tag}_a{i}"), F.sum(y * y).alias(f"{tag}_b{i}")]
+        aggs.append(F.var_pop(y).alias(f"{tag}_v{i}"))
     return aggs
 
 
 def fit_yeo_johnson(df: DataFrame, columns: Sequence[str], lo: float = -3.0, hi: float = 5.0,
-                    grid: int = 33, rounds: int = 3) -> dict[str, float]:
+                    grid: int = 33, rounds: int = 3, max_widenings: int = 20) -> dict[str, float]:
     """λ per column by maximum likelihood: llf(λ) = −n/2·ln σ²(y_λ) + (λ−1)·Σ sign(x)·ln(1+|x|).
 
     Each round evaluates a λ grid for all columns in ONE aggregation pass, then narrows the grid
-    around the best λ.  Only the sums (a few numbers per column) reach the driver.
+    around the best λ; while the best is at an edge the grid moves on past it instead.  A column
+    with no finite likelihood (constant or empty) keeps λ = 1.  Only the variances (a few numbers
+    per column) reach the driver.
     """
-    bounds = {c: (lo, hi) for c in columns}
-    best = {c: 1.0 for c in columns}
-    for _ in range(rounds):
+    bounds, best = {c: (lo, hi) for c in columns}, {c: 1.0 for c in columns}
+    narrowed, widened = {c: 0 for c in columns}, {c: 0 for c in columns}
+    open_columns = list(columns)
+    while open_columns:
         lam_grid = {c: [a + (b - a) * i / (grid - 1) for i in range(grid)] for c, (a, b) in bounds.items()}
         aggs = []
-        for j, c in enumerate(columns):
-            aggs += _loglik_aggs(F.col(c).cast("double"), lam_grid[c], f"c{j}")
+        for c in open_columns:
+            aggs += _loglik_aggs(F.col(c).cast("double"), lam_grid[c], f"c{columns.index(c)}")
         row = df.agg(*aggs).first()
-        for j, c in enumerate(columns):
-            n, s = row[f"c{j}_n"], row[f"c{j}_s"] or 0.0
-            if not n:
-                continue
+        for c in list(open_columns):
+            tag = f"c{columns.index(c)}"
+            n, s = row[f"{tag}_n"], row[f"{tag}_s"] or 0.0
             scores = []
             for i, lam in enumerate(lam_grid[c]):
-                a, b = row[f"c{j}_a{i}"], row[f"c{j}_b{i}"]
-                var = b / n - (a / n) ** 2
-                llf = -math.inf if var is None or var <= 0 or not math.isfinite(var) else \
-                    -n / 2.0 * math.log(var) + (lam - 1.0) * s
-                scores.append((llf, lam))
-            llf, lam = max(scores)
-            best[c] = lam
-            step = (bounds[c][1] - bounds[c][0]) / (grid - 1)
-            bounds[c] = (lam - step, lam + step)
+                var = row[f"{tag}_v{i}"]
+                if n and not row[f"{tag}_same"] and var is not None and math.isfinite(var) and var > 0:
+                    scores.append((-n / 2.0 * math.log(var) + (lam - 1.0) * s, lam))
+            if not scores:
+                best[c] = 1.0
+                open_columns.remove(c)
+                continue
+            best[c] = max(scores)[1]
+            (a, b), step = bounds[c], (bounds[c][1] - bounds[c][0]) / (grid - 1)
+            if not narrowed[c] and best[c] in (lam_grid[c][0], lam_grid[c][-1]) and widened[c] < max_widenings:
+                widened[c] += 1
+                bounds[c] = (a - (b - a), a + step) if best[c] == lam_grid[c][0] else (b - step, b + (b - a))
+                continue
+            narrowed[c] += 1
+            bounds[c] = (best[c] - step, best[c] + step)
+            if narrowed[c] == rounds:
+                open_columns.remove(c)
     return best
 
 
@@ -111,18 +121,25 @@ class YeoJohnson(Estimator):
 
 
 def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """M7: (x − mean) / population sd.  All statistics come from ONE scalar subquery returning a
-    struct, so the input is aggregated once."""
+    """M7: (x − mean) / population sd; a constant column becomes 0.  All statistics come from ONE
+    scalar subquery returning a struct, so the input is aggregated once."""
     st = df.agg(F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c)
                            for c in columns])).scalar()
-    return df.withColumns({c: F.try_divide(F.col(c) - st[c]["m"], st[c]["s"]) for c in columns})
+    return df.withColumns({c: (F.col(c) - st[c]["m"]) / F.when(st[c]["s"] == 0, F.lit(1.0)).otherwise(st[c]["s"]) for c in columns})
 
 
 # ---- pipelines -----------------------------------------------------------------------------------
 
-def categorical_features(features: Sequence[str] = MODEL_FEATURES,
-                         numeric: Sequence[str] = NUMERIC_FEATURES) -> list[str]:
-    return [c for c in features if c not in set(numeric)]
+def categorical_features(features: Sequence[str] = MODEL_FEATURES, numeric: Sequence[str] = NUMERIC_FEATURES,
+                         unused: Sequence[str] = UNUSED_FEATURES, use_flags: bool = False) -> list[str]:
+    """Features that are one-hot encoded.  ``use_flags`` takes ``<count>_gt_zero`` for the sparse counts (add them with
+    ``with_model_flags``), so the label lists don't grow with the busiest establishment's visits."""
+    out = [c for c in features if c not in {*numeric, *unused}]
+    return [f"{c}_gt_zero" if use_flags and c in FLAG_FEATURES else c for c in out]
+
+
+def with_model_flags(df: DataFrame) -> DataFrame:
+    return gt_zero_flags(df, FLAG_FEATURES)
 
 
 def preprocessing(categoricals: Sequence[str], numerics: Sequence[str]) -> list:
@@ -205,36 +222,57 @@ def cross_validate(folds: DataFrame, classifiers: dict, categoricals: Sequence[s
     """Per fold, fit on the fold's train rows, score train and validation rows.
 
     ``classifiers`` maps a name to a callable(n_train) → estimator, or to the strings
-    ``"guess"`` / ``"always_infrac"`` for the two baselines.  Fold × classifier fits are
-    independent Spark jobs over the cached fold table; like ``CrossValidator(parallelism=…)``
-    they are submitted from a small thread pool so several fits share the cluster at once.
+    ``"guess"`` / ``"always_infrac"`` for the two baselines.  The preprocessing is fitted once per
+    fold and its vectors are kept for all classifiers of the fold; every classifier's confusion
+    counts of both roles come from one grouped aggregate.  Folds are independent; like
+    ``CrossValidator(parallelism=…)`` they are submitted from a small thread pool.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     from .mlprep import baseline_predictions, class_weights
     fold_ids = sorted(r[0] for r in folds.select("fold").distinct().collect())
+    cores = folds.sparkSession.sparkContext.defaultParallelism
+
+    def run(k):
+        rows = folds.where(F.col("fold") == k)
+        fitted = {n: m for n, m in classifiers.items() if m not in ("guess", "always_infrac")}
+        train = class_weights(rows.where(F.col("role") == "train"))
+        scored = baseline_predictions(rows, seed)
+        kept = []
+        if fitted:
+            prep = Pipeline(stages=preprocessing(categoricals, numerics)).fit(train)
+            vectors = prep.transform(train).select("features", LABEL, "weight").repartition(cores).cache()
+            kept.append(vectors)
+            scored = prep.transform(scored).select("role", LABEL, "features", "y_guess", "y_always_infrac")
+            for name, make in fitted.items():
+                model = make(vectors.count()).fit(vectors)
+                scored = (model.setPredictionCol(f"p_{name}").setProbabilityCol("").setRawPredictionCol("").transform(scored))
+        pred = {n: F.col("y_guess" if m == "guess" else "y_always_infrac" if m == "always_infrac" else f"p_{n}").cast("int")
+                for n, m in classifiers.items()}
+        aggs = [F.count(F.lit(1)).alias("n")]
+        for n, p in pred.items():
+            for cell, y, q in (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0)):
+                aggs.append(F.count(F.when((F.col(LABEL) == y) & (p == q), 1)).alias(f"{cell}_{n}"))
+        got = {r["role"]: r for r in scored.groupBy("role").agg(*aggs).collect()}
+        for v in kept:
+            v.unpersist()
+        return [_record(n, k, got.get("train"), got.get("val")) for n in classifiers]
 
-    def run(name, make, k):
-        tr = class_weights(folds.where((F.col("fold") == k) & (F.col("role") == "train")))
-        va = folds.where((F.col("fold") == k) & (F.col("role") == "val"))
-        if make in ("guess", "always_infrac"):
-            col = "y_guess" if make == "guess" else "y_always_infrac"
-            ptr = baseline_predictions(tr, seed).withColumn("y_pred", F.col(col))
-            pva = baseline_predictions(va, seed).withColumn("y_pred", F.col(col))
-        else:
-            tr = tr.cache()
-            model = fit_pipeline(tr, make(tr.count()), categoricals, numerics)
-            ptr = model.transform(tr).withColumn("y_pred", F.col("prediction").cast("int"))
-            pva = model.transform(va).withColumn("y_pred", F.col("prediction").cast("int"))
-        s_tr, s_va = binary_scores(ptr), binary_scores(pva)
-        return {"classifier": name, "split_index": int(k), "len_train": s_tr["n"], "len_val": s_va["n"],
-                "recall_train": s_tr["recall"], "recall_test": s_va["recall"],
-                "precision_train": s_tr["precision"], "precision_test": s_va["precision"],
-                "f1_train": s_tr["f1"], "f1_test": s_va["f1"]}
-
-    tasks = [(name, make, k) for name, make in classifiers.items() for k in fold_ids]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return list(pool.map(lambda t: run(*t), tasks))
+        per_fold = list(pool.map(run, fold_ids))
+    names = list(classifiers)
+    return [per_fold[i][names.index(n)] for n in names for i in range(len(fold_ids))]
+
+
+def _record(name: str, fold, train, val) -> dict:
+    """Scores of class 1 from the two roles' confusion counts (0/0 → 0)."""
+    out = {"classifier": name, "split_index": int(fold), "len_train": train["n"] if train else 0, "len_val": val["n"] if val else 0}
+    scores = {}
+    for role, r in (("train", train), ("test", val)):
+        tp, fp, fn = (r[f"{c}_{name}"] if r else 0 for c in ("tp", "fp", "fn"))
+        prec, rec = tp / (tp + fp) if tp + fp else 0.0, tp / (tp + fn) if tp + fn else 0.0
+        scores[role] = {"recall": rec, "precision": prec, "f1": 2 * prec * rec / (prec + rec) if prec + rec else 0.0}
+    return out | {f"{m}_{role}": scores[role][m] for m in ("recall", "precision", "f1") for role in ("train", "test")}
 
 
 def as_categorical_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 from ..constants import CRIME_OFFENCES_DROPPED, CRIME_PREMISES_KEPT, CRIME_TYPES, EST
 from ..functions.text import parse_int_text
 
-# Census slices for the fixture's date range: (first year, last year or None, population
-# column or None, census year).  Shifted from the source's 2011-12 / 2013-17 / 2018+.
-DEFAULT_CENSUS_SLICES = [(1995, 1996, None, 2006), (1997, 1999, "neigh_pop_2011", 2011),
-                         (2000, None, "neigh_pop_2016", 2016)]
-DEFAULT_CRIME_START_YEAR = 1998
+# Census slices: (first year, last year or None, population column or None, census year).
+DEFAULT_CENSUS_SLICES = [(2011, 2012, None, 2006), (2013, 2017, "neigh_pop_2011", 2011),
+                         (2018, None, "neigh_pop_2016", 2016)]
+DEFAULT_CRIME_START_YEAR = 2014
 
 
 # ---- census profile --------------------------------------------------------------------------
@@ -153,7 +152,3 @@ def spot_check_sample(df: DataFrame, key: Sequence[str], n: int = 25, seed: int
     h = F.xxhash64(F.lit(seed), *[F.col(k) for k in key])
     return df.withColumn("_h", h).orderBy("_h", *key).limit(n).drop("_h")
 
-
-def explode_records(catalog: DataFrame, records_path: str = "result.records") -> DataFrame:
-    """A JSON catalog response → one row per record."""
-    return catalog.select(F.explode(F.col(records_path)).alias("r")).select("r.*")

@@ -2,13 +2,13 @@
 
 A plain ``Window.partitionBy(key)`` puts every row of a key into one task.  When one key holds a
 large share of the data that task is the whole job.  Here a group with more than
-``hot_group_rows`` rows is cut into contiguous chunks along its first order column; each chunk is
-scanned by its own window partition, and what a chunk needs from the chunks before it (row count,
-totals, the last row's values) comes from a small carry table with one row per chunk of a hot
-group.  Both side tables have proven bounds: at most ``rows / hot_group_rows`` hot groups and
-``rows / chunk_rows`` chunks.  They are broadcast when that bound is small
-(``MIN_ROWS_PER_BROADCAST_ENTRY``), so the large side is never shuffled by key alone; with
-smaller (test) thresholds the joins are left to AQE.  Results equal the plain window's exactly.
+``hot_group_rows`` rows is cut into contiguous chunks along its first order column (cut points are
+the group's own quantiles, so one outlying value does not gather the rest in one chunk); each
+chunk is scanned by its own window partition, and what a chunk needs from the chunks before it (row
+count, totals, the last row's values) comes from a small carry table with one row per chunk of a hot
+group.  Side tables have at most ``rows / hot_group_rows`` hot groups; they are broadcast only after
+their rows are counted and otherwise the joins are left to AQE.  Results equal the plain window's
+exactly, NULL keys and NULL order values included.
 """
 
 from __future__ import annotations
@@ -21,15 +21,23 @@ from pyspark.sql import functions as F
 CHUNK = "_chunk"
 NCH = "_nch"
 
-# A side table with one row per ``n`` input rows is broadcast only when n is at least this, so
-# it holds at most rows / 100,000 small rows (10 million for 10^12 rows).  Below it (thresholds
-# chosen for testing) the join is left to AQE, which broadcasts it when its runtime size is
-# small and otherwise splits skewed partitions of the large side.
-MIN_ROWS_PER_BROADCAST_ENTRY = 100_000
+QUANTILES = 64                      # pieces a hot group is cut into before equal-width sub-chunks
+MAX_BROADCAST_HOT_GROUPS = 10_000   # counted before the broadcast
 
 
-def _bounded(side: DataFrame, rows_per_entry: int) -> DataFrame:
-    return F.broadcast(side) if rows_per_entry >= MIN_ROWS_PER_BROADCAST_ENTRY else side
+def hot_keys(rows: DataFrame, keys: Sequence[str], hot_group_rows: int) -> DataFrame | None:
+    """The key groups with more than ``hot_group_rows`` of the given (narrow) rows, written once; None if
+    there are none, so the caller can plan the plain window without reading its input twice."""
+    from ..session import cut_lineage
+    hot = cut_lineage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_group_rows)
+                      .select(*keys), "hot_keys")
+    return None if hot.isEmpty() else hot
+
+
+def _join_null_safe(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys where NULL equals NULL; the side's keys are dropped."""
+    right = side.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    return df.join(right, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], how).drop(*[f"_k_{k}" for k in keys])
 
 
 def _num(c: Column, is_date: bool) -> Column:
@@ -37,23 +45,37 @@ def _num(c: Column, is_date: bool) -> Column:
 
 
 def assign_chunks(df: DataFrame, keys: Sequence[str], first_order: str, hot_group_rows: int,
-                  chunk_rows: int, descending: bool = False) -> DataFrame:
+                  chunk_rows: int, descending: bool = False, hot: DataFrame | None = None) -> DataFrame:
     """Add ``_chunk`` (0 for ordinary groups) and ``_nch`` (NULL for ordinary groups).
 
-    Hot groups get ``ceil(n / chunk_rows)`` chunks by equal-width ranges of the first order
-    column between the group's min and max, so chunk numbers follow the scan order.
+    A hot group is cut at its quantiles of the first order column, and each piece into equal-width
+    sub-chunks where it would still hold more than ``chunk_rows`` rows, so chunk numbers follow the
+    scan order; NULL order values share the chunk of the smallest ones.  ``hot`` (from
+    ``hot_keys``) says which groups may be hot; without it they are counted here.
     """
     is_date = dict(df.dtypes)[first_order] == "date"
     v = _num(F.col(first_order), is_date)
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias("_v0"), F.max(v).alias("_v1"))
-           .where(F.col("_n") > hot_group_rows)
-           .select(*keys, F.ceil(F.col("_n") / F.lit(float(chunk_rows))).cast("int").alias(NCH), "_v0", "_v1"))
-    # at most rows / hot_group_rows entries: broadcast when that bound is small
-    j = df.join(_bounded(hot, hot_group_rows), list(keys), "left")
-    span = F.col("_v1") - F.col("_v0") + F.lit(1.0)
-    pos = (F.col("_v1") - v) if descending else (v - F.col("_v0"))
-    chunk = F.least(F.floor(pos * F.col(NCH) / span), F.col(NCH) - 1)
-    return j.withColumn(CHUNK, F.when(F.col(NCH).isNull(), F.lit(0)).otherwise(chunk).cast("int")).drop("_v0", "_v1")
+    if hot is None:
+        hot = hot_keys(df.select(*keys), keys, hot_group_rows)
+        if hot is None:
+            return df.withColumns({CHUNK: F.lit(0), NCH: F.lit(None).cast("int")})
+    small = hot.limit(MAX_BROADCAST_HOT_GROUPS + 1).count() <= MAX_BROADCAST_HOT_GROUPS
+    side = F.broadcast(hot) if small else hot
+    cuts = F.percentile_approx(v, [i / QUANTILES for i in range(1, QUANTILES)], 1000)
+    # the inner join keeps the rows of hot groups only, before anything is shuffled
+    pieces = (_join_null_safe(df.select(*keys, first_order), side, keys, "inner")
+              .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias("_v0"), F.max(v).alias("_v1"), cuts.alias("_cuts"))
+              .select(*keys, F.ceil(F.col("_n") / F.lit(float(chunk_rows * QUANTILES))).cast("int").alias("_sub"), "_v0", "_v1",
+                      F.coalesce("_cuts", F.array().cast("array<double>")).alias("_cuts")))
+    j = _join_null_safe(df, F.broadcast(pieces) if small else pieces, keys, "left")
+    piece = F.size(F.filter("_cuts", lambda c: c < v))
+    low = F.when(piece == 0, F.col("_v0")).otherwise(F.get("_cuts", piece - 1))
+    high = F.when(piece >= F.size("_cuts"), F.col("_v1")).otherwise(F.get("_cuts", piece))
+    inside = F.least(F.floor(F.coalesce(F.try_divide((v - low) * F.col("_sub"), high - low), F.lit(0.0))), F.col("_sub") - 1)
+    up = F.when(v.isNull(), F.lit(0)).otherwise(piece * F.col("_sub") + inside)
+    chunk = (F.lit(QUANTILES) * F.col("_sub") - 1 - up) if descending else up
+    return (j.withColumn(NCH, (F.lit(QUANTILES) * F.col("_sub")).cast("int"))
+            .withColumn(CHUNK, F.when(F.col(NCH).isNull(), F.lit(0)).otherwise(chunk).cast("int")).drop("_v0", "_v1", "_sub", "_cuts"))
 
 
 def _add(a: Column, b: Column) -> Column:
@@ -63,11 +85,10 @@ def _add(a: Column, b: Column) -> Column:
 
 def chunked_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, lags: dict | None = None,
                  sums: dict | None = None, exclusive_sums: dict | None = None, index: str | None = None,
-                 descending: bool = False, chunk_rows: int = 1_000_000) -> DataFrame:
+                 descending: bool = False) -> DataFrame:
     """Previous-row values (``lags``: out → column), running totals including (``sums``) or
     excluding (``exclusive_sums``) the current row, and a 0-based row ``index``, per key in the
-    order of the ``order`` columns (all ascending, or all descending); ``chunk_rows`` is the one
-    ``assign_chunks`` used (it bounds the carry table).  ``df`` must carry
+    order of the ``order`` columns (all ascending, or all descending).  ``df`` must carry
     ``_chunk`` / ``_nch`` from ``assign_chunks`` (built with the same direction)."""
     lags, sums, exclusive_sums = lags or {}, sums or {}, exclusive_sums or {}
     sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
@@ -95,7 +116,7 @@ def chunked_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, la
     if lags:
         carry_cols.append(F.lag("_last").over(wc).alias("_c_last"))
     carry = per_chunk.select(*keys, CHUNK, *carry_cols)
-    out = scanned.join(_bounded(carry, chunk_rows), [*keys, CHUNK], "left")
+    out = _join_null_safe(scanned, carry, [*keys, CHUNK], "left")
 
     split = F.col(NCH).isNotNull()
     final = {}

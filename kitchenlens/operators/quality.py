@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import EST
 
 
 def expect(df: DataFrame, violated: Column, name: str) -> DataFrame:
@@ -36,6 +35,14 @@ def expect_recount(recount: DataFrame) -> DataFrame:
     return expect(recount, F.col("num_inspection_ids") != F.col("num_inspection_dates"), "ids_equal_dates")
 
 
+def expect_recount_total(recount: DataFrame, inspections: DataFrame) -> DataFrame:
+    """K2, second half: the establishments' counts add up to the inspection rows."""
+    total = recount.agg(F.sum("num_inspection_ids").cast("bigint")).scalar()
+    rows = inspections.agg(F.count(F.lit(1)).cast("bigint")).scalar()
+    return inspections.sparkSession.range(1).select(F.lit("recount_equals_rows").alias("expectation"), total.alias("recounted"),
+                                                    rows.alias("num_rows"), (total == rows).alias("ok"))
+
+
 def expect_rows_equal(a: DataFrame, b: DataFrame, name: str) -> DataFrame:
     """K2/K6/K7: two row counts must agree (e.g. before and after a left join).
 
@@ -70,6 +77,3 @@ def expect_unique(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return expect(dup, F.col("_n") > 1, name)
 
-
-def est_key() -> list[str]:
-    return list(EST)

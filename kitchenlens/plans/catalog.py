@@ -38,18 +38,27 @@ def infractions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aggregate(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return insp.inspections_aggregate(infractions(spark, sf_dir), fx.FIXTURE_ACTIONS, fx.FIXTURE_OUTCOMES, **kw)
+    return insp.inspections_aggregate(infractions(spark, sf_dir), **kw)
 
 
-# An establishment with more inspections than this has its gap-to-next-visit scan split into
-# parallel chunks (operators/ordered.py), so one dominant establishment never becomes one task.
-# Below it the split costs one grouped count and a broadcast of an empty hot table.
+# An establishment with more infraction rows than this has its ordered scans split into parallel
+# chunks (operators/ordered.py), so one dominant establishment never becomes one task.  Which
+# ones there are is counted on the key columns alone; where there are none the plain window is
+# planned and its input is read once.
 HOT_GROUP_ROWS = 2_000_000
 
 
+def split_args(spark: SparkSession, sf_dir: str, hot_group_rows: int = HOT_GROUP_ROWS) -> dict:
+    """Arguments of the ordered scans: those of the split path where an establishment is hot, else none."""
+    from ..operators.ordered import hot_keys
+    hot = hot_keys(fx.infractions(spark, sf_dir).select(*insp.EST), insp.EST, hot_group_rows)
+    return {} if hot is None else {"hot_group_rows": hot_group_rows, "hot": hot}
+
+
 def labelled(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    kw.setdefault("hot_group_rows", HOT_GROUP_ROWS)
-    return insp.labelled_inspections(infractions(spark, sf_dir), fx.FIXTURE_ACTIONS, fx.FIXTURE_OUTCOMES, **kw)
+    if "hot_group_rows" not in kw:
+        kw |= split_args(spark, sf_dir)
+    return insp.labelled_inspections(infractions(spark, sf_dir), **kw)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -119,25 +128,34 @@ def q_single_day(spark, sf_dir):
     return insp.single_day_inspections(aggregate(spark, sf_dir))
 
 
+def gap_input(spark, sf_dir, split):
+    """Single-day inspections; partitioned by establishment for the plain window only."""
+    one_day = insp.single_day_inspections(aggregate(spark, sf_dir))
+    return one_day if split else insp.by_establishment(one_day)
+
+
 @query("days_to_next")
 def q_days_to_next(spark, sf_dir):
-    return insp.with_days_to_next(insp.by_establishment(insp.single_day_inspections(aggregate(spark, sf_dir))))
+    split = split_args(spark, sf_dir)
+    return insp.with_days_to_next(gap_input(spark, sf_dir, split), **split)
 
 
 @query("reinspections")
 def q_reinspections(spark, sf_dir):
-    return insp.reinspections(insp.by_establishment(insp.single_day_inspections(aggregate(spark, sf_dir))))
+    split = split_args(spark, sf_dir)
+    return insp.reinspections(gap_input(spark, sf_dir, split), **split)
 
 
 @query("no_reinspections")
 def q_no_reinspections(spark, sf_dir):
-    return insp.no_reinspections(insp.by_establishment(insp.single_day_inspections(aggregate(spark, sf_dir))))
+    split = split_args(spark, sf_dir)
+    return insp.no_reinspections(gap_input(spark, sf_dir, split), **split)
 
 
 @query("no_reinspections_strict")
 def q_no_reinspections_strict(spark, sf_dir):
-    return insp.no_reinspections(insp.by_establishment(insp.single_day_inspections(aggregate(spark, sf_dir))),
-                                 strict=True)
+    split = split_args(spark, sf_dir)
+    return insp.no_reinspections(gap_input(spark, sf_dir, split), strict=True, **split)
 
 
 @query("inspection_label")
@@ -280,6 +298,13 @@ def q_k2(spark, sf_dir):
     return qa.expect_recount(ex.est_recount(single_day(spark, sf_dir)))
 
 
+@query("expect_recount_total")
+def q_k2b(spark, sf_dir):
+    from ..session import cut_lineage
+    one_day = cut_lineage(single_day(spark, sf_dir), "single_day")
+    return qa.expect_recount_total(ex.est_recount(one_day), one_day)
+
+
 @query("expect_single_status")
 def q_k3(spark, sf_dir):
     return qa.expect_single_status(ex.status_per_inspection(labelled(spark, sf_dir)))
@@ -294,6 +319,11 @@ from ..operators import geo  # noqa: E402
 from ..operators import neighbourhood as nb  # noqa: E402
 
 AREA_KEEP = ["AREA_NAME", "Shape__Area"]
+# the fixture's dates lie in the 1990s: the parameters are shifted to them here
+CENSUS_SLICES = [(1995, 1996, None, 2006), (1997, 1999, "neigh_pop_2011", 2011), (2000, None, "neigh_pop_2016", 2016)]
+CRIME_START_YEAR = 1998
+FOLDS = {"starts": ["1999-07-01", "1999-10-01", "2000-01-01", "2000-04-01", "2000-07-01"], "train_start": "1997-01-01"}
+OPERATING_CUTOFF = "2000-11-01"
 
 
 def areas(spark, sf_dir):
@@ -323,16 +353,17 @@ def stats(spark, sf_dir, loc=None):
     return nb.neighbourhood_stats(areas(spark, sf_dir), loc, population(spark, sf_dir))
 
 
-def with_population(spark, sf_dir):
-    f = filled(spark, sf_dir)
-    loc = located(spark, sf_dir, f)
+def with_population(spark, sf_dir, f=None):
+    from ..session import cut_lineage
+    f = filled(spark, sf_dir) if f is None else f
+    loc = cut_lineage(located(spark, sf_dir, f), "located")     # read for the statistics and for the locations
     full = nb.locations_with_stats(loc, stats(spark, sf_dir, loc), num_areas=areas(spark, sf_dir).count())
-    return nb.population_as_of(f, full)
+    return nb.population_as_of(f, full, CENSUS_SLICES)
 
 
 def with_crime(spark, sf_dir):
     pivot = nb.crime_daily_pivot(fx.crimes(spark, sf_dir))
-    return nb.crime_fill_by_year(nb.crime_join(with_population(spark, sf_dir), pivot))
+    return nb.crime_fill_by_year(nb.crime_join(with_population(spark, sf_dir), pivot), CRIME_START_YEAR)
 
 
 @query("coords_per_establishment")
@@ -440,18 +471,24 @@ def q_l3(spark, sf_dir):
 # stage 7: history features
 # ---------------------------------------------------------------------------------------------
 
-ACTION_COLS = insp.pivot_column_names(fx.FIXTURE_ACTIONS, [])
-OUTCOME_COLS = insp.pivot_column_names([], fx.FIXTURE_OUTCOMES)
 FEATURE_KEYS = insp.EST + ["inspection_id", "inspection_date"]
 
 
+def with_history(spark, sf_dir, df, **kw):
+    """History features of labelled inspections; the pivot columns are those the data gave."""
+    split = {k: kw[k] for k in ("hot_group_rows", "chunk_rows") if k in kw} or split_args(spark, sf_dir)
+    return ft.history_features(df, insp.pivoted(df, "action"), insp.pivoted(df, "court_outcome"),
+                               exclude_current=kw.get("exclude_current", False), **split)
+
+
 def featured(spark, sf_dir, **kw):
-    return ft.history_features(labelled(spark, sf_dir), ACTION_COLS, OUTCOME_COLS, **kw)
+    return with_history(spark, sf_dir, labelled(spark, sf_dir), **kw)
 
 
 def _feature_query(name: str, cols, **kw):
     def fn(spark, sf_dir):
-        return featured(spark, sf_dir, **kw).select(*FEATURE_KEYS, *cols(ACTION_COLS, OUTCOME_COLS))
+        f = featured(spark, sf_dir, **kw)
+        return f.select(*FEATURE_KEYS, *cols(insp.pivoted(f, "action"), insp.pivoted(f, "court_outcome")))
     fn.__doc__ = f"Features subset {name}."
     query(name)(fn)
 
@@ -485,7 +522,7 @@ COUNT_FEATURES = ["num_minor_prev", "num_significant_prev", "num_crucial_prev",
 
 
 def full_table(spark, sf_dir):
-    return ft.history_features(with_crime(spark, sf_dir), ACTION_COLS, OUTCOME_COLS)
+    return with_history(spark, sf_dir, with_crime(spark, sf_dir))
 
 
 def ml_table(spark, sf_dir):
@@ -507,10 +544,10 @@ def test_rows(spark, sf_dir):
     return split_table(spark, sf_dir).where("split = 'test'")
 
 
-def fixture_predictions(spark, sf_dir):
+def fixture_predictions(spark, sf_dir, t=None):
     """Predictions derived from the model table (for checking the metric algebra exactly)."""
     from pyspark.sql import functions as F
-    t = ml_table(spark, sf_dir)
+    t = ml_table(spark, sf_dir) if t is None else t
     y = F.col("is_infraction")
     return t.select(*mp.ROW_KEY, "AREA_NAME", "inspection_weekday", y.alias("y_true"),
                     F.when(F.col("inspection_id") % 5 == 0, 1 - y).otherwise(y).alias("y_pred"),
@@ -540,22 +577,24 @@ def q_m2r(spark, sf_dir):
 
 @query("recently_inspected")
 def q_a21(spark, sf_dir):
-    return mp.recently_inspected(train_rows(spark, sf_dir))
+    return mp.recently_inspected(train_rows(spark, sf_dir), OPERATING_CUTOFF)
 
 
 @query("operating_test_rows")
 def q_m3(spark, sf_dir):
-    return mp.operating_test_rows(test_rows(spark, sf_dir), train_rows(spark, sf_dir))
+    split = split_table(spark, sf_dir)
+    return mp.operating_test_rows(split.where("split = 'test'"), split.where("split = 'train'"), OPERATING_CUTOFF)
 
 
 @query("operating_test_rows_strict")
 def q_m3s(spark, sf_dir):
-    return mp.operating_test_rows(test_rows(spark, sf_dir), train_rows(spark, sf_dir), operating_only=True)
+    split = split_table(spark, sf_dir)
+    return mp.operating_test_rows(split.where("split = 'test'"), split.where("split = 'train'"), OPERATING_CUTOFF, operating_only=True)
 
 
 @query("cv_folds")
 def q_m4(spark, sf_dir):
-    return mp.cv_folds(train_rows(spark, sf_dir))
+    return mp.cv_folds(train_rows(spark, sf_dir), **FOLDS)
 
 
 @query("class_weights")
@@ -630,8 +669,10 @@ def q_m17(spark, sf_dir):
 @query("error_context")
 def q_j10(spark, sf_dir):
     """Predictions ⟕ context columns of the full table on the row key."""
-    ctx = full_table(spark, sf_dir).select(*mp.ROW_KEY, "latitude", "longitude", "neigh_pop")
-    return fixture_predictions(spark, sf_dir).join(ctx, mp.ROW_KEY, "left")
+    from ..session import cut_lineage
+    full = cut_lineage(full_table(spark, sf_dir), "full_table")
+    ctx = full.select(*mp.ROW_KEY, "latitude", "longitude", "neigh_pop")
+    return fixture_predictions(spark, sf_dir, mp.ml_features(full)).join(ctx, mp.ROW_KEY, "left")
 
 
 # ---- models (rows-only checks: fitted parameters are not SQL) ------------------------------------
@@ -641,10 +682,9 @@ NUMERICS = list(mp.NUMERIC_FEATURES)
 
 
 def model_inputs(spark, sf_dir):
-    """Model table with categoricals as text, cached: every fit iterates over it."""
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)   # forests checkpoint their node ids there
-    return md.as_categorical_strings(split_table(spark, sf_dir), CATEGORICALS).cache()
+    """Model table with categoricals as text, written once: every fit iterates over it."""
+    from ..session import cut_lineage     # forests checkpoint their node ids in the same folder
+    return cut_lineage(md.as_categorical_strings(split_table(spark, sf_dir), CATEGORICALS), "model_inputs")
 
 
 _FIT_MEMO: dict = {}
@@ -654,11 +694,11 @@ def _fit(spark, sf_dir, make, name=None):
     """Fit a pipeline on the training split; a named fit is kept per session and input folder so
     the queries reading the same model (predictions, coefficients) fit it once."""
     from pyspark.sql import functions as F
-    key = (id(spark), sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if name is not None and key in _FIT_MEMO:
         return _FIT_MEMO[key]
     data = model_inputs(spark, sf_dir)
-    train = mp.class_weights(data.where(F.col("split") == "train")).cache()
+    train = mp.class_weights(data.where(F.col("split") == "train"))
     model = md.fit_pipeline(train, make(train.count()), CATEGORICALS, NUMERICS)
     out = (model, train, data.where(F.col("split") == "test"))
     if name is not None:
@@ -681,7 +721,7 @@ def q_m5(spark, sf_dir):
 @query("yeo_johnson")
 def q_m6(spark, sf_dir):
     """M6: fitted λ per numeric feature (maximum likelihood over the training rows)."""
-    train = split_table(spark, sf_dir).where("split = 'train'").select(*NUMERICS).cache()
+    train = split_table(spark, sf_dir).where("split = 'train'").select(*NUMERICS)
     lams = md.fit_yeo_johnson(train, NUMERICS)
     return spark.createDataFrame([(c, float(v)) for c, v in lams.items()], "feature string, lambda double")
 
@@ -707,9 +747,9 @@ _CV_MEMO: dict = {}
 def cv_table(spark, sf_dir, classifiers=None):
     """Per-fold records of the four pipelines.  The records are a small local result, so the
     summary queries reuse one cross-validation run per session and input folder."""
-    key = (id(spark), sf_dir, classifiers is None)
+    key = (spark.sparkContext.applicationId, sf_dir, classifiers is None)
     if key not in _CV_MEMO:
-        folds = mp.cv_folds(model_inputs(spark, sf_dir).where("split = 'train'")).cache()
+        folds = mp.cv_folds(model_inputs(spark, sf_dir).where("split = 'train'"), **FOLDS)
         classifiers = classifiers or {"guess": "guess", "always_infrac": "always_infrac",
                                       "lr": md.logistic_regression, "rf": lambda n: md.random_forest()}
         _CV_MEMO[key] = md.cross_validate(folds, classifiers, CATEGORICALS, NUMERICS)
@@ -785,6 +825,31 @@ def q_s6(spark, sf_dir):
     return snap.new_snapshots(snap.union_snapshots([a, b]), a.select("filename"))
 
 
+@query("incremental_append")
+def q_s6b(spark, sf_dir):
+    """S6 on a table: snapshot 1 is loaded, then both arrive; rows per loaded snapshot id."""
+    import uuid
+    from pyspark.sql import functions as F
+    a, b = snapshots(spark, sf_dir)
+    path = _scratch(spark, f"snapshots_{uuid.uuid4().hex}")
+    snap.incremental_append(spark, a, path)
+    snap.incremental_append(spark, snap.union_snapshots([a, b]), path)
+    return spark.read.parquet(path).groupBy("filename").agg(F.count(F.lit(1)).cast("bigint").alias("num_rows"))
+
+
+@query("contiguous_parts_csv")
+def q_s7b(spark, sf_dir):
+    """The numbered parts written as one CSV folder each and read back; rows and key range per part."""
+    import uuid
+    from pyspark.sql import functions as F
+    o = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    path = _scratch(spark, f"parts_{uuid.uuid4().hex}")
+    snap.write_parts_csv(snap.partition_numbering(o, ["o_orderkey"], 10), path)
+    back = spark.read.schema("o_orderkey bigint, o_custkey bigint, part int").option("header", True).csv(path)
+    return back.groupBy("part").agg(F.count(F.lit(1)).cast("bigint").alias("num_rows"), F.min("o_orderkey").alias("first_key"),
+                                    F.max("o_orderkey").alias("last_key"))
+
+
 @query("partition_numbering")
 def q_s7(spark, sf_dir):
     """Orders in key order split into 10 contiguous near-equal parts."""
@@ -819,8 +884,7 @@ def q_s8(spark, sf_dir):
     import uuid
     from ..constants import INFRACTION_SCHEMA
     path = _scratch(spark, f"bulk_csv_{uuid.uuid4().hex}")
-    snap.write_parts_csv(infractions(spark, sf_dir).select(*INFRACTION_SCHEMA.fieldNames()), path, 10,
-                         null_value="\\N")
+    snap.write_bulk_csv(infractions(spark, sf_dir).select(*INFRACTION_SCHEMA.fieldNames()), path, null_value="\\N")
     return fl.read_bulk_csv(spark, path)
 
 
@@ -848,13 +912,13 @@ def q_k5(spark, sf_dir):
 @query("expect_join_cardinality")
 def q_k6(spark, sf_dir):
     """K6: the census join keeps every inspection row."""
-    return qa.expect_rows_equal(filled(spark, sf_dir), with_population(spark, sf_dir), "census_join_keeps_rows")
+    f = filled(spark, sf_dir)
+    return qa.expect_rows_equal(f, with_population(spark, sf_dir, f), "census_join_keeps_rows")
 
 
 @query("expect_unique_geocode")
 def q_k8(spark, sf_dir):
-    return qa.expect_unique(geo.geocode_lookup(fx.addressinfo(spark, sf_dir)), ["establishment_address"],
-                            "one_geocode_per_address")
+    return qa.expect_unique(fx.addressinfo(spark, sf_dir), ["address"], "one_geocode_per_address")
 
 
 # ---- hot-group splitting: same answers as the plain windows, checked against the same oracles ----
@@ -868,10 +932,47 @@ def q_label_split(spark, sf_dir):
     return labelled(spark, sf_dir, **SPLIT_ARGS)
 
 
+@query("no_reinspections_strict_split")
+def q_strict_split(spark, sf_dir):
+    return insp.no_reinspections(insp.single_day_inspections(aggregate(spark, sf_dir)), strict=True, **SPLIT_ARGS)
+
+
 @query("history_features_split")
 def q_features_split(spark, sf_dir):
-    f = ft.history_features(labelled(spark, sf_dir, **SPLIT_ARGS), ACTION_COLS, OUTCOME_COLS, **SPLIT_ARGS)
-    return f.select(*FEATURE_KEYS, *ft.feature_columns(ACTION_COLS, OUTCOME_COLS))
+    f = with_history(spark, sf_dir, labelled(spark, sf_dir, **SPLIT_ARGS), **SPLIT_ARGS)
+    return f.select(*FEATURE_KEYS, *ft.feature_columns(insp.pivoted(f, "action"), insp.pivoted(f, "court_outcome")))
+
+
+def odd_inspections(spark, sf_dir):
+    """Labelled inspections with some dates and addresses missing, for the ordered scans' NULL rules."""
+    from pyspark.sql import functions as F
+    k = F.col("inspection_id")
+    return labelled(spark, sf_dir).withColumns({
+        "inspection_date": F.when(k % 7 != 0, F.col("inspection_date")),
+        "establishment_address": F.when(F.col("establishment_id") % 3 != 0, F.col("establishment_address"))})
+
+
+@query("days_to_next_nulls_split")
+def q_nulls_split(spark, sf_dir):
+    """Gap to the next visit, split, where dates and key columns may be NULL."""
+    return insp.with_days_to_next(odd_inspections(spark, sf_dir), **SPLIT_ARGS).select(*FEATURE_KEYS, "days_to_next")
+
+
+@query("feat_inspection_index_nulls_split")
+def q_index_nulls_split(spark, sf_dir):
+    f = with_history(spark, sf_dir, odd_inspections(spark, sf_dir), **SPLIT_ARGS)
+    return f.select(*FEATURE_KEYS, "cumulative_inspections", "cumulative_minor", "num_minor_prev")
+
+
+@query("inspections_aggregate_collision")
+def q_aggregate_collision(spark, sf_dir):
+    """The pivot where two outcomes share a column name and an action is in no list."""
+    from pyspark.sql import functions as F
+    k = F.col("inspection_id")
+    odd = infractions(spark, sf_dir).withColumns({
+        "action": F.when(F.col("action") == "Ticket", F.when(k % 2 == 0, F.lit("Verbal Warning")).otherwise(F.col("action"))).otherwise(F.col("action")),
+        "court_outcome": F.when((F.col("court_outcome") == "Pending") & (k % 2 == 0), F.lit("Pen-ding")).otherwise(F.col("court_outcome"))})
+    return insp.inspections_aggregate(odd)
 
 
 @query("load_count_check")

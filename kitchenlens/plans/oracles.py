@@ -9,10 +9,17 @@ from __future__ import annotations
 
 from .. import fixtures as fx
 from ..constants import ESTABLISHMENT_TYPES_WANTED
-from ..functions.text import sanitise_action, sanitise_outcome
 
 ORACLES: dict[str, str] = {}
 
+# --- fixed values: the column name of every action and court outcome in the fixture ---
+ACTION_NAMES = {"Closure Order": "num_closure_order", "Corrected During Inspection": "num_corrected_during_inspection",
+                "Education Provided": "num_education_provided", "Notice to Comply": "num_notice_to_comply",
+                "Summons": "num_summons", "Ticket": "num_ticket", None: "action_null"}
+OUTCOME_NAMES = {"Charges Withdrawn": "num_charges_withdrawn", "Conviction - Fined": "num_conviction_fined",
+                 "Conviction - Fined & Order to Close by Court": "num_conviction_fined_order_to_close_by_court",
+                 "Pending": "num_pending", None: "court_outcome_null"}
+
 EST = "establishment_id, establishmenttype, establishment_address"
 EST_A = "a.establishment_id, a.establishmenttype, a.establishment_address"
 
@@ -60,20 +67,16 @@ inner_g AS (
 )"""
 
 
-def _pivot_sql(weight: str) -> str:
+def _pivot_sql(weight: str, actions: dict = ACTION_NAMES, outcomes: dict = OUTCOME_NAMES) -> str:
     parts = []
-    for v in fx.FIXTURE_ACTIONS:
-        name = "action_null" if v is None else sanitise_action(v)
-        test = "action IS NULL" if v is None else f"action = {_q(v)}"
-        parts.append(f"CAST(SUM(CASE WHEN {test} THEN {weight} ELSE 0 END) AS BIGINT) AS {name}")
-    for v in fx.FIXTURE_OUTCOMES:
-        name = "court_outcome_null" if v is None else sanitise_outcome(v)
-        test = "court_outcome IS NULL" if v is None else f"court_outcome = {_q(v)}"
-        parts.append(f"CAST(SUM(CASE WHEN {test} THEN {weight} ELSE 0 END) AS BIGINT) AS {name}")
+    for column, names in (("action", actions), ("court_outcome", outcomes)):
+        for name in dict.fromkeys(names.values()):
+            tests = " OR ".join(f"{column} IS NULL" if v is None else f"{column} = {_q(v)}" for v, n in names.items() if n == name)
+            parts.append(f"CAST(SUM(CASE WHEN {tests} THEN {weight} ELSE 0 END) AS BIGINT) AS {name}")
     return ",\n           ".join(parts)
 
 
-def _outer(weight: str = "1") -> str:
+def _outer(weight: str = "1", **names) -> str:
     return f"""
 agg AS (
     SELECT {EST}, inspection_date, inspection_id, establishment_status,
@@ -83,7 +86,7 @@ agg AS (
            CAST(SUM(num_minor) AS BIGINT) AS num_minor,
            CAST(SUM(num_na) AS BIGINT) AS num_na,
            CAST(SUM(num_infractions) AS BIGINT) AS num_infractions,
-           {_pivot_sql(weight)}
+           {_pivot_sql(weight, **names)}
     FROM inner_g
     GROUP BY {EST}, inspection_date, inspection_id, establishment_status
 )"""
@@ -177,8 +180,7 @@ INFR_COLS = ["row_id", "establishment_id", "inspection_id", "establishment_name"
              "establishment_address", "establishment_status", "minimum_inspections_peryear",
              "infraction_details", "inspection_date", "severity", "action", "court_outcome", "amount_fined",
              "latitude", "longitude"]
-PIVOT_COLS = ([("action_null" if v is None else sanitise_action(v)) for v in fx.FIXTURE_ACTIONS]
-              + [("court_outcome_null" if v is None else sanitise_outcome(v)) for v in fx.FIXTURE_OUTCOMES])
+PIVOT_COLS = [*ACTION_NAMES.values(), *OUTCOME_NAMES.values()]
 LABELLED_TYPES = ([("establishment_id", "bigint"), ("establishmenttype", "string"),
                    ("establishment_address", "string"), ("inspection_date", "date"),
                    ("inspection_id", "bigint"), ("establishment_status", "string"),
@@ -281,6 +283,10 @@ ORACLES["expect_recount"] = chain(*SINGLE_DAY_CHAIN) + f"""
 SELECT 'ids_equal_dates' AS expectation, CAST(COUNT(*) AS BIGINT) AS num_rows,
        CAST(COUNT(*) FILTER (WHERE ni <> nd) AS BIGINT) AS num_violations
 FROM (SELECT COUNT(inspection_id) AS ni, COUNT(inspection_date) AS nd FROM one_day GROUP BY {EST}) r"""
+ORACLES["expect_recount_total"] = chain(*SINGLE_DAY_CHAIN) + f"""
+SELECT 'recount_equals_rows' AS expectation, CAST(SUM(ni) AS BIGINT) AS recounted, (SELECT CAST(COUNT(*) AS BIGINT) FROM one_day) AS num_rows,
+       SUM(ni) = (SELECT COUNT(*) FROM one_day) AS ok
+FROM (SELECT COUNT(inspection_id) AS ni FROM one_day GROUP BY {EST})"""
 ORACLES["expect_single_status"] = chain(*LABEL_CHAIN) + f"""
 SELECT 'one_status_per_inspection' AS expectation, CAST(COUNT(*) AS BIGINT) AS num_rows,
        CAST(COUNT(*) FILTER (WHERE ns <> 1) AS BIGINT) AS num_violations
@@ -424,8 +430,8 @@ ORACLES["crime_fill_by_year"] = gchain(*GEO_CHAIN, CRIME, _crime_pivot("presence
 
 # ---- stage 7: history features ---------------------------------------------------------------------
 
-ACTION_COLS = [("action_null" if v is None else sanitise_action(v)) for v in fx.FIXTURE_ACTIONS]
-OUTCOME_COLS = [("court_outcome_null" if v is None else sanitise_outcome(v)) for v in fx.FIXTURE_OUTCOMES]
+ACTION_COLS = list(ACTION_NAMES.values())
+OUTCOME_COLS = list(OUTCOME_NAMES.values())
 
 
 def _prev_name(c: str, kind: str) -> str:
@@ -527,7 +533,7 @@ INT_FEATURES = {"time_since_last_infrac", "days_since_last_inspection"} | {
     c for c in MODEL_FEATURES if c.endswith(("_month", "_weekday", "_weekofyear", "_quarter", "_year"))}
 COUNT_FEATURES = ["num_minor_prev", "num_significant_prev", "num_crucial_prev", "cumulative_failures",
                   "cumulative_minor", "cumulative_significant", "cumulative_crucial", "cumulative_inspections"]
-NUMERIC_FEATURES = ["Shape__Area", "neigh_shape_length", "time_since_last_infrac", "days_since_last_inspection"]
+NUMERIC_FEATURES = ["time_since_last_infrac", "days_since_last_inspection"]
 
 
 def _ml_select() -> str:
@@ -647,9 +653,9 @@ cnt AS (SELECT "column", value, CAST(COUNT(*) AS BIGINT) AS "count" FROM stacked
 SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY "count" DESC, value ASC NULLS FIRST)
                               AS BIGINT) AS rank FROM cnt) WHERE rank <= 5"""
 ORACLES["standardise"] = gchain(*SPLIT_CHAIN) + _d(src="(SELECT t.* REPLACE (" + ", ".join(
-    f"(t.{c} - s.m_{c}) / NULLIF(s.s_{c}, 0) AS {c}" for c in NUMERIC_FEATURES) + ") FROM train t, (SELECT "
+    f"(t.{c} - s.m_{c}) / CASE WHEN s.s_{c} = 0 THEN 1 ELSE s.s_{c} END AS {c}" for c in NUMERIC_FEATURES) + ") FROM train t, (SELECT "
     + ", ".join(f"AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}" for c in NUMERIC_FEATURES) + " FROM train) s)",
-    doubles=tuple(NUMERIC_FEATURES))
+    doubles=ML_DOUBLES + tuple(NUMERIC_FEATURES))
 ORACLES["baseline_constant"] = gchain(*SPLIT_CHAIN) + _d(src="(SELECT *, 1 AS y_always_infrac FROM test)",
                                                          doubles=ML_DOUBLES)
 ORACLES["confusion_matrix"] = gchain(*PRED_CHAIN, _cm()) + "SELECT * FROM cm"
@@ -719,12 +725,42 @@ SELECT 'census_join_keeps_rows' AS expectation, (SELECT CAST(COUNT(*) AS BIGINT)
        (SELECT COUNT(*) FROM filled) = (SELECT COUNT(*) FROM withpop) AS ok"""
 ORACLES["expect_unique_geocode"] = gchain(INFR) + """
 SELECT 'one_geocode_per_address' AS expectation, CAST(COUNT(*) AS BIGINT) AS num_rows,
-       CAST(0 AS BIGINT) AS num_violations
-FROM (SELECT upper(replace(address, ', Toronto, ON, Canada', '')) AS a FROM addressinfo GROUP BY 1)"""
+       CAST(COUNT(*) FILTER (WHERE n > 1) AS BIGINT) AS num_violations
+FROM (SELECT address, COUNT(*) AS n FROM addressinfo GROUP BY 1)"""
 
 
 ORACLES["inspection_label_split"] = ORACLES["inspection_label"]
 ORACLES["history_features_split"] = ORACLES["history_features"]
+ORACLES["no_reinspections_strict_split"] = ORACLES["no_reinspections_strict"]
+
+ODD = """
+odd AS (SELECT * REPLACE (CASE WHEN inspection_id % 7 <> 0 THEN inspection_date END AS inspection_date,
+                          CASE WHEN establishment_id % 3 <> 0 THEN establishment_address END AS establishment_address)
+        FROM labelled)"""
+ORACLES["days_to_next_nulls_split"] = chain(*LABEL_CHAIN, ODD) + f"""
+SELECT {EST}, inspection_id, CAST(inspection_date AS VARCHAR) AS inspection_date,
+       CAST(abs(datediff('day', inspection_date, lead(inspection_date) OVER (PARTITION BY {EST}
+            ORDER BY inspection_id NULLS FIRST, inspection_date NULLS FIRST, establishment_status NULLS FIRST))) AS BIGINT) AS days_to_next
+FROM odd"""
+ORACLES["feat_inspection_index_nulls_split"] = chain(*LABEL_CHAIN, ODD) + f"""
+SELECT {EST}, inspection_id, CAST(inspection_date AS VARCHAR) AS inspection_date,
+       CAST(row_number() OVER (w) - 1 AS BIGINT) AS cumulative_inspections,
+       CAST(SUM(num_minor) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumulative_minor, lag(num_minor) OVER (w) AS num_minor_prev
+FROM odd WINDOW w AS (PARTITION BY {EST} ORDER BY inspection_date NULLS FIRST, inspection_id NULLS FIRST, establishment_status NULLS FIRST)"""
+
+ORACLES["inspections_aggregate_collision"] = chain(INFR, """
+changed AS (SELECT * REPLACE (
+        CASE WHEN action = 'Ticket' AND inspection_id % 2 = 0 THEN 'Verbal Warning' ELSE action END AS action,
+        CASE WHEN court_outcome = 'Pending' AND inspection_id % 2 = 0 THEN 'Pen-ding' ELSE court_outcome END AS court_outcome)
+    FROM infr)""", _valid().replace("FROM infr", "FROM changed"), INNER,
+    _outer(actions={**ACTION_NAMES, "Verbal Warning": "num_verbal_warning"}, outcomes={**OUTCOME_NAMES, "Pen-ding": "num_pending"})) + _d(src="agg")
+
+ORACLES["incremental_append"] = chain(INFR) + """
+SELECT CAST(f AS BIGINT) AS filename, CAST(COUNT(*) AS BIGINT) AS num_rows
+FROM (SELECT 1 AS f FROM infr WHERE year(inspection_date) <= 1998 UNION ALL SELECT 2 FROM infr WHERE year(inspection_date) >= 1998) GROUP BY f"""
+ORACLES["contiguous_parts_csv"] = """
+SELECT CAST(part AS INTEGER) AS part, CAST(COUNT(*) AS BIGINT) AS num_rows, MIN(o_orderkey) AS first_key, MAX(o_orderkey) AS last_key
+FROM (SELECT o_orderkey, floor((row_number() OVER (ORDER BY o_orderkey) - 1) / (COUNT(*) OVER () / 10.0)) AS part FROM orders) GROUP BY part"""
 
 ORACLES["load_count_check"] = chain(INFR) + """
 SELECT CAST(COUNT(*) AS BIGINT) AS loaded, CAST(COUNT(*) AS BIGINT) AS expected, true AS ok FROM infr"""

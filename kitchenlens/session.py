@@ -8,6 +8,7 @@ chosen only when the setting is absent (tests, local runs).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,12 +56,17 @@ def get_session(master: str | None = None, app: str = "kitchenlens",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, choosing a scratch one only if none is set."""
+    """Return the session's checkpoint folder.
+
+    A scratch folder is chosen where none is set and the session runs in one process (tests).  On a
+    cluster a machine-local folder would lose what other machines write, so an unset folder is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        # Local runs and tests only: a cluster names a shared folder in spark.checkpoint.dir.
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         path = tempfile.mkdtemp(prefix="kitchenlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

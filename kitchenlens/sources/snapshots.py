@@ -90,14 +90,18 @@ def new_snapshots(incoming: DataFrame, loaded: DataFrame, key: str = "filename")
     return incoming.join(loaded.select(key).distinct(), key, "left_anti")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the file system that Spark reads it from."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 def incremental_append(spark: SparkSession, incoming: DataFrame, table_path: str,
                        key: str = "filename") -> DataFrame:
-    """Append only unseen snapshots to a Parquet table; return the distinct loaded ids."""
-    try:
-        loaded = spark.read.parquet(table_path)
-        fresh = new_snapshots(incoming, loaded, key)
-    except Exception:  # first load: the table does not exist yet
-        fresh = incoming
+    """Append only unseen snapshots to a Parquet table; return the distinct loaded ids.
+
+    Only a table that is not there counts as a first load; any other error surfaces."""
+    fresh = new_snapshots(incoming, spark.read.parquet(table_path), key) if path_exists(spark, table_path) else incoming
     fresh.write.mode("append").parquet(table_path)
     return spark.read.parquet(table_path).select(key).distinct()
 
@@ -134,24 +138,38 @@ def partition_numbering(df: DataFrame, order: Sequence[str], n_parts: int, n_buc
     return idx.select(*df.columns, row_index.cast("bigint").alias("row_index"), part.alias("part"))
 
 
-def write_parts_csv(df: DataFrame, path: str, n_parts: int, null_value: str = "") -> None:
-    """S7 sink: N CSV files with a header and no index column."""
-    (df.repartition(n_parts).write.mode("overwrite").option("header", True).option("nullValue", null_value)
+def write_parts_csv(numbered: DataFrame, path: str, null_value: str = "") -> None:
+    """S7 sink: one folder of CSV files with a header per ``part`` of ``partition_numbering``, rows in order.
+
+    Tasks write ranges of the row order, so a part of any size is written by many tasks."""
+    keep = [c for c in numbered.columns if c not in ("row_index", "part")]
+    (numbered.repartitionByRange("part", "row_index").sortWithinPartitions("part", "row_index").select(*keep, "part")
+     .write.mode("overwrite").partitionBy("part").option("header", True).option("nullValue", null_value)
      .option("dateFormat", "yyyy-MM-dd").csv(path))
 
 
-def load_count_check(spark: SparkSession, staged: DataFrame, table: str, expected: int | None = None) -> DataFrame:
-    """Append staged rows to a catalog table, then report loaded vs expected rows."""
+def write_bulk_csv(df: DataFrame, path: str, null_value: str = "") -> None:
+    """S8 sink: bulk CSV files with a header, as many as the frame has partitions."""
+    (df.write.mode("overwrite").option("header", True).option("nullValue", null_value).option("dateFormat", "yyyy-MM-dd").csv(path))
+
+
+def load_count_check(spark: SparkSession, staged: DataFrame, table: str, expected: int) -> DataFrame:
+    """Append staged rows to a catalog table, then report loaded vs expected rows (all rows the
+    table should hold afterwards)."""
     staged.write.mode("append").saveAsTable(table)
     loaded = spark.table(table).agg(F.count(F.lit(1)).cast("bigint").alias("loaded"))
-    exp = F.lit(expected).cast("bigint") if expected is not None else F.col("loaded")
+    exp = F.lit(expected).cast("bigint")
     return loaded.select("loaded", exp.alias("expected"), (F.col("loaded") == exp).alias("ok"))
 
 
 def append_and_check(spark: SparkSession, staged: DataFrame, path: str) -> DataFrame:
-    """S9 / K7 on a storage path: append the staged rows as Parquet, then report the rows now
-    in the table against the rows staged (both counts are scalar subqueries, no join)."""
-    staged.write.mode("append").parquet(path)
+    """S9 / K7 on a storage path: append the staged rows as Parquet, then report the rows in the table
+    against those before plus those the append wrote (counted by the write itself, so the staged
+    frame is computed once)."""
+    before = spark.read.parquet(path).count() if path_exists(spark, path) else 0
+    from pyspark.sql import Observation
+    written = Observation()
+    staged.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
     loaded = spark.read.parquet(path).agg(F.count(F.lit(1)).cast("bigint")).scalar()
-    expected = staged.agg(F.count(F.lit(1)).cast("bigint")).scalar()
+    expected = F.lit(before + (written.get["n"] or 0)).cast("bigint")
     return spark.range(1).select(loaded.alias("loaded"), expected.alias("expected"), (loaded == expected).alias("ok"))

@@ -60,3 +60,16 @@ def test_addresses_to_geocode_anti_join(spark):
     cache = spark.createDataFrame([("2 Side St, Toronto, ON, Canada",)], "address string")
     got = [r[0] for r in geo.addresses_to_geocode(missing, cache).collect()]
     assert got == ["3 Lane Rd, Toronto, ON, Canada"]
+
+
+def test_boundary_is_outside(spark):
+    on_edge = [(0.0, 0.5), (1.0, 0.5), (0.5, 0.0), (0.5, 1.0), (0.0, 0.0), (1.0, 1.0), (2.5, 1.0), (3.0, 1.5), (2.5, 0.5), (6.0, 5.5)]
+    pts = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(on_edge)] + [(99, 0.999, 0.001)], "id int, longitude double, latitude double")
+    assert [r["id"] for r in geo.point_in_polygon(pts, polygons(spark), cell=0.3).collect()] == [99]
+
+
+def test_repeated_polygons_count_once_each(spark):
+    pts = spark.createDataFrame([(1, 0.5, 0.5)], "id int, longitude double, latitude double")
+    twice = polygons(spark).unionByName(polygons(spark))
+    assert geo.point_in_polygon(pts, twice, cell=0.4).count() == 2
+    assert geo.point_in_polygon(pts, twice, cell=0.4, max_broadcast_cells=0, max_broadcast_vertices=0).count() == 2

@@ -109,3 +109,32 @@ def test_perceptron_defined_and_fits(spark):
     # width of the assembled vector: one-hot of 2 labels (dropLast keeps both, unseen bucket dropped) + 1
     model = md.fit_pipeline(df, md.perceptron(3), ["c"], ["n"])
     assert md.predict(model, df, ["n"]).count() == 40
+
+
+def test_yeo_johnson_edges(spark):
+    x = np.random.default_rng(1).normal(50, 8, 400) ** (1 / 12) - 1      # normal at λ = 12, outside the first grid
+    df = spark.createDataFrame([(float(v), 3.0, None) for v in x], "x double, same double, none double")
+    lam = md.fit_yeo_johnson(df, ["x", "same", "none"])
+    assert lam["same"] == lam["none"] == 1.0 and 8 < lam["x"] < 16
+    big = spark.createDataFrame([(1e9 + i,) for i in range(50)], "x double")
+    assert math.isfinite(md.fit_yeo_johnson(big, ["x"])["x"])
+
+
+def test_standardise_constant_column(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
+    assert [tuple(r) for r in md.standardise(df, ["a", "b"]).orderBy("a").collect()] == [(-1.0, 0.0), (1.0, 0.0)]
+
+
+def test_model_inputs():
+    plain, flags = md.categorical_features(), md.categorical_features(use_flags=True)
+    assert len(plain) == len(flags) == 25 and not {"Shape__Area", "neigh_shape_length", *mp.NUMERIC_FEATURES} & set(plain)
+    assert sum(c.endswith("_gt_zero") for c in flags) == 8
+
+
+def test_cross_validate_two_models_share_a_fold(spark):
+    rows = [(0, "train" if i < 40 else "val", str(i % 2), float(i % 2) + 0.01 * i, i % 2, i, dt.date(2000, 1, 1), i, "R", "S") for i in range(50)]
+    folds = spark.createDataFrame(rows, "fold int, role string, c string, n double, is_infraction int, inspection_id int, inspection_date date, "
+                                        "establishment_id int, establishmenttype string, establishment_address string")
+    recs = md.cross_validate(folds, {"guess": "guess", "lr": md.logistic_regression, "rf": lambda n: md.random_forest(num_trees=5, max_depth=3)}, ["c"], ["n"])
+    assert [(r["classifier"], r["len_train"], r["len_val"]) for r in recs] == [(c, 40, 10) for c in ("guess", "lr", "rf")]
+    assert all(r["f1_test"] == 1.0 and r["f1_train"] == 1.0 for r in recs[1:])

@@ -24,8 +24,17 @@ def test_flagship_plan(spark):
     assert count(r"Window \[", p) >= 2
 
 
-def test_flagship_default_splits_hot_establishments(spark):
+def test_flagship_default_reads_once_where_nothing_is_hot(spark):
+    assert c.split_args(spark, SF001) == {}
     p = plan_of(c.labelled(spark, SF001))
+    assert len(re.findall(r"FileScan parquet[^\n]*lineitem", p)) == 1
+    assert count(r"Exchange hashpartitioning", p) == count(r"Exchange hashpartitioning", plan_of(c.labelled(spark, SF001, hot_group_rows=None)))
+
+
+def test_flagship_splits_hot_establishments(spark):
+    split = c.split_args(spark, SF001, hot_group_rows=20)
+    assert set(split) == {"hot_group_rows", "hot"}
+    p = plan_of(c.labelled(spark, SF001, chunk_rows=5, **split))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     specs = [re.sub(r"#\d+L?", "", m) for m in re.findall(r"Window \[.*?\], \[([^\]]*)\]", p)]
     est = "establishment_id, establishmenttype, establishment_address"
@@ -40,8 +49,9 @@ def test_features_add_no_extra_exchange(spark):
 
 
 def test_scan_pruning(spark):
-    p = c.infractions(spark, SF001).select("inspection_id")._jdf.queryExecution().executedPlan().toString()
-    assert "l_returnflag" not in p.split("ReadSchema")[0] or "ReadSchema" in p
+    p = c.infractions(spark, SF001).select("inspection_id", "action")._jdf.queryExecution().executedPlan().toString()
+    schemas = {m[0]: m[1] for m in re.findall(r"FileScan parquet[^\n]*?(lineitem|orders|customer)\.parquet[^\n]*ReadSchema: struct<([^>]*)>", p)}
+    assert schemas == {"lineitem": "l_orderkey:bigint,l_linenumber:int", "orders": "o_orderkey:bigint,o_custkey:bigint", "customer": "c_custkey:bigint"}
 
 
 def test_entry_and_contract(spark):
@@ -69,18 +79,20 @@ def test_profile_table_values_and_plan(spark):
     assert got["x"]["dtype"] == "double"
     empty = ex.profile_table(df.where("z > 99")).collect()
     assert sorted((r["column"], r["num"], r["nunique"]) for r in empty) == [("x", 0, 0), ("y", 0, 0), ("z", 0, 0)]
-    # one scan, no per-distinct-column row expansion, no subquery re-running the input
+    # hash aggregates over one written input, no per-distinct-column row expansion, no subquery
     p = plan_of(ex.profile_table(c.labelled(spark, SF001)))
-    assert "Expand" not in p and "Subquery" not in p
+    assert "Expand" not in p and "Subquery" not in p and "SortAggregate" not in p
+    assert count("FileScan parquet", p) == 1 and "lineitem" not in p
 
 
-def test_split_side_tables_broadcast_only_with_a_small_bound(spark):
-    from kitchenlens.operators.ordered import assign_chunks
+def test_hot_groups_broadcast_only_after_their_count(spark, monkeypatch):
+    from kitchenlens.operators import ordered
     df = spark.range(0, 100).selectExpr("id % 3 AS g", "id AS v")
 
-    def hinted(hot_group_rows):
-        out = assign_chunks(df, ["g"], "v", hot_group_rows, chunk_rows=hot_group_rows)
+    def hinted():
+        out = ordered.assign_chunks(df, ["g"], "v", 5, chunk_rows=5)
         return "strategy=broadcast" in out._jdf.queryExecution().optimizedPlan().toString()
 
-    assert hinted(2_000_000)            # ≤ rows / 2M hot groups: broadcast
-    assert not hinted(5)                # ≤ rows / 5 entries: left to AQE
+    assert hinted()                     # three hot groups were counted
+    monkeypatch.setattr(ordered, "MAX_BROADCAST_HOT_GROUPS", 2)
+    assert not hinted()                 # more than the bound: left to AQE

@@ -155,3 +155,42 @@ def test_stage_handoff_round_trip_and_latest(spark, scratch):
     latest = files.latest_stage(spark, f"{scratch}/stages")
     assert latest.endswith("s2_new")
     assert files.read_stage(spark, latest).count() == 3
+
+
+def test_incremental_append_surfaces_errors(spark, scratch):
+    import pytest
+    with open(f"{scratch}/broken", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        snap.incremental_append(spark, spark.range(2).withColumnRenamed("id", "filename"), f"{scratch}/broken")
+
+
+def test_append_check_counts_what_was_there(spark, scratch):
+    rows = spark.range(5)
+    for want in (5, 10):
+        assert tuple(snap.append_and_check(spark, rows, f"{scratch}/t").first()) == (want, want, True)
+    assert snap.load_count_check(spark, rows, "count_check_t", expected=6).first()["ok"] is False
+    spark.sql("DROP TABLE count_check_t")
+
+
+def test_contiguous_part_files(spark, scratch):
+    df = spark.range(103).selectExpr("102 - id AS k", "'a,b' AS v")
+    snap.write_parts_csv(snap.partition_numbering(df, ["k"], 10, n_buckets=4), f"{scratch}/parts")
+    back = spark.read.schema("k bigint, v string, part int").option("header", True).csv(f"{scratch}/parts").collect()
+    by = {}
+    for r in back:
+        by.setdefault(r["part"], []).append(r["k"])
+    assert len(back) == 103 and sorted(by) == list(range(10))
+    assert [max(by[p]) < min(by[p + 1]) for p in range(9)] == [True] * 9 and {len(v) for v in by.values()} == {10, 11}
+
+
+def test_xml_stream(spark, scratch):
+    from kitchenlens.streaming.ingest import ingest_snapshots
+    import os
+    for i in (1, 2):
+        os.makedirs(f"{scratch}/land/{i}")
+        with open(f"{scratch}/land/{i}/s.xml", "w") as f:
+            f.write(f"<R><ROW><ROW_ID>{i}</ROW_ID><ESTABLISHMENT_ID>7</ESTABLISHMENT_ID><INSPECTION_DATE>2019-01-0{i}</INSPECTION_DATE></ROW></R>")
+        ingest_snapshots(spark, f"{scratch}/land/*", f"{scratch}/table", f"{scratch}/ckpt", fmt="xml")
+    got = sorted((r["row_id"], str(r["inspection_date"])) for r in spark.read.parquet(f"{scratch}/table").collect())
+    assert got == [(1, "2019-01-01"), (2, "2019-01-02")]
