@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .ann import op10_ann
-from .decontaminate import op6_decontamination
+from .decontaminate import OP6_SQL, op6_decontamination
 from .langid import op4_language
 from .packing import op1_packing
 from .pii import op7_pii
@@ -31,4 +31,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op3_warc": OP3_SQL,
+    "op6_decontamination": OP6_SQL,
 }

@@ -182,3 +182,22 @@ def op6_decontamination(spark, sf_dir: str) -> DataFrame:
                        F.size("hits.items").cast("long").alias("n_items"),
                        F.sha2(F.array_join("hits.items", ","), 256).alias("items_sha256"),
                        (F.size("hits.spans") > 0).alias("contaminated"))
+
+
+_WORDS_SQL = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+              r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+OP6_SQL = f"""
+WITH dw AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+     iw AS (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark),
+     iwin AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, pos, pos + n - 1), ' ') AS win
+              FROM (SELECT item_id, w, least(len(w), {WINDOW}) AS n, unnest(range(1, len(w) - least(len(w), {WINDOW}) + 2)) AS pos FROM iw WHERE len(w) > 0)),
+     dwin AS (SELECT doc_id, pos, n, array_to_string(list_slice(w, pos, pos + n - 1), ' ') AS win
+              FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS pos FROM dw, (SELECT DISTINCT n FROM iwin) WHERE len(w) >= n)),
+     found AS (SELECT doc_id, pos, d.n, item_id FROM dwin d JOIN iwin i ON d.n = i.n AND d.win = i.win),
+     hit AS (SELECT doc_id, COUNT(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS place FROM found) GROUP BY doc_id),
+     items AS (SELECT doc_id, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+               FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit ON hit.doc_id = dw.doc_id LEFT JOIN items ON items.doc_id = dw.doc_id
+"""
