@@ -7,8 +7,10 @@ chosen only when the setting is absent (tests, local runs).
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,5 +85,39 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     import uuid
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    if not _STAGES:
+        atexit.register(_release_all)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _STAGES[path] = spark
+    out = spark.read.parquet(path)
+    out.stage_path = path
+    return out
+
+
+_STAGES: dict[str, SparkSession] = {}
+
+
+def drop_stage(df: DataFrame) -> None:
+    """Delete the table behind a frame that ``cut_lineage`` returned, once nothing reads it any more."""
+    _delete(df.sparkSession, df.stage_path)
+
+
+def release_stages(spark: SparkSession) -> None:
+    """Delete all stage tables this process has written for a session; call it when the results that
+    read them have been written or collected.  Runs by itself when the process ends."""
+    for path in [p for p, s in _STAGES.items() if s is spark]:
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    _STAGES.pop(path, None)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _release_all() -> None:
+    for path, spark in list(_STAGES.items()):
+        if spark.sparkContext._jsc is None:      # the session was stopped: only a local folder can still be reached
+            shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+        else:
+            _delete(spark, path)

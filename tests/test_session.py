@@ -51,3 +51,12 @@ def test_real_defaults():
     assert mlprep.FOLD_STARTS == ["2018-07-01", "2018-10-01", "2019-01-01", "2019-04-01", "2019-07-01"]
     assert (mlprep.FOLD_TRAIN_START, mlprep.OPERATING_CUTOFF) == ("2017-01-01", "2017-11-01")
     assert mlprep.NUMERIC_FEATURES == ["time_since_last_infrac", "days_since_last_inspection"]
+
+
+def test_stage_tables_are_deleted(spark):
+    import os
+    a, b = session.cut_lineage(spark.range(3), "a"), session.cut_lineage(spark.range(4), "b")
+    session.drop_stage(a)
+    assert not os.path.exists(a.stage_path) and b.count() == 4
+    session.release_stages(spark)
+    assert not os.path.exists(b.stage_path)
