@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, table
+from .common import cut_lineage, smallest_hashes, table
 
 #: Distinct vectors the index is fitted on at most (smallest hashes); every vector is indexed.
 FIT_VECTORS = 6000
@@ -207,13 +207,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
     spark = vectors.sparkSession
     usable = _usable(vectors, id_col, vec_col)
     # one row for each distinct vector, its smallest ids kept by a bounded aggregate
-    name = F.xxhash64("vec")
     ids = cut_lineage(usable.groupBy("vec").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "vectors")
     rows = ids.count()
     schema = "query_id long, rank int, vec_id long, score double"
     if not rows:
         return spark.createDataFrame([], schema)
-    sample = ids.orderBy(name, "vec_id").limit(fit_vectors).select("vec").toArrow()["vec"]
+    sample = smallest_hashes(ids.withColumn("place", F.xxhash64("vec")), "place", rows, fit_vectors).select("vec").toArrow()["vec"]
     router, probes = fit_router(_matrix(sample), max(partitions, 1), GRAPH_NEIGHBOURS, HIDDEN, target_recall, k)
     state = spark.sparkContext.broadcast(router.state())
     parts = router.b2.shape[0]

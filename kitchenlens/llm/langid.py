@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, cut_lineage, table
+from .common import crc_of_id, cut_lineage, smallest_hashes, strings, table
 
 #: n-gram lengths and the hashed feature space.
 ORDERS, SPACE = (1, 2, 3), 1 << 16
@@ -77,7 +77,7 @@ def has_letter(text: str | None) -> bool:
 def _document_frequencies(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
     total = np.zeros(SPACE, np.int64)
     for batch in batches:
-        for text in batch["text"].to_pylist():
+        for text in strings(batch["text"]):
             if has_letter(text):
                 total[term_counts(text)[0]] += 1
     yield pa.RecordBatch.from_pydict({"feature": pa.array(np.arange(SPACE)), "df": pa.array(total)})
@@ -162,7 +162,7 @@ def _logits(state):
     def rows(batches):
         model = LanguageModel(*state.value)
         for batch in batches:
-            out = [model.logits(t) for t in batch["text"].to_pylist()]
+            out = [model.logits(t) for t in strings(batch["text"])]
             yield pa.RecordBatch.from_pydict({"lang": batch["lang"], "logits": pa.array([list(map(float, z)) for z in out], pa.list_(pa.float64()))})
     return rows
 
@@ -172,7 +172,7 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Learns from all rows with text and language given; no such rows give a model without languages.
 
     Document frequencies count every row.  The weights are learned from the shards * shard_rows
-    rows with the smallest id hashes, the temperature from the ``calibration_rows`` after them.  Each
+    rows with the smallest hashes of id and text, the temperature from the ``calibration_rows`` after them.  Each
     shard is learned in its own task and the shards' states are averaged between rounds."""
     spark = docs.sparkSession
     usable = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")).where(
@@ -181,11 +181,11 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .toArrow())      # SPACE rows
     df = np.zeros(SPACE)
     df[freq["feature"].to_numpy()] = freq["df"].to_numpy()
-    place = F.xxhash64(F.lit("langid"), "doc_id")
-    picked = cut_lineage(usable.where(F.col("text").rlike(r"\p{L}")).withColumn("place", place).orderBy("place", "doc_id")
-                         .limit(shards * shard_rows + calibration_rows), "langid-sample")
-    langs = sorted(r.lang for r in picked.select("lang").distinct().collect())
     n_docs = usable.count()
+    place = F.xxhash64(F.lit("langid"), "doc_id", "text")
+    picked = cut_lineage(smallest_hashes(usable.withColumn("place", place), "place", n_docs, shards * shard_rows + calibration_rows)
+                         .where(F.col("text").rlike(r"\p{L}")), "langid-sample")
+    langs = sorted(r.lang for r in picked.select("lang").distinct().collect())
     idf = (np.log((1 + n_docs) / (1 + df)) + 1).astype(np.float32)
     if not langs:
         return LanguageModel([], idf, np.zeros((SPACE, 0), np.float32))
@@ -220,7 +220,7 @@ def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text")
     def predict(texts: pa.Array) -> pa.Array:
         if not made:
             made["model"] = LanguageModel(*held.value)
-        found = [made["model"].predict(t) for t in texts.to_pylist()]
+        found = [made["model"].predict(t) for t in strings(texts)]
         return pa.array([{"lang_pred": a, "score": min(1.0, b)} for a, b in found], pa.struct([("lang_pred", pa.string()), ("score", pa.float64())]))
     return predict(F.col(f"`{text_col}`"))
 
