@@ -14,7 +14,7 @@ def title_case(c) -> Column:
     """Python ``str.title`` semantics: a letter following a non-letter is upper-cased, every other
     letter lower-cased (``O'Connor``, ``12Th``), unlike ``initcap`` which only looks at spaces.
 
-    Written with ``transform`` over the character array, so it stays inside codegen.
+    Written with ``transform`` over the character array: no Python, evaluated row by row in the JVM.
     """
     s = col_of(c)
     chars = F.split(s, "")
