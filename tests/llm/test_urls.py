@@ -45,3 +45,78 @@ def test_templates_learn_from_the_rules(spark):
     assert {r.verdict for r in got if r.host == "b.com" and r.path.startswith("/news/")} == {"allow"}
     assert {r.template for r in got if r.path.startswith("/page-")} == {"/*/x"}
     assert all(0 <= r.purity <= 1 for r in got)
+
+
+def plain_verdicts(urls, rules):
+    """Templates, merging and smoothing written out with dictionaries."""
+    import math
+    from collections import Counter, defaultdict
+
+    def shape(seg):
+        stem = re.sub(r"\.[A-Za-z]{1,5}$", "", seg)
+        if not stem:
+            return ""
+        if re.fullmatch(r"\d+", stem):
+            return "{number}"
+        if re.fullmatch(r"(?i)(?=.*\d)[0-9a-f]{8,}", stem):
+            return "{hex}"
+        if re.fullmatch(r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", stem):
+            return "{uuid}"
+        return "{mixed}" if re.search(r"\d{4}", stem) or len(stem) > 40 else None
+
+    def rule(host, path):
+        fits = [(len(h + p), v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits)[1] if fits else None
+
+    parts = [plain(u) for u in urls]
+    segs = [re.sub(r"^/|/$", "", p).split("/") for _, p in parts]
+    literals, siblings = Counter(), Counter()
+    for (host, _), s in zip(parts, segs):
+        for d, x in enumerate(s):
+            if shape(x) is None:
+                literals[host, d, x] += 1
+                siblings[host, d] += 1
+
+    def name(host, d, x):
+        n = literals[host, d, x]
+        return shape(x) if shape(x) is not None else x if n >= uf.MIN_ROWS and n >= siblings[host, d] * uf.MIN_SHARE else "*"
+
+    template = [(h, tuple(name(h, d, x) for d, x in enumerate(s))) for (h, _), s in zip(parts, segs)]
+    blocked, labelled = Counter(), Counter()
+    for key, (h, p) in zip(template, parts):
+        v = rule(h, p)
+        blocked[key] += v == "block"
+        labelled[key] += v is not None
+
+    def branch(t):
+        at = [i for i, x in enumerate(t) if x not in ("*", "") and not x.startswith("{")]
+        return tuple("*" if at and i == at[-1] else x for i, x in enumerate(t))
+    sib, shared = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+    for h, t in set(template):
+        for box in (sib[h, branch(t)], shared[t]):
+            box[0] += blocked[h, t]
+            box[1] += labelled[h, t]
+    overall = (sum(blocked.values()) + 0.5) / (sum(labelled.values()) + 1)
+    out = []
+    for (h, t), (host, path) in zip(template, parts):
+        b, m = blocked[h, t], labelled[h, t]
+        sb, sm = sib[h, branch(t)]
+        if m and sm - m:
+            pooled = sb / sm
+            if abs(b / m - (sb - b) / (sm - m)) <= uf.SIMILAR_Z * math.sqrt(pooled * (1 - pooled) * (1 / m + 1 / (sm - m))):
+                b, m = sb, sm
+        prior = (shared[t][0] + uf.PRIOR_ROWS * overall) / (shared[t][1] + uf.PRIOR_ROWS)
+        purity = (b + uf.PRIOR_ROWS * prior) / (m + uf.PRIOR_ROWS)
+        out.append((rule(host, path) or ("block" if purity > 0.5 else "allow"), "/" + "/".join(t), round(purity, 9)))
+    return out
+
+
+def test_whole_table_against_plain(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    extra = spark.createDataFrame([(10_000 + i, u) for i, u in enumerate(URLS)] + [(20_000 + i, f"https://a.example.com/{k}/x{i % 3}/{i}.html") for i in range(90) for k in ("fr", "de")],
+                                  "page_id long, url string")
+    pages = pages.unionByName(extra)
+    rows = sorted(map(tuple, pages.collect()), key=str)
+    want = sorted((i, *v) for (i, _), v in zip(rows, plain_verdicts([u for _, u in rows], uf.RULES)))
+    got = sorted((r.page_id, r.verdict, r.template, round(r.purity, 9)) for r in uf.judge_urls(pages).collect())
+    assert got == want
