@@ -646,6 +646,17 @@ def q_e3(spark, sf_dir):
     return ev.metrics_long(rep, "test")
 
 
+@query("metrics_table")
+def q_e3t(spark, sf_dir):
+    """E3 in the source's layout: model on both splits, baselines on the test split."""
+    from pyspark.sql import functions as F
+    t = split_table(spark, sf_dir)
+    y = F.col("is_infraction")
+    pred = t.select("split", y.alias("y_true"), F.when(F.col("inspection_id") % 5 == 0, 1 - y).otherwise(y).alias("ML"),
+                    F.lit(1).alias("always_infrac"), (F.col("inspection_id") % 2).cast("int").alias("guess"))
+    return ev.metrics_table(pred, "ML", ["guess", "always_infrac"])
+
+
 @query("weekday_error_share")
 def q_e5(spark, sf_dir):
     return ev.weekday_error_share(fixture_predictions(spark, sf_dir))
@@ -888,6 +899,18 @@ def q_s8(spark, sf_dir):
     return fl.read_bulk_csv(spark, path)
 
 
+@query("explode_records")
+def q_s15(spark, sf_dir):
+    """The customers as paged catalog responses (JSON lines of 100 records), read back as rows."""
+    import uuid
+    from pyspark.sql import functions as F
+    c = snap.partition_numbering(fx.table(spark, sf_dir, "customer").select("c_custkey", "c_name"), ["c_custkey"], 10)
+    pages = c.groupBy(F.floor(F.col("row_index") / 100)).agg(F.collect_list(F.struct("c_custkey", "c_name")).alias("records"))
+    path = _scratch(spark, f"records_{uuid.uuid4().hex}")
+    pages.select(F.to_json(F.struct(F.struct("records").alias("result"))).alias("value")).write.text(path)
+    return fl.read_catalog_records(spark, path, rename={"c_custkey": "id", "c_name": "name"}, multi_line=False)
+
+
 @query("stage_csv_handoff")
 def q_s12(spark, sf_dir):
     """The labelled inspections handed to the next stage as CSV (header, ISO

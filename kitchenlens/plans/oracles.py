@@ -667,6 +667,18 @@ SELECT strategy, metric, ROUND(value, 6) AS value, 'test' AS split FROM (
     SELECT strategy, 'precision' AS metric, precision AS value FROM report WHERE label = '1'
     UNION ALL SELECT strategy, 'recall', recall FROM report WHERE label = '1'
     UNION ALL SELECT strategy, 'f1', f1 FROM report WHERE label = '1')"""
+ORACLES["metrics_table"] = gchain(*SPLIT_CHAIN) + """
+, p AS (SELECT split, is_infraction AS y, CASE WHEN inspection_id % 5 = 0 THEN 1 - is_infraction ELSE is_infraction END AS ml,
+               1 AS aw, inspection_id % 2 AS gs FROM split WHERE split IS NOT NULL),
+s AS (SELECT split, 'ML' AS strategy, y, ml AS q FROM p UNION ALL SELECT split, 'always_infrac', y, aw FROM p
+      UNION ALL SELECT split, 'guess', y, gs FROM p),
+c AS (SELECT split, strategy, SUM(CASE WHEN y = 1 AND q = 1 THEN 1.0 ELSE 0 END) AS tp, SUM(CASE WHEN q = 1 THEN 1.0 ELSE 0 END) AS pp,
+             SUM(CASE WHEN y = 1 THEN 1.0 ELSE 0 END) AS ap FROM s GROUP BY ALL),
+m AS (SELECT split, strategy, COALESCE(tp / NULLIF(pp, 0), 0) AS pr, COALESCE(tp / NULLIF(ap, 0), 0) AS re FROM c)
+SELECT ROUND(value, 6) AS value, metric, split, strategy FROM (
+    SELECT pr AS value, 'precision' AS metric, split, strategy FROM m WHERE strategy = 'ML' OR split = 'test'
+    UNION ALL SELECT re, 'recall', split, strategy FROM m WHERE strategy = 'ML' OR split = 'test'
+    UNION ALL SELECT COALESCE(2 * pr * re / NULLIF(pr + re, 0), 0), 'f1', split, strategy FROM m WHERE strategy = 'ML')"""
 ORACLES["weekday_error_share"] = gchain(*PRED_CHAIN, _shares_sql(WEEKDAY_SQL, "inspection_weekday_name")) + """
 SELECT subset, inspection_weekday_name, ROUND(true_share, 6) AS true_share, ROUND(pred_share, 6) AS pred_share
 FROM shares"""
@@ -755,6 +767,7 @@ changed AS (SELECT * REPLACE (
     FROM infr)""", _valid().replace("FROM infr", "FROM changed"), INNER,
     _outer(actions={**ACTION_NAMES, "Verbal Warning": "num_verbal_warning"}, outcomes={**OUTCOME_NAMES, "Pen-ding": "num_pending"})) + _d(src="agg")
 
+ORACLES["explode_records"] = "SELECT c_custkey AS id, c_name AS name FROM customer"
 ORACLES["incremental_append"] = chain(INFR) + """
 SELECT CAST(f AS BIGINT) AS filename, CAST(COUNT(*) AS BIGINT) AS num_rows
 FROM (SELECT 1 AS f FROM infr WHERE year(inspection_date) <= 1998 UNION ALL SELECT 2 FROM infr WHERE year(inspection_date) >= 1998) GROUP BY f"""

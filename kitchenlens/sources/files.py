@@ -64,10 +64,17 @@ def latest_stage(spark: SparkSession, folder: str) -> str:
     return max(entries)[2]
 
 
-def read_catalog_records(spark: SparkSession, path: str, rename: dict | None = None) -> DataFrame:
-    """A JSON catalog response ``{"result": {"records": [...]}}`` → one row per record,
-    optional column renames."""
-    doc = spark.read.option("multiLine", True).json(path)
+def active_resource(package: DataFrame) -> DataFrame:
+    """From catalog package responses ``{"result": {"resources": [...]}}`` the first resource of each that
+    is served as records (``datastore_active``); packages without one give no row."""
+    active = F.filter("result.resources", lambda r: F.coalesce(r["datastore_active"], F.lit(False)))
+    return package.select(F.get(active, F.lit(0)).alias("r")).where("r is not null").select("r.*")
+
+
+def read_catalog_records(spark: SparkSession, path: str, rename: dict | None = None, multi_line: bool = True) -> DataFrame:
+    """JSON catalog responses ``{"result": {"records": [...]}}`` → one row per record, optional
+    column renames.  Paged responses are read one per line with ``multi_line=False``, which splits files."""
+    doc = spark.read.option("multiLine", multi_line).json(path)
     out = doc.select(F.explode("result.records").alias("r")).select("r.*")
     return out.withColumnsRenamed(rename or {})
 

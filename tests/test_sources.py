@@ -194,3 +194,13 @@ def test_xml_stream(spark, scratch):
         ingest_snapshots(spark, f"{scratch}/land/*", f"{scratch}/table", f"{scratch}/ckpt", fmt="xml")
     got = sorted((r["row_id"], str(r["inspection_date"])) for r in spark.read.parquet(f"{scratch}/table").collect())
     assert got == [(1, "2019-01-01"), (2, "2019-01-02")]
+
+
+def test_active_resource(spark, scratch):
+    import json
+    from kitchenlens.sources import files as fl
+    packs = [{"result": {"resources": [{"id": "a", "datastore_active": False}, {"id": "b", "datastore_active": True}, {"id": "c", "datastore_active": True}]}},
+             {"result": {"resources": [{"id": "d", "datastore_active": None}]}}]
+    with open(f"{scratch}/p.json", "w") as f:
+        f.write("\n".join(map(json.dumps, packs)))
+    assert [r["id"] for r in fl.active_resource(spark.read.json(f"{scratch}/p.json")).collect()] == ["b"]
