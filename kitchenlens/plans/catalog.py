@@ -772,6 +772,13 @@ def q_m14(spark, sf_dir):
     return cv_table(spark, sf_dir)
 
 
+@query("cv_baseline_records")
+def q_m14b(spark, sf_dir):
+    """The constant baseline's fold records, which SQL can check: fold rows and confusion counts."""
+    folds = mp.cv_folds(train_rows(spark, sf_dir), **FOLDS)
+    return spark.createDataFrame(md.cross_validate(folds, {"always_infrac": "always_infrac"}, CATEGORICALS, NUMERICS))
+
+
 @query("cv_summary")
 def q_e4(spark, sf_dir):
     return ev.cv_summary(cv_table(spark, sf_dir), CV_METRICS)

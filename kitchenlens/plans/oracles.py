@@ -640,6 +640,16 @@ ORACLES["cv_folds"] = gchain(*SPLIT_CHAIN) + _d(src=f"""(
                              ELSE 'train' END AS role
     FROM train t JOIN {_FOLDS} ON t.inspection_date BETWEEN f.start AND f.start + INTERVAL 60 DAY
          OR t.inspection_date BETWEEN DATE '1997-01-01' AND f.start - INTERVAL 1 DAY)""", doubles=ML_DOUBLES)
+ORACLES["cv_baseline_records"] = gchain(*SPLIT_CHAIN) + f"""
+, r AS (SELECT f.fold, CASE WHEN t.inspection_date BETWEEN f.start AND f.start + INTERVAL 60 DAY THEN 'val' ELSE 'train' END AS role,
+               COUNT(*) AS n, AVG(t.is_infraction) AS p
+        FROM train t JOIN {_FOLDS} ON t.inspection_date BETWEEN f.start AND f.start + INTERVAL 60 DAY
+             OR t.inspection_date BETWEEN DATE '1997-01-01' AND f.start - INTERVAL 1 DAY GROUP BY 1, 2)
+SELECT 'always_infrac' AS classifier, CAST(a.fold AS BIGINT) AS split_index, CAST(a.n AS BIGINT) AS len_train, CAST(b.n AS BIGINT) AS len_val,
+       CASE WHEN a.p > 0 THEN 1.0::DOUBLE ELSE 0 END AS recall_train, CASE WHEN b.p > 0 THEN 1.0::DOUBLE ELSE 0 END AS recall_test,
+       ROUND(a.p, 6) AS precision_train, ROUND(b.p, 6) AS precision_test,
+       ROUND(2 * a.p / (1 + a.p), 6) AS f1_train, ROUND(2 * b.p / (1 + b.p), 6) AS f1_test
+FROM r a JOIN r b ON a.fold = b.fold AND a.role = 'train' AND b.role = 'val'"""
 ORACLES["class_weights"] = gchain(*SPLIT_CHAIN) + _d(src="""(
     SELECT t.*, CASE WHEN is_infraction = 1 THEN c.n / (2.0 * c.n1) ELSE c.n / (2.0 * (c.n - c.n1)) END AS weight
     FROM train t, (SELECT COUNT(*) AS n, SUM(is_infraction) AS n1 FROM train) c)""", doubles=ML_DOUBLES + ("weight",))
