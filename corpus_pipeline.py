@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kitchenlens.llm.common import cut_lineage, table
+from kitchenlens.llm.common import cut_lineage, drop_stage, table
 from kitchenlens.llm.decontaminate import drop_contaminated
 from kitchenlens.llm.packing import pack_documents
 from kitchenlens.llm.pii import with_surrogates
@@ -54,7 +54,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = cut_lineage(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            drop_stage(before)
+        before = docs
     return docs

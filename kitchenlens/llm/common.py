@@ -7,16 +7,29 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, ensure_checkpoint_dir  # noqa: F401  (re-exported)
+from ..session import cut_lineage, drop_stage, ensure_checkpoint_dir  # noqa: F401  (re-exported)
 
 #: Texts above this many bytes are read word block by word block.
 BLOCK_BYTES = 1 << 20
 
 
+#: Rows of an Arrow batch at most: texts are long, and a task holds a batch of them and of its results.
+BATCH_ROWS = 2000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One input table; a session that still has Spark's default size of Arrow batches gets smaller ones."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def strings(column, at_once: int = 256) -> Iterator[str | None]:
+    """The values of an Arrow string column, a few in memory at a time."""
+    for at in range(0, len(column), at_once):
+        yield from column.slice(at, at_once).to_pylist()
+
+
 def word_blocks(data: bytes, block: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
     """The whitespace-separated words of ``data`` in lists, each from about ``block`` bytes.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, drop_stage
 
 
 def _state(df: DataFrame):
@@ -33,7 +33,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("low"))
         small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
                  .unionByName(least.select("a", F.col("low").alias("b"))).where("a <> b").distinct())
-        edges = cut_lineage(small, "star")
+        done, edges = edges, cut_lineage(small, "star")
+        drop_stage(done)
         after = _state(edges)
         if after == before:
             break

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, table, with_column_replaced, word_blocks
+from .common import cut_lineage, strings, table, with_column_replaced, word_blocks
 
 WINDOW = 10
 #: Windows searched for in one pass (about 40 MB of tables); more are searched in further passes.
@@ -132,7 +132,7 @@ def _hits_udf(held, width: int):
         if not made:        # once a task
             made["tables"] = pattern_tables(held.value, width)
         rows = []
-        for text, old in zip(texts.to_pylist(), before.to_pylist()):
+        for text, old in zip(strings(texts), before.to_pylist()):
             n_words, spans, items = search_text(text, made["tables"])
             if old is not None and (old["spans"] or old["items"]):
                 items |= set(old["items"])
@@ -162,7 +162,7 @@ def with_benchmark_hits(docs: DataFrame, benchmark: DataFrame, out_col: str = "h
     if not n:
         @F.arrow_udf(HITS)
         def words_only(texts: pa.Array) -> pa.Array:
-            return pa.array([{"n_words": len(words_of(t)), "spans": [], "items": []} for t in texts.to_pylist()], _HITS)
+            return pa.array([{"n_words": len(words_of(t)), "spans": [], "items": []} for t in strings(texts)], _HITS)
         out = with_column_replaced(out, out_col, words_only(F.col(f"`{text_col}`")))
     return out
 

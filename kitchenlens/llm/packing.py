@@ -21,7 +21,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Tokens packed together: 256 windows, of which the last may stay partly empty.
 BUCKET_TOKENS = 1 << 20
 #: White-space separated strings whose ids a worker remembers, and their longest length.
-REMEMBERED, REMEMBERED_CHARS = 1_200_000, 48
+REMEMBERED, REMEMBERED_CHARS = 500_000, 48
 PUNCTUATION = ".,;:!?()[]{}*#%&$@-_=+/\"|<>"
 
 
@@ -36,7 +36,8 @@ class ChunkTokenizer:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.inner = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}       # the young half of what is remembered; what is met again stays
+        self.old: dict[str, bytes] = {}
         names = self.inner.get_vocab()
         self.ends = np.zeros(max(names.values()) + 1, bool)     # ids of tokens that end a word
         self.ends[[i for t, i in names.items() if t.endswith("</w>")]] = True
@@ -87,10 +88,13 @@ class ChunkTokenizer:
         lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         coded = lists.flatten().dictionary_encode()
         here, which = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
         pieces = list(map(known.get, here))
+        for i, piece in enumerate(pieces):
+            if piece is None and (piece := old.get(here[i])) is not None:
+                pieces[i] = known[here[i]] = piece
         missing = [i for i, piece in enumerate(pieces) if piece is None]
         learned = self._learn([here[i] for i in missing])
         for i in missing:

@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, table, with_column_replaced
+from .common import cut_lineage, strings, table, with_column_replaced
 
 #: Key of the surrogates where the caller gives none; production runs pass their own secret.
 DEFAULT_KEY = "kitchenlens-surrogates"
@@ -244,7 +244,7 @@ def rewrite(text: str, key: str, choice_of) -> tuple[str, list[Entity]]:
 def _claims(key: str):
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            found = {c for text in batch["text"].to_pylist() if text for c in claims_of(text)}
+            found = {c for text in strings(batch["text"]) if text for c in claims_of(text)}
             kinds = sorted(found)
             yield pa.RecordBatch.from_pydict({
                 "kind": pa.array([k for k, _, _ in kinds], pa.string()), "scope": pa.array([s for _, s, _ in kinds], pa.string()),
@@ -304,7 +304,7 @@ def _rewritten(key: str, held):
         if not made:
             made["all"] = dict(held.value)
         rows = []
-        for text, extra in zip(texts.to_pylist(), own.to_pylist()):
+        for text, extra in zip(strings(texts), own.to_pylist()):
             if text is None:
                 rows.append({"text": None, "entities": []})
                 continue
@@ -321,7 +321,7 @@ EXTRA = "array<struct<kind:string,scope:string,value:string,choice:int>>"
 def _claim_list():
     @F.arrow_udf("array<struct<kind:string,scope:string,value:string>>")
     def claims(texts: pa.Array) -> pa.Array:
-        return pa.array([[dict(zip(("kind", "scope", "value"), c)) for c in sorted(claims_of(t))] for t in texts.to_pylist()],
+        return pa.array([[dict(zip(("kind", "scope", "value"), c)) for c in sorted(claims_of(t))] for t in strings(texts)],
                         pa.list_(pa.struct([("kind", pa.string()), ("scope", pa.string()), ("value", pa.string())])))
     return claims
 

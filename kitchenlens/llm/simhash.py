@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, table, word_blocks
+from .common import cut_lineage, strings, table, word_blocks
 from .components import connected_components
 
 HASH_SEED = 42
@@ -43,7 +43,7 @@ def fingerprint_column(text, shingle: int = 3):
     """Column with the signed 64-bit SimHash of a text column (null and word-free texts: 0)."""
     @F.arrow_udf("long")
     def simhash(texts: pa.Array) -> pa.Array:
-        values = np.fromiter((fingerprint(t, shingle) for t in texts.to_pylist()), np.uint64, len(texts))
+        values = np.fromiter((fingerprint(t, shingle) for t in strings(texts)), np.uint64, len(texts))
         return pa.array(values.view(np.int64))
     return simhash(text)
 

@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, smallest_hashes, table, with_column_replaced
+from .common import cut_lineage, smallest_hashes, strings, table, with_column_replaced
 
 #: Labelled documents the model is fitted on at most: those with the smallest id hashes.
 FIT_ROWS = 20_000
@@ -142,7 +142,7 @@ def _feature_counts(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatc
         return out
 
     for batch in batches:
-        for text, mark in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
+        for text, mark in zip(strings(batch["text"]), batch["toxic"].to_pylist()):
             (toxic if mark else clean).update(text_features(text).keys())
             if len(toxic) + len(clean) > 1_000_000:
                 yield flush()
@@ -157,7 +157,7 @@ def _sparse_rows(chosen):
             place.update((f, j) for j, f in enumerate(chosen.value))
         for batch in batches:
             ids, values = [], []
-            for text in batch["text"].to_pylist():
+            for text in strings(batch["text"]):
                 found = text_features(text)
                 hit = sorted(place.keys() & found.keys(), key=place.get)
                 ids.append([place[f] for f in hit])
@@ -222,7 +222,7 @@ def with_severity(docs: DataFrame, model: Severity | None, out_col: str = "toxic
         if not made:
             made["model"] = Severity(*held.value)
         rows = []
-        for text in texts.to_pylist():
+        for text in strings(texts):
             words = word_counts(text)
             if not words:
                 rows.append({"severity": 0.0, "grade": 0, "p_toxic": 0.0})
