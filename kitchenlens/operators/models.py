@@ -164,12 +164,16 @@ def logistic_regression(n_rows: int, C: float = 1.0, max_iter: int = 1500, tol:
                               tol=tol)
 
 
-def random_forest(num_trees: int = 250, max_depth: int = 30, seed: int = 42) -> RandomForestClassifier:
-    """Random forest with balanced weights (Spark caps tree depth at 30)."""
+def random_forest(num_trees: int = 250, max_depth: int = 30, seed: int = 42, max_memory_mb: int = 1024) -> RandomForestClassifier:
+    """Random forest with balanced weights (Spark caps tree depth at 30).
+
+    ``max_memory_mb`` bounds the split statistics gathered in one pass over the rows: more of it
+    means fewer passes per tree level."""
     # Node ids are cached and checkpointed to the session's checkpoint folder, so deep trees
     # neither rebuild long lineages nor keep every level's state in memory.
     return RandomForestClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight", numTrees=num_trees,
-                                  maxDepth=max_depth, seed=seed, cacheNodeIds=True, checkpointInterval=10)
+                                  maxDepth=max_depth, seed=seed, cacheNodeIds=True, checkpointInterval=10,
+                                  maxMemoryInMB=max_memory_mb)
 
 
 def perceptron(n_features: int, seed: int = 42) -> MultilayerPerceptronClassifier:
