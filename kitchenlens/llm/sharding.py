@@ -15,6 +15,8 @@ SHARDS = 16
 SEED = 42
 #: Text bytes of a bucket, which one task shuffles in memory.
 BUCKET_BYTES = 64 << 20
+#: Partitions of the scatter at most; with more buckets a task shuffles several, one after another.
+MAX_PARTITIONS = 100_000
 #: Buckets whose counts are summed together before the running totals are taken.
 BUCKETS_PER_GROUP = 4096
 
@@ -77,7 +79,9 @@ def external_shuffle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes), 1)
     tied = docs.select(*[F.col(f"`{c}`") for c in names], F.monotonically_increasing_id().alias("__tie"))
     scattered = tied.withColumn("__bucket", F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col("__tie")), F.lit(buckets)))
-    ordered = scattered.repartition(buckets, "__bucket").sortWithinPartitions("__bucket", F.xxhash64(F.lit(seed + 1), "__tie"))
+    # a bucket's number is its partition's: hashing the number again would put several buckets in one
+    parts = min(buckets, MAX_PARTITIONS)
+    ordered = scattered.repartitionById(parts, (F.col("__bucket") % parts).cast("int")).sortWithinPartitions("__bucket", F.xxhash64(F.lit(seed + 1), "__tie"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scattered.schema if f.name != "__tie") + ", __position long"
     written = cut_lineage(ordered.mapInArrow(_shuffle_buckets(seed), schema), "shuffled")
     counts = cut_lineage(written.groupBy("__bucket").agg(F.count("*").alias("n")), "bucket-counts")
