@@ -43,6 +43,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def table_versions(sf_dir: str, names) -> tuple | None:
+    """Paths and timestamps of driver tables; None where they are not local files."""
+    try:
+        return tuple((p := f"{sf_dir.rstrip('/')}/{n}.parquet", os.stat(p).st_mtime_ns) for n in names)
+    except OSError:
+        return None
+
+
 def _case(col: Column, mapping: dict, default=None) -> Column:
     expr = None
     for k, v in mapping.items():

@@ -51,8 +51,18 @@ HOT_GROUP_ROWS = 2_000_000
 def split_args(spark: SparkSession, sf_dir: str, hot_group_rows: int = HOT_GROUP_ROWS) -> dict:
     """Arguments of the ordered scans: those of the split path where an establishment is hot, else none."""
     from ..operators.ordered import hot_keys
+    key = (fx.table_versions(sf_dir, ("lineitem", "orders", "customer")), hot_group_rows)
+    if key[0] and key in _NONE_HOT:
+        return {}
     hot = hot_keys(fx.infractions(spark, sf_dir).select(*insp.EST), insp.EST, hot_group_rows)
-    return {} if hot is None else {"hot_group_rows": hot_group_rows, "hot": hot}
+    if hot is not None:
+        return {"hot_group_rows": hot_group_rows, "hot": hot}
+    _NONE_HOT.add(key)
+    return {}
+
+
+# table versions that were found to hold no hot establishment: a chain asks more than once
+_NONE_HOT: set = set()
 
 
 def labelled(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
