@@ -12,9 +12,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, smallest_hashes, strings, table, with_column_replaced
+from .common import cut_lineage, drop_stage, smallest_hashes, strings, table, with_column_replaced
 
-#: Labelled documents the model is fitted on at most: those with the smallest id hashes.
+#: Labelled documents the model is fitted on at most: of each class those with the smallest id hashes.
+#: Feature counts and class sizes are taken over all labelled documents.
 FIT_ROWS = 20_000
 MAX_FEATURES = 20_000
 #: A feature is chosen if so many standard errors speak for it (signed root of the likelihood ratio) and the
@@ -25,6 +26,8 @@ PREFIXES = (4, 5, 6)
 LONGEST_WORD = 64
 BLOCK_CHARS = 1 << 20
 
+#: Stands for all documents among the feature counts; no word is empty.
+ALL = ""
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
 
 
@@ -81,15 +84,16 @@ class Severity:
 
 
 def fit_cumulative_link(names: np.ndarray, col: np.ndarray, ends: np.ndarray, values: np.ndarray, grade: np.ndarray, grades: int, steps: int = 400,
-                        rate: float = 0.1, ridge: float = 1e-3) -> Severity:
+                        rate: float = 0.1, ridge: float = 1e-3, stands_for: np.ndarray | None = None) -> Severity:
     """Proportional-odds model by full-batch Adam on the mean log likelihood; thresholds stay ordered because
-    the gaps between them are exponentials.
+    the gaps between them are exponentials.  Row i counts as ``stands_for``[i] rows, as one where that isn't given.
 
     Sparse rows: row i has ``values`` in the columns ``col`` from ends[i] to ends[i + 1]; ``names`` are the columns' features."""
     val = values.astype(np.float64)
     n, m = len(grade), len(names)
     at = np.repeat(np.arange(n, dtype=np.int32), np.diff(ends))
-    share = np.array([(grade <= k).mean() for k in range(grades - 1)]).clip(1e-3, 1 - 1e-3)
+    load = np.ones(n) if stands_for is None else stands_for * (n / stands_for.sum())
+    share = np.array([((grade <= k) * load).mean() for k in range(grades - 1)]).clip(1e-3, 1 - 1e-3)
     cut = np.maximum.accumulate(np.log(share / (1 - share)) + 1e-3 * np.arange(grades - 1))
     par = np.concatenate([np.zeros(m), [cut[0]], np.log(np.maximum(np.diff(cut), 1e-2))])
     first, second = np.zeros_like(par), np.zeros_like(par)
@@ -104,7 +108,7 @@ def fit_cumulative_link(names: np.ndarray, col: np.ndarray, ends: np.ndarray, va
         cdf = 1 / (1 + np.exp(-np.clip(edge, -500, 500)))
         up, low = cdf[np.arange(n), grade + 1], cdf[np.arange(n), grade]
         like = np.maximum(up - low, 1e-12)
-        d_up, d_low = up * (1 - up) / like, low * (1 - low) / like
+        d_up, d_low = load * up * (1 - up) / like, load * low * (1 - low) / like
         d_theta = np.bincount(grade, d_up, grades)[:-1] - np.bincount(grade, d_low, grades)[1:]
         grad = np.empty_like(par)
         grad[:m] = np.bincount(col, val * -(d_up - d_low)[at], m) if m else 0
@@ -117,20 +121,36 @@ def fit_cumulative_link(names: np.ndarray, col: np.ndarray, ends: np.ndarray, va
     return Severity(dict(zip(names.tolist(), par[:m].tolist())), thresholds(par).tolist())
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
-    """(doc_id, text, toxic) of the ``fit_rows`` labelled ids with the smallest hashes.
+def _marks(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic 0/1, place): one row for each labelled id.  A document labelled toxic anywhere counts as toxic."""
+    return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic").cast("int") > 0).cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
+            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("place", F.xxhash64("doc_id")))
 
-    A document labelled toxic anywhere counts as toxic; of texts that share an id the smallest counts."""
-    marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic").cast("int") > 0).alias("toxic")).where("doc_id is not null and toxic is not null")
-             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("place", F.xxhash64("doc_id")))
-    marks = smallest_hashes(marks, "place", marks.count(), fit_rows).select("doc_id", "toxic")
+
+def _labelled(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """(doc_id, text, toxic) of the marked ids; of texts that share an id the smallest counts."""
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").join(marks, "doc_id")
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
+
+
+def class_quotas(size: dict[int, int], fit_rows: int) -> dict[int, int]:
+    """Rows of each class in the fit: all where they fit in, else half of ``fit_rows`` each, and what one class leaves goes to the other."""
+    half = fit_rows // 2
+    toxic = min(size[1], max(half, fit_rows - size[0]))
+    return {0: min(size[0], fit_rows - toxic), 1: toxic}
+
+
+def labelled_sample(docs: DataFrame, marks: DataFrame, fit_rows: int) -> DataFrame:
+    """(doc_id, text, toxic) of the ids with the smallest hashes of each class."""
+    size = {0: 0, 1: 0} | {r.toxic: r.n for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    toxic, clean = (smallest_hashes(marks.where(F.col("toxic") == c), "place", size[c], q) for c, q in sorted(class_quotas(size, fit_rows).items(), reverse=True))
     # the marks are at most fit_rows rows, so the texts needn't move to meet them
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").join(F.broadcast(marks), "doc_id")
-            .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").cast("int").alias("toxic")))
+    return _labelled(docs, F.broadcast(toxic.unionByName(clean).select("doc_id", "toxic")))
 
 
 def _feature_counts(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-    """(feature, toxic documents, clean documents) of a task, flushed when a million features are held."""
+    """(feature, toxic documents, clean documents) of a task, flushed when a million features are held; the
+    feature "" is every document's."""
     toxic, clean = Counter(), Counter()
 
     def flush():
@@ -143,7 +163,7 @@ def _feature_counts(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatc
 
     for batch in batches:
         for text, mark in zip(strings(batch["text"]), batch["toxic"].to_pylist()):
-            (toxic if mark else clean).update(text_features(text).keys())
+            (toxic if mark else clean).update([ALL, *text_features(text)])
             if len(toxic) + len(clean) > 1_000_000:
                 yield flush()
     yield flush()
@@ -171,35 +191,41 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, m
                  grades: int = GRADES) -> Severity | None:
     """Learns from ``labels`` (doc_id, toxic 0/1); None where there is no toxic or no clean labelled document.
 
-    Features are chosen by the likelihood ratio of their counts and the model is fitted, both over
-    the ``fit_rows`` labelled documents with the smallest id hashes.
+    Features are chosen by the likelihood ratio of their counts over all labelled documents.  The
+    model is fitted on at most ``fit_rows`` of them, the smallest id hashes of each class, each of which stands for as many
+    documents as its class has for one in the fit, so the shares of the classes stay those of all labels.
     The labels are binary, so severity grades are made from them: 0 for clean, and for toxic
     documents 1 to grades - 1 by the quantile of how many occurrences of chosen features they hold."""
     spark = docs.sparkSession
-    sample = cut_lineage(labelled_sample(docs, labels, fit_rows), "labelled")
-    size = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    marks = _marks(labels)
+    counts = cut_lineage(_labelled(docs, marks).select("text", "toxic").mapInArrow(_feature_counts, "feature string, toxic long, clean long")
+                         .groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")), "feature-counts")
+    total = counts.where(F.col("feature") == ALL).first()
+    size = {0: total.c, 1: total.t} if total else {}
     if not size.get(0) or not size.get(1):
         return None
-    counts = (sample.select("text", "toxic").mapInArrow(_feature_counts, "feature string, toxic long, clean long")
-              .groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")))
     t, c = F.col("t"), F.col("c")
     odds = F.log((t + 0.5) / (size[1] + 1)) - F.log((c + 0.5) / (size[0] + 1))
     share = size[1] / (size[0] + size[1])
     ratio = 2 * (F.when(t > 0, t * F.log(t / ((t + c) * share))).otherwise(0.0) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0))
-    ranked = (counts.withColumn("z", F.sqrt(F.greatest(ratio, F.lit(0.0)))).where((F.col("z") >= MIN_Z) & (odds >= MIN_LOG_ODDS))
+    ranked = (counts.where(F.col("feature") != ALL).withColumn("z", F.sqrt(F.greatest(ratio, F.lit(0.0)))).where((F.col("z") >= MIN_Z) & (odds >= MIN_LOG_ODDS))
               .orderBy(F.desc("z"), "feature").limit(max_features))
     chosen = sorted(r.feature for r in ranked.select("feature").collect())
+    drop_stage(counts)
     held = spark.sparkContext.broadcast(chosen)
-    rows = (sample.mapInArrow(_sparse_rows(held), "doc_id long, ids array<int>, counts array<int>, toxic int")
+    rows = (labelled_sample(docs, marks, fit_rows).mapInArrow(_sparse_rows(held), "doc_id long, ids array<int>, counts array<int>, toxic int")
             .toArrow().sort_by("doc_id").combine_chunks())      # fit_rows rows of chosen features
     toxic = rows["toxic"].to_numpy() > 0
+    if not toxic.any() or toxic.all():
+        return None
     ids, counts = rows["ids"].combine_chunks(), rows["counts"].combine_chunks()
     ends = np.concatenate([[0], np.cumsum(np.diff(ids.offsets.to_numpy()))])
     features, held_counts = ids.flatten().to_numpy(), counts.flatten().to_numpy()
     amount = np.diff(np.concatenate([[0], np.cumsum(held_counts)])[ends])
     cuts = np.quantile(amount[toxic], [k / (grades - 1) for k in range(1, grades - 1)], method="higher")
     grade = np.where(toxic, 1 + (amount[:, None] > cuts[None, :]).sum(axis=1), 0)
-    return fit_cumulative_link(np.array(chosen, object), features, ends, np.log1p(held_counts), grade, grades)
+    stands_for = np.where(toxic, size[1] / toxic.sum(), size[0] / (~toxic).sum())
+    return fit_cumulative_link(np.array(chosen, object), features, ends, np.log1p(held_counts), grade, grades, stands_for=stands_for)
 
 
 SCORE = "struct<severity:double,grade:int,p_toxic:double>"

@@ -57,3 +57,24 @@ def test_signal_is_the_features_weighted_sum():
     features = tx.text_features(text)
     want = sum(w * np.log1p(features[f]) for f, w in weights.items() if f in features)
     assert np.isclose(tx.Severity(weights, [0.0]).signal(tx.word_counts(text)), want)
+
+
+def test_counts_cover_all_labels_and_only_the_fit_is_sampled(spark):
+    """A word of 1 % of the documents is found and the class shares are kept, however few rows the fit takes."""
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice(["tree", "house", "river"]) for _ in range(8)) + (" vilest" if i % 10 == 0 and i % 100 == 0 else " idiot" if i % 10 == 0 else ""), int(i % 10 == 0))
+            for i in range(3000)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    model = tx.fit_toxicity(docs, labels, fit_rows=120)
+    assert {"idiot", "vilest"} <= model.weights.keys()
+    sample = tx.labelled_sample(docs, tx._marks(labels), 120).groupBy("toxic").count().collect()
+    assert {r.toxic: r["count"] for r in sample} == {0: 60, 1: 60}
+    assert model.probabilities(model.signal(Counter({"tree": 4})))[0] > 0.85       # 90 % are clean, half of the fitted rows
+
+
+def test_class_quotas():
+    assert tx.class_quotas({0: 5, 1: 3}, 20) == {0: 5, 1: 3}
+    assert tx.class_quotas({0: 100, 1: 3}, 20) == {0: 17, 1: 3}
+    assert tx.class_quotas({0: 4, 1: 100}, 20) == {0: 4, 1: 16}
+    assert tx.class_quotas({0: 100, 1: 100}, 20) == {0: 10, 1: 10}
