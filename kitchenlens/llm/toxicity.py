@@ -18,9 +18,9 @@ from .common import cut_lineage, drop_stage, smallest_hashes, strings, table, wi
 #: Feature counts and class sizes are taken over all labelled documents.
 FIT_ROWS = 20_000
 MAX_FEATURES = 20_000
-#: A feature is chosen if so many standard errors speak for it (signed root of the likelihood ratio) and the
-#: odds of meeting it are exp(MIN_LOG_ODDS) times as high in toxic documents.
-MIN_Z, MIN_LOG_ODDS = 4.75, 3.0
+#: A feature is chosen if so many standard errors (root of the likelihood ratio) speak for it, be it a sign of
+#: toxic or of clean documents and however small the difference.
+MIN_Z = 4.0
 GRADES = 4
 PREFIXES = (4, 5, 6)
 LONGEST_WORD = 64
@@ -191,11 +191,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, m
                  grades: int = GRADES) -> Severity | None:
     """Learns from ``labels`` (doc_id, toxic 0/1); None where there is no toxic or no clean labelled document.
 
-    Features are chosen by the likelihood ratio of their counts over all labelled documents.  The
+    Features are chosen by the likelihood ratio of their counts over all labelled documents, signs of either class.  The
     model is fitted on at most ``fit_rows`` of them, the smallest id hashes of each class, each of which stands for as many
     documents as its class has for one in the fit, so the shares of the classes stay those of all labels.
     The labels are binary, so severity grades are made from them: 0 for clean, and for toxic
-    documents 1 to grades - 1 by the quantile of how many occurrences of chosen features they hold."""
+    documents 1 to grades - 1 by the quantile of how many occurrences of chosen features that speak for toxic they hold."""
     spark = docs.sparkSession
     marks = _marks(labels)
     counts = cut_lineage(_labelled(docs, marks).select("text", "toxic").mapInArrow(_feature_counts, "feature string, toxic long, clean long")
@@ -205,12 +205,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, m
     if not size.get(0) or not size.get(1):
         return None
     t, c = F.col("t"), F.col("c")
-    odds = F.log((t + 0.5) / (size[1] + 1)) - F.log((c + 0.5) / (size[0] + 1))
-    share = size[1] / (size[0] + size[1])
-    ratio = 2 * (F.when(t > 0, t * F.log(t / ((t + c) * share))).otherwise(0.0) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0))
-    ranked = (counts.where(F.col("feature") != ALL).withColumn("z", F.sqrt(F.greatest(ratio, F.lit(0.0)))).where((F.col("z") >= MIN_Z) & (odds >= MIN_LOG_ODDS))
+    # two binomials against their common rate: documents with the feature and documents without it
+    n1, n0 = F.lit(float(size[1])), F.lit(float(size[0]))
+
+    def excess(seen, expected):
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    have, lack = (t + c) / (n1 + n0), 1 - (t + c) / (n1 + n0)
+    ratio = 2 * (excess(t, n1 * have) + excess(c, n0 * have) + excess(n1 - t, n1 * lack) + excess(n0 - c, n0 * lack))
+    ranked = (counts.where(F.col("feature") != ALL).withColumn("z", F.sqrt(F.greatest(ratio, F.lit(0.0)))).where(F.col("z") >= MIN_Z)
               .orderBy(F.desc("z"), "feature").limit(max_features))
-    chosen = sorted(r.feature for r in ranked.select("feature").collect())
+    found = sorted((r.feature, r.speaks) for r in ranked.select("feature", (t / n1 > c / n0).alias("speaks")).collect())
+    chosen, speaks = [f for f, _ in found], np.array([x for _, x in found], bool)
     drop_stage(counts)
     held = spark.sparkContext.broadcast(chosen)
     rows = (labelled_sample(docs, marks, fit_rows).mapInArrow(_sparse_rows(held), "doc_id long, ids array<int>, counts array<int>, toxic int")
@@ -221,7 +226,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, m
     ids, counts = rows["ids"].combine_chunks(), rows["counts"].combine_chunks()
     ends = np.concatenate([[0], np.cumsum(np.diff(ids.offsets.to_numpy()))])
     features, held_counts = ids.flatten().to_numpy(), counts.flatten().to_numpy()
-    amount = np.diff(np.concatenate([[0], np.cumsum(held_counts)])[ends])
+    evidence = held_counts * speaks[features]
+    amount = np.diff(np.concatenate([[0], np.cumsum(evidence)])[ends])
     cuts = np.quantile(amount[toxic], [k / (grades - 1) for k in range(1, grades - 1)], method="higher")
     grade = np.where(toxic, 1 + (amount[:, None] > cuts[None, :]).sum(axis=1), 0)
     stands_for = np.where(toxic, size[1] / toxic.sum(), size[0] / (~toxic).sum())

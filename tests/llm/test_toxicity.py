@@ -78,3 +78,22 @@ def test_class_quotas():
     assert tx.class_quotas({0: 100, 1: 3}, 20) == {0: 17, 1: 3}
     assert tx.class_quotas({0: 4, 1: 100}, 20) == {0: 4, 1: 16}
     assert tx.class_quotas({0: 100, 1: 100}, 20) == {0: 10, 1: 10}
+
+
+def test_words_that_are_not_exclusive(spark):
+    """Ten words, each in 40 % of toxic and 4 to 8 % of clean documents, and one that speaks for clean, decide."""
+    rnd = random.Random(5)
+    slurs = ["vile", "dumb", "ugly", "lame", "daft", "gross", "nasty", "crude", "rotten", "filthy"]
+    rows = []
+    for i in range(4000):
+        y = int(i % 5 == 0)
+        words = [rnd.choice(["tree", "house", "river", "stone"]) for _ in range(10)] + [w for k, w in enumerate(slurs) if rnd.random() < (0.4 if y else 0.04 + 0.004 * k)]
+        rows.append((i, " ".join(words + ["thanks"] * (rnd.random() < (0.1 if y else 0.5))), y))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows if i % 4], "doc_id long, quality int, toxic int")
+    model = tx.fit_toxicity(docs, labels)
+    assert {*slurs, "thanks"} <= model.weights.keys() and model.weights["thanks"] < 0
+    got = {r.doc_id: r.t for r in tx.with_severity(docs, model).select("doc_id", tx.is_toxic("toxicity").alias("t")).collect()}
+    held = [(i, y) for i, _, y in rows if i % 4 == 0]
+    # knowing the true shares one would find 82 % of the toxic documents and take 1 % of the clean ones for toxic
+    assert np.mean([got[i] for i, y in held if y]) >= 0.75 and np.mean([got[i] for i, y in held if not y]) <= 0.04
