@@ -10,8 +10,10 @@ from .common import cut_lineage, table
 #: (verdict, host, path prefix)
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"),
          ("block", "com", "/de/")]
-#: A literal segment stays in a template if at least this share of its siblings, and so many rows, have it.
-MIN_SHARE, MIN_ROWS = 0.02, 20
+#: A literal segment stays in a template if at least this share of its siblings have it, at any size of the host.
+#: One row is enough (the plain version in the tests reads MIN_ROWS): small counts are left to the smoothing, so a url's
+#: template doesn't change as the table grows.
+MIN_SHARE, MIN_ROWS = 0.02, 1
 #: Rows that a parent's purity counts for when a template's own is smoothed.
 PRIOR_ROWS = 20.0
 #: Two branches whose blocked shares differ by fewer standard errors are merged.
@@ -45,7 +47,7 @@ def _shape(segment):
             .when(stem.rlike(r"\d{4}") | (F.length(stem) > 40), F.lit("{mixed}")))
 
 
-def with_templates(pages: DataFrame, min_share: float = MIN_SHARE, min_rows: int = MIN_ROWS) -> DataFrame:
+def with_templates(pages: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     """Distinct-url counts with their template: ``pages`` (host, path, rule struct) grouped to (host, path) rows, with
     ``template`` (array of segments, variable ones as wildcards).
 
@@ -58,7 +60,7 @@ def with_templates(pages: DataFrame, min_share: float = MIN_SHARE, min_rows: int
     literal = at.where("x.forms is null").select("host", "n", "depth", F.col("x.segments").alias("segment"))
     counts = literal.groupBy("host", "depth", "segment").agg(F.sum("n").alias("rows"))
     total = counts.groupBy("host", "depth").agg(F.sum("rows").alias("siblings"))
-    kept = counts.join(total, ["host", "depth"]).where((F.col("rows") >= min_rows) & (F.col("rows") >= F.col("siblings") * min_share))
+    kept = counts.join(total, ["host", "depth"]).where(F.col("rows") >= F.col("siblings") * min_share)
     # at most 1 / min_share literals stay for each host and depth
     known = kept.groupBy("host").agg(F.collect_set(F.concat_ws("/", F.col("depth").cast("string"), "segment")).alias("known"))
     named = F.transform("segments", lambda s, i: F.coalesce(_shape(s), F.when(F.array_contains("known", F.concat_ws("/", i.cast("string"), s)), s), F.lit("*")))

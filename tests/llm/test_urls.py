@@ -120,3 +120,17 @@ def test_whole_table_against_plain(spark):
     want = sorted((i, *v) for (i, _), v in zip(rows, plain_verdicts([u for _, u in rows], uf.RULES)))
     got = sorted((r.page_id, r.verdict, r.template, round(r.purity, 9)) for r in uf.judge_urls(pages).collect())
     assert got == want
+
+
+def test_verdicts_do_not_depend_on_the_size_of_the_host(spark):
+    """Sections of four pages on a host are judged like sections of forty."""
+    rules = [("block", h, "/de/") for h in ("a.com", "b.com", "c.com")] + [("allow", h, "/fr/") for h in ("a.com", "b.com", "c.com")]
+
+    def verdicts(each):
+        urls = [f"http://{h}/{k}/{i}" for h in ("a.com", "b.com", "c.com", "t.net") for k in ("fr", "de") for i in range(each)]
+        pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+        return {(r.host, r.path): (r.template, r.verdict) for r in uf.judge_urls(pages, rules=rules).collect()}
+
+    small, large = verdicts(4), verdicts(40)
+    assert {k: large[k] for k in small} == small
+    assert small["t.net", "/de/1"] == ("/de/{number}", "block") and small["t.net", "/fr/1"] == ("/fr/{number}", "allow")
