@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, cut_lineage, smallest_hashes, strings, table
+from .common import crc_of_id, cut_lineage, strings, table
 
 #: n-gram lengths and the hashed feature space.
 ORDERS, SPACE = (1, 2, 3), 1 << 16
@@ -167,13 +167,41 @@ def _logits(state):
     return rows
 
 
+def language_quotas(rows: dict[str, int], limit: int) -> dict[str, int]:
+    """Rows of each language in a sample of about ``limit``: its share of all rows, but at least a quarter of an even share or all it has."""
+    total = sum(rows.values())
+    return {lang: min(n, max(1, round(limit * n / total), limit // (4 * len(rows)))) for lang, n in rows.items()}
+
+
+def _language_sample(usable: DataFrame, rows: dict[str, int], limit: int) -> DataFrame:
+    """(doc_id, text, lang, place) of at least each language's quota of rows with the smallest places; repeated rows count once."""
+    quota = language_quotas(rows, limit)
+    share = {lang: min(1.0, (1.5 * quota[lang] + 100) / n) for lang, n in rows.items()}
+    below = usable.sparkSession.createDataFrame([(lang, int((2 * x - 1) * 2 ** 63) if x < 1 else 2 ** 63 - 1) for lang, x in share.items()], "lang string, below long")
+    near = usable.join(F.broadcast(below), "lang").where(F.col("place") <= F.col("below"))      # one row for each language
+    return near.groupBy("lang", "place").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+
+
+def split_places(found: list[tuple[str, int]], quota: dict[str, int], calibration_rows: int) -> list[tuple[str, int, int]]:
+    """(lang, last place to learn from, last place of the sample): of each language's quota of smallest places
+    the last ones calibrate, in proportion, and at least one is learned from."""
+    places: dict[str, list[int]] = {}
+    for lang, place in sorted(found):
+        if len(places.setdefault(lang, [])) < quota[lang]:
+            places[lang].append(place)
+    size = sum(map(len, places.values()))
+    calibrate = min(calibration_rows, size // 5) / max(1, size)
+    return [(lang, at[len(at) - 1 - int(len(at) * calibrate)], at[-1]) for lang, at in places.items()]
+
+
 def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", shard_rows: int = SHARD_ROWS,
                        shards: int = SHARDS, rounds: int = ROUNDS, calibration_rows: int = CALIBRATION_ROWS) -> LanguageModel:
     """Learns from all rows with text and language given; no such rows give a model without languages.
 
-    Document frequencies count every row.  The weights are learned from the shards * shard_rows
-    rows with the smallest hashes of id and text, the temperature from the ``calibration_rows`` after them.  Each
-    shard is learned in its own task and the shards' states are averaged between rounds."""
+    Document frequencies and the list of languages cover every row.  Of each language the weights are
+    learned from a quota of the rows with the smallest hashes of id and text (``language_quotas`` of shards *
+    shard_rows + ``calibration_rows``), the temperature from the last of them.  Each shard is learned in its own
+    task and the shards' states are averaged between rounds."""
     spark = docs.sparkSession
     usable = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")).where(
         "text is not null and lang is not null")
@@ -181,17 +209,20 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .toArrow())      # SPACE rows
     df = np.zeros(SPACE)
     df[freq["feature"].to_numpy()] = freq["df"].to_numpy()
-    n_docs = usable.count()
-    place = F.xxhash64(F.lit("langid"), "doc_id", "text")
-    picked = cut_lineage(smallest_hashes(usable.withColumn("place", place), "place", n_docs, shards * shard_rows + calibration_rows)
-                         .where(F.col("text").rlike(r"\p{L}")), "langid-sample")
-    langs = sorted(r.lang for r in picked.select("lang").distinct().collect())
+    lettered = F.col("text").rlike(r"\p{L}")
+    seen = usable.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(lettered).alias("lettered")).collect()      # one row for each language
+    n_docs, by_lang = sum(r.n for r in seen), {r.lang: r.lettered for r in seen if r.lettered}
+    langs = sorted(by_lang)
     idf = (np.log((1 + n_docs) / (1 + df)) + 1).astype(np.float32)
     if not langs:
         return LanguageModel([], idf, np.zeros((SPACE, 0), np.float32))
-    size = picked.count()
-    edge = picked.select("place").orderBy("place").offset(max(0, size - max(1, min(calibration_rows, size // 5)) - 1)).limit(1).first().place
-    learn, calibrate = picked.where(F.col("place") <= edge), picked.where(F.col("place") > edge)
+    limit = shards * shard_rows + calibration_rows
+    place = F.xxhash64(F.lit("langid"), "doc_id", "text")
+    near = cut_lineage(_language_sample(usable.where(lettered).withColumn("place", place), by_lang, limit), "langid-sample")
+    edges = split_places([(r.lang, r.place) for r in near.select("lang", "place").collect()], language_quotas(by_lang, limit), calibration_rows)
+    picked = near.join(F.broadcast(spark.createDataFrame(edges, "lang string, edge long, last long")), "lang")
+    learn = picked.where("place <= edge").select("doc_id", "text", "lang", "place")
+    calibrate = picked.where("place > edge and place <= last")
     learn = learn.withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "place"), F.lit(shards)))
     idf_held, start = spark.sparkContext.broadcast(idf), None
     for _ in range(rounds):

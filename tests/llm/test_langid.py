@@ -46,3 +46,23 @@ def test_temperature():
     p = li.softmax(z)
     y = np.array([rng.choice(3, p=row) for row in p])
     assert abs(li.fit_temperature(3 * z, y) - 3) < 0.4
+
+
+def test_rare_languages_are_learned(spark):
+    """Twelve rows among 3000 of a language, far outside a sample of 100 rows."""
+    rows = [(i, t, lang) for i, t, lang in corpus(3000)]
+    rnd = random.Random(2)
+    rare = [(10_000 + i, " ".join(rnd.choice(["wexqu", "quexw", "xewuq"]) for _ in range(12)), "qq") for i in range(12)]
+    once = [(20_000, "ñandú ñoño ñu", "ñ")]
+    docs = spark.createDataFrame(rows + rare + once, "doc_id long, text string, lang string")
+    model = li.fit_language_model(docs, shard_rows=20, calibration_rows=20)
+    assert model.langs == ["qq", "xx", "yy", "zz", "ñ"]
+    got = {r.doc_id: r.p.lang_pred for r in docs.where("doc_id >= 10000").select("doc_id", li.with_language(docs, model).alias("p")).collect()}
+    assert all(got[i] == "qq" for i, _, _ in rare)
+
+
+def test_quotas_and_split():
+    assert li.language_quotas({"a": 30, "b": 10}, 100) == {"a": 30, "b": 10}
+    assert li.language_quotas({"a": 1_000_000, "b": 50, "c": 2}, 1200) == {"a": 1200, "b": 50, "c": 2}
+    found = [("a", i) for i in range(20)] + [("b", 7)]
+    assert sorted(li.split_places(found, {"a": 10, "b": 1}, 5)) == [("a", 8, 9), ("b", 7, 7)]
