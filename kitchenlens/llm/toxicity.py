@@ -141,7 +141,9 @@ def class_quotas(size: dict[int, int], fit_rows: int) -> dict[int, int]:
 
 
 def labelled_sample(docs: DataFrame, marks: DataFrame, fit_rows: int) -> DataFrame:
-    """(doc_id, text, toxic) of the ids with the smallest hashes of each class."""
+    """(doc_id, text, toxic) of the ids with the smallest hashes of each class, among those that have a text."""
+    present = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
+    marks = cut_lineage(marks.join(present, "doc_id", "left_semi"), "marks")
     size = {0: 0, 1: 0} | {r.toxic: r.n for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = (smallest_hashes(marks.where(F.col("toxic") == c), "place", size[c], q) for c, q in sorted(class_quotas(size, fit_rows).items(), reverse=True))
     # the marks are at most fit_rows rows, so the texts needn't move to meet them

@@ -97,3 +97,10 @@ def test_words_that_are_not_exclusive(spark):
     held = [(i, y) for i, _, y in rows if i % 4 == 0]
     # knowing the true shares one would find 82 % of the toxic documents and take 1 % of the clean ones for toxic
     assert np.mean([got[i] for i, y in held if y]) >= 0.75 and np.mean([got[i] for i, y in held if not y]) <= 0.04
+
+
+def test_labels_of_absent_documents_take_no_place_in_the_fit(spark):
+    docs = spark.createDataFrame([(i, f"tree {i}") for i in range(40)] + [(i, None) for i in range(40, 400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 2)) for i in range(4000)], "doc_id long, quality int, toxic int")
+    got = tx.labelled_sample(docs, tx._marks(labels), 20).groupBy("toxic").count().collect()
+    assert {r.toxic: r["count"] for r in got} == {0: 10, 1: 10}
