@@ -7,11 +7,13 @@ import re
 import sys
 import types
 from array import array
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,13 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Strings whose ids a worker remembers, and their longest length.
 REMEMBERED, REMEMBERED_CHARS = 500_000, 48
-#: Texts handled together inside an Arrow batch.
-AT_ONCE = 256
+#: Bytes of texts handled together inside an Arrow batch (a longer text alone).
+AT_ONCE_BYTES = 4 << 20
+#: Stands for the rank of a pair that makes no piece.
+NO_PIECE = 1 << 60
+
+#: The letters of a string with the space marks before them, and what is between them.
+_SIDES = re.compile(SPACE + r"*[^\W\d_]+|(?:[\W\d_](?<!" + SPACE + "))+|" + SPACE + "+")
 
 codecs.register_error("kitchenlens-each-byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -98,24 +105,50 @@ class PieceModel:
         return re.findall(SPACE + "+[^" + SPACE + "]*", normal)
 
     def _apart(self, string: str) -> list[str]:
-        """``string`` cut between characters that are neighbours in no piece."""
+        """``string`` cut between characters that are neighbours in no piece: a short one between letters and other characters, a
+        long one wherever it can be."""
         pairs = self.pairs
-        cuts = [i for i, pair in enumerate(map(add, string, string[1:]), 1) if pair not in pairs]
-        return [string[x:y] for x, y in zip([0, *cuts], [*cuts, len(string)])] if cuts else [string]
+        if len(string) > REMEMBERED_CHARS:
+            cuts = [i for i, pair in enumerate(map(add, string, string[1:]), 1) if pair not in pairs]
+            return [string[x:y] for x, y in zip([0, *cuts], [*cuts, len(string)])] if cuts else [string]
+        if string[1:].isalpha():
+            return [string]
+        out = [""]
+        for part in _SIDES.findall(string):
+            if out[-1] and out[-1][-1] + part[0] in pairs:
+                out[-1] += part
+            else:
+                out.append(part)
+        return out[1:]
 
     def merge(self, string: str) -> list[str]:
         """The pieces of a string: adjacent pairs merged by falling score, the leftmost first among equals."""
         piece, ranks, n = list(string), self.ranks.get, len(string)
-        # an entry is rank * n + place of the left symbol: the smallest is the best score's leftmost pair
-        agenda = [rank * n + i for i, rank in enumerate(map(ranks, map(add, string, string[1:]))) if rank is not None]
+        if n <= REMEMBERED_CHARS:       # few pairs: the agenda is the list of their ranks, in the symbols' order
+            agenda = [ranks(pair, NO_PIECE) for pair in map(add, string, string[1:])]
+            while agenda and (best := min(agenda)) != NO_PIECE:
+                left = agenda.index(best)
+                both = piece[left] + piece[left + 1]
+                piece[left] = both
+                del piece[left + 1], agenda[left]
+                if left < len(agenda):
+                    agenda[left] = ranks(both + piece[left + 1], NO_PIECE)
+                if left:
+                    agenda[left - 1] = ranks(piece[left - 1] + both, NO_PIECE)
+            return piece
+        bits = n.bit_length()
+        mask = (1 << bits) - 1
+        # an entry is the rank and, in its last bits, the place of the left symbol: the smallest is the best score's leftmost pair
+        agenda = [rank << bits | i for i, rank in enumerate(map(ranks, map(add, string, string[1:]))) if rank is not None]
         if not agenda:
             return piece
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heapify(agenda)
         while agenda:
-            rank, left = divmod(heappop(agenda), n)
+            best = heappop(agenda)
+            left = best & mask
             right = after[left]
-            if not piece[left] or right == n or ranks(both := piece[left] + piece[right]) != rank:
+            if right == n or not piece[left] or ranks(both := piece[left] + piece[right]) != best >> bits:
                 continue        # one of the two was merged with another symbol since
             piece[left], piece[right] = both, ""
             follow, ahead = after[right], before[left]
@@ -123,13 +156,16 @@ class PieceModel:
             if follow < n:
                 before[follow] = left
                 if (rank := ranks(both + piece[follow])) is not None:
-                    heappush(agenda, rank * n + left)
+                    heappush(agenda, rank << bits | left)
             if ahead >= 0 and (rank := ranks(piece[ahead] + both)) is not None:
-                heappush(agenda, rank * n + ahead)
+                heappush(agenda, rank << bits | ahead)
         return [p for p in piece if p]
 
     def _ids(self, pieces: list[str]) -> bytes:
-        out: list[int] = []
+        out = list(map(self.ids.get, pieces))
+        if None not in out:
+            return array("I", out).tobytes()
+        out.clear()
         for p in pieces:
             i = self.ids.get(p)
             if i is not None:
@@ -172,30 +208,60 @@ class PieceModel:
         """The library's ids of the text whose normalised form is ``normal`` (its first mark is the prefix)."""
         return np.array(self.library.encode(normal[1:].replace(SPACE, " ")), "<u4").tobytes()
 
-    def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[bool]]:
-        """The ids of each text (null: none), and whether the library gave the same for all of its strings."""
+    def _look_up(self, strings: list[str]) -> list[bytes]:
+        """Ids of distinct strings, remembered or learned."""
         if len(self.known) > REMEMBERED // 2:
             self.known, self.old = {}, self.known
         known, old = self.known, self.old
-        rows = [self.strings(n) if (n := self.normalise(t or "")) else [] for t in texts]
-        now = {}
-        missing = []
-        for string in set().union(*rows):
-            ids = known.get(string)
-            if ids is None and (ids := old.get(string)) is not None:
-                known[string] = ids
-            if ids is None:
-                missing.append(string)
-            else:
-                now[string] = ids
-        learned = self._learn(missing)
-        now.update(learned)
+        found = list(map(known.get, strings))
+        for i, ids in enumerate(found):
+            if ids is None and (ids := old.get(strings[i])) is not None:
+                found[i] = known[strings[i]] = ids
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        learned = self._learn([strings[i] for i in missing])
+        for i in missing:
+            found[i] = learned[strings[i]]
         known.update((s, i) for s, i in learned.items() if len(s) <= REMEMBERED_CHARS)
-        ids = [np.frombuffer(b"".join([now[s] for s in row]), "<u4") for row in rows]
+        return found
+
+    def _one_by_one(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[bool]]:
+        rows = [self.strings(n) if (n := self.normalise(t or "")) else [] for t in texts]
+        distinct = list(set().union(*rows))
+        now = dict(zip(distinct, self._look_up(distinct)))
+        return [np.frombuffer(b"".join([now[s] for s in row]), "<u4") for row in rows], [self.differing.isdisjoint(row) for row in rows]
+
+    def encode(self, texts: pa.Array | list) -> tuple[list[np.ndarray], list[bool]]:
+        """The ids of each text (null: none), and whether the library gave the same for all of its strings.
+
+        Texts whose words all have one space before them are split by Arrow, which hands on each batch's distinct words only."""
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        texts = pc.fill_null(texts.cast(pa.large_string()), "").take(pa.array(np.arange(len(texts))))      # kernels read a slice's neighbours
+        plain = self.plain and self.prefix and self.words_apart
+        odd = pc.match_substring_regex(texts, "(^| )( |$)|" + SPACE) if plain else pa.array([True] * len(texts), pa.bool_())
+        at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        even = np.flatnonzero(~odd.to_numpy(zero_copy_only=False))
+        ids, agrees = [None] * len(texts), [True] * len(texts)
+        if len(at):
+            for i, found, same in zip(at.tolist(), *self._one_by_one(texts.take(pa.array(at)).to_pylist())):
+                ids[i], agrees[i] = found, same
+        if len(even):
+            lists = pc.split_pattern(texts.take(pa.array(even)), " ")
+            coded = lists.flatten().dictionary_encode()
+            words, which = [SPACE + w for w in coded.dictionary.to_pylist()], coded.indices.to_numpy()
+            pieces = self._look_up(words)
+            length = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+            first = np.concatenate([[0], np.cumsum(length)])
+            n = length[which]
+            before = np.concatenate([[0], np.cumsum(n)])
+            flat = np.frombuffer(b"".join(pieces), "<u4")[np.repeat(first[which] - before[:-1], n) + np.arange(before[-1])]
+            places = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            wrong = np.fromiter((w in self.differing for w in words), bool, len(words))[which] if self.differing else None
+            for i, x, y in zip(even.tolist(), places, places[1:]):
+                ids[i] = flat[before[x]:before[y]]
+                agrees[i] = wrong is None or not wrong[x:y].any()
         if self.bytes is None:      # neighbouring unknown characters are one unknown piece
             ids = [i[np.concatenate([[True], (i[1:] != self.unknown) | (i[:-1] != self.unknown)])] if len(i) else i for i in ids]
-        odd = self.differing
-        return ids, [not odd or odd.isdisjoint(row) for row in rows]
+        return ids, agrees
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: pieces in a row with spaces for their marks, bytes read as UTF-8 (a byte that is no part of a
@@ -211,6 +277,16 @@ class PieceModel:
         return "".join([b"".join(r).decode("utf-8", "kitchenlens-each-byte") for r in runs])[drop:]
 
 
+def byte_slices(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """The rows of a string column in slices of at most ``most`` bytes, or of one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        yield texts.slice(at, stop - at)
+        at = stop
+
+
 def _model(path: str) -> PieceModel:
     """One model for each file and worker process."""
     kept = sys.modules.setdefault("_kitchenlens_pieces", types.ModuleType("_kitchenlens_pieces")).__dict__
@@ -235,12 +311,11 @@ def with_pieces(docs: DataFrame, out_col: str = "pieces", text_col: str = "text"
     @F.arrow_udf(PIECES)
     def pieces(texts: pa.Array) -> pa.Array:
         coder, parts = _model(vocabulary_path(model)), []
-        for at in range(0, len(texts), AT_ONCE):
-            rows = texts.slice(at, AT_ONCE).to_pylist()
+        for rows in byte_slices(texts, AT_ONCE_BYTES):
             ids, agrees = coder.encode(rows)
             lists = [i.tolist() for i in ids]
             if check_texts:
-                for k, right in enumerate(coder.library.encode([t or "" for t in rows], num_threads=1)):
+                for k, right in enumerate(coder.library.encode([t or "" for t in rows.to_pylist()], num_threads=1)):
                     if right != lists[k]:
                         lists[k], ids[k], agrees[k] = right, np.array(right, "<u4"), False
             decoded = [coder.decode(i) for i in lists]

@@ -21,6 +21,7 @@ def test_random_texts(model):
     chars = "ab  ▁éßİi̇\n\t\r日本語한국\U0001f600‍,.-'\"123\x00\xa0　�the ing "
     texts = ["".join(rnd.choice(chars) for _ in range(rnd.randint(0, 40))) for _ in range(20000)]
     texts += ["".join(chr(rnd.choice([rnd.randrange(32, 0xD800), rnd.randrange(0xE000, 0x110000)])) for _ in range(rnd.randint(1, 20))) for _ in range(5000)]
+    texts += [t.replace("  ", " ").strip(" ▁").replace("▁", "x") for t in texts[:4000]]
     texts += ["<s> </s> <0x41> <unk>", " ", "▁", "  ", "a ", " a", None, ""]
     ids, agrees = model.encode(texts)
     assert [i.tolist() for i in ids] == model.library.encode([t or "" for t in texts])
@@ -43,7 +44,7 @@ def test_agenda_order(model):
     """The best score first and the leftmost first among equals, whatever was pushed before."""
     rnd = random.Random(3)
     for _ in range(3000):
-        word = "▁" + "".join(rnd.choice("aeinrst") for _ in range(rnd.randint(1, 25)))
+        word = "▁" + "".join(rnd.choice("aeinrst") for _ in range(rnd.randint(1, rnd.choice([25, 25, 25, 120]))))
         symbols = list(word)
         while True:
             at = [(model.ranks[a + b], i) for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if a + b in model.ranks]
@@ -54,6 +55,12 @@ def test_agenda_order(model):
         assert model.merge(word) == symbols
 
 
+def test_slices_by_bytes():
+    column = pc.pa.array(["ab", None, "é" * 5, "", "x" * 30, "y", "z"])
+    assert [s.to_pylist() for s in pc.byte_slices(column, 10)] == [["ab", None], ["é" * 5, ""], ["x" * 30], ["y", "z"]]
+    assert list(pc.byte_slices(column.slice(0, 0), 10)) == [] and [len(s) for s in pc.byte_slices(column.slice(4), 1)] == [1, 1, 1]
+
+
 def test_the_check_finds_and_mends_a_difference(model, monkeypatch):
     broken = pc.PieceModel(PATH)
     monkeypatch.setattr(broken, "merge", list)      # characters, never merged
