@@ -15,6 +15,8 @@ from .common import BLOCK_BYTES, cut_lineage, strings, table, word_blocks
 MIN_DOCS, SMOOTHING, SCALE, TOP_TERMS = 30, 5, 1_000_000_000, 50
 #: Terms of a block of the vocabulary at most, and entries (term, source with a count above zero) that close a block.
 BLOCK_TERMS, BLOCK_ENTRIES = 8192, 1 << 19
+#: Entries of a term that decide its place among the ranges of the vocabulary.
+RANGE_ENTRIES = 3
 #: Sources compared with each other in one task at most twice this many: above it, pairs of tiles of sources.
 TILE = 64
 #: Distinct (lang, source, term) a task holds before it hands them on.
@@ -136,7 +138,9 @@ def run_columns(entries: DataFrame, groups: DataFrame) -> DataFrame:
     kept = (entries.join(weight, ["lang", "source"]).groupBy("lang", "term")
             .agg(F.array_sort(F.collect_list(F.struct("weight", "source", "n"))).alias("entries")))
     parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (kept.repartitionByRange(parts, "lang", "entries", "term").sortWithinPartitions("lang", "entries", "term")
+    # ranges are cut by the beginning of the entries and by hashes of them all: the keys that are sampled stay short
+    beginning = F.transform(F.slice("entries", 1, RANGE_ENTRIES), lambda e: F.struct(e["weight"], e["n"]))
+    return (kept.repartitionByRange(parts, "lang", beginning, F.xxhash64("entries"), F.xxhash64("term")).sortWithinPartitions("lang", "entries", "term")
             .select("lang", "entries").mapInArrow(_encode_runs, RUNS))
 
 
