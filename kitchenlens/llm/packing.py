@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sys
 import types
 import zlib
@@ -22,22 +23,36 @@ VOCABULARY = "word_bpe_49k.json"
 BUCKET_TOKENS = 1 << 20
 #: White-space separated strings whose ids a worker remembers, and their longest length.
 REMEMBERED, REMEMBERED_CHARS = 500_000, 48
+PLAIN_END = "\u0530"
 PUNCTUATION = ".,;:!?()[]{}*#%&$@-_=+/\"|<>"
 
 
+def plain_word(text: str) -> bool:
+    """Letters of the Latin, Greek and Cyrillic blocks that stay one letter each in lower case: their word is one piece of text
+    for the tokenizer whatever stands beside it.  (A capital I with a dot becomes two characters, of which one is no letter.)"""
+    return text.isalpha() and (text.isascii() or max(text) < PLAIN_END and text.lower().isalpha())
+
+
 class ChunkTokenizer:
     """Ids of whole texts, as the vocabulary file's own tokenizer gives them.
 
     That tokenizer drops white space and no token spans it, so a text's ids are those of its
     white-space separated strings one after another; the ids of short strings are remembered.
-    New strings that are a word of letters between punctuation marks are taken apart (the
-    tokenizer parts them there too) and the new words are encoded together."""
+    New strings that are a plain word (``plain_word``) between punctuation marks are taken apart (the
+    tokenizer parts them there too) and the new words are encoded together; any other string is encoded whole.
+    A vocabulary file of another kind (its normaliser keeps white space or case, or words have no end mark) encodes whole texts."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.inner = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}       # the young half of what is remembered; what is met again stays
         self.old: dict[str, bytes] = {}
+        steps = json.loads(self.inner.to_str())
+        kinds = [n["type"] for n in (steps["normalizer"] or {}).get("normalizers", [])]
+        split = ((steps["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+        #: ids of a text are those of its white-space separated, lower-cased strings
+        self.by_strings = (kinds == ["NFC", "Replace", "Lowercase"] and split.get("behavior") == "Removed" and bool(split.get("invert"))
+                           and steps["model"].get("end_of_word_suffix") == "</w>")
         names = self.inner.get_vocab()
         self.ends = np.zeros(max(names.values()) + 1, bool)     # ids of tokens that end a word
         self.ends[[i for t, i in names.items() if t.endswith("</w>")]] = True
@@ -60,11 +75,11 @@ class ChunkTokenizer:
         """Ids of new strings."""
         split, whole, words, marks = [], [], set(), set()
         for text in new:
-            if text.isalpha():
+            if plain_word(text):
                 words.add(text)
                 continue
             core = text.strip(PUNCTUATION)
-            if core.isalpha():
+            if plain_word(core):
                 at = text.index(core)
                 split.append((text, text[:at], core, text[at + len(core):]))
                 words.add(core)
@@ -82,6 +97,8 @@ class ChunkTokenizer:
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text (null: empty) as little-endian unsigned 32-bit numbers."""
+        if not self.by_strings:
+            return self._each([t or "" for t in texts.to_pylist()])
         # a copy of its own: the kernels below read a slice's neighbours
         texts = pc.fill_null(texts.cast(pa.large_string()), "").take(pa.array(np.arange(len(texts))))
         odd = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)).tolist()

@@ -38,6 +38,29 @@ def test_ids_are_the_tokenizers(plain, monkeypatch):
             assert tokenizer.encode(pa.array(texts, pa.string()).slice(at, 50)) == want[at:at + 50]
 
 
+def test_ids_of_random_unicode(plain):
+    """Marks, letters with special cases and letters of every script, beside punctuation: 100,000 strings."""
+    rnd = random.Random(6)
+    odd = "İıſKÅẞßŉǰΐΰﬁﬃÀé\u0301\u0307\u0308\u0345\u093f\u0e33ΣςσǄǅǆԱაᲐⅣª²½ٱ日ー한\u1100\u1161\u200d\u200c\ufeff\x85\xa0\u2028"
+    chars = "abIS'.,-!(\"" + odd
+    texts = ["İ.", "İ-", "(İ)", "i\u0307.", "ŉ.", "Σ.", "ΑΣ,", "ΐ!"]
+    texts += ["".join(rnd.choice(chars) for _ in range(rnd.randint(1, 9))) for _ in range(60_000)]
+    texts += ["".join(chr(rnd.choice([rnd.randrange(32, 0x530), rnd.randrange(0x530, 0xD800), rnd.randrange(0xE000, 0x20000)])) + rnd.choice(["", "", ".", "a"])
+                      for _ in range(rnd.randint(1, 6))) for _ in range(40_000)]
+    tokenizer = pk.ChunkTokenizer(public_tokenizers.path(pk.VOCABULARY))
+    want = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
+    for at in range(0, len(texts), 4000):
+        got = tokenizer.encode(pa.array(texts[at:at + 4000], pa.string()))
+        assert got == want[at:at + 4000], [t for t, a, b in zip(texts[at:], got, want[at:]) if a != b][:3]
+
+
+def test_other_vocabularies_encode_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other, tokenizer = Tokenizer.from_file(path), pk.ChunkTokenizer(path)
+    texts = [t for t in ODD if t is None or "<|" not in t]
+    assert not tokenizer.by_strings and tokenizer.encode(pa.array(texts, pa.string())) == [ids_of(other, t) for t in texts]
+
+
 def test_best_fit_is_the_tightest():
     rnd, window = random.Random(2), 64
     tree, rooms = pk.OpenWindows(window), {}
