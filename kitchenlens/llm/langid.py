@@ -27,27 +27,32 @@ _LETTER = regex.compile(r"\p{L}")
 
 def _fold(text: str) -> np.ndarray:
     """Lower-case code points; everything but letters is one space."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
+    # a capital sigma's small form would depend on what follows it, maybe in the next block
+    points = np.frombuffer(text.replace("\u03a3", "\u03c3").lower().encode("utf-32-le", "replace"), np.uint32)
     ascii_other = (points < 128) & ((points < 97) | (points > 122))
     return np.where(ascii_other | (points == 0xA0), np.uint32(32), points)
 
 
 def ngram_blocks(text: str) -> Iterable[np.ndarray]:
-    """Hashed character n-grams of a whole text, block by block."""
-    reach = max(ORDERS) - 1
+    """Hashed character n-grams of a whole text, block by block: the last characters of a block are carried into the
+    next, so the n-grams are those of the text in one piece."""
+    reach, carry = max(ORDERS) - 1, np.zeros(0, np.uint32)
     for start in range(0, max(1, len(text)), BLOCK_CHARS):
-        points = _fold(" " + text[max(0, start - reach):start + BLOCK_CHARS] + " ") if start == 0 else _fold(text[start - reach:start + BLOCK_CHARS] + " ")
+        stop = start + BLOCK_CHARS
+        points = np.concatenate([carry, _fold(" " * (start == 0) + text[start:stop] + " " * (stop >= len(text)))])
         space = points == 32
         keep = np.ones(len(points), bool)
         keep[1:] = ~(space[1:] & space[:-1])        # runs of spaces count as one
-        points = points[keep].astype(np.uint64)
-        parts, rolled = [], np.zeros(len(points), np.uint64)
+        points = points[keep]
+        old, carry = len(carry), points[max(0, len(points) - reach):]
+        wide = points.astype(np.uint64)
+        parts, rolled = [], np.zeros(len(wide), np.uint64)
         for n in ORDERS:
-            rolled = rolled[:len(points) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + points[n - 1:] + np.uint64(n)
-            mixed = rolled * np.uint64(0xD6E8FEB86659FD93)
-            parts.append((mixed >> np.uint64(40)).astype(np.int64) % SPACE)
-            if len(points) <= n:
+            if len(wide) < n:
                 break
+            rolled = rolled[:len(wide) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + wide[n - 1:] + np.uint64(n)
+            mixed = rolled[max(0, old - n + 1):] * np.uint64(0xD6E8FEB86659FD93)      # those that end in the carry were counted
+            parts.append((mixed >> np.uint64(40)).astype(np.int64) % SPACE)
         yield np.concatenate(parts)
 
 
@@ -224,6 +229,7 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     learn = picked.where("place <= edge").select("doc_id", "text", "lang", "place")
     calibrate = picked.where("place > edge and place <= last")
     learn = learn.withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "place"), F.lit(shards)))
+    reported = learn.select("shard").distinct().count()      # a small table may leave a shard without rows
     idf_held, start = spark.sparkContext.broadcast(idf), None
     for _ in range(rounds):
         state = (learn.groupBy("shard").applyInArrow(_learn_shard(idf_held, langs, start), "feature long, z array<double>, n array<double>")
@@ -231,7 +237,7 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         z, n = np.zeros((SPACE, len(langs)), np.float32), np.zeros((SPACE, len(langs)), np.float32)
         at = state["feature"].to_numpy()
         for j in range(len(langs)):
-            z[at, j], n[at, j] = state[f"z{j}"].to_numpy() / shards, state[f"n{j}"].to_numpy() / shards
+            z[at, j], n[at, j] = state[f"z{j}"].to_numpy() / reported, state[f"n{j}"].to_numpy() / reported
         start = spark.sparkContext.broadcast((z, n))
     model = Ftrl(len(langs))
     model.z, model.n = z.astype(float), n.astype(float)
@@ -243,7 +249,10 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text"):
-    """Column struct (lang_pred, score) of a text column: ``und`` with score 0 for null texts and texts without a letter."""
+    """Column struct (lang_pred, score) of a text column: ``und`` with score 0 for null texts and texts without a letter.
+
+    Every row is judged by its own text alone, so repeated rows get equal results; texts of any length are read whole, block
+    by block; an empty table stays empty; a model without languages (learned from no rows) gives ``und``."""
     held = docs.sparkSession.sparkContext.broadcast(model.state())
     made: dict = {}
 

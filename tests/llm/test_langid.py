@@ -30,13 +30,23 @@ def test_held_out(spark):
 
 
 def test_long_texts_count_like_short_blocks(monkeypatch):
-    text = "Ab c  déf, " * 50
-    whole = li.term_counts(text)
-    monkeypatch.setattr(li, "BLOCK_CHARS", 1 << 20)
-    assert li.term_counts(text)[1].sum() == whole[1].sum()
-    monkeypatch.setattr(li, "BLOCK_CHARS", 64)
-    at, counts = li.term_counts(text)
-    assert abs(counts.sum() - whole[1].sum()) <= 0.2 * whole[1].sum() and set(whole[0]) <= set(at)
+    """The features of a text in blocks are those of the text in one piece, exactly."""
+    rnd = random.Random(8)
+    texts = ["Ab c  déf, " * 50, "", " ", "a", "ab", "x  ", "  y", "ΑΣ ΟΔΟΣ Σ" * 20] + ["".join(rnd.choice("aB é  .\u3000İΣ日") for _ in range(rnd.randrange(200))) for _ in range(200)]
+    whole = [li.term_counts(t) for t in texts]
+    for block in (1, 2, 3, 7, 64, 100):
+        monkeypatch.setattr(li, "BLOCK_CHARS", block)
+        for text, (want, n) in zip(texts, whole):
+            at, counts = li.term_counts(text)
+            assert at.tolist() == want.tolist() and counts.tolist() == n.tolist(), (block, text)
+
+
+def test_shards_without_rows_shrink_nothing(spark):
+    """Two rows in four shards: the average is over the shards that have rows."""
+    docs = spark.createDataFrame([(1, "bara bora bura " * 5, "xx"), (2, "tik tok tuk " * 5, "yy")], "doc_id long, text string, lang string")
+    few, one = (li.fit_language_model(docs, shards=n, calibration_rows=0) for n in (64, 1))
+    assert few.langs == one.langs == ["xx", "yy"] and few.predict("bora bara")[0] == "xx" and few.predict("tok tok")[0] == "yy"
+    assert np.abs(few.weights).max() > 0.5 * np.abs(one.weights).max()
 
 
 def test_temperature():
