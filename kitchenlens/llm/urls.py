@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, table
+from .common import cut_lineage, drop_stage, table
 
 #: (verdict, host, path prefix)
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"),
          ("block", "com", "/de/")]
-#: A literal segment stays in a template if at least this share of its siblings have it, at any size of the host.
-#: One row is enough (the plain version in the tests reads MIN_ROWS): small counts are left to the smoothing, so a url's
-#: template doesn't change as the table grows.
-MIN_SHARE, MIN_ROWS = 0.02, 1
+#: A literal segment stays in a template unless it has less than LEAST_SHARE of the mean rows of its siblings.  Where siblings
+#: have under VARIABLE_ROWS rows on average (most occur once, as slugs do) only those with VARIABLE_ROWS times the mean stay.
+#: Both compare siblings with each other, so a url's template doesn't change as the table grows.
+LEAST_SHARE, VARIABLE_ROWS = 0.5, 2.0
+#: Levels of the tree; literals below are wildcards.
+MAX_DEPTH = 12
 #: Rows that a parent's purity counts for when a template's own is smoothed.
 PRIOR_ROWS = 20.0
 #: Two branches whose blocked shares differ by fewer standard errors are merged.
@@ -47,25 +49,58 @@ def _shape(segment):
             .when(stem.rlike(r"\d{4}") | (F.length(stem) > 40), F.lit("{mixed}")))
 
 
-def with_templates(pages: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
-    """Distinct-url counts with their template: ``pages`` (host, path, rule struct) grouped to (host, path) rows, with
-    ``template`` (array of segments, variable ones as wildcards).
-
-    Numbers, hashes and the like generalise by their form; a literal segment generalises to *
-    where it is rare among its siblings (the literals of that host and depth).  All depths of
-    the tree are counted in one grouped pass."""
-    forms = pages.withColumn("segments", F.split(F.regexp_replace("path", "^/|/$", ""), "/")).withColumn(
-        "forms", F.transform("segments", _shape))
-    at = forms.select("host", "n", F.posexplode(F.arrays_zip("segments", "forms")).alias("depth", "x"))
-    literal = at.where("x.forms is null").select("host", "n", "depth", F.col("x.segments").alias("segment"))
-    counts = literal.groupBy("host", "depth", "segment").agg(F.sum("n").alias("rows"))
-    total = counts.groupBy("host", "depth").agg(F.sum("rows").alias("siblings"))
-    kept = counts.join(total, ["host", "depth"]).where(F.col("rows") >= F.col("siblings") * min_share)
-    # at most 1 / min_share literals stay for each host and depth
-    known = kept.groupBy("host").agg(F.collect_set(F.concat_ws("/", F.col("depth").cast("string"), "segment")).alias("known"))
-    named = F.transform("segments", lambda s, i: F.coalesce(_shape(s), F.when(F.array_contains("known", F.concat_ws("/", i.cast("string"), s)), s), F.lit("*")))
-    return forms.join(known, "host", "left").withColumn("known", F.coalesce("known", F.array().cast("array<string>"))).withColumn(
-        "template", named).select("host", "path", "n", "judged", "template")
+def _branches(literals: DataFrame, similar_z: float) -> DataFrame:
+    """(host, node, name, branch): the literal children that stay under each node, and the branch each belongs to.
+
+    Children that are labelled and whose blocked share is statistically that of their siblings, above it or below it are one
+    branch each; a child that is alone in its branch, or unlabelled, keeps its own."""
+    children = cut_lineage(literals.groupBy("host", "node", "name").agg(F.sum("n").alias("rows"), F.sum("b").alias("b"), F.sum("m").alias("m")), "children")
+    mean = children.groupBy("host", "node").agg((F.sum("rows") / F.count("*")).alias("mean"))
+    least = F.col("mean") * F.when(F.col("mean") < VARIABLE_ROWS, F.lit(VARIABLE_ROWS)).otherwise(F.lit(LEAST_SHARE))
+    kept = children.join(mean, ["host", "node"]).where(F.col("rows") >= least)
+    pooled = kept.groupBy("host", "node").agg(F.sum("b").alias("all_b"), F.sum("m").alias("all_m"))
+    rest_b, rest_m = F.col("all_b") - F.col("b"), F.col("all_m") - F.col("m")
+    share = F.try_divide("all_b", "all_m")
+    error = F.sqrt(share * (1 - share) * (F.try_divide(F.lit(1.0), "m") + F.try_divide(F.lit(1.0), rest_m)))
+    apart = F.try_divide("b", "m") - F.try_divide(rest_b, rest_m)
+    side = F.when(apart > similar_z * error, F.lit("{+}")).when(apart < -similar_z * error, F.lit("{-}")).when(apart.isNotNull(), F.lit("{=}"))
+    sided = kept.join(pooled, ["host", "node"]).select("host", "node", "name", side.alias("side"))
+    sizes = sided.where("side is not null").groupBy("host", "node", "side").agg(F.count("*").alias("members"))
+    return sided.join(sizes, ["host", "node", "side"], "left").select("host", "node", "name", F.when(F.col("members") > 1, F.col("side")).otherwise(F.col("name")).alias("branch"))
+
+
+def with_templates(urls: DataFrame, similar_z: float = SIMILAR_Z) -> DataFrame:
+    """``urls`` (host, path, n, judged: one row a url) with ``template`` and ``leaf``: its place in its host's path-template tree.
+
+    The tree grows depth by depth.  The segments under one node are counted together, whatever other nodes hold: numbers, hashes and
+    the like generalise by their form, literals that are rare among their siblings to *, and statistically similar branches are
+    merged, so that what is below them is counted together too.  ``template`` names the segments, ``leaf`` the
+    merged branches.  Each level is one grouped table of (host, node, segment) and is written; a finished url isn't read again."""
+    blocked = F.when(F.col("judged.verdict") == "block", F.col("n")).otherwise(0)
+    labelled = F.when(F.col("judged").isNotNull(), F.col("n")).otherwise(0)
+    state = urls.select("host", "path", "n", "judged", blocked.alias("b"), labelled.alias("m"), F.split(F.regexp_replace("path", "^/|/$", ""), "/").alias("segments"),
+                        F.lit("").alias("node"), F.lit("").alias("template"))
+    state = cut_lineage(state, "tree")
+    levels, done = [state], []
+    deepest = state.agg(F.max(F.size("segments"))).first()[0] or 0
+    for depth in range(min(deepest, MAX_DEPTH)):
+        segment = F.get("segments", F.lit(depth))
+        at = state.withColumns({"form": _shape(segment), "name": F.when(_shape(segment).isNull(), segment)})
+        moved = at.join(_branches(at.where("name is not null"), similar_z), ["host", "node", "name"], "left")
+        label = F.coalesce("form", F.when(F.col("branch").isNotNull(), F.col("name")), F.lit("*"))
+        moved = moved.select("host", "path", "n", "judged", "b", "m", "segments", F.concat_ws("/", "node", F.coalesce("form", "branch", F.lit("*"))).alias("node"),
+                             F.concat_ws("/", "template", label).alias("template"))
+        levels.append(cut_lineage(moved, "tree"))
+        done.append(levels[-1].where(F.size("segments") == depth + 1))
+        state = levels[-1].where(F.size("segments") > depth + 1)
+    below = F.array_join(F.transform(F.slice("segments", MAX_DEPTH + 1, F.greatest(F.size("segments") - MAX_DEPTH, F.lit(0))), lambda s: F.concat(F.lit("/"), F.coalesce(_shape(s), F.lit("*")))), "")
+    out = state.withColumns({"node": F.concat("node", below), "template": F.concat("template", below)})
+    for part in done:
+        out = out.unionByName(part)
+    out = cut_lineage(out.select("host", "path", "n", "judged", "b", "m", "template", F.col("node").alias("leaf")), "templates")
+    for level in levels:
+        drop_stage(level)
+    return out
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, prior_rows: float = PRIOR_ROWS,
@@ -74,8 +109,7 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     A url that a rule fits has that rule's verdict (the longest rule's).  The rules' verdicts are
     the labels from which the others are judged: each url falls into a leaf of its host's
-    template tree; a leaf whose blocked share is statistically like its siblings' (same
-    template but for the last literal) is merged with them; the blocked share is smoothed towards
+    template tree (``with_templates``); the leaf's blocked share is smoothed towards
     that of the same template over all hosts, which is smoothed towards the overall share.
     A url is blocked if the smoothed share is over one half.
 
@@ -84,37 +118,25 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     host, path = host_and_path(F.col(f"`{url_col}`"))
     rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), host.alias("host"), path.alias("path"))
     judged = rows.select("*", _rule(rules, F.col("host"), F.col("path")).alias("judged"))
-    distinct = cut_lineage(with_templates(judged.groupBy("host", "path").agg(F.count("*").alias("n"), F.first("judged").alias("judged"))), "templates")
-    purity = _purities(distinct, prior_rows, similar_z)
+    distinct = with_templates(judged.groupBy("host", "path").agg(F.count("*").alias("n"), F.first("judged").alias("judged")), similar_z)
+    purity = _purities(distinct, prior_rows)
     # one row for each distinct (host, path) comes back to the pages; a frequent url's pages are split by the skew join
-    verdicts = distinct.join(purity, ["host", "template"], "left").select(
+    verdicts = distinct.join(purity, ["host", "leaf", "template"]).select(
         "host", "path", F.col("judged.rule").alias("rule"),
-        F.coalesce("judged.verdict", F.when(F.col("purity") > 0.5, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
-        F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"), "purity")
+        F.coalesce("judged.verdict", F.when(F.col("purity") > 0.5, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"), "template", "purity")
     return rows.join(verdicts, ["host", "path"]).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
 
 
-def _purities(distinct: DataFrame, prior_rows: float, similar_z: float) -> DataFrame:
-    """(host, template, purity): the smoothed blocked share of every leaf."""
-    blocked = F.when(F.col("judged.verdict") == "block", F.col("n")).otherwise(0)
-    labelled = F.when(F.col("judged").isNotNull(), F.col("n")).otherwise(0)
-    leaf = cut_lineage(distinct.groupBy("host", "template").agg(F.sum(blocked).alias("b"), F.sum(labelled).alias("m")), "leaves")
-    # the branch a leaf may merge with: its template with the last literal segment as a wildcard
-    last = F.size("template") - F.coalesce(F.nullif(F.array_position(F.reverse(F.transform("template", lambda s: ~s.isin("*", "") & ~s.startswith("{"))), True), F.lit(0)).cast("int"), F.lit(0))
-    branch = F.transform("template", lambda s, i: F.when(i == last, F.lit("*")).otherwise(s))
-    leaf = leaf.withColumn("branch", branch)
-    siblings = leaf.groupBy("host", "branch").agg(F.sum("b").alias("sb"), F.sum("m").alias("sm"))
-    shared = leaf.groupBy("template").agg(F.sum("b").alias("tb"), F.sum("m").alias("tm"))
-    overall = leaf.agg(F.sum("b").alias("ob"), F.sum("m").alias("om"))
-    both = leaf.join(siblings, ["host", "branch"]).join(shared, "template").join(F.broadcast(overall))     # overall is one row
-    rest_b, rest_m = F.col("sb") - F.col("b"), F.col("sm") - F.col("m")
-    pooled = F.try_divide("sb", "sm")
-    error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), "m") + F.try_divide(F.lit(1.0), rest_m)))
-    alike = F.coalesce(F.abs(F.try_divide("b", "m") - F.try_divide(rest_b, rest_m)) <= similar_z * error, F.lit(False))
-    own_b, own_m = F.when(alike, F.col("sb")).otherwise(F.col("b")), F.when(alike, F.col("sm")).otherwise(F.col("m"))
-    prior = F.coalesce((F.col("ob") + 0.5) / (F.col("om") + 1), F.lit(0.5))
+def _purities(distinct: DataFrame, prior_rows: float) -> DataFrame:
+    """(host, leaf, template, purity): the smoothed blocked share of every leaf, for each template that falls into it."""
+    each = cut_lineage(distinct.groupBy("host", "leaf", "template").agg(F.sum("b").alias("b"), F.sum("m").alias("m")), "leaves")
+    own = each.groupBy("host", "leaf").agg(F.sum("b").alias("own_b"), F.sum("m").alias("own_m"))
+    shared = each.groupBy("template").agg(F.sum("b").alias("tb"), F.sum("m").alias("tm"))
+    overall = each.agg(F.struct(F.sum("b").alias("b"), F.sum("m").alias("m"))).scalar()
+    prior = F.coalesce((overall["b"] + 0.5) / (overall["m"] + 1), F.lit(0.5))
     template = (F.col("tb") + prior_rows * prior) / (F.col("tm") + prior_rows)
-    return both.select("host", "template", ((own_b + prior_rows * template) / (own_m + prior_rows)).alias("purity"))
+    return (each.join(own, ["host", "leaf"]).join(shared, "template")
+            .select("host", "leaf", "template", ((F.col("own_b") + prior_rows * template) / (F.col("own_m") + prior_rows)).alias("purity")))
 
 
 def op9_url_filter(spark, sf_dir: str) -> DataFrame:
