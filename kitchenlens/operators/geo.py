@@ -1,8 +1,8 @@
 """Stage 3 and the spatial join: coordinates per establishment, geocode cache, point in polygon.
 
 Set-based throughout: the per-address lookups of the source become anti / left joins, and the
-spatial join is an equi-join on grid cells followed by an exact even-odd test written with
-native array functions (``transform`` / ``filter`` / ``aggregate``), so it stays in the JVM.
+spatial join is an equi-join on the cells of a hierarchical cover (``cover.py``), followed by an exact even-odd
+test of the cell's few edges written with native array functions, so the points stay in the JVM.
 """
 
 from __future__ import annotations
@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from ..constants import EST, GEOCODE_SUFFIX
 from ..functions.text import title_case
+from .cover import MAX_CELLS, MAX_EDGES, polygon_cover
 
 # Side tables of the spatial join are broadcast only below these checked sizes.
-MAX_BROADCAST_CELLS = 1_000_000        # rows of (cell, polygon id, bounding box)
-MAX_BROADCAST_VERTICES = 5_000_000     # polygon vertices over all outlines
+MAX_BROADCAST_CELLS = 1_000_000        # cells of all covers, and polygons
+MAX_BROADCAST_VERTICES = 5_000_000     # edges held by all cells
 
 
 # ---- coordinates and geocode cache -----------------------------------------------------------
@@ -89,11 +90,11 @@ def _edges(geometry: Column) -> Column:
     def ring_edges(ring: Column) -> Column:
         n = F.size(ring)
         return F.arrays_zip(F.slice(ring, 1, n - 1).alias("a"), F.slice(ring, 2, n - 1).alias("b"))
-    return F.flatten(F.transform(geometry, ring_edges))
+    return F.flatten(F.transform(F.filter(geometry, lambda r: F.size(r) > 1), ring_edges))
 
 
-def contains_point(geometry: Column, lon: Column, lat: Column) -> Column:
-    """Strict containment: the point is on no edge, and a ray to +x crosses an odd number of edges."""
+def _strictly_inside(edges: Column, lon: Column, lat: Column, odd: Column | None = None) -> Column:
+    """The point is on no edge, and a ray to +x crosses an odd number of edges (an even one where ``odd`` others are met)."""
     def cross(e: Column) -> Column:
         a, b = e["a"], e["b"]
         return (b["lon"] - a["lon"]) * (lat - a["lat"]) - (b["lat"] - a["lat"]) * (lon - a["lon"])
@@ -108,59 +109,43 @@ def contains_point(geometry: Column, lon: Column, lat: Column) -> Column:
         a, b = e["a"], e["b"]
         return ((cross(e) == 0) & lon.between(F.least(a["lon"], b["lon"]), F.greatest(a["lon"], b["lon"]))
                 & lat.between(F.least(a["lat"], b["lat"]), F.greatest(a["lat"], b["lat"])))
-    edges = _edges(geometry)
-    return (F.size(F.filter(edges, crosses)) % 2 == 1) & ~F.exists(edges, on_edge)
-
+    met = F.size(F.filter(edges, crosses)) % 2 == 1
+    return (met if odd is None else met != odd) & ~F.exists(edges, on_edge)
 
-def polygon_bbox(polygons: DataFrame, geometry: str = "geometry") -> DataFrame:
-    pts = F.flatten(F.col(geometry))
-    return polygons.withColumns({
-        "_minx": F.array_min(F.transform(pts, lambda p: p["lon"])),
-        "_maxx": F.array_max(F.transform(pts, lambda p: p["lon"])),
-        "_miny": F.array_min(F.transform(pts, lambda p: p["lat"])),
-        "_maxy": F.array_max(F.transform(pts, lambda p: p["lat"])),
-    })
 
-
-def polygon_cells(polygons: DataFrame, cell: float, geometry: str = "geometry") -> DataFrame:
-    """Each polygon repeated once per grid cell its bounding box touches."""
-    b = polygon_bbox(polygons, geometry)
-    cx = F.sequence(F.floor(F.col("_minx") / cell), F.floor(F.col("_maxx") / cell))
-    cy = F.sequence(F.floor(F.col("_miny") / cell), F.floor(F.col("_maxy") / cell))
-    return (b.withColumn("_cx", F.explode(cx)).withColumn("_cy", F.explode(cy)))
+def contains_point(geometry: Column, lon: Column, lat: Column) -> Column:
+    """Strict containment against the whole outline: the point is on no edge, and a ray to +x crosses an odd number of edges."""
+    return _strictly_inside(_edges(geometry), lon, lat)
 
 
 def point_in_polygon(points: DataFrame, polygons: DataFrame, lon: str = "longitude", lat: str = "latitude",
                      keep: list[str] | None = None, cell: float = 0.01, geometry: str = "geometry",
                      max_broadcast_cells: int = MAX_BROADCAST_CELLS,
-                     max_broadcast_vertices: int = MAX_BROADCAST_VERTICES) -> DataFrame:
-    """Inner spatial join — polygon contains point.  Points outside every polygon drop out.
-
-    Candidate pairs come from an equi-join on grid cells (no nested loop, no pair explosion):
-    the cell table holds only (cell, polygon id, bounding box), and the bounding box prunes
-    candidates before any geometry is touched.  The exact test (strictly inside) then joins the polygon
-    outlines by id.  Each side table is broadcast only after its size is checked (cell rows,
-    total vertices); above the bound it is shuffled like any join and AQE splits hot keys.
+                     max_broadcast_vertices: int = MAX_BROADCAST_VERTICES,
+                     max_cells: int = MAX_CELLS, max_edges: int = MAX_EDGES) -> DataFrame:
+    """Inner spatial join — polygon contains point (strictly).  Points outside every polygon drop out, as do
+    points without coordinates and polygons without an outline.
+
+    Each polygon is covered by at most about ``max_cells`` cells of sizes ``cell`` · 2^k, however large it is.  A point looks up its cell
+    of every size that occurs (an equi-join, no nested loop); in a cell wholly inside the polygon it is in, in any
+    other the test takes the few edges the cell holds.  The cover and the polygons' columns are broadcast
+    only after their rows and edges are counted; above either bound they are shuffled and AQE splits hot cells.
     """
     keep = keep if keep is not None else [c for c in polygons.columns if c != geometry]
     from ..session import cut_lineage
     # the row number, fixed by writing the layer once, tells equal polygons apart
     polys = cut_lineage(polygons.select(*keep, geometry).withColumn("_pid", F.monotonically_increasing_id()), "polygons")
-    cells = polygon_cells(polys, cell, geometry).select("_pid", "_cx", "_cy", "_minx", "_maxx", "_miny", "_maxy")
-    shapes = polys.select("_pid", *keep, geometry)
-    boxes = polygon_bbox(polys, geometry)
-    spans = [F.floor(F.col(hi) / cell) - F.floor(F.col(lo) / cell) + 1 for lo, hi in (("_minx", "_maxx"), ("_miny", "_maxy"))]
-    sizes = boxes.agg(F.sum(spans[0] * spans[1]).alias("n"), F.sum(F.size(F.flatten(F.col(geometry)))).alias("v")).first()
-    n_cells = sizes["n"] or 0
-    cells_side = F.broadcast(cells) if n_cells <= max_broadcast_cells else cells
-    shapes_side = F.broadcast(shapes) if (sizes["v"] or 0) <= max_broadcast_vertices else shapes
-    pts = (points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
-           .withColumn("_cx", F.floor(F.col(lon) / cell)).withColumn("_cy", F.floor(F.col(lat) / cell)))
-    in_box = F.col(lon).between(F.col("_minx"), F.col("_maxx")) & F.col(lat).between(F.col("_miny"), F.col("_maxy"))
-    candidates = pts.join(cells_side, ["_cx", "_cy"]).where(in_box)
-    joined = candidates.join(shapes_side, "_pid")
-    return (joined.where(contains_point(F.col(geometry), F.col(lon), F.col(lat)))
-            .drop("_cx", "_cy", "_minx", "_maxx", "_miny", "_maxy", "_pid", geometry))
+    cover = cut_lineage(polygon_cover(polys.select("_pid", _edges(F.col(geometry)).alias("_edges")), cell, max_cells, max_edges), "cover")
+    size = cover.agg(F.count("*").alias("cells"), F.sum(F.size("_edges")).alias("edges"), F.array_sort(F.collect_set("_k")).alias("levels")).first()
+    small = size["cells"] <= max_broadcast_cells and (size["edges"] or 0) <= max_broadcast_vertices
+    attributes = polys.select("_pid", *keep)
+    levels = F.array(*[F.lit(k) for k in size["levels"]]) if size["levels"] else F.array().cast("array<int>")
+    x, y = F.floor(F.col(lon) / cell).cast("long"), F.floor(F.col(lat) / cell).cast("long")
+    pts = (points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()).withColumns({"_x": x, "_y": y}).withColumn("_k", F.explode(levels))
+           .withColumns({"_cx": F.expr("shiftright(_x, _k)"), "_cy": F.expr("shiftright(_y, _k)")}).drop("_x", "_y"))
+    met = pts.join(F.broadcast(cover) if small else cover, ["_k", "_cx", "_cy"])
+    inside = met.where(F.col("_inside") | _strictly_inside(F.col("_edges"), F.col(lon), F.col(lat), F.col("_odd"))).drop("_k", "_cx", "_cy", "_inside", "_odd", "_edges")
+    return inside.join(F.broadcast(attributes) if small else attributes, "_pid").drop("_pid")
 
 
 def fix_area_names(areas: DataFrame, fixes=None, column: str = "AREA_NAME") -> DataFrame:
