@@ -48,3 +48,11 @@ def parse_money(name: str) -> Column:
 def parse_int_text(name: str) -> Column:
     """'10,100' → 10100; unparsable → NULL."""
     return F.expr(f"try_cast(replace(`{name}`, ',', '') AS BIGINT)")
+
+
+def hash_text(seed: int, columns) -> Column:
+    """Seeded MD5 of the columns' texts as hex digits: evenly spread, and the same in every engine.
+
+    NULL counts as a text of its own (an empty one counts as different)."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in columns]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))

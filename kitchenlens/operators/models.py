@@ -14,13 +14,18 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import hash_text
+from ..session import cut_lineage, drop_stage
 from .mlprep import FLAG_FEATURES, LABEL, MODEL_FEATURES, NUMERIC_FEATURES, UNUSED_FEATURES, gt_zero_flags
 
 
@@ -85,39 +90,70 @@ def fit_yeo_johnson(df: DataFrame, columns: Sequence[str], lo: float = -3.0, hi:
     return best
 
 
-class YeoJohnsonModel(Model):
+def yeo_johnson_likelihood(df: DataFrame, columns: Sequence[str], lambdas: Sequence[float]) -> DataFrame:
+    """M6: (feature, lambda, mean_log_likelihood) over a λ grid, from one aggregation pass; NULL where a column is constant or
+    empty.  The mean over the rows, so that tables of any size compare."""
+    aggs, rows = [], []
+    for j, c in enumerate(columns):
+        aggs += _loglik_aggs(F.col(f"`{c}`").cast("double"), lambdas, f"c{j}")
+        for i, lam in enumerate(lambdas):
+            llf = -F.log(F.col(f"c{j}_v{i}")) / 2 + F.lit(lam - 1.0) * F.try_divide(F.col(f"c{j}_s"), F.col(f"c{j}_n"))
+            rows.append(F.struct(F.lit(c).alias("feature"), F.lit(float(lam)).alias("lambda"),
+                                 F.when((F.col(f"c{j}_n") > 0) & ~F.col(f"c{j}_same") & (F.col(f"c{j}_v{i}") > 0), llf).alias("mean_log_likelihood")))
+    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+class _YeoJohnsonParams(Params):
+    """Parameters of the power transform and of its fitted form; all of them are saved with the stage."""
+    columns = Param(Params._dummy(), "columns", "numeric input columns", TypeConverters.toListString)
+    suffix = Param(Params._dummy(), "suffix", "suffix of the output columns", TypeConverters.toString)
+
+    def getColumns(self) -> list[str]:
+        return self.getOrDefault(self.columns)
+
+    def getSuffix(self) -> str:
+        return self.getOrDefault(self.suffix)
+
+
+class YeoJohnsonModel(Model, _YeoJohnsonParams, DefaultParamsReadable, DefaultParamsWritable):
     """Applies fitted λ, then standardises with the fitted mean / population sd."""
+    lambdas = Param(Params._dummy(), "lambdas", "fitted λ of each column", TypeConverters.toListFloat)
+    means = Param(Params._dummy(), "means", "mean of each transformed column", TypeConverters.toListFloat)
+    stds = Param(Params._dummy(), "stds", "population sd of each transformed column", TypeConverters.toListFloat)
 
-    def __init__(self, lambdas: dict, means: dict, stds: dict, suffix: str = "_yj"):
+    @keyword_only
+    def __init__(self, *, columns=None, suffix="_yj", lambdas=None, means=None, stds=None):
         super().__init__()
-        self.lambdas, self.means, self.stds, self.suffix = lambdas, means, stds, suffix
+        self._setDefault(suffix="_yj")
+        self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         cols = {}
-        for c, lam in self.lambdas.items():
+        for c, lam, mean, sd in zip(self.getColumns(), *(self.getOrDefault(p) for p in (self.lambdas, self.means, self.stds))):
             y = yeo_johnson_expr(F.col(c).cast("double"), lam)
-            sd = self.stds[c] or 1.0
-            cols[c + self.suffix] = (y - F.lit(self.means[c])) / F.lit(sd)
+            cols[c + self.getSuffix()] = (y - F.lit(mean)) / F.lit(sd or 1.0)
         return dataset.withColumns(cols)
 
 
-class YeoJohnson(Estimator):
+class YeoJohnson(Estimator, _YeoJohnsonParams, DefaultParamsReadable, DefaultParamsWritable):
     """M6 + M7: power transform with λ by maximum likelihood, standardised output columns."""
 
-    def __init__(self, columns: Sequence[str], suffix: str = "_yj"):
+    @keyword_only
+    def __init__(self, *, columns=None, suffix="_yj"):
         super().__init__()
-        self.columns, self.suffix = list(columns), suffix
+        self._setDefault(suffix="_yj")
+        self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> YeoJohnsonModel:
-        lambdas = fit_yeo_johnson(dataset, self.columns)
+        columns = self.getColumns()
+        lambdas = fit_yeo_johnson(dataset, columns)
         exprs = []
-        for j, c in enumerate(self.columns):
+        for j, c in enumerate(columns):
             y = yeo_johnson_expr(F.col(c).cast("double"), lambdas[c])
             exprs += [F.avg(y).alias(f"m{j}"), F.stddev_pop(y).alias(f"s{j}")]
         row = dataset.agg(*exprs).first()
-        means = {c: row[f"m{j}"] or 0.0 for j, c in enumerate(self.columns)}
-        stds = {c: row[f"s{j}"] or 1.0 for j, c in enumerate(self.columns)}
-        return YeoJohnsonModel(lambdas, means, stds, self.suffix)
+        return YeoJohnsonModel(columns=columns, suffix=self.getSuffix(), lambdas=[lambdas[c] for c in columns],
+                               means=[row[f"m{j}"] or 0.0 for j in range(len(columns))], stds=[row[f"s{j}"] or 1.0 for j in range(len(columns))])
 
 
 def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -149,8 +185,9 @@ def preprocessing(categoricals: Sequence[str], numerics: Sequence[str]) -> list:
     ohe = [f"{c}__ohe" for c in categoricals]
     return [
         StringIndexer(inputCols=list(categoricals), outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"),
-        YeoJohnson(numerics),
+        # the indexer's last category is the unseen one: dropped, so it has no column
+        OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="error"),
+        YeoJohnson(columns=list(numerics)),
         VectorAssembler(inputCols=ohe + [f"{c}_yj" for c in numerics], outputCol="features"),
     ]
 
@@ -176,16 +213,66 @@ def random_forest(num_trees: int = 250, max_depth: int = 30, seed: int = 42, max
                                   maxMemoryInMB=max_memory_mb)
 
 
-def perceptron(n_features: int, seed: int = 42) -> MultilayerPerceptronClassifier:
-    """One hidden layer of 100 units (defined, not run by default)."""
-    return MultilayerPerceptronClassifier(featuresCol="features", labelCol=LABEL, layers=[n_features, 100, 2],
-                                          seed=seed)
+def perceptron(n_features: int, seed: int = 42, hidden: int = 100, max_iter: int = 100) -> MultilayerPerceptronClassifier:
+    """One hidden layer of 100 units."""
+    return MultilayerPerceptronClassifier(featuresCol="features", labelCol=LABEL, layers=[n_features, hidden, 2], seed=seed, maxIter=max_iter)
 
 
 def fit_pipeline(train: DataFrame, classifier, categoricals: Sequence[str], numerics: Sequence[str]) -> PipelineModel:
     return Pipeline(stages=preprocessing(categoricals, numerics) + [classifier]).fit(train)
 
 
+def balanced_rows(df: DataFrame, key: Sequence[str], label: str = LABEL, seed: int = 42) -> DataFrame:
+    """Rows repeated so that the classes are as good as equally large, for learners that take no weights: a row of a class
+    counts size of the largest class / size of its class times, the fraction by a seeded hash of its key.
+
+    Every row stays; nothing is repeated where a class is absent.  NULL labels are left out."""
+    sizes = df.agg(F.struct(F.count(F.when(F.col(label) == 1, 1)).alias("n1"), F.count(F.when(F.col(label) == 0, 1)).alias("n0"))).scalar()
+    most = F.greatest(sizes["n0"], sizes["n1"]).cast("double")
+    times = F.coalesce(F.try_divide(most, F.when(F.col(label) == 1, sizes["n1"]).otherwise(sizes["n0"])), F.lit(1.0))
+    # 13 hex digits of the hash: a number of 52 bits
+    spread = F.conv(F.substring(hash_text(seed, key), 1, 13), 16, 10).cast("double") / F.lit(float(16 ** 13))
+    copies = (F.floor(times) + F.when(spread < times - F.floor(times), 1).otherwise(0)).cast("int")
+    return df.where(F.col(label).isNotNull()).withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
+
+
+def fit_perceptron(train: DataFrame, categoricals: Sequence[str], numerics: Sequence[str], key: Sequence[str], seed: int = 42, **net) -> PipelineModel:
+    """Preprocessing fitted on the rows as they are, the network on the balanced rows; its input layer is as wide as the
+    assembled vectors."""
+    prep = Pipeline(stages=preprocessing(categoricals, numerics)).fit(train)
+    vectors = cut_lineage(prep.transform(balanced_rows(train, key, seed=seed)).select("features", LABEL), "balanced")     # read by every iteration
+    width = len(vectors.first()["features"])
+    net = perceptron(width, seed, **net).fit(vectors)
+    drop_stage(vectors)
+    return PipelineModel([*prep.stages, net])
+
+
+def objective_gradient(model: PipelineModel, train: DataFrame) -> DataFrame:
+    """M9: (position, coefficient, gradient) of the objective the regression minimises, at the fitted coefficients: the mean of
+    weight · (p − y) · x over the rows (weights scaled to a sum of the rows) plus regParam · coefficient; position −1 is the intercept, which has no penalty.
+
+    One grouped sum over the vectors' non-zero entries; only coefficients and their gradients, one row a feature, come together."""
+    lr = model.stages[-1]
+    reg, coefs = lr.getOrDefault(lr.regParam), lr.coefficients.toArray().tolist()
+    rows = model.transform(train)
+    residual = F.col(lr.getWeightCol()) * (vector_to_array(lr.getProbabilityCol())[1] - F.col(LABEL))
+    total = train.agg(F.sum(lr.getWeightCol())).first()[0]
+    entries = rows.select(residual.alias("r"), vector_to_array("features").alias("x")).select("r", F.posexplode(F.concat("x", F.array(F.lit(1.0)))).alias("at", "value"))
+    sums = entries.where("value <> 0").groupBy("at").agg((F.sum(F.col("r") * F.col("value")) / F.lit(total)).alias("g"))
+    spark = train.sparkSession
+    state = spark.createDataFrame([(i, float(c), float(c) * reg) for i, c in enumerate(coefs)] + [(len(coefs), float(lr.intercept), 0.0)], "at int, coefficient double, penalty double")
+    return state.join(sums, "at", "left").select(F.when(F.col("at") == len(coefs), -1).otherwise(F.col("at")).alias("position"), "coefficient",
+                                                 (F.coalesce("g", F.lit(0.0)) + F.col("penalty")).alias("gradient"))
+
+
+def same_predictions(a: PipelineModel, b: PipelineModel, df: DataFrame) -> DataFrame:
+    """Rows of ``df``, and on how many two fitted pipelines give equal labels and bitwise equal probabilities; one pass, no join."""
+    first = a.transform(df).select(*[F.col(f"`{c}`") for c in df.columns], F.col("prediction").alias("_label_a"), vector_to_array("probability").alias("_probability_a"))
+    both = b.transform(first)
+    return both.agg(F.count("*").alias("num_rows"), F.count_if(F.col("prediction") == F.col("_label_a")).alias("num_equal_labels"),
+                    F.count_if(vector_to_array("probability") == F.col("_probability_a")).alias("num_equal_probabilities"))
+
+
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Predicted label and class-1 probability next to the given columns."""
     out = model.transform(df)
@@ -199,10 +286,10 @@ def coefficients(model: PipelineModel, categoricals: Sequence[str], numerics: Se
     indexer = model.stages[0]
     names = []
     for c, labels in zip(categoricals, indexer.labelsArray):
-        names += [f"{c}_{v}" for v in labels]  # dropLast removes the invalid bucket only
+        names += [f"{c}_{v}" for v in labels]
     names += list(numerics)
     coefs = model.stages[-1].coefficients.toArray().tolist()
-    return list(zip(names, coefs))
+    return list(zip(names, coefs, strict=True))
 
 
 # ---- cross-validation ------------------------------------------------------------------------------
@@ -285,29 +372,10 @@ def as_categorical_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    """Persist a fitted pipeline (Spark's own format; readable with ``PipelineModel.load``).
-
-    The Yeo-Johnson stage is a Python stage; its fitted λ, means and sds are small and are saved
-    next to the Spark stages as JSON."""
-    import json
-    spark_stages = [s for s in model.stages if not isinstance(s, YeoJohnsonModel)]
-    PipelineModel(spark_stages).write().overwrite().save(f"{path}/spark_stages")
-    yj = [s for s in model.stages if isinstance(s, YeoJohnsonModel)]
-    state = [{"lambdas": s.lambdas, "means": s.means, "stds": s.stds, "suffix": s.suffix} for s in yj]
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.mode("overwrite").text(
-        f"{path}/power_transform")
+    """Persist a fitted pipeline, every stage of it in Spark's own format."""
+    model.write().overwrite().save(path)
 
 
 def load_model(path: str) -> PipelineModel:
-    """Inverse of ``save_model``: stages in the original order (indexer, encoder, power transform,
-    assembler, classifier)."""
-    import json
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    spark_part = PipelineModel.load(f"{path}/spark_stages")
-    state = json.loads(spark.read.text(f"{path}/power_transform").first()[0])
-    yj = [YeoJohnsonModel(s["lambdas"], s["means"], s["stds"], s["suffix"]) for s in state]
-    stages = list(spark_part.stages)
-    return PipelineModel(stages[:2] + yj + stages[2:])
+    """Inverse of ``save_model``."""
+    return PipelineModel.load(path)

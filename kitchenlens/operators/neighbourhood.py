@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import CRIME_OFFENCES_DROPPED, CRIME_PREMISES_KEPT, CRIME_TYPES, EST
-from ..functions.text import parse_int_text
+from ..functions.text import hash_text, parse_int_text
 
 # Census slices: (first year, last year or None, population column or None, census year).
 DEFAULT_CENSUS_SLICES = [(2011, 2012, None, 2006), (2013, 2017, "neigh_pop_2011", 2011),
@@ -148,7 +148,6 @@ def crime_fill_by_year(df: DataFrame, start_year: int = DEFAULT_CRIME_START_YEAR
 
 
 def spot_check_sample(df: DataFrame, key: Sequence[str], n: int = 25, seed: int = 42) -> DataFrame:
-    """L3: a repeatable sample of ``n`` rows (smallest seeded hash of the key), sorted."""
-    h = F.xxhash64(F.lit(seed), *[F.col(k) for k in key])
-    return df.withColumn("_h", h).orderBy("_h", *key).limit(n).drop("_h")
-
+    """L3: a repeatable sample of ``n`` rows: those with the smallest seeded hashes of the key, whatever the engine and
+    the partitions.  Each task keeps its ``n`` smallest."""
+    return df.withColumn("_h", hash_text(seed, key)).orderBy("_h", *key).limit(n).drop("_h")
