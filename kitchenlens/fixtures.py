@@ -21,6 +21,9 @@ N_AREAS = 25
 GRID = 5
 ORIGIN_LAT, ORIGIN_LON = 43.6, -79.6
 CELL_H, CELL_W, SHEAR = 0.05, 0.08, 0.2
+# the parts of a cell in ``areas_with_holes``, as shares of its width and height: holes (u0, u1, v0, v1), and where a cell is parted
+HOLE, PARTS, PART_HOLE = (0.25, 0.5, 0.2, 0.7), (0.4, 0.6), (0.7, 0.9, 0.2, 0.7)
+CONTINENT_LON, CONTINENT_LAT = -100, 20
 
 
 _SCHEMAS: dict = {}
@@ -144,6 +147,46 @@ def areas_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def areas_with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The area layer with every kind of outline: whole cells, cells with a hole, and cells of two parts of which one has a hole.
+
+    ``polygons`` is array<array<array<struct<lon,lat>>>>: polygons, each an outer ring and its holes."""
+    n = F.col("n_nationkey")
+    lat0 = F.lit(ORIGIN_LAT) + F.lit(CELL_H) * F.floor(n / F.lit(float(GRID)))
+    lon0 = F.lit(ORIGIN_LON) + F.lit(CELL_W) * (n % GRID)
+
+    def box(u0: float, u1: float, v0: float, v1: float) -> Column:
+        def vertex(u, v):
+            lat = lat0 + F.lit(v * CELL_H)
+            return F.struct((lon0 + F.lit(SHEAR) * (lat - F.lit(ORIGIN_LAT)) + F.lit(u * CELL_W)).alias("lon"), lat.alias("lat"))
+        return F.array(vertex(u0, v0), vertex(u1, v0), vertex(u1, v1), vertex(u0, v1), vertex(u0, v0))
+    whole, holed = F.array(F.array(box(0, 1, 0, 1))), F.array(F.array(box(0, 1, 0, 1), box(*HOLE)))
+    parts = F.array(F.array(box(0, PARTS[0], 0, 1)), F.array(box(PARTS[1], 1, 0, 1), box(*PART_HOLE)))
+    return table(spark, sf_dir, "nation").select(_area_label(n, F.col("n_name")).alias("AREA_NAME"), (F.lit(1000000.0) + F.lit(1000.0) * n).alias("Shape__Area"),
+                                                 F.when(n % 3 == 0, whole).when(n % 3 == 1, holed).otherwise(parts).alias("polygons"))
+
+
+def continent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One area of 40 degrees square, sheared, with a large hole, around and beyond the small areas: about 800 vertices."""
+    def ring(u0: int, u1: int, v0: int, v1: int) -> Column:
+        def side(u, up):
+            first, last = (v0, v1) if up else (v1, v0)
+            step = 1 if up else -1
+            return F.transform(F.sequence(F.lit(8 * first), F.lit(8 * last), F.lit(step)), lambda i: F.struct(
+                (i / 16.0 + F.lit(CONTINENT_LON + u - CONTINENT_LAT / 2)).alias("lon"), (i / 8.0).alias("lat")))
+        points = F.concat(side(u1, True), side(u0, False))
+        return F.concat(points, F.slice(points, 1, 1))
+    outer = ring(0, 40, CONTINENT_LAT, CONTINENT_LAT + 40)
+    return table(spark, sf_dir, "region").where("r_regionkey = 1").select(F.col("r_name").alias("AREA_NAME"), F.array(outer, ring(10, 20, CONTINENT_LAT + 10, CONTINENT_LAT + 20)).alias("geometry"))
+
+
+def order_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One point for each order, spread over the globe."""
+    k = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(F.lit("order").alias("kind"), k.alias("point_id"), ((k * 7919) % 360000 / F.lit(1000.0) - F.lit(180.0)).alias("longitude"),
+                                                 ((k * 104729) % 170000 / F.lit(1000.0) - F.lit(84.9995)).alias("latitude"))
+
+
 def profile_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Census profile in long form: one row per area with raw comma-formatted numbers."""
     n = F.col("n_nationkey")

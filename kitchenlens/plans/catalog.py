@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 def query(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            _HANDED_OVER.clear()        # every query makes its own stage tables
             return as_report(fn(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
@@ -37,8 +38,22 @@ def infractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snap.normalise_infractions(fx.infractions(spark, sf_dir), rename={"amount_fined_raw": "amount_fined"})
 
 
+# What the steps of one query hand over to each other, by name and input folder.
+_HANDED_OVER: dict = {}
+
+
+def handed_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed infractions, written once a query, as the source hands its stage 1 over: the pivot's values, the hot
+    establishments, the aggregates and the coordinates read the columns they need of it, and the three raw tables are joined once."""
+    from ..session import cut_lineage, is_written
+    key = ("infractions", spark.sparkContext.applicationId, sf_dir)
+    if key not in _HANDED_OVER or not is_written(_HANDED_OVER[key]):
+        _HANDED_OVER[key] = cut_lineage(infractions(spark, sf_dir), "infractions")
+    return _HANDED_OVER[key]
+
+
 def aggregate(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return insp.inspections_aggregate(infractions(spark, sf_dir), **kw)
+    return insp.inspections_aggregate(handed_over(spark, sf_dir), **kw)
 
 
 # An establishment with more infraction rows than this has its ordered scans split into parallel
@@ -51,24 +66,18 @@ HOT_GROUP_ROWS = 2_000_000
 def split_args(spark: SparkSession, sf_dir: str, hot_group_rows: int = HOT_GROUP_ROWS) -> dict:
     """Arguments of the ordered scans: those of the split path where an establishment is hot, else none."""
     from ..operators.ordered import hot_keys
-    key = (fx.table_versions(sf_dir, ("lineitem", "orders", "customer")), hot_group_rows)
-    if key[0] and key in _NONE_HOT:
-        return {}
-    hot = hot_keys(fx.infractions(spark, sf_dir).select(*insp.EST), insp.EST, hot_group_rows)
-    if hot is not None:
-        return {"hot_group_rows": hot_group_rows, "hot": hot}
-    _NONE_HOT.add(key)
-    return {}
-
-
-# table versions that were found to hold no hot establishment: a chain asks more than once
-_NONE_HOT: set = set()
+    rows = handed_over(spark, sf_dir)
+    key = ("hot", rows.stage_path, hot_group_rows)
+    if key not in _HANDED_OVER:
+        hot = hot_keys(rows.select(*insp.EST), insp.EST, hot_group_rows)
+        _HANDED_OVER[key] = {} if hot is None else {"hot_group_rows": hot_group_rows, "hot": hot}
+    return dict(_HANDED_OVER[key])
 
 
 def labelled(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     if "hot_group_rows" not in kw:
         kw |= split_args(spark, sf_dir)
-    return insp.labelled_inspections(infractions(spark, sf_dir), **kw)
+    return insp.labelled_inspections(handed_over(spark, sf_dir), **kw)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -343,9 +352,9 @@ def areas(spark, sf_dir):
 def filled(spark, sf_dir):
     """Stage-3 output, written once to the checkpoint folder and read back: the spatial join, the
     census join and everything after read it several times, and each read would otherwise
-    rescan and re-aggregate the raw infractions (the source hands stages over as files too)."""
+    re-aggregate the infractions (the source hands stages over as files too)."""
     from ..session import cut_lineage
-    f = geo.fill_coordinates(labelled(spark, sf_dir), infractions(spark, sf_dir), fx.addressinfo(spark, sf_dir))
+    f = geo.fill_coordinates(labelled(spark, sf_dir), handed_over(spark, sf_dir), fx.addressinfo(spark, sf_dir))
     return cut_lineage(f, "filled")
 
 
@@ -388,7 +397,7 @@ def q_x1(spark, sf_dir):
 
 @query("addresses_to_geocode")
 def q_j3(spark, sf_dir):
-    missing = geo.addresses_needing_geocode(labelled(spark, sf_dir), infractions(spark, sf_dir))
+    missing = geo.addresses_needing_geocode(labelled(spark, sf_dir), handed_over(spark, sf_dir))
     return geo.addresses_to_geocode(missing, fx.addressinfo(spark, sf_dir))
 
 
@@ -634,7 +643,6 @@ def q_m13c(spark, sf_dir):
 
 @query("baseline_guess")
 def q_m13g(spark, sf_dir):
-    """Rows-only: the seeded hash differs between engines."""
     return mp.baseline_predictions(test_rows(spark, sf_dir))
 
 
@@ -709,20 +717,27 @@ def model_inputs(spark, sf_dir):
 
 
 _FIT_MEMO: dict = {}
+INSPECTION_TABLES = ("lineitem", "orders", "customer", "nation", "events")
+
+
+def _memo_key(spark, sf_dir, name):
+    """Session, versions of the tables a model is made from, and name; None (nothing is kept) where versions can't be told."""
+    versions = fx.table_versions(sf_dir, INSPECTION_TABLES)
+    return versions and (spark.sparkContext.applicationId, versions, name)
 
 
 def _fit(spark, sf_dir, make, name=None):
     """Fit a pipeline on the training split; a named fit is kept per session and input folder so
     the queries reading the same model (predictions, coefficients) fit it once."""
     from pyspark.sql import functions as F
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = _memo_key(spark, sf_dir, name)
     if name is not None and key in _FIT_MEMO:
         return _FIT_MEMO[key]
     data = model_inputs(spark, sf_dir)
     train = mp.class_weights(data.where(F.col("split") == "train"))
     model = md.fit_pipeline(train, make(train.count()), CATEGORICALS, NUMERICS)
     out = (model, train, data.where(F.col("split") == "test"))
-    if name is not None:
+    if name is not None and key:
         _FIT_MEMO[key] = out
     return out
 
@@ -768,12 +783,15 @@ _CV_MEMO: dict = {}
 def cv_table(spark, sf_dir, classifiers=None):
     """Per-fold records of the four pipelines.  The records are a small local result, so the
     summary queries reuse one cross-validation run per session and input folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, classifiers is None)
-    if key not in _CV_MEMO:
+    key = _memo_key(spark, sf_dir, "cv") if classifiers is None else None
+    if key is None or key not in _CV_MEMO:
         folds = mp.cv_folds(model_inputs(spark, sf_dir).where("split = 'train'"), **FOLDS)
         classifiers = classifiers or {"guess": "guess", "always_infrac": "always_infrac",
                                       "lr": md.logistic_regression, "rf": lambda n: md.random_forest()}
-        _CV_MEMO[key] = md.cross_validate(folds, classifiers, CATEGORICALS, NUMERICS)
+        records = md.cross_validate(folds, classifiers, CATEGORICALS, NUMERICS)
+        if key is None:
+            return spark.createDataFrame(records)
+        _CV_MEMO[key] = records
     return spark.createDataFrame(_CV_MEMO[key])
 
 
@@ -814,7 +832,7 @@ def q_e7(spark, sf_dir):
 # sources over the fixture tables: snapshots, union, de-duplication, numbering, file round trips
 # ---------------------------------------------------------------------------------------------
 
-from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..session import scratch_folder  # noqa: E402
 from ..sources import files as fl  # noqa: E402
 
 
@@ -856,10 +874,9 @@ def q_s6(spark, sf_dir):
 @query("incremental_append")
 def q_s6b(spark, sf_dir):
     """S6 on a table: snapshot 1 is loaded, then both arrive; rows per loaded snapshot id."""
-    import uuid
     from pyspark.sql import functions as F
     a, b = snapshots(spark, sf_dir)
-    path = _scratch(spark, f"snapshots_{uuid.uuid4().hex}")
+    path = scratch_folder(spark, "snapshots")
     snap.incremental_append(spark, a, path)
     snap.incremental_append(spark, snap.union_snapshots([a, b]), path)
     return spark.read.parquet(path).groupBy("filename").agg(F.count(F.lit(1)).cast("bigint").alias("num_rows"))
@@ -868,10 +885,9 @@ def q_s6b(spark, sf_dir):
 @query("contiguous_parts_csv")
 def q_s7b(spark, sf_dir):
     """The numbered parts written as one CSV folder each and read back; rows and key range per part."""
-    import uuid
     from pyspark.sql import functions as F
     o = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    path = _scratch(spark, f"parts_{uuid.uuid4().hex}")
+    path = scratch_folder(spark, "parts")
     snap.write_parts_csv(snap.partition_numbering(o, ["o_orderkey"], 10), path)
     back = spark.read.schema("o_orderkey bigint, o_custkey bigint, part int").option("header", True).csv(path)
     return back.groupBy("part").agg(F.count(F.lit(1)).cast("bigint").alias("num_rows"), F.min("o_orderkey").alias("first_key"),
@@ -885,19 +901,14 @@ def q_s7(spark, sf_dir):
     return snap.partition_numbering(o, ["o_orderkey"], 10)
 
 
-def _scratch(spark, name):
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
-
-
 @query("scan_xml_snapshot")
 def q_s1(spark, sf_dir):
     """S1-S3 round trip: the infractions written as one XML snapshot per inspection year
     (folder = snapshot id), read back with a declared schema, provenance and normalisation."""
-    import uuid
     from pyspark.sql import functions as F
     raw = fx.infractions(spark, sf_dir).withColumn("snap", F.year("inspection_date"))
     upper = raw.select(*[F.col(c).cast("string").alias(c.upper()) for c in raw.columns if c != "snap"], "snap")
-    path = _scratch(spark, f"xml_snapshots_{uuid.uuid4().hex}")
+    path = scratch_folder(spark, "xml_snapshots")
     upper.write.partitionBy("snap").format("xml").option("rootTag", "ROOT").option("rowTag", "ROW").save(path)
     df = snap.read_xml_snapshot(spark, f"{path}/snap=*",
                                 schema=snap.raw_snapshot_schema(fields=[c for c in raw.columns if c != "snap"]))
@@ -909,9 +920,8 @@ def q_s1(spark, sf_dir):
 def q_s8(spark, sf_dir):
     """S8 round trip: the typed infractions as bulk CSV files (header, quotes, \\N for NULL) read
     back FAILFAST with the declared schema."""
-    import uuid
     from ..constants import INFRACTION_SCHEMA
-    path = _scratch(spark, f"bulk_csv_{uuid.uuid4().hex}")
+    path = scratch_folder(spark, "bulk_csv")
     snap.write_bulk_csv(infractions(spark, sf_dir).select(*INFRACTION_SCHEMA.fieldNames()), path, null_value="\\N")
     return fl.read_bulk_csv(spark, path)
 
@@ -919,11 +929,10 @@ def q_s8(spark, sf_dir):
 @query("explode_records")
 def q_s15(spark, sf_dir):
     """The customers as paged catalog responses (JSON lines of 100 records), read back as rows."""
-    import uuid
     from pyspark.sql import functions as F
     c = snap.partition_numbering(fx.table(spark, sf_dir, "customer").select("c_custkey", "c_name"), ["c_custkey"], 10)
     pages = c.groupBy(F.floor(F.col("row_index") / 100)).agg(F.collect_list(F.struct("c_custkey", "c_name")).alias("records"))
-    path = _scratch(spark, f"records_{uuid.uuid4().hex}")
+    path = scratch_folder(spark, "records")
     pages.select(F.to_json(F.struct(F.struct("records").alias("result"))).alias("value")).write.text(path)
     return fl.read_catalog_records(spark, path, rename={"c_custkey": "id", "c_name": "name"}, multi_line=False)
 
@@ -932,9 +941,8 @@ def q_s15(spark, sf_dir):
 def q_s12(spark, sf_dir):
     """The labelled inspections handed to the next stage as CSV (header, ISO
     dates), the newest output picked by modification time and read back with the stage schema."""
-    import uuid
     lab = labelled(spark, sf_dir)
-    folder = _scratch(spark, f"stage_csv_{uuid.uuid4().hex}")
+    folder = scratch_folder(spark, "stage_csv")
     fl.write_stage(lab, f"{folder}/labelled", fmt="csv")
     return fl.read_stage(spark, fl.latest_stage(spark, folder), schema=lab.schema, fmt="csv")
 
@@ -1009,7 +1017,7 @@ def q_aggregate_collision(spark, sf_dir):
     """The pivot where two outcomes share a column name and an action is in no list."""
     from pyspark.sql import functions as F
     k = F.col("inspection_id")
-    odd = infractions(spark, sf_dir).withColumns({
+    odd = handed_over(spark, sf_dir).withColumns({
         "action": F.when(F.col("action") == "Ticket", F.when(k % 2 == 0, F.lit("Verbal Warning")).otherwise(F.col("action"))).otherwise(F.col("action")),
         "court_outcome": F.when((F.col("court_outcome") == "Pending") & (k % 2 == 0), F.lit("Pen-ding")).otherwise(F.col("court_outcome"))})
     return insp.inspections_aggregate(odd)
@@ -1018,8 +1026,7 @@ def q_aggregate_collision(spark, sf_dir):
 @query("load_count_check")
 def q_s9(spark, sf_dir):
     """Bulk-append the normalised infractions to a fresh table, then compare counts."""
-    import uuid
-    return snap.append_and_check(spark, infractions(spark, sf_dir), _scratch(spark, f"loaded_{uuid.uuid4().hex}"))
+    return snap.append_and_check(spark, infractions(spark, sf_dir), scratch_folder(spark, "loaded"))
 
 
 @query("unlocated_establishments")
@@ -1027,3 +1034,224 @@ def q_q14(spark, sf_dir):
     """Q14: establishments dropped by the spatial join (outside every area or no coordinates)."""
     f = filled(spark, sf_dir)
     return geo.unlocated_points(geo.unique_locations(f), located(spark, sf_dir, f), insp.EST)
+
+
+# ---------------------------------------------------------------------------------------------
+# stream ingest, polygon layers from files, large polygons, catalog, models on their own table
+# ---------------------------------------------------------------------------------------------
+
+from ..streaming import ingest  # noqa: E402
+
+
+def land_snapshot(rows, folder):
+    """Write a snapshot as raw XML files (upper-case names, every value as text) into its folder, beside what is there."""
+    from pyspark.sql import functions as F
+    raw = rows.select(*[F.col(c).cast("string").alias(c.upper()) for c in rows.columns if c != "filename"])
+    raw.write.mode("append").format("xml").option("rootTag", "ROOT").option("rowTag", "ROW").save(folder)
+
+
+@query("snapshot_stream_ingest")
+def q_s6s(spark, sf_dir):
+    """S6 stream form: snapshot 1 lands and is loaded; then snapshot 1 is published again beside a new snapshot 2.  Rows
+    and dates of each loaded snapshot, and the round that loaded it."""
+    from pyspark.sql import functions as F
+    a, b = snapshots(spark, sf_dir)
+    folder = scratch_folder(spark, "stream")
+    for landed in ([(a, 1)], [(a, 1), (b, 2)]):
+        for rows, number in landed:
+            land_snapshot(rows, f"{folder}/landing/{number}")
+        ingest.ingest_rounds(spark, f"{folder}/landing/*", f"{folder}/table", f"{folder}/checkpoint", fmt="xml", max_files_per_trigger=3)
+    return (ingest.snapshot_rows(spark, f"{folder}/table").groupBy("filename", "round")
+            .agg(F.count("*").alias("num_rows"), F.min("inspection_date").alias("first_date"), F.max("inspection_date").alias("last_date"),
+                 F.sum(F.col("amount_fined").cast("decimal(20,2)")).cast("double").alias("fined")))
+
+
+@query("geojson_areas")
+def q_s16g(spark, sf_dir):
+    """The area layer (whole cells, cells with holes, cells of two parts) written as GeoJSON with one feature on each line and read
+    back; outline sizes and located establishments of each area, those in a hole left out."""
+    from pyspark.sql import functions as F
+    path = scratch_folder(spark, "areas")
+    fl.write_geojson_features(fx.areas_with_holes(spark, sf_dir), path, ["AREA_NAME", "Shape__Area"])
+    layer = geo.fix_area_names(fl.read_geojson_features(spark, path, ["AREA_NAME", "Shape__Area"]))
+    inside = geo.point_in_polygon(geo.coords_per_establishment(infractions(spark, sf_dir)), layer, keep=["AREA_NAME"])
+    found = inside.groupBy("AREA_NAME").agg(F.count("*").alias("num_located"), F.sum("establishment_id").alias("sum_ids"))
+    sizes = layer.select("AREA_NAME", F.col("Shape__Area").cast("double").alias("Shape__Area"), "geometry_type", F.size("geometry").alias("num_rings"),
+                         F.size(F.flatten("geometry")).alias("num_vertices"))
+    return sizes.join(found, "AREA_NAME", "left").na.fill(0, ["num_located", "sum_ids"])
+
+
+def continent_points(spark, sf_dir, **bounds):
+    """Orders' points over the globe and establishments, against the 25 areas and one polygon of 40 degrees around them."""
+    from pyspark.sql import functions as F
+    places = geo.coords_per_establishment(infractions(spark, sf_dir)).select(F.lit("establishment").alias("kind"), F.col("establishment_id").alias("point_id"), "longitude", "latitude")
+    layer = areas(spark, sf_dir).select("AREA_NAME", "geometry").unionByName(fx.continent(spark, sf_dir))
+    return geo.point_in_polygon(places.unionByName(fx.order_points(spark, sf_dir)), layer, **bounds).select("kind", "point_id", "AREA_NAME")
+
+
+@query("continent_points")
+def q_j4c(spark, sf_dir):
+    """J4 with polygons of very different size: the cover is bounded for each."""
+    return continent_points(spark, sf_dir)
+
+
+@query("continent_points_shuffled")
+def q_j4s(spark, sf_dir):
+    """J4 where the cover is too large to broadcast."""
+    return continent_points(spark, sf_dir, max_broadcast_cells=0, max_broadcast_vertices=0)
+
+
+@query("catalog_lifecycle")
+def q_s10(spark, sf_dir):
+    """A database and a table with a comment are created, listed, filled, truncated and dropped; what the catalog says
+    after each step."""
+    import uuid
+    database, steps = f"inspections_{uuid.uuid4().hex}", []
+    name = f"{database}.infractions"
+
+    def step(action):
+        there = fl.list_tables(spark, database).first()
+        steps.append((len(steps) + 1, action, spark.catalog.databaseExists(database), there is not None, there.comment if there else "", len(there.columns) if there else 0,
+                      spark.table(name).count() if there else 0))
+    rows = infractions(spark, sf_dir)
+    try:
+        fl.create_database(spark, database, scratch_folder(spark, "catalog"))
+        step("create database")
+        fl.create_table(spark, name, rows.schema, comment="infractions of all snapshots")
+        step("create table")
+        rows.write.insertInto(name)
+        step("load")
+        fl.truncate_table(spark, name)
+        step("truncate")
+        fl.drop_table(spark, name)
+        step("drop table")
+    finally:
+        fl.drop_database(spark, database)
+    step("drop database")
+    return spark.createDataFrame(steps, "step int, action string, database_exists boolean, table_exists boolean, comment string, num_columns int, num_rows bigint")
+
+
+@query("parquet_gzip")
+def q_s14(spark, sf_dir):
+    """The infractions as gzip Parquet, read back."""
+    path = scratch_folder(spark, "gzip")
+    fl.write_parquet_gzip(infractions(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@query("active_resource")
+def q_s15a(spark, sf_dir):
+    """One catalog package response for each customer segment and nation, with a resource for each customer, of which some
+    are served as records: the first served resource of each package."""
+    from pyspark.sql import functions as F
+    c = fx.table(spark, sf_dir, "customer")
+    resource = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), (F.col("c_custkey") % 5 == 0).alias("datastore_active"))
+    packages = c.groupBy("c_mktsegment", "c_nationkey").agg(F.array_sort(F.collect_list(resource)).alias("resources"))
+    path = scratch_folder(spark, "packages")
+    packages.select(F.to_json(F.struct(F.struct("resources").alias("result"))).alias("value")).write.text(path)
+    return fl.active_resource(spark.read.schema("result struct<resources: array<struct<id: bigint, name: string, datastore_active: boolean>>>").json(path))
+
+
+@query("histogram_transformed")
+def q_a25t(spark, sf_dir):
+    """Bins of the two numeric features, raw and power-transformed with fixed λ."""
+    from functools import reduce
+    from pyspark.sql import functions as F
+    t = train_rows(spark, sf_dir)
+    parts = []
+    for c, lam in zip(NUMERICS, HISTOGRAM_LAMBDAS):
+        both = t.select(F.col(c).cast("double").alias("raw"), md.yeo_johnson_expr(F.col(c).cast("double"), lam).alias("transformed"))
+        parts += [ex.histogram_bins(both, form).select(F.lit(c).alias("feature"), F.lit(form).alias("form"), "*") for form in ("raw", "transformed")]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+HISTOGRAM_LAMBDAS = (0.5, 1.5)
+LIKELIHOOD_LAMBDAS = [i / 4 for i in range(-8, 17)]
+
+
+@query("histogram_fitted")
+def q_a25f(spark, sf_dir):
+    """A25 with the λ that the data gives: bins of the two numeric features after the fitted transform."""
+    from functools import reduce
+    from pyspark.sql import functions as F
+    t = train_rows(spark, sf_dir).select(*[F.col(c).cast("double").alias(c) for c in NUMERICS])
+    fitted = md.YeoJohnson(columns=NUMERICS).fit(t).transform(t)
+    return reduce(lambda a, b: a.unionByName(b), [ex.histogram_bins(fitted, f"{c}_yj").select(F.lit(c).alias("feature"), "*") for c in NUMERICS])
+
+
+@query("yeo_johnson_likelihood")
+def q_m6l(spark, sf_dir):
+    """M6: the profile likelihood of each numeric feature over a λ grid."""
+    return md.yeo_johnson_likelihood(train_rows(spark, sf_dir), NUMERICS, LIKELIHOOD_LAMBDAS)
+
+
+@query("lr_optimality")
+def q_m9o(spark, sf_dir):
+    """M9: the gradient of the regression's objective at the fitted coefficients is as good as zero."""
+    from pyspark.sql import functions as F
+    model, train, _ = _fit(spark, sf_dir, md.logistic_regression, "lr")
+    g = md.objective_gradient(model, train)
+    norm = g.agg(F.sqrt(F.sum(F.col("gradient") ** 2))).first()[0]
+    return train.agg(F.count("*").alias("num_rows"), F.sum("is_infraction").alias("num_positive")).withColumn("optimal", F.lit(norm < 1e-3))
+
+
+@query("model_round_trip")
+def q_m16(spark, sf_dir):
+    """The fitted pipeline saved, loaded and applied beside the original to all rows."""
+    model, train, test = _fit(spark, sf_dir, md.logistic_regression, "lr")
+    path = scratch_folder(spark, "model")
+    md.save_model(model, path)
+    return md.same_predictions(model, md.load_model(path), test.unionByName(train.drop("weight")))
+
+
+def scored(spark, sf_dir):
+    """The regression's labels and probabilities of training and test rows, and the baselines', written once."""
+    from ..session import cut_lineage
+    model, train, test = _fit(spark, sf_dir, md.logistic_regression, "lr")
+    rows = mp.baseline_predictions(train.drop("weight").unionByName(test))
+    keep = [*mp.ROW_KEY, "split", "AREA_NAME", "inspection_weekday", mp.LABEL, "y_guess", "y_always_infrac"]
+    return cut_lineage(md.predict(model, rows, keep).withColumnRenamed(mp.LABEL, "y_true"), "scored")
+
+
+@query("model_evaluation")
+def q_m15(spark, sf_dir):
+    """M15 into E1-E3: the ten-row metric table of the fitted regression and the baselines."""
+    return ev.metrics_table(scored(spark, sf_dir), "y_pred", ["y_guess", "y_always_infrac"],
+                            names={"y_pred": "ML", "y_guess": "guess", "y_always_infrac": "always_infrac"})
+
+
+@query("model_supports")
+def q_e2m(spark, sf_dir):
+    """M15 into E1 / E2: what of the evaluation doesn't depend on the fit: rows of each class, and the baselines' confusion counts by split
+    (−1 for the fitted model)."""
+    from pyspark.sql import functions as F
+    cm = ev.confusion_matrix(scored(spark, sf_dir), ["y_pred", "y_guess", "y_always_infrac"], group=["split"])
+    fitted = F.col("strategy") == "y_pred"
+    return cm.select("split", "strategy", (F.col("tn") + F.col("fp")).alias("num_0"), (F.col("fn") + F.col("tp")).alias("num_1"),
+                     F.when(fitted, -1).otherwise(F.col("fp")).alias("fp"), F.when(fitted, -1).otherwise(F.col("tp")).alias("tp"))
+
+
+@query("model_error_context")
+def q_j10m(spark, sf_dir):
+    """M15 into J10, E5 and E6: the fitted regression's error shares by weekday and by area on the test rows."""
+    from pyspark.sql import functions as F
+    test = scored(spark, sf_dir).where("split = 'test'")
+    days = ev.weekday_error_share(test).select(F.lit("weekday").alias("by"), F.col("inspection_weekday_name").alias("value"), "subset", "true_share", "pred_share")
+    places = ev.area_error_share(test).select(F.lit("area").alias("by"), F.col("AREA_NAME").alias("value"), "subset", "true_share", "pred_share")
+    return days.unionByName(places)
+
+
+@query("mlp_predict")
+def q_m11(spark, sf_dir):
+    """The perceptron's predictions of the test rows, fitted on balanced rows."""
+    from pyspark.sql import functions as F
+    data = model_inputs(spark, sf_dir)
+    model = md.fit_perceptron(data.where(F.col("split") == "train"), CATEGORICALS, NUMERICS, mp.ROW_KEY)
+    return md.predict(model, data.where(F.col("split") == "test"), mp.ROW_KEY + ["is_infraction"])
+
+
+@query("balanced_rows")
+def q_m11b(spark, sf_dir):
+    """How often balancing repeats each training row."""
+    from pyspark.sql import functions as F
+    return md.balanced_rows(train_rows(spark, sf_dir), mp.ROW_KEY).groupBy(*mp.ROW_KEY, "is_infraction").agg(F.count("*").alias("copies"))

@@ -726,7 +726,7 @@ ORACLES["dedup_full_row"] = chain(INFR, SNAPS) + _d(src="(SELECT DISTINCT * EXCL
                                                     doubles=INFR_DOUBLES)
 ORACLES["dedup_with_provenance"] = chain(INFR, SNAPS) + _d(src="(SELECT DISTINCT * FROM snaps)", doubles=INFR_DOUBLES)
 ORACLES["new_snapshots"] = chain(INFR, SNAPS) + _d(
-    src="(SELECT * FROM snaps WHERE filename NOT IN (SELECT filename FROM snaps WHERE filename = 1))",
+    src="(SELECT * FROM snaps ANTI JOIN (SELECT DISTINCT filename FROM snaps WHERE filename = 1) loaded USING (filename))",
     doubles=INFR_DOUBLES)
 ORACLES["partition_numbering"] = chain(INFR) + """
 , o AS (SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx,
@@ -794,3 +794,106 @@ ORACLES["unlocated_establishments"] = gchain(*GEO_CHAIN) + f"""
 SELECT CAST(COUNT(*) AS BIGINT) AS num_dropped FROM locs l
 WHERE NOT EXISTS (SELECT 1 FROM located x WHERE x.establishment_id = l.establishment_id
                   AND x.establishmenttype = l.establishmenttype AND x.establishment_address = l.establishment_address)"""
+
+
+# ---- stream ingest, polygon layers from files, large polygons, catalog, models on their own table ----
+
+ORACLES["snapshot_stream_ingest"] = chain(INFR, SNAPS) + """
+SELECT filename, filename AS round, CAST(count(*) AS BIGINT) AS num_rows, CAST(min(inspection_date) AS VARCHAR) AS first_date,
+       CAST(max(inspection_date) AS VARCHAR) AS last_date, CAST(sum(CAST(amount_fined AS DECIMAL(20,2))) AS DOUBLE) AS fined
+FROM snaps GROUP BY filename"""
+
+_COORDS = f"""
+coords AS (SELECT {EST}, max(latitude) AS lat, max(longitude) AS lon FROM infr GROUP BY {EST}),
+placed AS (SELECT *, {fx.area_of_point_sql("lat", "lon")} AS area_no FROM coords)"""
+
+
+def _in_box(u0, u1, v0, v1) -> str:
+    return f"(u > {u0} AND u < {u1} AND v > {v0} AND v < {v1})"
+
+
+ORACLES["geojson_areas"] = gchain(INFR, _COORDS) + f"""
+, shares AS (SELECT p.*, (lat - {fx.ORIGIN_LAT}e0 - {fx.CELL_H}e0 * floor(area_no / {fx.GRID}e0)) / {fx.CELL_H}e0 AS v,
+                    (lon - ({fx.ORIGIN_LON}e0) - {fx.CELL_W}e0 * (area_no % {fx.GRID}) - {fx.SHEAR}e0 * (lat - {fx.ORIGIN_LAT}e0)) / {fx.CELL_W}e0 AS u
+             FROM placed p WHERE area_no IS NOT NULL),
+held AS (SELECT * FROM shares WHERE area_no % 3 = 0 OR (area_no % 3 = 1 AND NOT {_in_box(*fx.HOLE)})
+         OR (area_no % 3 = 2 AND (u < {fx.PARTS[0]} OR u > {fx.PARTS[1]}) AND NOT {_in_box(*fx.PART_HOLE)}))
+SELECT a.AREA_NAME, round(a.Shape__Area, 6) AS Shape__Area, CASE WHEN a.area_no % 3 = 2 THEN 'MultiPolygon' ELSE 'Polygon' END AS geometry_type,
+       CAST(a.area_no % 3 + 1 AS BIGINT) AS num_rings, CAST(5 * (a.area_no % 3 + 1) AS BIGINT) AS num_vertices,
+       CAST(count(h.establishment_id) AS BIGINT) AS num_located, CAST(coalesce(sum(h.establishment_id), 0) AS BIGINT) AS sum_ids
+FROM area_names a LEFT JOIN held h ON h.area_no = a.area_no GROUP BY a.AREA_NAME, a.Shape__Area, a.area_no"""
+
+_W, _S = fx.CONTINENT_LON, fx.CONTINENT_LAT
+ORACLES["continent_points"] = gchain(INFR, _COORDS) + f"""
+, points AS (SELECT 'establishment' AS kind, establishment_id AS point_id, lon, lat FROM coords WHERE lat IS NOT NULL AND lon IS NOT NULL
+            UNION ALL SELECT 'order', o_orderkey, (o_orderkey * 7919) % 360000 / 1000.0 - 180.0, (o_orderkey * 104729) % 170000 / 1000.0 - 84.9995 FROM orders),
+sheared AS (SELECT *, lon - ({_W}) - (lat - {_S}) / 2 AS u, lat - {_S} AS v FROM points)
+SELECT kind, point_id, (SELECT r_name FROM region WHERE r_regionkey = 1) AS AREA_NAME FROM sheared
+WHERE u > 0 AND u < 40 AND v > 0 AND v < 40 AND NOT (u > 10 AND u < 20 AND v > 10 AND v < 20)
+UNION ALL
+SELECT kind, point_id, a.AREA_NAME FROM (SELECT *, {fx.area_of_point_sql("lat", "lon")} AS area_no FROM points) p JOIN area_names a ON a.area_no = p.area_no"""
+ORACLES["continent_points_shuffled"] = ORACLES["continent_points"]
+
+ORACLES["catalog_lifecycle"] = chain(INFR) + """
+SELECT CAST(step AS BIGINT) AS step, action, step < 6 AS database_exists, step BETWEEN 2 AND 4 AS table_exists,
+       CASE WHEN step BETWEEN 2 AND 4 THEN 'infractions of all snapshots' ELSE '' END AS comment, CAST(CASE WHEN step BETWEEN 2 AND 4 THEN 16 ELSE 0 END AS BIGINT) AS num_columns,
+       CAST(CASE step WHEN 3 THEN (SELECT count(*) FROM infr) ELSE 0 END AS BIGINT) AS num_rows
+FROM (VALUES (1, 'create database'), (2, 'create table'), (3, 'load'), (4, 'truncate'), (5, 'drop table'), (6, 'drop database')) s(step, action)"""
+ORACLES["parquet_gzip"] = chain(INFR) + _d(src="infr", doubles=INFR_DOUBLES)
+ORACLES["active_resource"] = """
+SELECT CAST(min(c_custkey) AS BIGINT) AS id, min_by(c_name, c_custkey) AS name, TRUE AS datastore_active
+FROM customer WHERE c_custkey % 5 = 0 GROUP BY c_mktsegment, c_nationkey"""
+
+_LAMBDAS = dict(zip(NUMERIC_FEATURES, (0.5, 1.5)))      # fixed values: λ of the histogram query
+
+
+def _yj(x: str, lam: float) -> str:
+    up = f"(pow({x} + 1, {lam}e0) - 1) / {lam}e0" if lam else f"ln(1 + {x})"
+    down = f"-(pow(1 - {x}, {2 - lam}e0) - 1) / {2 - lam}e0" if lam != 2 else f"-ln(1 - {x})"
+    return f"CASE WHEN {x} >= 0 THEN {up} ELSE {down} END"
+
+
+_FORMS = "\nUNION ALL ".join(f"SELECT '{c}' AS feature, '{form}' AS form, CAST({expr} AS DOUBLE) AS x FROM train"
+                             for c, lam in _LAMBDAS.items() for form, expr in (("raw", c), ("transformed", _yj(f"CAST({c} AS DOUBLE)", lam))))
+ORACLES["histogram_transformed"] = gchain(*SPLIT_CHAIN) + f"""
+, forms AS ({_FORMS}),
+edges AS (SELECT feature, form, min(x) AS lo, (max(x) - min(x)) / 10 AS width FROM forms GROUP BY feature, form),
+bins AS (SELECT feature, form, lo, width, least(CAST(floor((x - lo) / width) AS BIGINT), 9) AS bin FROM forms JOIN edges USING (feature, form))
+SELECT feature, form, bin, round(lo + bin * width, 6) AS bin_start, round(lo + (bin + 1) * width, 6) AS bin_end, CAST(count(*) AS BIGINT) AS "count"
+FROM bins GROUP BY feature, form, lo, width, bin"""
+ORACLES["yeo_johnson_likelihood"] = gchain(*SPLIT_CHAIN) + "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS feature, CAST({i / 4} AS DOUBLE) AS lambda, round(-ln(var_pop({_yj(f'CAST({c} AS DOUBLE)', i / 4)})) / 2
+        + ({i / 4} - 1) * avg(sign({c}) * ln(1 + abs({c}))), 6) AS mean_log_likelihood FROM train"""
+    for c in NUMERIC_FEATURES for i in range(-8, 17))
+ORACLES["lr_optimality"] = gchain(*SPLIT_CHAIN) + """
+SELECT CAST(count(*) AS BIGINT) AS num_rows, CAST(sum(is_infraction) AS BIGINT) AS num_positive, TRUE AS optimal FROM train"""
+ORACLES["model_round_trip"] = gchain(*SPLIT_CHAIN) + """
+SELECT CAST(count(*) AS BIGINT) AS num_rows, CAST(count(*) AS BIGINT) AS num_equal_labels, CAST(count(*) AS BIGINT) AS num_equal_probabilities
+FROM split WHERE split IS NOT NULL"""
+
+
+def _hash(seed: int, columns) -> str:
+    return f"md5(concat_ws('|', '{seed}', " + ", ".join(f"coalesce('=' || CAST({c} AS VARCHAR), '')" for c in columns) + "))"
+
+
+_KEY = ["establishment_id", "establishmenttype", "establishment_address", "inspection_id", "inspection_date"]
+_GUESS = f"CASE WHEN {_hash(42, _KEY)} >= '8' THEN 1 ELSE 0 END"
+ORACLES["baseline_guess"] = gchain(*SPLIT_CHAIN) + _d(src=f"(SELECT *, {_GUESS} AS y_guess, 1 AS y_always_infrac FROM test)", doubles=ML_DOUBLES)
+ORACLES["model_supports"] = gchain(*SPLIT_CHAIN) + f"""
+, p AS (SELECT split, is_infraction AS y, {_GUESS} AS guess FROM split WHERE split IS NOT NULL),
+s AS (SELECT split, y, 'y_pred' AS strategy, NULL AS q FROM p UNION ALL SELECT split, y, 'y_guess', guess FROM p UNION ALL SELECT split, y, 'y_always_infrac', 1 FROM p)
+SELECT split, strategy, CAST(count(*) FILTER (WHERE y = 0) AS BIGINT) AS num_0, CAST(count(*) FILTER (WHERE y = 1) AS BIGINT) AS num_1,
+       CAST(CASE WHEN strategy = 'y_pred' THEN -1 ELSE count(*) FILTER (WHERE y = 0 AND q = 1) END AS BIGINT) AS fp,
+       CAST(CASE WHEN strategy = 'y_pred' THEN -1 ELSE count(*) FILTER (WHERE y = 1 AND q = 1) END AS BIGINT) AS tp
+FROM s GROUP BY split, strategy"""
+ORACLES["balanced_rows"] = gchain(*SPLIT_CHAIN) + f"""
+, c AS (SELECT count(*) FILTER (WHERE is_infraction = 0) AS n0, count(*) FILTER (WHERE is_infraction = 1) AS n1 FROM train),
+t AS (SELECT train.*, CAST(greatest(n0, n1) AS DOUBLE) / CASE WHEN is_infraction = 1 THEN n1 ELSE n0 END AS times,
+             CAST(('0x' || substr({_hash(42, _KEY)}, 1, 13)) AS BIGINT) / {16 ** 13}.0 AS spread FROM train, c)
+SELECT {", ".join(_KEY[:-1])}, CAST(inspection_date AS VARCHAR) AS inspection_date, CAST(is_infraction AS BIGINT) AS is_infraction,
+       CAST(floor(times) + CASE WHEN spread < times - floor(times) THEN 1 ELSE 0 END AS BIGINT) AS copies FROM t"""
+ORACLES["spot_check_sample"] = gchain(*GEO_CHAIN) + _d(
+    src=f"(SELECT * FROM located ORDER BY {_hash(42, _KEY[:3])}, {EST} LIMIT 25)", dates=(), doubles=LOC_DOUBLES)
+ORACLES["onehot_width"] = gchain(*SPLIT_CHAIN) + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST(count(DISTINCT {c}) AS BIGINT) AS width FROM train"
+    for c in MODEL_FEATURES if c not in {*NUMERIC_FEATURES, "Shape__Area", "neigh_shape_length"})

@@ -94,6 +94,16 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return out
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared checkpoint folder; what is written there is deleted with the stage tables."""
+    import uuid
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
+    if not _STAGES:
+        atexit.register(_release_all)
+    _STAGES[path] = spark
+    return path
+
+
 _STAGES: dict[str, SparkSession] = {}
 
 
@@ -102,6 +112,11 @@ def drop_stage(df: DataFrame) -> None:
     _delete(df.sparkSession, df.stage_path)
 
 
+def is_written(df: DataFrame) -> bool:
+    """Whether the table behind a frame that ``cut_lineage`` returned is still there."""
+    return df.stage_path in _STAGES
+
+
 def release_stages(spark: SparkSession) -> None:
     """Delete all stage tables this process has written for a session; call it when the results that
     read them have been written or collected.  Runs by itself when the process ends."""

@@ -27,10 +27,22 @@ def test_flagship_plan(spark):
 def test_flagship_default_reads_once_where_nothing_is_hot(spark):
     assert c.split_args(spark, SF001) == {}
     p = plan_of(c.labelled(spark, SF001))
-    assert len(re.findall(r"FileScan parquet[^\n]*lineitem", p)) == 1
+    # the raw tables were joined and written once; the plan reads that table alone
+    assert "lineitem" not in p and len(re.findall(r"FileScan parquet[^\n]*tables/infractions-", p)) == 1
     assert count(r"Exchange hashpartitioning", p) == count(r"Exchange hashpartitioning", plan_of(c.labelled(spark, SF001, hot_group_rows=None)))
 
 
+def test_each_query_joins_the_raw_tables_once(spark, monkeypatch):
+    """Pivot values, hot keys, aggregates and coordinates read one hand-off table; the next query makes its own."""
+    made = []
+    plain = c.infractions
+    monkeypatch.setattr(c, "infractions", lambda *a: made.append(1) or plain(*a))
+    c.QUERIES["crime_fill_by_year"](spark, SF001)
+    assert len(made) == 1
+    c.QUERIES["inspection_label"](spark, SF001)
+    assert len(made) == 2
+
+
 def test_flagship_splits_hot_establishments(spark):
     split = c.split_args(spark, SF001, hot_group_rows=20)
     assert set(split) == {"hot_group_rows", "hot"}
