@@ -52,6 +52,15 @@ def with_column_replaced(df: DataFrame, name: str, col) -> DataFrame:
     return df.select(*keep, col.alias(name))
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as it takes to be no column of ``df`` (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    name = "__" + name
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def crc_of_id(col: str):
     """CRC-32 of the id written as decimal text."""
     return F.crc32(F.col(col).cast("string").cast("binary"))
