@@ -129,8 +129,9 @@ def inspections_aggregate(df: DataFrame, actions: Sequence[str | None] | None =
     if actions is None or outcomes is None:
         found = pivot_values(df)
         actions, outcomes = (found[0] if actions is None else actions), (found[1] if outcomes is None else outcomes)
-    # one exchange serves the inner and outer aggregates and the multi-day window downstream
-    valid = valid.repartition("establishment_id", "inspection_id")
+    # one exchange serves the inner and outer aggregates and the multi-day window downstream; by the whole key, so that
+    # rows without ids are spread by type and address
+    valid = valid.repartition(*EST, "inspection_id")
     inner = infraction_groups(valid, with_row_count=(pivot_counts == "rows"))
     weight = F.col("num_rows") if pivot_counts == "rows" else None
     aggs = [sorted_text_agg("infractions_summary").alias("infractions_summary")]

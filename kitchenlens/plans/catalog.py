@@ -742,16 +742,43 @@ def _fit(spark, sf_dir, make, name=None):
     return out
 
 
+def onehot_widths(spark, train, columns):
+    from pyspark.ml.feature import StringIndexer
+    idx = StringIndexer(inputCols=columns, outputCols=[f"{c}__i" for c in columns], handleInvalid="keep").fit(train)
+    return spark.createDataFrame([(c, len(labels)) for c, labels in zip(columns, idx.labelsArray)], "feature string, width bigint")
+
+
 @query("onehot_width")
 def q_m5(spark, sf_dir):
     """M5: one-hot width per categorical (labels seen in training; unseen → all zeros)."""
-    from pyspark.ml.feature import StringIndexer
-    data = model_inputs(spark, sf_dir)
-    train = data.where("split = 'train'")
-    idx = StringIndexer(inputCols=CATEGORICALS, outputCols=[f"{c}__i" for c in CATEGORICALS],
-                        handleInvalid="keep").fit(train)
-    rows = [(c, len(labels)) for c, labels in zip(CATEGORICALS, idx.labelsArray)]
-    return spark.createDataFrame(rows, "feature string, width bigint")
+    return onehot_widths(spark, model_inputs(spark, sf_dir).where("split = 'train'"), CATEGORICALS)
+
+
+def flag_inputs(spark, sf_dir):
+    """Model table with the sparse counts as booleans: the encoder's label lists don't grow with the counts."""
+    from ..session import cut_lineage
+    flags = md.categorical_features(use_flags=True)
+    return cut_lineage(md.as_categorical_strings(md.with_model_flags(split_table(spark, sf_dir)), flags), "flag_inputs"), flags
+
+
+@query("onehot_width_flags")
+def q_m5f(spark, sf_dir):
+    """M5 with F15's booleans for the sparse counts."""
+    data, flags = flag_inputs(spark, sf_dir)
+    return onehot_widths(spark, data.where("split = 'train'"), flags)
+
+
+@query("lr_flags_optimality")
+def q_m9f(spark, sf_dir):
+    """M9 on F15's booleans: the regression is fitted, and the gradient of its objective is as good as zero there."""
+    from pyspark.sql import functions as F
+    data, flags = flag_inputs(spark, sf_dir)
+    train = mp.class_weights(data.where("split = 'train'"))
+    model = md.fit_pipeline(train, md.logistic_regression(train.count()), flags, NUMERICS)
+    g = md.objective_gradient(model, train)
+    norm = g.agg(F.sqrt(F.sum(F.col("gradient") ** 2))).first()[0]
+    width = len(md.coefficients(model, flags, NUMERICS))
+    return train.agg(F.count("*").alias("num_rows")).withColumns({"num_features": F.lit(width).cast("bigint"), "optimal": F.lit(norm < 1e-3)})
 
 
 @query("yeo_johnson")

@@ -897,3 +897,10 @@ ORACLES["spot_check_sample"] = gchain(*GEO_CHAIN) + _d(
 ORACLES["onehot_width"] = gchain(*SPLIT_CHAIN) + "\nUNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST(count(DISTINCT {c}) AS BIGINT) AS width FROM train"
     for c in MODEL_FEATURES if c not in {*NUMERIC_FEATURES, "Shape__Area", "neigh_shape_length"})
+
+_FLAGGED = [f"{c}_gt_zero" if c in COUNT_FEATURES else c for c in MODEL_FEATURES if c not in {*NUMERIC_FEATURES, "Shape__Area", "neigh_shape_length"}]
+_WIDTHS = "\nUNION ALL ".join(f"SELECT '{c}' AS feature, CAST(count(DISTINCT {c.replace('_gt_zero', ' > 0') if c.endswith('_gt_zero') else c}) AS BIGINT) AS width FROM train"
+                              for c in _FLAGGED)
+ORACLES["onehot_width_flags"] = gchain(*SPLIT_CHAIN) + _WIDTHS
+ORACLES["lr_flags_optimality"] = gchain(*SPLIT_CHAIN) + f""", widths AS ({_WIDTHS})
+SELECT CAST((SELECT count(*) FROM train) AS BIGINT) AS num_rows, CAST(sum(width) + {len(NUMERIC_FEATURES)} AS BIGINT) AS num_features, TRUE AS optimal FROM widths"""
