@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, drop_stage, smallest_hashes, strings, table, with_column_replaced
+from .common import cut_lineage, drop_stage, smallest_hashes, strings, table, unused_name, with_column_replaced
 
 #: Labelled documents the model is fitted on at most: of each class those with the smallest id hashes.
 #: Feature counts and class sizes are taken over all labelled documents.
@@ -22,6 +22,8 @@ MAX_FEATURES = 20_000
 #: toxic or of clean documents and however small the difference.
 MIN_Z = 4.0
 GRADES = 4
+#: Labelled ids that are broadcast to the texts at most (16 bytes each, some 60 MB as a hash table).
+MAX_BROADCAST_MARKS = 2_000_000
 PREFIXES = (4, 5, 6)
 LONGEST_WORD = 64
 BLOCK_CHARS = 1 << 20
@@ -127,10 +129,23 @@ def _marks(labels: DataFrame) -> DataFrame:
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("place", F.xxhash64("doc_id")))
 
 
-def _labelled(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of the marked ids; of texts that share an id the smallest counts."""
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").join(marks, "doc_id")
-            .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
+def _labelled(docs: DataFrame, marks: DataFrame, rows: int) -> DataFrame:
+    """(doc_id, text, toxic) of the ``rows`` marked ids; of texts that share an id the smallest counts.
+
+    The marks go to the texts while there are at most MAX_BROADCAST_MARKS of them; above it both are dealt by id.  Only the texts of
+    ids that occur more than once are grouped."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
+    small = rows <= MAX_BROADCAST_MARKS
+    held = marks.select("doc_id", "toxic")
+    held = F.broadcast(held) if small else held
+    repeated = texts.select("doc_id").join(held, "doc_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    repeated = cut_lineage(repeated, "repeated")
+    met = texts.join(held, "doc_id").select("doc_id", "text", "toxic")
+    if repeated.isEmpty():
+        return met
+    several = F.broadcast(repeated) if small else repeated
+    again = met.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    return met.join(several, "doc_id", "left_anti").unionByName(again)
 
 
 def class_quotas(size: dict[int, int], fit_rows: int) -> dict[int, int]:
@@ -146,8 +161,7 @@ def labelled_sample(docs: DataFrame, marks: DataFrame, fit_rows: int) -> DataFra
     marks = cut_lineage(marks.join(present, "doc_id", "left_semi"), "marks")
     size = {0: 0, 1: 0} | {r.toxic: r.n for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = (smallest_hashes(marks.where(F.col("toxic") == c), "place", size[c], q) for c, q in sorted(class_quotas(size, fit_rows).items(), reverse=True))
-    # the marks are at most fit_rows rows, so the texts needn't move to meet them
-    return _labelled(docs, F.broadcast(toxic.unionByName(clean).select("doc_id", "toxic")))
+    return _labelled(docs, cut_lineage(toxic.unionByName(clean).select("doc_id", "toxic"), "sampled"), fit_rows)
 
 
 def _feature_counts(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -199,8 +213,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, m
     The labels are binary, so severity grades are made from them: 0 for clean, and for toxic
     documents 1 to grades - 1 by the quantile of how many occurrences of chosen features that speak for toxic they hold."""
     spark = docs.sparkSession
-    marks = _marks(labels)
-    counts = cut_lineage(_labelled(docs, marks).select("text", "toxic").mapInArrow(_feature_counts, "feature string, toxic long, clean long")
+    marks = cut_lineage(_marks(labels), "labels")
+    counts = cut_lineage(_labelled(docs, marks, marks.count()).select("text", "toxic").mapInArrow(_feature_counts, "feature string, toxic long, clean long")
                          .groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")), "feature-counts")
     total = counts.where(F.col("feature") == ALL).first()
     size = {0: total.c, 1: total.t} if total else {}
@@ -273,7 +287,7 @@ def is_toxic(col: str):
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that are more likely of some severity than clean; all columns stay."""
-    mark = "__toxicity"
+    mark = unused_name(docs, "toxicity")
     return with_severity(docs, fit_toxicity(docs, labels), mark, text_col).where(~is_toxic(mark)).drop(mark)
 
 

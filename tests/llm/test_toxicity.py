@@ -104,3 +104,19 @@ def test_labels_of_absent_documents_take_no_place_in_the_fit(spark):
     labels = spark.createDataFrame([(i, 1, int(i % 2)) for i in range(4000)], "doc_id long, quality int, toxic int")
     got = tx.labelled_sample(docs, tx._marks(labels), 20).groupBy("toxic").count().collect()
     assert {r.toxic: r["count"] for r in got} == {0: 10, 1: 10}
+
+
+def test_marks_meet_texts_alike_on_either_path(spark, monkeypatch):
+    """Broadcast or dealt by id: texts that share an id give the smallest, null texts and ids and unlabelled rows go."""
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, "c"), (2, "c"), (3, "d"), (4, None), (None, "e"), (5, "f")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0, 0), (1, 0, 1), (2, 0, 0), (4, 0, 1), (5, 0, None), (None, 0, 1), (6, 0, 1), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    marks = tx._marks(labels)
+    for bound in (tx.MAX_BROADCAST_MARKS, 0):
+        monkeypatch.setattr(tx, "MAX_BROADCAST_MARKS", bound)
+        assert sorted(map(tuple, tx._labelled(docs, marks, 5).collect())) == [(1, "a", 1), (2, "c", 0), (3, "d", 0)]
+
+
+def test_clashing_column_names_stay(spark):
+    docs = spark.createDataFrame([(1, "tree", 7, 8)], "doc_id long, text string, __toxicity int, `___TOXICITY` int")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert tx.drop_toxic(docs, labels).collect() == docs.collect()
