@@ -23,9 +23,9 @@ from .packing import vocabulary_path
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Strings whose ids a worker remembers, and their longest length.
-REMEMBERED, REMEMBERED_CHARS = 500_000, 48
+REMEMBERED, REMEMBERED_CHARS = 800_000, 48
 #: Bytes of texts handled together inside an Arrow batch (a longer text alone).
-AT_ONCE_BYTES = 4 << 20
+AT_ONCE_BYTES = 2 << 20
 #: Stands for the rank of a pair that makes no piece.
 NO_PIECE = 1 << 60
 
@@ -84,7 +84,6 @@ class PieceModel:
         self.starts_with_space = {i for i, p in enumerate(proto.pieces) if p.type == kind.NORMAL and p.piece.startswith(SPACE)}
         self.known: dict[str, bytes] = {}       # the young half of what is remembered; what is met again stays
         self.old: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
         self.differing: set[str] = set()
 
     def normalise(self, text: str) -> str:
@@ -177,21 +176,24 @@ class PieceModel:
         return array("I", out).tobytes()
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of new strings, by the agenda, then compared with the library's."""
-        parts, learned = self.parts, {}
+        """Ids of new strings, by the agenda, then compared with the library's.  Parts of strings are remembered among the strings, where
+        the comparison found no difference."""
+        known, old, learned, parts, differing = self.known, self.old, {}, {}, len(self.differing)
         for string in new:
+            apart = self._apart(string)
+            if len(apart) == 1:
+                learned[string] = self._ids(self.merge(string))
+                continue
             found = []
-            for part in self._apart(string):
-                ids = parts.get(part)
+            for part in apart:
+                ids = known.get(part) or old.get(part) or parts.get(part)
                 if ids is None:
-                    ids = self._ids(self.merge(part))
-                    if len(part) <= REMEMBERED_CHARS:
-                        parts[part] = ids
+                    ids = parts[part] = self._ids(self.merge(part))
                 found.append(ids)
             learned[string] = b"".join(found)
         self._check(learned)
-        if len(parts) > REMEMBERED:
-            parts.clear()
+        if len(self.differing) == differing:
+            known.update((p, i) for p, i in parts.items() if len(p) <= REMEMBERED_CHARS)
         return learned
 
     def _check(self, learned: dict[str, bytes]) -> None:
