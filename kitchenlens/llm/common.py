@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, drop_stage, ensure_checkpoint_dir  # noqa: F401  (re-exported)
+from ..session import cut_lineage, drop_stage, ensure_checkpoint_dir, scratch_folder  # noqa: F401  (re-exported)
 
 #: Texts above this many bytes are read word block by word block.
 BLOCK_BYTES = 1 << 20

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, strings, table, with_column_replaced, word_blocks
+from .common import cut_lineage, strings, table, unused_name, with_column_replaced, word_blocks
 
 WINDOW = 10
 #: Windows searched for in one pass (about 40 MB of tables); more are searched in further passes.
@@ -169,7 +169,7 @@ def with_benchmark_hits(docs: DataFrame, benchmark: DataFrame, out_col: str = "h
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window; all columns stay."""
-    mark = "__benchmark_hits"
+    mark = unused_name(docs, "benchmark_hits")
     return with_benchmark_hits(docs, benchmark, mark, **kw).where(F.size(f"{mark}.spans") == 0).drop(mark)
 
 

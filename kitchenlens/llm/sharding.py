@@ -77,8 +77,9 @@ def external_shuffle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     size = F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).cast("long") + 1
     total = docs.agg(F.sum(size)).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes), 1)
-    tied = docs.select(*[F.col(f"`{c}`") for c in names], F.monotonically_increasing_id().alias("__tie"))
-    scattered = tied.withColumn("__bucket", F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col("__tie")), F.lit(buckets)))
+    # the columns have numbers for names meanwhile, so none of theirs clashes with one made here
+    tied = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col(f"`{id_col}`").alias("id"), F.monotonically_increasing_id().alias("__tie"))
+    scattered = tied.withColumn("__bucket", F.pmod(F.xxhash64(F.lit(seed), "id", "__tie"), F.lit(buckets))).drop("id")
     # a bucket's number is its partition's: hashing the number again would put several buckets in one
     parts = min(buckets, MAX_PARTITIONS)
     ordered = scattered.repartitionById(parts, (F.col("__bucket") % parts).cast("int")).sortWithinPartitions("__bucket", F.xxhash64(F.lit(seed + 1), "__tie"))
@@ -92,7 +93,7 @@ def external_shuffle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shard = F.floor(place * shards / F.lit(max(1, rows))) if rows < 2 ** 40 else F.floor(place.cast("decimal(38,0)") * shards / rows)
     first = F.ceil(F.col("shard").cast("decimal(38,0)") * F.lit(rows).cast("decimal(38,0)") / F.lit(shards)).cast("long")
     return (written.join(before, "__bucket").withColumn("place", place).withColumn("shard", shard.cast("int"))
-            .withColumn("slot", F.col("place") - first).select(*[f"`{c}`" for c in names], "shard", "slot"))
+            .withColumn("slot", F.col("place") - first).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "shard", "slot"))
 
 
 def _rows_before(counts: DataFrame) -> DataFrame:

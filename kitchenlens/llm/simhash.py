@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, strings, table, word_blocks
+from .common import cut_lineage, strings, table, unused_name, word_blocks
 from .components import connected_components
 
 HASH_SEED = 42
@@ -150,12 +150,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = cut_lineage(simhash_groups(docs, id_col, text_col, shingle, distance), "groups")
     kept = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     kept = cut_lineage(kept, "kept")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    out = docs.join(kept.where("n = 1").select(F.col("doc_id").alias("__kept_id")),
-                    F.col(id_col) == F.col("__kept_id"), "left_semi").select(*names)
+    names, mark = [F.col(f"`{c}`") for c in docs.columns], unused_name(docs, "kept_id")
+    out = docs.join(kept.where("n = 1").select(F.col("doc_id").alias(mark)),
+                    F.col(id_col) == F.col(mark), "left_semi").select(*names)
     if not kept.where("n > 1").isEmpty():
-        again = docs.join(kept.where("n > 1").select(F.col("doc_id").alias("__kept_id")),
-                          F.col(id_col) == F.col("__kept_id"), "left_semi")
+        again = docs.join(kept.where("n > 1").select(F.col("doc_id").alias(mark)),
+                          F.col(id_col) == F.col(mark), "left_semi")
         out = out.unionByName(again.dropDuplicates([id_col]).select(*names))
     return out.unionByName(docs.where(F.col(id_col).isNull()).select(*names))
 

@@ -138,7 +138,7 @@ def _labelled(docs: DataFrame, marks: DataFrame, rows: int) -> DataFrame:
     small = rows <= MAX_BROADCAST_MARKS
     held = marks.select("doc_id", "toxic")
     held = F.broadcast(held) if small else held
-    repeated = texts.select("doc_id").join(held, "doc_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    repeated = texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id").join(marks, "doc_id", "left_semi")
     repeated = cut_lineage(repeated, "repeated")
     met = texts.join(held, "doc_id").select("doc_id", "text", "toxic")
     if repeated.isEmpty():

@@ -24,7 +24,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from .common import cut_lineage, ensure_checkpoint_dir, table
+from .common import cut_lineage, scratch_folder, table
 
 SCHEMA = ("record_type string, record_id string, target_uri string, date string, refers_to string, payload_digest string, "
           "payload_length long, payload binary")
@@ -354,7 +354,7 @@ def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 def op3_warc(spark, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back."""
     use_warc(spark)
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc/{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "warc")
     page_records(table(spark, sf_dir, "pages")).write.format("warc").mode("append").save(path)
     back = spark.read.format("warc").load(path)
     page = lambda c: F.substring_index(c, ":", -1).try_cast("long")
