@@ -163,13 +163,16 @@ def load_count_check(spark: SparkSession, staged: DataFrame, table: str, expecte
 
 
 def append_and_check(spark: SparkSession, staged: DataFrame, path: str) -> DataFrame:
-    """S9 / K7 on a storage path: append the staged rows as Parquet, then report the rows in the table
-    against those before plus those the append wrote (counted by the write itself, so the staged
-    frame is computed once)."""
+    """S9 / K7 on a storage path: the rows are staged as files, as the source stages them, appended to the table, and the
+    rows in the table are reported against those before plus those staged.
+
+    (An ``Observation`` would count them during the write, but a session that has used one can't be serialised any more, and a
+    fitted regression's tasks carry it.)"""
+    from ..session import cut_lineage
     before = spark.read.parquet(path).count() if path_exists(spark, path) else 0
-    from pyspark.sql import Observation
-    written = Observation()
-    staged.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    files = cut_lineage(staged, "staged")
+    expected = before + files.count()
+    files.write.mode("append").parquet(path)
     loaded = spark.read.parquet(path).agg(F.count(F.lit(1)).cast("bigint")).scalar()
-    expected = F.lit(before + (written.get["n"] or 0)).cast("bigint")
-    return spark.range(1).select(loaded.alias("loaded"), expected.alias("expected"), (loaded == expected).alias("ok"))
+    exp = F.lit(expected).cast("bigint")
+    return spark.range(1).select(loaded.alias("loaded"), exp.alias("expected"), (loaded == exp).alias("ok"))
