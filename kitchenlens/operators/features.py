@@ -117,7 +117,7 @@ def _history_features_chunked(df, action_columns, outcome_columns, exclude_curre
     prev_names = pivot_prev_names(action_columns, outcome_columns)
     from ..session import cut_lineage
     # the chunk assignment is read by both scans and their carry tables: write it once
-    base = cut_lineage(assign_chunks(df, EST, "inspection_date", hot_group_rows, chunk_rows, hot=hot)
+    base = cut_lineage(assign_chunks(df, EST, "inspection_date", hot_group_rows, chunk_rows, hot=hot, second_order="inspection_id")
                        .withColumn("_closed", _is_closed()), "history_input")
     lags = {"_last_date": "inspection_date", "_last_status": "establishment_status"}
     lags.update({f"num_{t}_prev": f"num_{t}" for t in INFRACTION_TYPES})

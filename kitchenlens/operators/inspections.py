@@ -197,7 +197,7 @@ def with_days_to_next(df: DataFrame, hot_group_rows: int | None = None, chunk_ro
     """
     if hot_group_rows is not None:
         from .ordered import CHUNK, NCH, assign_chunks, chunked_scan
-        base = assign_chunks(df, EST, "inspection_id", hot_group_rows, chunk_rows, descending=True, hot=hot)
+        base = assign_chunks(df, EST, "inspection_id", hot_group_rows, chunk_rows, descending=True, hot=hot, second_order="inspection_date")
         out = chunked_scan(base, EST, ["inspection_id", "inspection_date", "establishment_status"],
                            lags={"_next_date": "inspection_date"}, descending=True)
         return (out.withColumn("days_to_next", F.abs(F.datediff(F.col("inspection_date"), F.col("_next_date")))
@@ -212,7 +212,7 @@ def with_days_from_previous(df: DataFrame, hot_group_rows: int | None = None, ch
     """Strict form: gap to the previous inspection in date order (the follow-up is the later row)."""
     if hot_group_rows is not None:
         from .ordered import CHUNK, NCH, assign_chunks, chunked_scan
-        base = assign_chunks(df, EST, "inspection_date", hot_group_rows, chunk_rows, hot=hot)
+        base = assign_chunks(df, EST, "inspection_date", hot_group_rows, chunk_rows, hot=hot, second_order="inspection_id")
         out = chunked_scan(base, EST, ["inspection_date", "inspection_id", "establishment_status"], lags={"_prev_date": "inspection_date"})
         return (out.withColumn("days_from_prev", F.datediff(F.col("inspection_date"), F.col("_prev_date")).cast("bigint"))
                 .drop("_prev_date", CHUNK, NCH))

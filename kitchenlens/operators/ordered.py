@@ -3,7 +3,8 @@
 A plain ``Window.partitionBy(key)`` puts every row of a key into one task.  When one key holds a
 large share of the data that task is the whole job.  Here a group with more than
 ``hot_group_rows`` rows is cut into contiguous chunks along its first order column (cut points are
-the group's own quantiles, so one outlying value does not gather the rest in one chunk); each
+the group's own quantiles, so one outlying value does not gather the rest in one chunk, and where one value holds
+several quantiles its rows are cut again along the second order column, as are those without a value); each
 chunk is scanned by its own window partition, and what a chunk needs from the chunks before it (row
 count, totals, the last row's values) comes from a small carry table with one row per chunk of a hot
 group.  Side tables have at most ``rows / hot_group_rows`` hot groups; they are broadcast only after
@@ -44,17 +45,28 @@ def _num(c: Column, is_date: bool) -> Column:
     return F.unix_date(c).cast("double") if is_date else c.cast("double")
 
 
+def _ties(hot_rows: DataFrame, pieces: DataFrame, keys: Sequence[str], first_order: str, v: Column, second: Column) -> DataFrame:
+    """(keys, first order value, _pieces, _cuts2): the values of hot groups that hold several quantiles, or are NULL, and the
+    quantiles of the second order column among their rows; at most QUANTILES values a group."""
+    at = _join_null_safe(hot_rows, pieces.select(*keys, "_cuts"), keys, "inner")
+    several = F.when(v.isNull(), F.lit(QUANTILES)).otherwise(F.size(F.filter("_cuts", lambda c: c == v)))
+    cuts = F.percentile_approx(second, [i / QUANTILES for i in range(1, QUANTILES)], 1000)
+    return (at.withColumn("_pieces", several).where(F.col("_pieces") > 1).groupBy(*keys, first_order, "_pieces")
+            .agg(F.coalesce(cuts, F.array().cast("array<double>")).alias("_cuts2")))
+
+
 def assign_chunks(df: DataFrame, keys: Sequence[str], first_order: str, hot_group_rows: int,
-                  chunk_rows: int, descending: bool = False, hot: DataFrame | None = None) -> DataFrame:
+                  chunk_rows: int, descending: bool = False, hot: DataFrame | None = None, second_order: str | None = None) -> DataFrame:
     """Add ``_chunk`` (0 for ordinary groups) and ``_nch`` (NULL for ordinary groups).
 
     A hot group is cut at its quantiles of the first order column, and each piece into equal-width
     sub-chunks where it would still hold more than ``chunk_rows`` rows, so chunk numbers follow the
-    scan order; NULL order values share the chunk of the smallest ones.  ``hot`` (from
+    scan order.  With ``second_order`` (numbers or dates) the rows of one value, or without a value, that fill several pieces are cut
+    by their quantiles of that column; without it they share a chunk.  ``hot`` (from
     ``hot_keys``) says which groups may be hot; without it they are counted here.
     """
-    is_date = dict(df.dtypes)[first_order] == "date"
-    v = _num(F.col(first_order), is_date)
+    types = dict(df.dtypes)
+    v = _num(F.col(first_order), types[first_order] == "date")
     if hot is None:
         hot = hot_keys(df.select(*keys), keys, hot_group_rows)
         if hot is None:
@@ -63,8 +75,8 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], first_order: str, hot_grou
     side = F.broadcast(hot) if small else hot
     cuts = F.percentile_approx(v, [i / QUANTILES for i in range(1, QUANTILES)], 1000)
     # the inner join keeps the rows of hot groups only, before anything is shuffled
-    pieces = (_join_null_safe(df.select(*keys, first_order), side, keys, "inner")
-              .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias("_v0"), F.max(v).alias("_v1"), cuts.alias("_cuts"))
+    hot_rows = _join_null_safe(df.select(*keys, first_order, *([second_order] if second_order else [])), side, keys, "inner")
+    pieces = (hot_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias("_v0"), F.max(v).alias("_v1"), cuts.alias("_cuts"))
               .select(*keys, F.ceil(F.col("_n") / F.lit(float(chunk_rows * QUANTILES))).cast("int").alias("_sub"), "_v0", "_v1",
                       F.coalesce("_cuts", F.array().cast("array<double>")).alias("_cuts")))
     j = _join_null_safe(df, F.broadcast(pieces) if small else pieces, keys, "left")
@@ -72,10 +84,21 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], first_order: str, hot_grou
     low = F.when(piece == 0, F.col("_v0")).otherwise(F.get("_cuts", piece - 1))
     high = F.when(piece >= F.size("_cuts"), F.col("_v1")).otherwise(F.get("_cuts", piece))
     inside = F.least(F.floor(F.coalesce(F.try_divide((v - low) * F.col("_sub"), high - low), F.lit(0.0))), F.col("_sub") - 1)
-    up = F.when(v.isNull(), F.lit(0)).otherwise(piece * F.col("_sub") + inside)
-    chunk = (F.lit(QUANTILES) * F.col("_sub") - 1 - up) if descending else up
-    return (j.withColumn(NCH, (F.lit(QUANTILES) * F.col("_sub")).cast("int"))
-            .withColumn(CHUNK, F.when(F.col(NCH).isNull(), F.lit(0)).otherwise(chunk).cast("int")).drop("_v0", "_v1", "_sub", "_cuts"))
+    numbers, tie = QUANTILES, F.lit(0)
+    if second_order:        # pieces for the rows without a value come before the others
+        numbers = 2 * QUANTILES
+        second = _num(F.col(second_order), types[second_order] == "date")
+        ties = _ties(hot_rows, pieces, keys, first_order, v, second)
+        j = _join_null_safe(j, F.broadcast(ties) if small else ties, [*keys, first_order], "left")
+        rank = F.coalesce(F.size(F.filter("_cuts2", lambda c: c < second)), F.lit(0))
+        tie = F.coalesce(F.floor(F.greatest(rank, F.lit(0)) * F.col("_pieces") / QUANTILES), F.lit(0))
+        inside = F.when(tie > 0, F.lit(0)).otherwise(inside)
+        up = F.when(v.isNull(), tie * F.col("_sub")).otherwise((piece + tie + QUANTILES) * F.col("_sub") + inside)
+    else:
+        up = F.when(v.isNull(), F.lit(0)).otherwise(piece * F.col("_sub") + inside)
+    chunk = (F.lit(numbers) * F.col("_sub") - 1 - up) if descending else up
+    return (j.withColumn(NCH, (F.lit(numbers) * F.col("_sub")).cast("int"))
+            .withColumn(CHUNK, F.when(F.col(NCH).isNull(), F.lit(0)).otherwise(chunk).cast("int")).drop("_v0", "_v1", "_sub", "_cuts", "_cuts2", "_pieces"))
 
 
 def _add(a: Column, b: Column) -> Column:

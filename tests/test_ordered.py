@@ -29,12 +29,17 @@ KEYS, ORDER = ["k1", "k2"], ["d", "id"]
 
 
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("given", [False, True])
-def test_split_equals_plain_window(spark, descending, given):
-    df = spark.createDataFrame(rows(), SCHEMA)
+@pytest.mark.parametrize("given,second", [(False, None), (True, None), (False, "id"), (True, "id")])
+@pytest.mark.parametrize("tied", [False, True])
+def test_split_equals_plain_window(spark, descending, given, second, tied):
+    data = rows()
+    if tied:        # most rows of a group on two days or on none
+        data = [(a, b, None if i % 4 == 0 else dt.date(2000, 1, 1 + i % 2) if i % 4 < 3 else d, None if i % 29 == 0 else i, v) for a, b, d, i, v in data]
+        data = [(a, b, d, i if i is not None else -1, v) for a, b, d, i, v in {(r[0], r[1], r[2], r[3]): r for r in data}.values()]
+    df = spark.createDataFrame(data, SCHEMA)
     hot = hot_keys(df.select(*KEYS), KEYS, 20) if given else None
-    base = assign_chunks(df, KEYS, "d", 20, 4, descending=descending, hot=hot)
-    assert base.where("_nch is not null").groupBy(*KEYS).agg(F.countDistinct(CHUNK).alias("n")).agg(F.min("n")).first()[0] > 5
+    base = assign_chunks(df, KEYS, "d", 20, 4, descending=descending, hot=hot, second_order=second)
+    assert base.where("_nch is not null").groupBy(*KEYS).agg(F.countDistinct(CHUNK).alias("n")).agg(F.min("n")).first()[0] > (3 if tied else 5)
     got = chunked_scan(base, KEYS, ORDER, lags={"prev": "id"}, sums={"s": "v"}, exclusive_sums={"x": "v"}, index="i", descending=descending)
     w = Window.partitionBy(*KEYS).orderBy(*[F.col(c).desc() if descending else F.col(c).asc() for c in ORDER])
     want = df.select("*", F.lag("id").over(w).alias("prev"), F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"),
@@ -48,6 +53,16 @@ def test_an_outlier_does_not_gather_the_rest(spark):
     assert sizes <= 100
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_one_value_does_not_gather_its_rows(spark, descending):
+    """A day that holds three quarters of a group, and rows without a day, are cut by the second order column."""
+    df = spark.range(8000).selectExpr("1 AS g", "CASE WHEN id % 8 = 0 THEN NULL WHEN id % 8 < 7 THEN 5 ELSE id END AS v", "id")
+    sizes = {r["v"]: r for r in assign_chunks(df, ["g"], "v", 100, 500, descending=descending, second_order="id").groupBy(CHUNK).agg(F.count("*").alias("n"), F.max("v").alias("v")).collect()}
+    largest = assign_chunks(df, ["g"], "v", 100, 500, descending=descending, second_order="id").groupBy(CHUNK).count().agg(F.max("count")).first()[0]
+    assert largest <= 400 and 5 in sizes
+    assert assign_chunks(df, ["g"], "v", 100, 500).groupBy(CHUNK).count().agg(F.max("count")).first()[0] >= 6000
+
+
 def test_no_hot_group_changes_nothing(spark):
     df = spark.createDataFrame(rows(30), SCHEMA)
     assert hot_keys(df.select(*KEYS), KEYS, 1000) is None
