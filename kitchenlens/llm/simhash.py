@@ -12,6 +12,8 @@ from .common import cut_lineage, strings, table, unused_name, word_blocks
 from .components import connected_components
 
 HASH_SEED = 42
+#: Ids of surviving documents that are broadcast at most (some 60 MB as a hash table); more are joined by a shuffle.
+MAX_BROADCAST_IDS = 2_000_000
 #: Pairs compared directly under one segment value; busier values take the exact hub way.
 BUCKET_PAIRS = 4096
 
@@ -151,8 +153,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     kept = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     kept = cut_lineage(kept, "kept")
     names, mark = [F.col(f"`{c}`") for c in docs.columns], unused_name(docs, "kept_id")
-    out = docs.join(kept.where("n = 1").select(F.col("doc_id").alias(mark)),
-                    F.col(id_col) == F.col(mark), "left_semi").select(*names)
+    once = kept.where("n = 1").select(F.col("doc_id").alias(mark))
+    once = F.broadcast(once) if once.count() <= MAX_BROADCAST_IDS else once       # the ids go to the texts while they are few enough
+    out = docs.join(once, F.col(id_col) == F.col(mark), "left_semi").select(*names)
     if not kept.where("n > 1").isEmpty():
         again = docs.join(kept.where("n > 1").select(F.col("doc_id").alias(mark)),
                           F.col(id_col) == F.col(mark), "left_semi")

@@ -90,3 +90,10 @@ def test_groups_nulls_repeats_clashes(spark):
     assert sorted((str(r.doc_id) for r in kept.collect())) == ["2", "4", "8", "None"]
     empty = docs.limit(0)
     assert sh.simhash_groups(empty).count() == 0 and sh.drop_near_copies(empty).count() == 0
+
+
+def test_survivors_by_broadcast_or_shuffle(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"one two three four {i // 2}" if i % 3 else "same text of many", i) for i in range(40)] + [(7, "one two three four 3", 7)], "doc_id long, text string, n int")
+    want = sorted(map(tuple, sh.drop_near_copies(docs).collect()))
+    monkeypatch.setattr(sh, "MAX_BROADCAST_IDS", 0)
+    assert sorted(map(tuple, sh.drop_near_copies(docs).collect())) == want and 0 < len(want) < 40
