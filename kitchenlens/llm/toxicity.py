@@ -22,6 +22,8 @@ MAX_FEATURES = 20_000
 #: toxic or of clean documents and however small the difference.
 MIN_Z = 4.0
 GRADES = 4
+#: Features a task counts before it hands them on.
+HELD_FEATURES = 400_000
 #: Labelled ids that are broadcast to the texts at most (16 bytes each, some 60 MB as a hash table).
 MAX_BROADCAST_MARKS = 2_000_000
 PREFIXES = (4, 5, 6)
@@ -165,7 +167,7 @@ def labelled_sample(docs: DataFrame, marks: DataFrame, fit_rows: int) -> DataFra
 
 
 def _feature_counts(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-    """(feature, toxic documents, clean documents) of a task, flushed when a million features are held; the
+    """(feature, toxic documents, clean documents) of a task, flushed when HELD_FEATURES are held; the
     feature "" is every document's."""
     toxic, clean = Counter(), Counter()
 
@@ -180,7 +182,7 @@ def _feature_counts(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatc
     for batch in batches:
         for text, mark in zip(strings(batch["text"]), batch["toxic"].to_pylist()):
             (toxic if mark else clean).update([ALL, *text_features(text)])
-            if len(toxic) + len(clean) > 1_000_000:
+            if len(toxic) + len(clean) > HELD_FEATURES:
                 yield flush()
     yield flush()
 
