@@ -22,7 +22,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Tokens packed together: 256 windows, of which the last may stay partly empty.
 BUCKET_TOKENS = 1 << 20
 #: White-space separated strings whose ids a worker remembers, and their longest length.
-REMEMBERED, REMEMBERED_CHARS = 360_000, 48
+REMEMBERED, REMEMBERED_CHARS = 200_000, 48
 PLAIN_END = "\u0530"
 PUNCTUATION = ".,;:!?()[]{}*#%&$@-_=+/\"|<>"
 
