@@ -204,3 +204,14 @@ def test_active_resource(spark, scratch):
     with open(f"{scratch}/p.json", "w") as f:
         f.write("\n".join(map(json.dumps, packs)))
     assert [r["id"] for r in fl.active_resource(spark.read.json(f"{scratch}/p.json")).collect()] == ["b"]
+
+
+def test_written_xml_snapshots_are_gzipped(spark, scratch):
+    from kitchenlens.plans.catalog import land_snapshot
+    rows = [(i, "tags & values <" + "x" * i, None if i % 2 else 1.5) for i in range(500)]
+    df = spark.createDataFrame(rows, "inspection_id bigint, infraction_details string, latitude double").coalesce(1)
+    land_snapshot(df, f"{scratch}/land/7")
+    files = [f for f in os.listdir(f"{scratch}/land/7") if f.startswith("part-")]
+    assert files and all(f.endswith(".xml.gz") for f in files)
+    back = snap.normalise_infractions(snap.with_snapshot_id(snap.read_xml_snapshot(spark, f"{scratch}/land/*")))
+    assert sorted((r.inspection_id, r.infraction_details, r.latitude, r.filename) for r in back.collect()) == [(*r, 7) for r in rows]
