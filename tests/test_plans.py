@@ -108,3 +108,12 @@ def test_hot_groups_broadcast_only_after_their_count(spark, monkeypatch):
     assert hinted()                     # three hot groups were counted
     monkeypatch.setattr(ordered, "MAX_BROADCAST_HOT_GROUPS", 2)
     assert not hinted()                 # more than the bound: left to AQE
+
+
+def test_model_table_takes_no_texts_or_pivoted_counts(spark):
+    from kitchenlens.plans import catalog
+    full = catalog.full_table(spark, "/root/testdata/sf0.001")
+    assert "infractions_summary" not in full.columns and not [c for c in full.columns if "ticket" in c]
+    assert catalog.task_count(spark, "/root/testdata/sf0.001") is None
+    rows = catalog.handed_over(spark, "/root/testdata/sf0.001").count()
+    assert catalog.task_count(spark, "/root/testdata/sf0.001", rows_per_task=100) == -(-rows // 100)
