@@ -72,3 +72,15 @@ def test_split_hot_groups_equals_plain_window(spark):
         split = ft.history_features(df, ["num_ticket", "action_null"], ["court_outcome_null"], exclude_current=excl,
                                     hot_group_rows=10, chunk_rows=7)
         assert _rows(plain) == _rows(split)
+
+
+def test_one_window_makes_all_history_features(spark):
+    from kitchenlens.constants import EST
+    df = spark.range(6).selectExpr(*[f"'a' as `{c}`" for c in EST], "id as inspection_id", "date_add(date'2020-01-01', int(id)) as inspection_date", "'Pass' as establishment_status",
+                                   *[f"id as num_{t}" for t in ft.INFRACTION_TYPES], "if(id % 3 = 1, null, id) as num_ticket")
+    out = ft.history_features(df, ["num_ticket"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1
+    rows = out.orderBy("inspection_id").collect()
+    assert [r.cumulative_num_action_ticket_prev for r in rows] == [None, 0, 0, 2, 5, 5]
+    assert [r.num_action_ticket_prev for r in rows] == [None, 0, None, 2, 3, None]

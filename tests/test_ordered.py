@@ -78,3 +78,10 @@ def test_pivot_counts_every_value(spark):
     assert insp.pivoted(out, "court_outcome") == ["num_ab", "num_new_one", "court_outcome_null"] and insp.pivoted(out, "action") == []
     with pytest.raises(ValueError):
         insp.pivot_values(spark.range(20).selectExpr("cast(id as string) AS action", "'x' AS court_outcome"), max_values=10)
+
+
+def test_small_groups_have_few_cuts(spark):
+    """A group is cut by its size, so its rows don't carry the most cuts there may be."""
+    df = spark.range(200).selectExpr("id % 10 AS g", "id AS v", "id")
+    chunks = assign_chunks(df, ["g"], "v", 5, 10, second_order="id").groupBy("g").agg(F.count_distinct(CHUNK).alias("n"), F.max("_nch").alias("nch")).collect()
+    assert all(2 <= r.n <= 4 for r in chunks)
