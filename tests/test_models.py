@@ -146,3 +146,23 @@ def test_memo_is_by_table_version(spark, tmp_path):
     os.utime(tmp_path / "nation.parquet", (1, 1))
     assert catalog._memo_key(spark, str(tmp_path), "lr") != before
     assert catalog._memo_key(spark, "viewfs://store/in", "lr") is None
+
+
+def test_the_transform_reads_its_rows_once(spark):
+    rows = spark.sparkContext.accumulator(0)
+    df = frame(spark).selectExpr("round(n, 1) as n", "-n as m", "cast(null as double) as none", "5.0 as same")
+
+    def counted(batches):
+        for b in batches:
+            rows.add(b.num_rows)
+            yield b
+    seen = df.mapInArrow(counted, df.schema)
+    fitted = md.YeoJohnson(columns=df.columns).fit(seen)
+    assert rows.value == df.count()
+    lambdas, means, stds = (fitted.getOrDefault(p) for p in ("lambdas", "means", "stds"))
+    assert lambdas == list(md.fit_yeo_johnson(df, df.columns).values()) and lambdas[2:] == [1.0, 1.0]
+    want = df.agg(*[f(md.yeo_johnson_expr(md.F.col(c), lam)) for c, lam in zip("nm", lambdas) for f in (md.F.avg, md.F.stddev_pop)]).first()
+    assert np.allclose([means[0], stds[0], means[1], stds[1]], list(want), rtol=1e-9)
+    grid = [lambdas[0] + d for d in (-0.05, 0.0, 0.05)]      # against the likelihood of the rows themselves
+    llf = [r.mean_log_likelihood for r in md.yeo_johnson_likelihood(df, ["n"], grid).collect()]
+    assert llf[1] == max(llf)
