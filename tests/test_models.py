@@ -166,3 +166,16 @@ def test_the_transform_reads_its_rows_once(spark):
     grid = [lambdas[0] + d for d in (-0.05, 0.0, 0.05)]      # against the likelihood of the rows themselves
     llf = [r.mean_log_likelihood for r in md.yeo_johnson_likelihood(df, ["n"], grid).collect()]
     assert llf[1] == max(llf)
+
+
+def test_a_fit_transforms_its_rows_once(spark):
+    rows = spark.sparkContext.accumulator(0)
+    df = mp.class_weights(frame(spark)).localCheckpoint()
+
+    def counted(batches):
+        for b in batches:
+            rows.add(b.num_rows)
+            yield b
+    model = md.fit_pipeline(df.mapInArrow(counted, df.schema), md.logistic_regression(400), ["c"], ["n"])
+    assert rows.value == 3 * df.count()         # labels, values, vectors
+    assert len(model.stages) == 5 and model.transform(df).where("prediction is null").count() == 0
