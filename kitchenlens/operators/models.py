@@ -251,11 +251,14 @@ def perceptron(n_features: int, seed: int = 42, hidden: int = 100, max_iter: int
 
 
 def fit_pipeline(train: DataFrame, classifier, categoricals: Sequence[str], numerics: Sequence[str]) -> PipelineModel:
-    """Preprocessing and classifier; the vectors are written once, as a fit reads them several times before its own cache."""
+    """Preprocessing and classifier; the vectors are written once, as a fit reads them several times before its own cache.
+
+    A forest is work for all cores even where its vectors are one small file, which would be read by one task."""
     prep = Pipeline(stages=preprocessing(categoricals, numerics)).fit(train)
     keep = [classifier.getLabelCol(), *([classifier.getWeightCol()] if classifier.hasParam("weightCol") and classifier.isDefined("weightCol") else [])]
     vectors = cut_lineage(prep.transform(train).select("features", *keep), "vectors")
-    fitted = classifier.fit(vectors)
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    fitted = classifier.fit(vectors.repartition(cores) if classifier.hasParam("numTrees") else vectors)
     drop_stage(vectors)
     return PipelineModel([*prep.stages, fitted])
 

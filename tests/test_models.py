@@ -179,3 +179,15 @@ def test_a_fit_transforms_its_rows_once(spark):
     model = md.fit_pipeline(df.mapInArrow(counted, df.schema), md.logistic_regression(400), ["c"], ["n"])
     assert rows.value == 3 * df.count()         # labels, values, vectors
     assert len(model.stages) == 5 and model.transform(df).where("prediction is null").count() == 0
+
+
+def test_a_forest_of_one_file_is_fitted_by_all_cores(spark, monkeypatch):
+    partitions, fit = [], md.RandomForestClassifier.fit
+
+    def noted(forest, rows, *args):
+        partitions.append(rows.rdd.getNumPartitions())
+        return fit(forest, rows, *args)
+    monkeypatch.setattr(md.RandomForestClassifier, "fit", noted)
+    model = md.fit_pipeline(mp.class_weights(frame(spark)).coalesce(1), md.random_forest(num_trees=3, max_depth=3), ["c"], ["n"])
+    assert partitions == [spark.sparkContext.defaultParallelism] and partitions[0] > 1
+    assert model.stages[-1].getNumTrees == 3
