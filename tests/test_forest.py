@@ -42,6 +42,42 @@ def test_split_is_the_best_of_the_drawn_features():
         assert got.found[k] and np.isclose(gain(k, (x >= got.lo[k]) & (x <= got.hi[k])), max(gain(k, r) for r in every))
 
 
+def test_large_nodes_are_split_as_small_ones_are(monkeypatch):
+    """Votes of a tree are the same however large a node is that is split by itself, many copies of a row and rows that are scored only included."""
+    rng = np.random.default_rng(8)
+    n, lay = 3000, fo.Layout(np.repeat([0, 1, 2, 3], [7, 300, 1, 1]), 307, [(307, 32), (339, 1)], 340)
+    assert lay.dtype == np.uint16 and lay.bases.tolist() == [0, 7, 307, 339]
+    columns = np.stack([rng.integers(0, 8, n), rng.integers(0, 31, n) * 10, rng.integers(0, 32, n), np.zeros(n, int)]).astype(lay.dtype)      # 7: never seen
+    assert lay.ids(columns)[columns[0] == 7, 0].tolist() == [lay.pad] * int((columns[0] == 7).sum())
+    y = ((columns[0] < 3) ^ (columns[2] > 20) ^ (rng.random(n) < 0.2)).astype(np.int8)
+    w, scored, copies = np.where(y == 1, 0.7, 1.9) * (rng.random(n) < 0.8), rng.random(n) < 0.5, rng.poisson(1.0, n).astype(np.uint8)
+    copies[:40] = np.arange(40) % 13
+    found, alone = [], []
+    splits = fo._best_of_large
+    monkeypatch.setattr(fo, "_best_of_large", lambda nodes, *a: alone.append(len(nodes)) or splits(nodes, *a))
+    for large, block, rows in ((10 ** 9, 1 << 15, fo.Rows(columns, y, w > 0, scored, (1.9, 0.7), None)), (10 ** 9, 1 << 15, fo.Rows(columns, y, w > 0, scored, None, w)),
+                               (150, 1 << 15, fo.Rows(columns, y, w > 0, scored, (1.9, 0.7), None)), (300, 64, fo.Rows(columns, y, w > 0, scored, (1.9, 0.7), None))):
+        monkeypatch.setattr(fo, "LARGE", large)
+        monkeypatch.setattr(fo, "BLOCK", block)
+        votes = np.zeros(n)
+        fo.grow(rows, copies, lay, 12, np.random.default_rng(2), votes)
+        found.append(votes[scored])
+        assert bool(alone) == (large < 1000)
+    assert (found[0] == found[1]).all() and np.allclose(found[0], found[2]) and np.allclose(found[0], found[3]) and len(set(found[0].tolist())) > 5
+
+
+def test_only_the_wanted_rows_are_scored(spark):
+    """The forest is the same, whichever rows' votes are wanted; in groups of rows and in one."""
+    df = table(spark, 400)
+    prep = Pipeline(stages=md.preprocessing(["c", "d"], ["n"])).fit(df.where("split = 'train'"))
+    rows = prep.transform(mp.class_weights(df))
+    train, some = F.col("split") == "train", F.col("k") % 3 == 0
+    for group_rows in (1_000_000, 200):
+        forest = md.BaggedForest(num_trees=5, group_rows=group_rows)
+        every, part = (forest.score(prep, rows, "is_infraction", "weight", train, "p", s) for s in (None, some))
+        assert sorted((r.k, r.p) for r in every.where(some).collect()) == sorted((r.k, r.p) for r in part.collect())
+
+
 @pytest.fixture(scope="module")
 def sparks(spark):
     df = table(spark)
