@@ -126,3 +126,40 @@ def test_cross_validation_takes_a_forest_beside_others(spark):
     assert sum(r["len_train"] + r["len_val"] for r in recs) == 3 * df.count()
     rf = [r for r in recs if r["classifier"] == "rf"]
     assert all(r["f1_train"] > 0.95 and r["f1_test"] > 0.6 for r in rf)
+
+
+def test_cross_validation_grows_forests_on_codes(spark, monkeypatch):
+    """A forest's rows go without the vectors of the other classifiers, and their records are as those of either alone."""
+    df = table(spark, 300).selectExpr("0 as fold", "if(split = 'train', 'train', 'val') as role", "c", "d", "n", "is_infraction", "cast(k as int) as inspection_id",
+                                      "date'2000-01-01' as inspection_date", "cast(k as int) as establishment_id", "'R' as establishmenttype", "'1 ST' as establishment_address")
+    seen = []
+
+    def score(self, prep, rows, label, weight, train, out):
+        seen.append(rows.columns)
+        return rows.withColumn(out, F.when(train, F.lit(1.0)).otherwise(0.0))
+    monkeypatch.setattr(fo.BaggedForest, "score", score)
+    recs = {r["classifier"]: r for r in md.cross_validate(df, {"lr": md.logistic_regression, "rf": lambda n: md.BaggedForest(), "always_infrac": "always_infrac"}, ["c", "d"], ["n"])}
+    assert len(seen) == 1 and "features" not in seen[0]
+    assert recs["rf"]["recall_train"] == 1.0 == recs["always_infrac"]["recall_test"] and recs["rf"]["recall_test"] == 0.0 and recs["rf"]["precision_train"] == recs["always_infrac"]["precision_train"]
+    alone = md.cross_validate(df, {"lr": md.logistic_regression}, ["c", "d"], ["n"])[0]
+    assert recs["lr"] == alone
+
+
+def test_the_power_transforms_passes_are_small_plans(spark, monkeypatch):
+    """λ are rows of a pass, not columns of it; moments as numpy's, with λ of 0 and 2, negative, missing and repeated values."""
+    x = [-3.0, -1.0, 0.0, 0.0, 0.5, 7.0]
+    values = spark.createDataFrame([(0, v, n) for v, n in [(-3.0, 1), (-1.0, 1), (0.0, 2), (0.5, 1), (7.0, 1), (None, 0)]] + [(1, 2.0, 3)], "column int, x double, n long")
+    kind = type(values)
+    agg = kind.agg
+    monkeypatch.setattr(kind, "agg", lambda self, *a: agg(self, *a) if len(a) < 20 else pytest.fail("a column for each λ"))
+    lams = [0.0, 0.3, 1.0, 2.0, 2.5]
+    got = md._weighted(values, {0: lams, 1: lams, 2: lams}, {0: 0.6, 1: 2.0, 2: 0.0})
+
+    def transform(v, lam):
+        if v >= 0:
+            return np.log1p(v) if lam == 0 else ((v + 1) ** lam - 1) / lam
+        return -np.log1p(-v) if lam == 2 else -((1 - v) ** (2 - lam) - 1) / (2 - lam)
+    for lam, (mean, var) in zip(lams, got[0]):
+        y = [transform(v, lam) for v in x]
+        assert np.isclose(mean, np.mean(y)) and np.isclose(var, np.var(y))
+    assert [v for _, v in got[1]] == [0.0] * 5 and got[2] == [(None, None)] * 5
